@@ -148,11 +148,11 @@ def prompt_len_padded(prompt_ids_padded: Column, pad_id: int) -> Column:
 
 
 # --------------------------------------------------------------------- T11
-def decode_ids(df: DataFrame, key: str, ids_col: str, vocab: DataFrame,
-               out_col: str = "text", skip_special: bool = True,
-               prepartition: bool = True) -> DataFrame:
-    """ids -> text: tokens joined by one space, reserved tokens dropped when
-    ``skip_special``; ids outside the vocabulary decode to ``<unk>``."""
+def decode_parts(df: DataFrame, key: str, ids_col: str, vocab: DataFrame,
+                 prepartition: bool = True) -> DataFrame:
+    """ids -> ``_dec``: array of (pos, id, token) in position order, one
+    explode and regroup through the broadcast vocabulary; ids outside the
+    vocabulary decode to ``<unk>``. Texts are cut from it with ``join_tokens``."""
     others = [c for c in df.columns if c != ids_col]
     if prepartition:
         df = df.repartition(key)
@@ -160,12 +160,30 @@ def decode_ids(df: DataFrame, key: str, ids_col: str, vocab: DataFrame,
     v = vocab.select(F.col("id").cast("long").alias("id"), "token")
     looked = ex.join(F.broadcast(v), "id", "left")
     tok = F.coalesce(F.col("token"), F.lit(SPECIAL_TOKENS[UNK_TOKEN_ID]))
-    keep = F.col("pos").isNotNull()
-    if skip_special:
-        keep = keep & (F.col("id") >= len(SPECIAL_TOKENS))
-    item = F.when(keep, F.struct("pos", tok.alias("t")))
-    g = looked.groupBy(*others).agg(F.sort_array(F.collect_list(item)).alias("_p"))
-    return g.select(*others, F.array_join(F.transform("_p", lambda x: x["t"]), " ").alias(out_col))
+    item = F.when(F.col("pos").isNotNull(), F.struct("pos", "id", tok.alias("token")))
+    return looked.groupBy(*others).agg(F.sort_array(F.collect_list(item)).alias("_dec"))
+
+
+def join_tokens(dec="_dec", skip_special: bool = True, lo=None, hi=None) -> Column:
+    """Text of the decoded tokens with ``lo <= pos < hi``, joined by one space;
+    reserved tokens dropped when ``skip_special``."""
+    def keep(x):
+        c = F.lit(True)
+        if skip_special:
+            c = c & (x["id"] >= len(SPECIAL_TOKENS))
+        if lo is not None:
+            c = c & (x["pos"] >= lo)
+        if hi is not None:
+            c = c & (x["pos"] < hi)
+        return c
+    return F.array_join(F.transform(F.filter(_c(dec), keep), lambda x: x["token"]), " ")
+
+
+def decode_ids(df: DataFrame, key: str, ids_col: str, vocab: DataFrame,
+               out_col: str = "text", skip_special: bool = True) -> DataFrame:
+    """Ids -> text (tokens joined by one space)."""
+    d = decode_parts(df, key, ids_col, vocab)
+    return d.withColumn(out_col, join_tokens("_dec", skip_special)).drop("_dec")
 
 
 def ids_text(col) -> Column:

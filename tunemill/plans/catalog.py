@@ -11,10 +11,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from functools import partial
+
+from .. import functions as fn
 from ..config import SftConfig
+from ..operators import batches as bat
+from ..operators import evaluate as ev
+from ..operators import history as hist
+from ..operators import profile as prof
+from ..operators import retrieval as rt
+from ..operators import sampling as smp
 from ..operators import templates as tpl
 from ..operators import tokens as tk
+from ..operators import udfs as udf
+from ..operators import validate as val
+from ..schemas import SOURCED_EXAMPLE
+from ..session import shared_path
 from ..sources.examples import dialogue_pairs, docs_examples, mcq_examples
+from ..sources.examples import role_prompts as src_role_prompts
+from ..sources.io import read_instruction_json, write_instruction_json, write_table
 from ..sources.tables import load
 
 # Parameters of the registered queries (small enough that truncation,
@@ -79,3 +94,460 @@ def encode_ragged(spark, d):
     enc = tk.encode_examples(ex, dialogue_vocab(spark, d), CFG, pad=False)
     return enc.select("example_id", tk.ids_text("input_ids").alias("input_ids"),
                       tk.ids_text("labels").alias("labels"), "prompt_tokens", "length")
+
+
+# ----------------------------------------------------------- more helpers
+def mcq(spark, d) -> DataFrame:
+    return mcq_examples(load(spark, d, "benchmark"))
+
+
+def docs(spark, d) -> DataFrame:
+    return docs_examples(load(spark, d, "documents"))
+
+
+def all_examples(spark, d) -> DataFrame:
+    return smp.mix_strict(pairs(spark, d), mcq(spark, d), docs(spark, d))
+
+
+def chat_examples(spark, d) -> DataFrame:
+    """The reference's two training sources: dialogues and MCQs."""
+    return smp.mix_strict(pairs(spark, d), mcq(spark, d))
+
+
+def token_counts(spark, d) -> DataFrame:
+    ex = tpl.render(chat_examples(spark, d), "inst")
+    return tk.tokenize_pair(ex, CFG.max_len).drop("_tok")
+
+
+def generated_pairs(spark, d) -> DataFrame:
+    """Stand-in model output from the turn table: the decoded text holds the
+    prompt followed by the answer; every third answer (by example id) is
+    altered by dropping its sentence punctuation."""
+    ex = pairs(spark, d)
+    gen_answer = F.when(F.col("example_id") % 3 == 0,
+                        F.regexp_replace("output", r"[.!?]", "")).otherwise(F.col("output"))
+    return ex.select("example_id", tpl.inst_prompt().alias("prompt"),
+                     F.col("output").alias("expected"),
+                     F.concat(tpl.inst_prompt(), gen_answer).alias("full_text"))
+
+
+def eval_predictions(spark, d) -> DataFrame:
+    """Two fixed rules on n_chars stand in for models A and B; benchmark = lang."""
+    docs_t = load(spark, d, "documents").select("doc_id", "lang", "n_chars")
+    rules = {"model_a": F.when(F.col("n_chars") >= 1000, 1).otherwise(0),
+             "model_b": F.when(F.col("n_chars") % 3 != 0, 1).otherwise(0)}
+    return docs_t.select(F.col("lang").alias("benchmark"), F.col("doc_id").alias("item_id"),
+                         F.explode(F.array(*[F.struct(F.lit(m).alias("model"),
+                                                      r.alias("predicted"))
+                                             for m, r in rules.items()])).alias("p")
+                         ).select("p.model", "benchmark", "item_id", "p.predicted")
+
+
+def eval_gold(spark, d) -> DataFrame:
+    lab = load(spark, d, "labels").select(F.col("doc_id").alias("item_id"),
+                                          F.col("quality").alias("gold"))
+    docs_t = load(spark, d, "documents").select(F.col("doc_id").alias("item_id"),
+                                                F.col("lang").alias("benchmark"))
+    return lab.join(docs_t, "item_id", "inner")
+
+
+def rubric_scores(spark, d) -> DataFrame:
+    """Long score table (model, benchmark, prompt_id, criterion, score) by fixed rules."""
+    t = load(spark, d, "documents").select("doc_id", "lang", "n_chars")
+    n, i = F.col("n_chars"), F.col("doc_id")
+    rules = [("model_a", "coherence", 1 + n % 5), ("model_a", "empathy", 1 + i % 5),
+             ("model_a", "factuality", 1 + (n % 7) % 5),
+             ("model_b", "coherence", 1 + (n + 2) % 5), ("model_b", "empathy", 1 + (i + 1) % 5),
+             ("model_b", "factuality", 1 + (n % 11) % 5)]
+    return t.select(F.col("lang").alias("benchmark"), F.col("doc_id").alias("prompt_id"),
+                    F.explode(F.array(*[F.struct(F.lit(m).alias("model"), F.lit(c).alias("criterion"),
+                                                 s.cast("double").alias("score"))
+                                        for m, c, s in rules])).alias("r")
+                    ).select("r.model", "benchmark", "prompt_id", "r.criterion", "r.score")
+
+
+# ------------------------------------------------------- sources and text
+@query
+def json_roundtrip(spark, d):
+    """Both training sources written as JSON files, read back as one."""
+    a = write_instruction_json(pairs(spark, d), shared_path(spark, "conv-json"))
+    b = write_instruction_json(mcq(spark, d), shared_path(spark, "mcq-json"))
+    back = read_instruction_json(spark, [a, b], schema=SOURCED_EXAMPLE)
+    return back.select("source", "example_id", "instruction", "input", "output")
+
+
+@query
+def role_prompts(spark, d):
+    """Prompt table with the fixed doctor role."""
+    p = src_role_prompts(load(spark, d, "conversations"))
+    return p.select("prompt_id", tpl.role_prompt("user_text").alias("prompt"))
+
+
+@query
+def render_alpaca(spark, d):
+    """Alpaca prompt (input block only when non-empty)."""
+    ex = tpl.render(chat_examples(spark, d), "alpaca")
+    return ex.select("source", "example_id", "prompt", "answer")
+
+
+@query
+def render_single_turn(spark, d):
+    """P5: single-turn alpaca prompt for every user message."""
+    t = load(spark, d, "conversations").where(F.col("role") == "user")
+    return t.select((F.col("conv_id") * 1000 + F.col("turn")).alias("prompt_id"),
+                    tpl.single_turn_prompt("text").alias("prompt"))
+
+
+@query
+def render_mcq(spark, d):
+    """MCQ text with four options and the gold letter."""
+    items = tpl.mcq_items(load(spark, d, "benchmark"))
+    return items.select("item_id", tpl.mcq_text().alias("prompt"), "gold")
+
+
+@query
+def field_profile(spark, d):
+    """A1, A2: per source and field: rows, nulls, blanks, lengths, distinct."""
+    return prof.field_profile(all_examples(spark, d))
+
+
+@query
+def required_fields(spark, d):
+    """every row checked, with the reason of a rejection."""
+    return val.required_fields(all_examples(spark, d)).select("source", "example_id", "valid",
+                                                              "reason")
+
+
+@query
+def preview_text(spark, d):
+    """First 200 characters and an ellipsis."""
+    return all_examples(spark, d).select("source", "example_id",
+                                         fn.preview("input").alias("input_preview"),
+                                         fn.preview("output").alias("output_preview"))
+
+
+@query
+def clean_text(spark, d):
+    """formatting clean-up of the document texts."""
+    t = load(spark, d, "documents")
+    c = fn.clean_text("text")
+    return t.select("doc_id", c.alias("cleaned"), F.length("text").alias("chars_before"),
+                    F.length(c).alias("chars_after"))
+
+
+@query
+def strip_text(spark, d):
+    """Python-style strip of the document texts."""
+    t = load(spark, d, "documents")
+    s = fn.py_strip("text")
+    return t.select("doc_id", s.alias("stripped"),
+                    (F.length("text") - F.length(s)).alias("removed"))
+
+
+@query
+def special_token_guard(spark, d):
+    """markers found in user text are reported and removed."""
+    g = val.marker_guard(docs(spark, d), mode="strip")
+    return g.select("example_id", "had_marker", "input", "output")
+
+
+@query
+def filter_rows(spark, d):
+    """quality / toxicity / length / ratio filter over the docs source."""
+    f = val.filter_rows(docs(spark, d), load(spark, d, "labels"))
+    return f.select("example_id", "quality", "toxic", F.length("input").alias("n_in"),
+                    F.length("output").alias("n_out"))
+
+
+# ----------------------------------------------------- sampling and mixing
+SUBSET_PCT = 33.3
+MIX_PCT = 50.0
+
+
+@query
+def subset_pct(spark, d):
+    """Exact seeded percentage of every source."""
+    s = smp.subset_pct(all_examples(spark, d), SUBSET_PCT, CFG.seed,
+                       prefix_hex=CFG.index_prefix_hex)
+    return s.select("source", "example_id", "idx")
+
+
+@query
+def mix_sources(spark, d):
+    """W1 per source, U1, then the seeded shuffle of the mix."""
+    a = smp.subset_pct(pairs(spark, d), MIX_PCT, CFG.seed).drop("idx", "group_n")
+    b = smp.subset_pct(mcq(spark, d), MIX_PCT, CFG.seed).drop("idx", "group_n")
+    m = smp.shuffle_index(smp.mix_strict(a, b), CFG.seed, prefix_hex=CFG.index_prefix_hex)
+    return m.select("pos", "source", "example_id")
+
+
+@query
+def mix_lenient(spark, d):
+    """Sources with and without ``input`` mixed; source order kept."""
+    m = smp.mix_lenient(pairs(spark, d), mcq(spark, d).drop("input"))
+    return m.select("source_rank", "source", "example_id", "instruction", "input", "output")
+
+
+@query
+def shuffle_index(spark, d):
+    """Global position of every example in the seeded shuffle."""
+    m = smp.shuffle_index(all_examples(spark, d), CFG.seed, prefix_hex=CFG.index_prefix_hex)
+    return m.select("pos", "source", "example_id")
+
+
+# ----------------------------------------------------------------- tokens
+@query
+def prompt_len_variants(spark, d):
+    """T8a (padded prompt, non-pad count, F3), T8b (truncated), T8c (full)."""
+    ex = rendered_pairs(spark, d).select("example_id", "prompt")
+    t = ex.select("example_id", fn.tokenize("prompt").alias("_pt"))
+    t = t.select("example_id", F.size("_pt").alias("prompt_len_full"),
+                 F.slice("_pt", 1, CFG.max_len).alias("_tok"))
+    enc = tk.encode_tokens(t, "example_id", "_tok", dialogue_vocab(spark, d), "ids")
+    padded = tk.pad_right(F.col("ids"), CFG.max_len, CFG.effective_pad_id)
+    return enc.select("example_id",
+                      tk.prompt_len_padded(padded, CFG.effective_pad_id).alias("prompt_len_padded"),
+                      F.least("prompt_len_full", F.lit(CFG.max_len)).alias("prompt_len_trunc"),
+                      "prompt_len_full")
+
+
+@query
+def token_profile(spark, d):
+    """A3: token-length profile per source."""
+    return prof.token_profile(token_counts(spark, d), CFG.max_len)
+
+
+@query
+def token_view(spark, d):
+    """First 50 ids, mask and labels, the decoded prompt part and the
+    next 20 tokens decoded, for every row."""
+    enc = tk.encode_examples(rendered_pairs(spark, d), dialogue_vocab(spark, d), CFG)
+    v = enc.select("example_id", "input_ids", "attention_mask", "labels", "prompt_len",
+                   F.slice("input_ids", 1, CFG.max_len).alias("ids"))
+    dec = tk.decode_parts(v.select("example_id", "prompt_len", "ids"), "example_id", "ids",
+                          dialogue_vocab(spark, d))
+    dec = dec.select("example_id",
+                     tk.join_tokens("_dec", True, hi=F.col("prompt_len")).alias("prompt_text"),
+                     tk.join_tokens("_dec", True, lo=F.col("prompt_len"),
+                                    hi=F.col("prompt_len") + 20).alias("next_text"))
+    head = v.select("example_id", "prompt_len",
+                    tk.ids_text(F.slice("input_ids", 1, 50)).alias("ids_50"),
+                    tk.ids_text(F.slice("attention_mask", 1, 50)).alias("mask_50"),
+                    tk.ids_text(F.slice("labels", 1, 50)).alias("labels_50"))
+    return head.join(dec, "example_id")
+
+
+@query
+def decode_tokens(spark, d):
+    """Ids back to text, with and without the reserved tokens."""
+    enc = tk.encode_examples(rendered_pairs(spark, d), dialogue_vocab(spark, d), CFG, pad=False)
+    dec = tk.decode_parts(enc.select("example_id", "input_ids"), "example_id", "input_ids",
+                          dialogue_vocab(spark, d))
+    return dec.select("example_id", tk.join_tokens("_dec", True).alias("text"),
+                      tk.join_tokens("_dec", False).alias("text_all"))
+
+
+# ---------------------------------------------------------------- batches
+@query
+def batch_plan(spark, d):
+    """Epoch, position, optimizer step, accumulation step, micro-batch."""
+    p = bat.batch_plan(chat_examples(spark, d).select("source", "example_id"), CFG.epochs,
+                       CFG.batch_size, CFG.grad_accum, 1, CFG.seed)
+    return p.select("epoch", "source", "example_id", "pos", "step", "micro_step", "batch_id")
+
+
+@query
+def batch_plan_ranks(spark, d):
+    """The same over ``world_size`` devices (positions dealt round-robin)."""
+    p = bat.batch_plan(chat_examples(spark, d).select("source", "example_id"), CFG.epochs,
+                       CFG.batch_size, CFG.grad_accum, CFG.world_size, CFG.seed)
+    return p.select("epoch", "source", "example_id", "pos", "rank", "step", "micro_step",
+                    "batch_id")
+
+
+@query
+def batch_padding(spark, d):
+    """Ragged rows padded to the longest row of their batch."""
+    enc = tk.encode_examples(rendered_pairs(spark, d).withColumn("source", F.lit("dialogue")),
+                             dialogue_vocab(spark, d), CFG, pad=False, carry=("source",))
+    plan = bat.batch_plan(enc, 1, CFG.batch_size, CFG.grad_accum, 1, CFG.seed)
+    padded = bat.pad_to_batch(plan, CFG.effective_pad_id)
+    return padded.select("batch_id", "example_id", "batch_len",
+                         tk.ids_text("input_ids").alias("input_ids"),
+                         tk.ids_text("attention_mask").alias("attention_mask"),
+                         tk.ids_text("labels").alias("labels"))
+
+
+@query
+def plan_totals(spark, d):
+    """Effective batch, steps per epoch and in total, token totals."""
+    c = token_counts(spark, d).withColumn("length", F.least("n_tokens", F.lit(CFG.max_len)))
+    return prof.plan_totals(c, CFG.batch_size, CFG.grad_accum, CFG.world_size, CFG.epochs,
+                            CFG.max_len)
+
+
+@query
+def vocab_roundtrip(spark, d):
+    """The vocabulary saved as a table and read back."""
+    path = write_table(dialogue_vocab(spark, d), shared_path(spark, "vocab"))
+    return spark.read.parquet(path).select("token", "id", "n")
+
+
+@query
+def shard_roundtrip(spark, d):
+    """Encoded rows written in batch order as per-rank shards, read back."""
+    enc = tk.encode_examples(rendered_pairs(spark, d).withColumn("source", F.lit("dialogue")),
+                             dialogue_vocab(spark, d), CFG, carry=("source",))
+    plan = bat.batch_plan(enc, 1, CFG.batch_size, CFG.grad_accum, CFG.world_size, CFG.seed)
+    out = plan.select("rank", "step", "micro_step", "batch_id", "pos", "example_id",
+                      "input_ids", "attention_mask", "labels")
+    path = write_table(out.sortWithinPartitions("pos"), shared_path(spark, "shards"),
+                       partition_by="rank")
+    back = spark.read.parquet(path)
+    return back.select("rank", "step", "batch_id", "example_id",
+                       tk.ids_text("input_ids").alias("input_ids"),
+                       tk.ids_text("labels").alias("labels"))
+
+
+# ------------------------------------------------------ python-side steps
+def _render_in_pandas(pdf):
+    """X1 user function: the inst prompt and its length, computed in pandas."""
+    import pandas as pd
+    prompt = ("<s>[INST] " + pdf["instruction"] + " " + pdf["input"].fillna("") + " [/INST] ")
+    return pd.DataFrame({"example_id": pdf["example_id"], "prompt": prompt,
+                         "n_chars": prompt.str.len().astype("int64")})
+
+
+@query
+def map_rows(spark, d):
+    """A user function over rows, in Arrow batches."""
+    return udf.map_rows(pairs(spark, d), _render_in_pandas,
+                        "example_id long, prompt string, n_chars long")
+
+
+@query
+def tokenize_external(spark, d):
+    """Ids from an external (``tokenizers``) word-level tokenizer over the
+    vocabulary table, loaded once per worker from the shared folder."""
+    path = write_table(dialogue_vocab(spark, d), shared_path(spark, "tok-vocab"))
+    ex = rendered_pairs(spark, d).select("example_id",
+                                         F.concat("prompt", "answer").alias("text"))
+    out = udf.encode_external(ex, "example_id", "text",
+                              partial(udf.word_level_tokenizer_from_vocab, path))
+    return out.select("example_id", tk.ids_text("ids").alias("ids"))
+
+
+@query
+def generate_batch(spark, d):
+    """A user-supplied model over the prompt table; prompt removed by T12."""
+    p = src_role_prompts(load(spark, d, "conversations")).select(
+        "prompt_id", tpl.role_prompt("user_text").alias("prompt"))
+    g = udf.generate(p, "prompt", udf.echo_model)
+    return g.select("prompt_id", "generated",
+                    ev.strip_prompt_replace(F.col("generated"), F.col("prompt")).alias("answer"))
+
+
+# ---------------------------------------------------------------- history
+@query
+def chat_cut(spark, d):
+    """turns before the first blank user message."""
+    return hist.chat_cut(load(spark, d, "conversations")).select("conv_id", "turn", "role")
+
+
+@query
+def history_budget(spark, d):
+    """Kept history of every user turn within the token budget."""
+    h = hist.history_budget(load(spark, d, "conversations"), CFG.history_budget,
+                            with_prompt=False)
+    return h.select("conv_id", "turn", "start_turn", "n_messages", "n_tokens")
+
+
+@query
+def history_prompt(spark, d):
+    """The rendered prompt of the kept history."""
+    h = hist.history_budget(load(spark, d, "conversations"), CFG.history_budget)
+    return h.select("conv_id", "turn", "prompt")
+
+
+@query
+def history_stream(spark, d):
+    """The same history, computed by a stateful stream over the turn log."""
+    from ..streaming.history_stream import run_history_stream
+    return run_history_stream(spark, f"{d.rstrip('/')}/conversations[.]parquet",
+                              CFG.history_budget)
+
+
+# ------------------------------------------------------------- evaluation
+@query
+def strip_prompt_replace(spark, d):
+    """Prompt removed from the decoded text by replace, then strip."""
+    g = generated_pairs(spark, d)
+    return g.select("example_id",
+                    ev.strip_prompt_replace(F.col("full_text"), F.col("prompt")).alias("answer"))
+
+
+@query
+def strip_prompt_slice(spark, d):
+    """Ids after the prompt length decoded, then strip."""
+    g = generated_pairs(spark, d)
+    t = g.select("example_id", fn.tokenize("prompt").alias("_pt"),
+                 fn.tokenize("full_text").alias("_ft"))
+    t = t.select("example_id", F.size("_pt").alias("prompt_len"), "_ft")
+    enc = tk.encode_tokens(t, "example_id", "_ft", dialogue_vocab(spark, d), "ids")
+    tail = enc.select("example_id", F.slice("ids", F.col("prompt_len") + 1,
+                                            F.greatest(F.size("ids"), F.lit(1))).alias("tail"))
+    dec = tk.decode_ids(tail, "example_id", "tail", dialogue_vocab(spark, d), "answer")
+    return dec.select("example_id", fn.py_strip("answer").alias("answer"))
+
+
+def _comparison(spark, d) -> DataFrame:
+    g = generated_pairs(spark, d)
+    gen = g.select("example_id", ev.strip_prompt_replace(F.col("full_text"), F.col("prompt"))
+                   .alias("generated"))
+    return ev.compare_outputs(g.select("example_id", "prompt", "expected"), gen)
+
+
+@query
+def compare_outputs(spark, d):
+    """Expected beside generated, in example order."""
+    return _comparison(spark, d).select("example_id", "prompt", "expected", "generated")
+
+
+@query
+def exact_match(spark, d):
+    """Exact-match rate after strip."""
+    return ev.exact_match(_comparison(spark, d))
+
+
+@query
+def token_f1(spark, d):
+    """Token F1 of generated against expected, per example."""
+    return ev.token_f1(_comparison(spark, d))
+
+
+@query
+def accuracy_rollup(spark, d):
+    """Accuracy per model and benchmark, per model, overall."""
+    return ev.accuracy_rollup(eval_predictions(spark, d), eval_gold(spark, d))
+
+
+@query
+def rubric_pivot(spark, d):
+    """Mean rubric score per model and criterion."""
+    return ev.rubric_pivot(rubric_scores(spark, d))
+
+
+@query
+def win_tie_loss(spark, d):
+    """Side-by-side wins, ties and losses of model A against B."""
+    return ev.win_tie_loss(rubric_scores(spark, d), "model_a", "model_b")
+
+
+@query
+def retrieve_topk(spark, d):
+    """Five most similar passages for every query vector (vec_id < 20)."""
+    e = load(spark, d, "embeddings")
+    q = e.where(F.col("vec_id") < 20)
+    c = e.where(F.col("vec_id") >= 20)
+    r = rt.retrieve_topk(q, c, k=5)
+    return r.select("query_id", "vec_id", "sim", "rank")

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from .catalog import CFG
-from .oracle import PAIRS, RENDERED, encoded_cte, vocab_cte, with_
+from .oracle import (PAIRS, RENDERED, encoded_cte, inst_answer, inst_prompt, vocab_cte,
+                     with_)
 
 ORACLE: dict[str, str] = {}
 
@@ -38,3 +39,389 @@ SELECT example_id, array_to_string(ids, ' ') AS input_ids,
          CASE WHEN i - 1 < least(prompt_tokens, {_N}) THEN -100 ELSE x END), ' ') AS labels,
        prompt_tokens, len(ids) AS length
 FROM enc"""
+
+# ------------------------------------------------------------------ shared
+from ..config import (PREVIEW_CHARS, PREVIEW_ELLIPSIS, SPECIAL_TOKENS)  # noqa: E402
+from .catalog import MIX_PCT, SUBSET_PCT  # noqa: E402
+from .oracle import (DOCS, MCQ, MARKER_PATTERN, MCQ_NO_OPTION, alpaca_answer,  # noqa: E402
+                     alpaca_prompt, history_part, lit, role_prompt, single_turn,
+                     strip, toks)
+
+_S = CFG.seed
+ALL = "all_ex AS (SELECT * FROM pairs_x UNION ALL SELECT * FROM mcq UNION ALL SELECT * FROM docs)"
+PAIRS_X = ("pairs_x AS (SELECT source, example_id, instruction, input, output FROM pairs)")
+CHAT = "chat_ex AS (SELECT * FROM pairs_x UNION ALL SELECT * FROM mcq)"
+
+
+def md5key(*parts: str) -> str:
+    inner = " || ':' || ".join(f"CAST({p} AS VARCHAR)" for p in parts)
+    return f"md5('{_S}:' || {inner})"
+
+
+ORACLE["json_roundtrip"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + """
+SELECT source, example_id, instruction, input, output FROM chat_ex"""
+
+ORACLE["role_prompts"] = f"""
+SELECT conv_id * 1000 + turn AS prompt_id, {role_prompt('text')} AS prompt
+FROM conversations WHERE role = 'user'"""
+
+ORACLE["render_alpaca"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + f"""
+SELECT source, example_id, {alpaca_prompt('instruction', 'input')} AS prompt,
+       {alpaca_answer('output')} AS answer FROM chat_ex"""
+
+ORACLE["render_single_turn"] = f"""
+SELECT conv_id * 1000 + turn AS prompt_id, {single_turn('text')} AS prompt
+FROM conversations WHERE role = 'user'"""
+
+_SLOT = "CASE WHEN g = {i} THEN answer WHEN g > {i} THEN d{j} ELSE d{k} END"
+ORACLE["render_mcq"] = f"""
+WITH items AS (
+  SELECT item_id,
+         CASE WHEN strpos(text, '.') > 0 THEN substr(text, 1, strpos(text, '.')) ELSE text END AS question,
+         CASE WHEN strpos(text, '.') > 0 THEN {strip("substr(text, strpos(text, '.') + 1)")}
+              ELSE '' END AS answer
+  FROM benchmark),
+opt AS (
+  SELECT i.item_id, i.question, i.answer,
+         ascii(substr(md5(CAST(i.item_id AS VARCHAR)), 1, 1)) % 4 AS g,
+         coalesce(o1.answer, {lit(MCQ_NO_OPTION)}) AS d1,
+         coalesce(o2.answer, {lit(MCQ_NO_OPTION)}) AS d2,
+         coalesce(o3.answer, {lit(MCQ_NO_OPTION)}) AS d3
+  FROM items i
+  LEFT JOIN items o1 ON o1.item_id = i.item_id + 1
+  LEFT JOIN items o2 ON o2.item_id = i.item_id + 2
+  LEFT JOIN items o3 ON o3.item_id = i.item_id + 3)
+SELECT item_id,
+       'Question: ' || question || chr(10) || 'Options: A) ' || ({_SLOT.format(i=0, j=1, k=0)})
+       || ' B) ' || ({_SLOT.format(i=1, j=2, k=1)}) || ' C) ' || ({_SLOT.format(i=2, j=3, k=2)})
+       || ' D) ' || ({_SLOT.format(i=3, j=4, k=3)}) || chr(10) || 'Answer:' AS prompt,
+       ['A', 'B', 'C', 'D'][g + 1] AS gold
+FROM (SELECT *, NULL AS d0, NULL AS d4 FROM opt)"""
+
+_FIELDS = " UNION ALL ".join(
+    f"SELECT source, '{f}' AS field, {f} AS value FROM all_ex" for f in ("instruction", "input", "output"))
+ORACLE["field_profile"] = with_(PAIRS, MCQ, DOCS, PAIRS_X, ALL) + f"""
+, long AS ({_FIELDS})
+SELECT source, field, count(*) AS n_rows,
+       sum(CASE WHEN value IS NULL THEN 1 ELSE 0 END) AS n_null,
+       sum(CASE WHEN value IS NOT NULL AND length({strip('value')}) = 0 THEN 1 ELSE 0 END) AS n_blank,
+       min(length(value)) AS min_len, round(avg(length(value)), 4) AS avg_len,
+       max(length(value)) AS max_len, count(DISTINCT value) AS n_distinct
+FROM long GROUP BY source, field"""
+
+
+def _reason(c: str) -> str:
+    return (f"CASE WHEN {c} IS NULL THEN '{c}: missing' END, "
+            f"CASE WHEN {c} IS NOT NULL AND length({strip(c)}) = 0 THEN '{c}: blank' END")
+
+
+ORACLE["required_fields"] = with_(PAIRS, MCQ, DOCS, PAIRS_X, ALL) + f"""
+SELECT source, example_id, r = '' AS valid, r AS reason FROM (
+  SELECT source, example_id, concat_ws('; ', {_reason('instruction')}, {_reason('output')}) AS r
+  FROM all_ex)"""
+
+ORACLE["preview_text"] = with_(PAIRS, MCQ, DOCS, PAIRS_X, ALL) + f"""
+SELECT source, example_id,
+       concat_ws(' ', substr(input, 1, {PREVIEW_CHARS}), {lit(PREVIEW_ELLIPSIS)}) AS input_preview,
+       concat_ws(' ', substr(output, 1, {PREVIEW_CHARS}), {lit(PREVIEW_ELLIPSIS)}) AS output_preview
+FROM all_ex"""
+
+
+def _clean(x: str) -> str:
+    x = f"regexp_replace({x}, '\\r\\n?', chr(10), 'g')"
+    x = f"regexp_replace({x}, '[\\x{{0}}-\\x{{8}}\\x{{B}}\\x{{C}}\\x{{E}}-\\x{{1F}}\\x{{7F}}]', '', 'g')"
+    x = f"regexp_replace({x}, '[\\t \\x{{A0}}\\x{{3000}}]+', ' ', 'g')"
+    x = f"regexp_replace({x}, ' ?\\n ?', chr(10), 'g')"
+    x = f"regexp_replace({x}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
+    return strip(x)
+
+
+ORACLE["clean_text"] = f"""
+SELECT doc_id, {_clean('text')} AS cleaned, length(text) AS chars_before,
+       length({_clean('text')}) AS chars_after FROM documents"""
+
+ORACLE["strip_text"] = f"""
+SELECT doc_id, {strip('text')} AS stripped, length(text) - length({strip('text')}) AS removed
+FROM documents"""
+
+_MK = lit(MARKER_PATTERN)
+ORACLE["special_token_guard"] = with_(DOCS) + f"""
+SELECT example_id,
+       coalesce(regexp_matches(instruction, {_MK}), false) OR coalesce(regexp_matches(input, {_MK}), false)
+         OR coalesce(regexp_matches(output, {_MK}), false) AS had_marker,
+       regexp_replace(input, {_MK}, '', 'g') AS input, regexp_replace(output, {_MK}, '', 'g') AS output
+FROM docs"""
+
+ORACLE["filter_rows"] = with_(DOCS) + """
+SELECT d.example_id, l.quality, l.toxic, length(d.input) AS n_in, length(d.output) AS n_out
+FROM docs d JOIN labels l ON l.doc_id = d.example_id
+WHERE l.quality = 1 AND l.toxic = 0 AND length(d.output) >= 1 AND length(d.output) <= 20000
+  AND length(d.output) <= 50.0 * greatest(length(d.input), 1)"""
+
+
+def _subset(src: str, pct: float) -> str:
+    return f"""(SELECT * FROM (
+  SELECT *, row_number() OVER (PARTITION BY source ORDER BY {md5key('example_id')}, example_id) - 1 AS idx,
+         count(*) OVER (PARTITION BY source) AS group_n FROM {src})
+  WHERE {'true' if pct >= 100 else f'idx < floor(group_n * CAST({pct} AS DOUBLE) / 100.0)'})"""
+
+
+ORACLE["subset_pct"] = with_(PAIRS, MCQ, DOCS, PAIRS_X, ALL) + f"""
+SELECT source, example_id, idx FROM {_subset('all_ex', SUBSET_PCT)}"""
+
+ORACLE["mix_sources"] = with_(PAIRS, MCQ, PAIRS_X) + f"""
+, mixed AS (SELECT source, example_id FROM {_subset('pairs_x', MIX_PCT)}
+            UNION ALL SELECT source, example_id FROM {_subset('mcq', MIX_PCT)})
+SELECT row_number() OVER (ORDER BY {md5key('source', 'example_id')}, example_id) - 1 AS pos,
+       source, example_id FROM mixed"""
+
+ORACLE["mix_lenient"] = with_(PAIRS, MCQ, PAIRS_X) + """
+SELECT 0 AS source_rank, source, example_id, instruction, coalesce(input, '') AS input, output FROM pairs_x
+UNION ALL
+SELECT 1, source, example_id, instruction, '', output FROM mcq"""
+
+ORACLE["shuffle_index"] = with_(PAIRS, MCQ, DOCS, PAIRS_X, ALL) + f"""
+SELECT row_number() OVER (ORDER BY {md5key('source', 'example_id')}, example_id) - 1 AS pos,
+       source, example_id FROM all_ex"""
+
+ORACLE["prompt_len_variants"] = with_(PAIRS, RENDERED, _V) + f"""
+, p AS (SELECT example_id, {toks('prompt')} AS pt FROM rendered)
+SELECT example_id, least(len(pt), {_N}) AS prompt_len_padded, least(len(pt), {_N}) AS prompt_len_trunc,
+       len(pt) AS prompt_len_full FROM p"""
+
+ORACLE["token_profile"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + f"""
+, r AS (SELECT source, {inst_prompt('instruction', 'input')} AS prompt, {inst_answer('output')} AS answer
+        FROM chat_ex),
+c AS (SELECT source, len({toks('prompt')}) AS prompt_tokens,
+             len({toks('prompt')}) + len({toks('answer')}) AS n_tokens FROM r)
+SELECT source, count(*) AS n_rows, quantile_cont(n_tokens, 0.5) AS p50_tokens,
+       quantile_cont(n_tokens, 0.9) AS p90_tokens, max(n_tokens) AS max_tokens,
+       round(avg(CASE WHEN n_tokens > {_N} THEN 1.0 ELSE 0.0 END), 6) AS share_truncated,
+       round(avg(CASE WHEN prompt_tokens >= {_N} THEN 1.0 ELSE 0.0 END), 6) AS share_all_masked,
+       CAST(sum(greatest(least(n_tokens, {_N}) - least(prompt_tokens, {_N}), 0)) AS BIGINT) AS loss_tokens
+FROM c GROUP BY source"""
+
+_NSP = len(SPECIAL_TOKENS)
+ORACLE["token_view"] = with_(PAIRS, RENDERED, _V, _E) + f"""
+, padded AS (
+  SELECT example_id, len(ids) AS k, least(prompt_tokens, {_N}) AS prompt_len,
+         list_resize(ids, {_N}, 0) AS input_ids FROM enc),
+lab AS (
+  SELECT example_id, k, prompt_len, input_ids,
+         list_transform(range({_N}), lambda i: CASE WHEN i < k THEN 1 ELSE 0 END) AS mask,
+         list_transform(input_ids, lambda x, i: CASE WHEN i - 1 < prompt_len OR i - 1 >= k
+                        THEN -100 ELSE x END) AS labels FROM padded),
+x AS (SELECT e.example_id, unnest(e.ids) AS id, generate_subscripts(e.ids, 1) - 1 AS pos FROM enc e),
+dec AS (
+  SELECT x.example_id, x.pos, x.id, coalesce(v.token, '<unk>') AS token
+  FROM x LEFT JOIN vocab v ON CAST(v.id AS BIGINT) = x.id),
+txt AS (
+  SELECT l.example_id,
+         coalesce(string_agg(d.token, ' ' ORDER BY d.pos) FILTER (WHERE d.id >= {_NSP} AND d.pos < l.prompt_len), '') AS prompt_text,
+         coalesce(string_agg(d.token, ' ' ORDER BY d.pos) FILTER (WHERE d.id >= {_NSP} AND d.pos >= l.prompt_len
+                  AND d.pos < l.prompt_len + 20), '') AS next_text
+  FROM lab l LEFT JOIN dec d USING (example_id) GROUP BY l.example_id)
+SELECT l.example_id, l.prompt_len, array_to_string(l.input_ids[1:50], ' ') AS ids_50,
+       array_to_string(l.mask[1:50], ' ') AS mask_50, array_to_string(l.labels[1:50], ' ') AS labels_50,
+       t.prompt_text, t.next_text
+FROM lab l JOIN txt t USING (example_id)"""
+
+ORACLE["decode_tokens"] = with_(PAIRS, RENDERED, _V, _E) + f"""
+, x AS (SELECT e.example_id, unnest(e.ids) AS id, generate_subscripts(e.ids, 1) AS pos FROM enc e),
+dec AS (SELECT x.example_id, x.pos, x.id, coalesce(v.token, '<unk>') AS token
+        FROM x LEFT JOIN vocab v ON CAST(v.id AS BIGINT) = x.id)
+SELECT e.example_id,
+       coalesce(string_agg(d.token, ' ' ORDER BY d.pos) FILTER (WHERE d.id >= {_NSP}), '') AS text,
+       coalesce(string_agg(d.token, ' ' ORDER BY d.pos), '') AS text_all
+FROM enc e LEFT JOIN dec d USING (example_id) GROUP BY e.example_id"""
+
+
+def _plan(src: str, epochs: int, bsz: int, accum: int, world: int) -> str:
+    return f"""(SELECT *, pos % {world} AS rank,
+        (pos // {world}) // {bsz} // {accum} AS step,
+        ((pos // {world}) // {bsz}) % {accum} AS micro_step,
+        ((pos // {world}) // {bsz}) * {world} + pos % {world} AS batch_id
+  FROM (SELECT s.*, e.epoch,
+          row_number() OVER (PARTITION BY e.epoch ORDER BY {md5key('e.epoch', 's.source', 's.example_id')},
+                             s.example_id) - 1 AS pos
+        FROM {src} s, range({epochs}) e(epoch)))"""
+
+
+ORACLE["batch_plan"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + f"""
+SELECT CAST(epoch AS INTEGER) AS epoch, source, example_id, pos, step, micro_step, batch_id
+FROM {_plan('chat_ex', CFG.epochs, CFG.batch_size, CFG.grad_accum, 1)}"""
+
+ORACLE["batch_plan_ranks"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + f"""
+SELECT CAST(epoch AS INTEGER) AS epoch, source, example_id, pos, rank, step, micro_step, batch_id
+FROM {_plan('chat_ex', CFG.epochs, CFG.batch_size, CFG.grad_accum, CFG.world_size)}"""
+
+ORACLE["batch_padding"] = with_(PAIRS, RENDERED, _V, _E) + f"""
+, src AS (SELECT 'dialogue' AS source, example_id, ids, prompt_tokens FROM enc),
+pl AS {_plan('src', 1, CFG.batch_size, CFG.grad_accum, 1)},
+b AS (SELECT *, max(len(ids)) OVER (PARTITION BY epoch, batch_id) AS batch_len FROM pl)
+SELECT batch_id, example_id, batch_len,
+       array_to_string(list_resize(ids, batch_len, 0), ' ') AS input_ids,
+       array_to_string(list_transform(range(batch_len), lambda i: CASE WHEN i < len(ids) THEN 1 ELSE 0 END), ' ')
+         AS attention_mask,
+       array_to_string(list_transform(range(batch_len), lambda i:
+         CASE WHEN i >= len(ids) OR i < least(prompt_tokens, {_N}) THEN -100 ELSE ids[i + 1] END), ' ') AS labels
+FROM b"""
+
+_EFF = CFG.batch_size * CFG.grad_accum * CFG.world_size
+ORACLE["plan_totals"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + f"""
+, r AS (SELECT source, {inst_prompt('instruction', 'input')} AS prompt, {inst_answer('output')} AS answer
+        FROM chat_ex),
+c AS (SELECT source, least(len({toks('prompt')}) + len({toks('answer')}), {_N}) AS length FROM r),
+t AS (SELECT source, count(*) AS n_rows, sum(length) AS real_tokens FROM c GROUP BY source
+      UNION ALL SELECT 'all', count(*), sum(length) FROM c)
+SELECT source, n_rows, {_EFF} AS effective_batch,
+       CAST(ceil(n_rows / {_EFF}) AS BIGINT) AS steps_per_epoch,
+       CAST(ceil(n_rows / {_EFF}) AS BIGINT) * {CFG.epochs} AS total_steps,
+       real_tokens * {CFG.epochs} AS real_tokens, n_rows * {_N} * {CFG.epochs} AS padded_tokens
+FROM t"""
+
+ORACLE["vocab_roundtrip"] = ORACLE["vocab"]
+
+ORACLE["shard_roundtrip"] = with_(PAIRS, RENDERED, _V, _E) + f"""
+, src AS (SELECT 'dialogue' AS source, example_id, ids, prompt_tokens FROM enc),
+pl AS {_plan('src', 1, CFG.batch_size, CFG.grad_accum, CFG.world_size)}
+SELECT CAST(rank AS INTEGER) AS rank, step, batch_id, example_id,
+       array_to_string(list_resize(ids, {_N}, 0), ' ') AS input_ids,
+       array_to_string(list_transform(list_resize(ids, {_N}, 0), lambda x, i:
+         CASE WHEN i - 1 < least(prompt_tokens, {_N}) OR i - 1 >= len(ids) THEN -100 ELSE x END), ' ') AS labels
+FROM pl"""
+
+ORACLE["map_rows"] = with_(PAIRS) + f"""
+SELECT example_id, {inst_prompt('instruction', 'input')} AS prompt,
+       length({inst_prompt('instruction', 'input')}) AS n_chars FROM pairs"""
+
+ORACLE["tokenize_external"] = with_(PAIRS, RENDERED, _V, encoded_cte(10 ** 9)) + """
+SELECT example_id, array_to_string(ids, ' ') AS ids FROM enc"""
+
+ORACLE["generate_batch"] = f"""
+WITH p AS (SELECT conv_id * 1000 + turn AS prompt_id, {role_prompt('text')} AS prompt
+           FROM conversations WHERE role = 'user'),
+g AS (SELECT prompt_id, prompt, prompt || 'Noted ' || length(prompt) || ' characters.' AS generated FROM p)
+SELECT prompt_id, generated, {strip("replace(generated, prompt, '')")} AS answer FROM g"""
+
+_CUT = f"""
+cut AS (SELECT conv_id, min(turn) AS c FROM conversations
+        WHERE role = 'user' AND length({strip('text')}) = 0 GROUP BY conv_id),
+kept AS (SELECT t.* FROM conversations t LEFT JOIN cut USING (conv_id) WHERE cut.c IS NULL OR t.turn < cut.c)"""
+
+ORACLE["chat_cut"] = with_(_CUT) + """
+SELECT conv_id, turn, role FROM kept"""
+
+_B = CFG.history_budget
+_HIST = f"""
+m AS (SELECT conv_id, turn, role, {history_part('role', 'text')} AS part FROM kept),
+mn AS (SELECT *, CAST(len({toks('part')}) AS BIGINT) AS n FROM m),
+mc AS (SELECT *, sum(n) OVER (PARTITION BY conv_id ORDER BY turn) AS c FROM mn),
+pairs_h AS (
+  SELECT u.conv_id, u.turn AS u, h.turn AS h, h.n, h.part
+  FROM mc u JOIN mc h ON h.conv_id = u.conv_id AND h.turn <= u.turn
+  WHERE u.role = 'user' AND (u.c - (h.c - h.n) <= {_B} OR h.turn = u.turn))"""
+
+ORACLE["history_budget"] = with_(_CUT, _HIST) + """
+SELECT conv_id, u AS turn, min(h) AS start_turn, count(*) AS n_messages, sum(n) AS n_tokens
+FROM pairs_h GROUP BY conv_id, u"""
+
+ORACLE["history_prompt"] = with_(_CUT, _HIST) + """
+SELECT conv_id, u AS turn, string_agg(part, '' ORDER BY h) AS prompt
+FROM pairs_h GROUP BY conv_id, u"""
+
+_GEN = f"""
+gen AS (
+  SELECT example_id, {inst_prompt('instruction', 'input')} AS prompt, output AS expected,
+         {inst_prompt('instruction', 'input')} || CASE WHEN example_id % 3 = 0
+           THEN regexp_replace(output, '[.!?]', '', 'g') ELSE output END AS full_text
+  FROM pairs)"""
+
+ORACLE["strip_prompt_replace"] = with_(PAIRS, _GEN) + f"""
+SELECT example_id, {strip("replace(full_text, prompt, '')")} AS answer FROM gen"""
+
+ORACLE["strip_prompt_slice"] = with_(PAIRS, RENDERED, _V, _GEN) + f"""
+, t AS (SELECT example_id, len({toks('prompt')}) AS pl, {toks('full_text')} AS ft FROM gen),
+x AS (SELECT example_id, pl, unnest(ft) AS token, generate_subscripts(ft, 1) AS pos FROM t),
+d AS (SELECT x.example_id, x.pos, x.pl, coalesce(v.id, 1) AS id, coalesce(v.token, '<unk>') AS tok
+      FROM x LEFT JOIN vocab v USING (token))
+SELECT t.example_id,
+       {strip("coalesce(string_agg(d.tok, ' ' ORDER BY d.pos) FILTER (WHERE d.pos > d.pl AND d.id >= " + str(_NSP) + "), '')")} AS answer
+FROM t LEFT JOIN d USING (example_id) GROUP BY t.example_id"""
+
+_CMP = f"""
+cmp AS (SELECT example_id, prompt, expected, {strip("replace(full_text, prompt, '')")} AS generated FROM gen)"""
+
+ORACLE["compare_outputs"] = with_(PAIRS, _GEN, _CMP) + """
+SELECT example_id, prompt, expected, generated FROM cmp"""
+
+ORACLE["exact_match"] = with_(PAIRS, _GEN, _CMP) + f"""
+SELECT count(*) AS n_rows,
+       sum(CASE WHEN {strip('generated')} = {strip('expected')} THEN 1 ELSE 0 END) AS n_exact,
+       round(avg(CASE WHEN {strip('generated')} = {strip('expected')} THEN 1.0 ELSE 0.0 END), 6) AS exact_rate
+FROM cmp"""
+
+ORACLE["token_f1"] = with_(PAIRS, _GEN, _CMP) + f"""
+, tk AS (SELECT example_id, {toks("coalesce(generated, '')")} AS p, {toks("coalesce(expected, '')")} AS g FROM cmp),
+cp AS (SELECT example_id, t, count(*) AS c FROM (SELECT example_id, unnest(p) AS t FROM tk) GROUP BY ALL),
+cg AS (SELECT example_id, t, count(*) AS c FROM (SELECT example_id, unnest(g) AS t FROM tk) GROUP BY ALL),
+ov AS (SELECT cp.example_id, sum(least(cp.c, cg.c)) AS overlap FROM cp JOIN cg USING (example_id, t) GROUP BY ALL),
+s AS (SELECT tk.example_id, len(p) AS np, len(g) AS ng, CAST(coalesce(ov.overlap, 0) AS BIGINT) AS overlap
+      FROM tk LEFT JOIN ov USING (example_id))
+SELECT example_id, np, ng, overlap,
+       round(CASE WHEN np = 0 AND ng = 0 THEN 1.0 WHEN np = 0 OR ng = 0 OR overlap = 0 THEN 0.0
+             ELSE 2.0 * (overlap / np) * (overlap / ng) / ((overlap / np) + (overlap / ng)) END, 6) AS f1
+FROM s"""
+
+_PRED = """
+preds AS (
+  SELECT 'model_a' AS model, lang AS benchmark, doc_id AS item_id,
+         CASE WHEN n_chars >= 1000 THEN 1 ELSE 0 END AS predicted FROM documents
+  UNION ALL
+  SELECT 'model_b', lang, doc_id, CASE WHEN n_chars % 3 <> 0 THEN 1 ELSE 0 END FROM documents),
+gold AS (SELECT l.doc_id AS item_id, d.lang AS benchmark, l.quality AS gold
+         FROM labels l JOIN documents d ON d.doc_id = l.doc_id)"""
+
+ORACLE["accuracy_rollup"] = with_(_PRED) + """
+SELECT model, benchmark, count(*) AS n_items,
+       CAST(sum(CASE WHEN predicted = gold THEN 1.0 ELSE 0.0 END) AS BIGINT) AS n_correct,
+       round(avg(CASE WHEN predicted = gold THEN 1.0 ELSE 0.0 END), 6) AS accuracy
+FROM preds JOIN gold USING (benchmark, item_id)
+GROUP BY ROLLUP (model, benchmark)"""
+
+_SCORES = """
+scores AS (
+  SELECT 'model_a' AS model, lang AS benchmark, doc_id AS prompt_id, 'coherence' AS criterion,
+         CAST(1 + n_chars % 5 AS DOUBLE) AS score FROM documents
+  UNION ALL SELECT 'model_a', lang, doc_id, 'empathy', 1 + doc_id % 5 FROM documents
+  UNION ALL SELECT 'model_a', lang, doc_id, 'factuality', 1 + (n_chars % 7) % 5 FROM documents
+  UNION ALL SELECT 'model_b', lang, doc_id, 'coherence', 1 + (n_chars + 2) % 5 FROM documents
+  UNION ALL SELECT 'model_b', lang, doc_id, 'empathy', 1 + (doc_id + 1) % 5 FROM documents
+  UNION ALL SELECT 'model_b', lang, doc_id, 'factuality', 1 + (n_chars % 11) % 5 FROM documents)"""
+
+ORACLE["rubric_pivot"] = with_(_SCORES) + """
+SELECT model,
+       round(avg(score) FILTER (WHERE criterion = 'coherence'), 6) AS coherence,
+       round(avg(score) FILTER (WHERE criterion = 'empathy'), 6) AS empathy,
+       round(avg(score) FILTER (WHERE criterion = 'factuality'), 6) AS factuality
+FROM scores GROUP BY model"""
+
+ORACLE["win_tie_loss"] = with_(_SCORES) + """
+, per AS (SELECT benchmark, prompt_id,
+                 sum(score) FILTER (WHERE model = 'model_a') AS sa,
+                 sum(score) FILTER (WHERE model = 'model_b') AS sb
+          FROM scores GROUP BY benchmark, prompt_id)
+SELECT benchmark, sum(CASE WHEN sa > sb THEN 1 ELSE 0 END) AS wins,
+       sum(CASE WHEN sa = sb THEN 1 ELSE 0 END) AS ties,
+       sum(CASE WHEN sa < sb THEN 1 ELSE 0 END) AS losses
+FROM per WHERE sa IS NOT NULL AND sb IS NOT NULL GROUP BY benchmark"""
+
+ORACLE["retrieve_topk"] = """
+WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS qv FROM embeddings WHERE vec_id < 20),
+c AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id >= 20),
+s AS (SELECT q.query_id, c.vec_id,
+             round(list_dot_product(q.qv, c.v) / (sqrt(list_dot_product(q.qv, q.qv)) * sqrt(list_dot_product(c.v, c.v))), 6) AS sim
+      FROM q, c)
+SELECT query_id, vec_id, sim, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, vec_id) AS rank FROM s)
+WHERE rank <= 5"""
