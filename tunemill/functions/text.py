@@ -6,7 +6,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from ..config import (MARKER_PATTERN, PREVIEW_CHARS, PREVIEW_ELLIPSIS,
-                      STRIP_PATTERN, TOKEN_PATTERN, WS_CLASS)
+                      TOKEN_PATTERN, WS_CHARS, WS_CLASS)
+
+
+CONTROL_CHARS = r"[\x{0}-\x{8}\x{B}\x{C}\x{E}-\x{1F}\x{7F}]"
+# a run of blanks that is not a single plain space
+BLANK_RUN = r"[\t\x{A0}\x{3000}][\t \x{A0}\x{3000}]*| [\t \x{A0}\x{3000}]+"
+# a line break with a space on either side
+SPACED_BREAK = r" \n ?|\n "
 
 
 def _c(x) -> Column:
@@ -16,9 +23,11 @@ def _c(x) -> Column:
 def py_strip(col) -> Column:
     """``str.strip()``: removes every Python whitespace code point at both ends.
 
-    ``F.trim`` removes spaces only, so the whitespace class is spelled out.
+    ``F.trim`` removes spaces only, so the whitespace set is spelled out and
+    trimmed as a character set: only the trimmed ends are touched, no regex
+    scan over the whole text.
     """
-    return F.regexp_replace(_c(col), STRIP_PATTERN, "")
+    return F.btrim(_c(col), F.lit(WS_CHARS))
 
 
 def tokenize(col) -> Column:
@@ -29,11 +38,13 @@ def tokenize(col) -> Column:
 def clean_text(col) -> Column:
     """Formatting clean-up: control characters out, runs of blanks folded,
     spaces around line breaks and runs of blank lines removed, then strip."""
+    # Every pattern matches only where the text changes (a lone space or a
+    # bare line break is left alone), so clean text is scanned, not rebuilt.
     x = _c(col)
     x = F.regexp_replace(x, r"\r\n?", "\n")
-    x = F.regexp_replace(x, r"[\x{0}-\x{8}\x{B}\x{C}\x{E}-\x{1F}\x{7F}]", "")
-    x = F.regexp_replace(x, r"[\t \x{A0}\x{3000}]+", " ")
-    x = F.regexp_replace(x, r" ?\n ?", "\n")
+    x = F.regexp_replace(x, CONTROL_CHARS, "")
+    x = F.regexp_replace(x, BLANK_RUN, " ")
+    x = F.regexp_replace(x, SPACED_BREAK, "\n")
     x = F.regexp_replace(x, r"\n{3,}", "\n\n")
     return py_strip(x)
 

@@ -230,18 +230,16 @@ def preview_text(spark, d):
 def clean_text(spark, d):
     """formatting clean-up of the document texts."""
     t = load(spark, d, "documents")
-    c = fn.clean_text("text")
-    return t.select("doc_id", c.alias("cleaned"), F.length("text").alias("chars_before"),
-                    F.length(c).alias("chars_after"))
+    c = t.select("doc_id", fn.clean_text("text").alias("cleaned"),
+                 F.length("text").alias("chars_before"))
+    return c.select("doc_id", "cleaned", "chars_before", F.length("cleaned").alias("chars_after"))
 
 
 @query
 def strip_text(spark, d):
     """Python-style strip of the document texts."""
-    t = load(spark, d, "documents")
-    s = fn.py_strip("text")
-    return t.select("doc_id", s.alias("stripped"),
-                    (F.length("text") - F.length(s)).alias("removed"))
+    t = load(spark, d, "documents").select("doc_id", "text", fn.py_strip("text").alias("stripped"))
+    return t.select("doc_id", "stripped", (F.length("text") - F.length("stripped")).alias("removed"))
 
 
 @query

@@ -128,10 +128,11 @@ FROM all_ex"""
 
 
 def _clean(x: str) -> str:
+    from ..functions.text import BLANK_RUN, CONTROL_CHARS, SPACED_BREAK
     x = f"regexp_replace({x}, '\\r\\n?', chr(10), 'g')"
-    x = f"regexp_replace({x}, '[\\x{{0}}-\\x{{8}}\\x{{B}}\\x{{C}}\\x{{E}}-\\x{{1F}}\\x{{7F}}]', '', 'g')"
-    x = f"regexp_replace({x}, '[\\t \\x{{A0}}\\x{{3000}}]+', ' ', 'g')"
-    x = f"regexp_replace({x}, ' ?\\n ?', chr(10), 'g')"
+    x = f"regexp_replace({x}, {lit(CONTROL_CHARS)}, '', 'g')"
+    x = f"regexp_replace({x}, {lit(BLANK_RUN)}, ' ', 'g')"
+    x = f"regexp_replace({x}, {lit(SPACED_BREAK)}, chr(10), 'g')"
     x = f"regexp_replace({x}, '\\n{{3,}}', chr(10) || chr(10), 'g')"
     return strip(x)
 

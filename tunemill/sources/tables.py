@@ -8,6 +8,24 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations")
 
+# Below this size a table is not worth an extra exchange.
+MIN_SPREAD_BYTES = 4 << 20
+
 
 def load(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    """Reads ``<data_dir>/<name>.parquet``.
+
+    A scan is split by files and row groups. When a table of some size comes
+    as fewer splits than the cluster has cores (one large row group, say), the
+    rows are spread round-robin so CPU-heavy text work does not run in a single
+    task. A large table has far more splits than cores and is left untouched,
+    so at scale this adds no shuffle.
+    """
+    df = spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    jdf = df._jdf
+    if jdf.rdd().getNumPartitions() < cores:
+        size = int(str(jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        if size >= MIN_SPREAD_BYTES:
+            df = df.repartition(cores)
+    return df
