@@ -17,21 +17,20 @@ def read_instruction_json(spark: SparkSession, paths, multiline: bool = False,
     """Instruction records from one or more JSON files.
 
     ``multiline=True`` reads files holding one JSON array each; otherwise JSON
-    Lines. The schema is fixed (no inference pass over the data); records that
-    do not parse land in ``_corrupt_record``; ``source_file`` keeps provenance.
+    Lines. The schema is fixed (no inference pass over the data). Records that
+    do not parse are dropped, or kept with their raw text in ``_corrupt_record``
+    when ``keep_corrupt``; ``source_file`` keeps provenance.
     """
     if isinstance(paths, str):
         paths = [paths]
-    full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
-    df = (spark.read.schema(full)
-          .option("multiLine", multiline)
-          .option("mode", "PERMISSIVE")
-          .option("columnNameOfCorruptRecord", CORRUPT)
-          .json(list(paths))
-          .withColumn("source_file", F.input_file_name()))
-    if not keep_corrupt:
-        df = df.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    return df
+    reader = spark.read.option("multiLine", multiline)
+    if keep_corrupt:
+        full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
+        reader = (reader.schema(full).option("mode", "PERMISSIVE")
+                  .option("columnNameOfCorruptRecord", CORRUPT))
+    else:  # the parser drops what does not parse; counts stay correct
+        reader = reader.schema(schema).option("mode", "DROPMALFORMED")
+    return reader.json(list(paths)).withColumn("source_file", F.input_file_name())
 
 
 def write_instruction_json(df: DataFrame, path: str) -> str:
