@@ -260,6 +260,7 @@ def filter_rows(spark, d):
 # ----------------------------------------------------- sampling and mixing
 SUBSET_PCT = 33.3
 MIX_PCT = 50.0
+TRAIN_PCT = 50.0
 
 
 @query
@@ -549,3 +550,16 @@ def retrieve_topk(spark, d):
     c = e.where(F.col("vec_id") >= 20)
     r = rt.retrieve_topk(q, c, k=5)
     return r.select("query_id", "vec_id", "sim", "rank")
+
+
+@query
+def training_set(spark, d):
+    """The whole flow: validate, exact 50 % of each source, mix, render,
+    vocabulary (saved), encode and mask, batch plan, per-rank shards."""
+    from .training_set import build_training_set
+    cfg = CFG.with_(train_pct=TRAIN_PCT)
+    ts = build_training_set(spark, [pairs(spark, d), mcq(spark, d)], cfg)
+    back = spark.read.parquet(ts.shards_path)
+    return back.select("epoch", "rank", "step", "micro_step", "batch_id", "pos", "source",
+                       "example_id", tk.ids_text("input_ids").alias("input_ids"),
+                       tk.ids_text("labels").alias("labels"), "prompt_len", "length")

@@ -426,3 +426,27 @@ s AS (SELECT q.query_id, c.vec_id,
 SELECT query_id, vec_id, sim, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, vec_id) AS rank FROM s)
 WHERE rank <= 5"""
+
+from .catalog import TRAIN_PCT  # noqa: E402
+
+_VALID = f"""
+valid AS (SELECT * FROM chat_ex
+          WHERE instruction IS NOT NULL AND length({strip('instruction')}) > 0
+            AND output IS NOT NULL AND length({strip('output')}) > 0)"""
+_TRAIN = f"""
+sub AS {_subset('valid', TRAIN_PCT)},
+rtrain AS (SELECT source, example_id, source || ':' || CAST(example_id AS VARCHAR) AS uid,
+                  {inst_prompt('instruction', 'input')} AS prompt, {inst_answer('output')} AS answer
+           FROM sub)"""
+ORACLE["training_set"] = with_(PAIRS, MCQ, PAIRS_X, CHAT, _VALID, _TRAIN,
+                               vocab_cte(CFG.vocab_size, texts="rtrain"),
+                               encoded_cte(CFG.max_len, src="rtrain", key="uid")) + f"""
+, src AS (SELECT r.source, r.example_id, e.ids, e.prompt_tokens FROM enc e JOIN rtrain r USING (uid)),
+pl AS {_plan('src', CFG.epochs, CFG.batch_size, CFG.grad_accum, CFG.world_size)}
+SELECT CAST(epoch AS INTEGER) AS epoch, CAST(rank AS INTEGER) AS rank, step,
+       CAST(micro_step AS INTEGER) AS micro_step, batch_id, pos, source, example_id,
+       array_to_string(list_resize(ids, {_N}, 0), ' ') AS input_ids,
+       array_to_string(list_transform(list_resize(ids, {_N}, 0), lambda x, i:
+         CASE WHEN i - 1 < least(prompt_tokens, {_N}) OR i - 1 >= len(ids) THEN -100 ELSE x END), ' ') AS labels,
+       least(prompt_tokens, {_N}) AS prompt_len, len(ids) AS length
+FROM pl"""
