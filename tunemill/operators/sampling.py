@@ -33,6 +33,8 @@ def global_index(df: DataFrame, order_key: Column, tie: str, group=(), prefix_he
     """
     group = list(group)
     d = df.withColumn("_ok", order_key).withColumn("_bk", F.substring("_ok", 1, prefix_hex))
+    # Counting pass: reads only the key columns (pruned) and pre-aggregates
+    # map-side, so its shuffle carries at most 16**p rows per task.
     counts = d.groupBy(*group, "_bk").agg(F.count(F.lit(1)).alias("_bn"))
     before = Window.partitionBy(*group).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)

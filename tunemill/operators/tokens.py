@@ -59,11 +59,12 @@ def encode_tokens(df: DataFrame, key: str, tokens_col: str, vocab: DataFrame,
     others = [c for c in df.columns if c != tokens_col]
     if prepartition:
         df = df.repartition(key)
-    exploded = df.select(*others, F.posexplode_outer(tokens_col).alias("pos", "token"))
-    looked = exploded.join(F.broadcast(vocab.select("token", "id")), "token", "left")
-    item = F.when(F.col("pos").isNotNull(),
-                  F.struct(F.col("pos"), F.coalesce(F.col("id"), F.lit(unk_id)).cast("long")
-                           .alias("id")))
+    exploded = df.select(*others, F.posexplode_outer(tokens_col).alias("_pos", "_token"))
+    v = vocab.select(F.col("token").alias("_token"), F.col("id").alias("_id"))
+    looked = exploded.join(F.broadcast(v), "_token", "left")
+    item = F.when(F.col("_pos").isNotNull(),
+                  F.struct(F.col("_pos").alias("pos"),
+                           F.coalesce(F.col("_id"), F.lit(unk_id)).cast("long").alias("id")))
     regrouped = looked.groupBy(*others).agg(F.sort_array(F.collect_list(item)).alias("_p"))
     return regrouped.select(*others, F.transform("_p", lambda x: x["id"]).alias(out_col))
 
@@ -156,11 +157,12 @@ def decode_parts(df: DataFrame, key: str, ids_col: str, vocab: DataFrame,
     others = [c for c in df.columns if c != ids_col]
     if prepartition:
         df = df.repartition(key)
-    ex = df.select(*others, F.posexplode_outer(ids_col).alias("pos", "id"))
-    v = vocab.select(F.col("id").cast("long").alias("id"), "token")
-    looked = ex.join(F.broadcast(v), "id", "left")
-    tok = F.coalesce(F.col("token"), F.lit(SPECIAL_TOKENS[UNK_TOKEN_ID]))
-    item = F.when(F.col("pos").isNotNull(), F.struct("pos", "id", tok.alias("token")))
+    ex = df.select(*others, F.posexplode_outer(ids_col).alias("_pos", "_id"))
+    v = vocab.select(F.col("id").cast("long").alias("_id"), F.col("token").alias("_token"))
+    looked = ex.join(F.broadcast(v), "_id", "left")
+    tok = F.coalesce(F.col("_token"), F.lit(SPECIAL_TOKENS[UNK_TOKEN_ID]))
+    item = F.when(F.col("_pos").isNotNull(),
+                  F.struct(F.col("_pos").alias("pos"), F.col("_id").alias("id"), tok.alias("token")))
     return looked.groupBy(*others).agg(F.sort_array(F.collect_list(item)).alias("_dec"))
 
 

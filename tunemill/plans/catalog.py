@@ -367,10 +367,13 @@ def batch_plan_ranks(spark, d):
 @query
 def batch_padding(spark, d):
     """Ragged rows padded to the longest row of their batch."""
-    enc = tk.encode_examples(rendered_pairs(spark, d).withColumn("source", F.lit("dialogue")),
-                             dialogue_vocab(spark, d), CFG, pad=False, carry=("source",))
-    plan = bat.batch_plan(enc, 1, CFG.batch_size, CFG.grad_accum, 1, CFG.seed)
-    padded = bat.pad_to_batch(plan, CFG.effective_pad_id)
+    # plan on the light rendered rows (the index makes two passes over its
+    # input), then one encode that carries the plan columns
+    ex = rendered_pairs(spark, d).withColumn("source", F.lit("dialogue"))
+    plan = bat.batch_plan(ex, 1, CFG.batch_size, CFG.grad_accum, 1, CFG.seed)
+    enc = tk.encode_examples(plan, dialogue_vocab(spark, d), CFG, pad=False,
+                             carry=("source", "epoch", "batch_id"))
+    padded = bat.pad_to_batch(enc, CFG.effective_pad_id)
     return padded.select("batch_id", "example_id", "batch_len",
                          tk.ids_text("input_ids").alias("input_ids"),
                          tk.ids_text("attention_mask").alias("attention_mask"),
@@ -395,9 +398,11 @@ def vocab_roundtrip(spark, d):
 @query
 def shard_roundtrip(spark, d):
     """Encoded rows written in batch order as per-rank shards, read back."""
-    enc = tk.encode_examples(rendered_pairs(spark, d).withColumn("source", F.lit("dialogue")),
-                             dialogue_vocab(spark, d), CFG, carry=("source",))
-    plan = bat.batch_plan(enc, 1, CFG.batch_size, CFG.grad_accum, CFG.world_size, CFG.seed)
+    ex = rendered_pairs(spark, d).withColumn("source", F.lit("dialogue"))
+    plan = bat.batch_plan(ex, 1, CFG.batch_size, CFG.grad_accum, CFG.world_size, CFG.seed)
+    plan = tk.encode_examples(
+        plan, dialogue_vocab(spark, d), CFG,
+        carry=("source", "rank", "step", "micro_step", "batch_id", "pos"))
     out = plan.select("rank", "step", "micro_step", "batch_id", "pos", "example_id",
                       "input_ids", "attention_mask", "labels")
     path = write_table(out.sortWithinPartitions("pos"), shared_path(spark, "shards"),

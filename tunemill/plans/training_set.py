@@ -57,8 +57,13 @@ def build_training_set(spark: SparkSession, sources: list[DataFrame], cfg: SftCo
     vocab = spark.read.parquet(vocab_path)
 
     enc = tk.encode_examples(mixed, vocab, cfg, carry=("source",))
-    plan = bat.batch_plan(enc, cfg.epochs, cfg.batch_size, cfg.grad_accum, cfg.world_size,
-                          cfg.seed, prefix_hex=cfg.index_prefix_hex)
+    # The plan is computed from the checkpointed keys (the index reads its
+    # input twice; reading keys twice is cheap, encoding twice is not) and
+    # joined to the encoded rows once; each row appears once per epoch.
+    plan = bat.batch_plan(mixed.select("source", "example_id"), cfg.epochs, cfg.batch_size,
+                          cfg.grad_accum, cfg.world_size, cfg.seed,
+                          prefix_hex=cfg.index_prefix_hex)
+    plan = plan.join(enc, ["source", "example_id"], "inner")
     out = plan.select("epoch", "rank", "step", "micro_step", "batch_id", "pos", "source",
                       "example_id", "input_ids", "attention_mask", "labels", "prompt_len",
                       "length")

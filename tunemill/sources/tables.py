@@ -9,7 +9,7 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations")
 
 # Below this size a table is not worth an extra exchange.
-MIN_SPREAD_BYTES = 4 << 20
+MIN_SPREAD_BYTES = 1 << 20
 
 
 def load(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
