@@ -23,7 +23,7 @@ def test_query_matches_oracle(spark, con, name):
 
 def test_every_query_has_oracle_or_is_rows_only():
     rows_only = set(QUERIES) - set(ORACLE)
-    assert rows_only == {"history_stream"}
+    assert rows_only == set()
     assert len(QUERIES) >= 48
 
 

@@ -513,8 +513,11 @@ def _comparison(spark, d) -> DataFrame:
 
 @query
 def compare_outputs(spark, d):
-    """Expected beside generated, in example order."""
-    return _comparison(spark, d).select("example_id", "prompt", "expected", "generated")
+    """Expected beside generated, in example order, written as a
+    report table and read back."""
+    report = _comparison(spark, d).select("example_id", "prompt", "expected", "generated")
+    path = write_table(report, shared_path(spark, "comparison-report"))
+    return spark.read.parquet(path)
 
 
 @query

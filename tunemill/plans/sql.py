@@ -450,3 +450,8 @@ SELECT CAST(epoch AS INTEGER) AS epoch, CAST(rank AS INTEGER) AS rank, step,
          CASE WHEN i - 1 < least(prompt_tokens, {_N}) OR i - 1 >= len(ids) THEN -100 ELSE x END), ' ') AS labels,
        least(prompt_tokens, {_N}) AS prompt_len, len(ids) AS length
 FROM pl"""
+
+ORACLE["history_stream"] = with_(_CUT, _HIST) + """
+SELECT conv_id, u AS turn, min(h) AS start_turn, count(*) AS n_messages, sum(n) AS n_tokens,
+       string_agg(part, '' ORDER BY h) AS prompt
+FROM pairs_h GROUP BY conv_id, u"""
