@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 HEADLINE = [
     "encode_masked", "vocab", "token_profile", "subset_pct", "shuffle_index",
     "batch_padding", "history_prompt", "render_alpaca", "clean_text",
-    "field_profile", "token_f1", "accuracy_rollup", "retrieve_topk",
+    "field_profile", "token_f1", "accuracy_rollup", "retrieve_topk", "training_set",
 ]
 
 

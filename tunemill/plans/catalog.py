@@ -417,7 +417,10 @@ def shard_roundtrip(spark, d):
 def _render_in_pandas(pdf):
     """X1 user function: the inst prompt and its length, computed in pandas."""
     import pandas as pd
-    prompt = ("<s>[INST] " + pdf["instruction"] + " " + pdf["input"].fillna("") + " [/INST] ")
+
+    from ..config import INST_PROMPT_HEAD, INST_PROMPT_TAIL
+    prompt = (INST_PROMPT_HEAD + pdf["instruction"] + " " + pdf["input"].fillna("")
+              + INST_PROMPT_TAIL)
     return pd.DataFrame({"example_id": pdf["example_id"], "prompt": prompt,
                          "n_chars": prompt.str.len().astype("int64")})
 

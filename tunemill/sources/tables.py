@@ -22,10 +22,13 @@ def load(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     so at scale this adds no shuffle.
     """
     df = spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    jdf = df._jdf
-    if jdf.rdd().getNumPartitions() < cores:
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        jdf = df._jdf
+        splits = jdf.rdd().getNumPartitions()
         size = int(str(jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        if size >= MIN_SPREAD_BYTES:
-            df = df.repartition(cores)
+    except Exception:  # no JVM handle (e.g. a remote session): leave the scan as is
+        return df
+    if splits < cores and size >= MIN_SPREAD_BYTES:
+        df = df.repartition(cores)
     return df
