@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import is_blank, tokenize
+from ..session import materialize as write_and_read
 from .templates import history_part
 
 
@@ -50,24 +51,33 @@ def prefix_sum(df: DataFrame, group: str, order: str, value: str, out: str,
             .drop("_blk", "_boff"))
 
 
-def history_messages(turns: DataFrame) -> DataFrame:
+def history_messages(turns: DataFrame, materialize: bool = True) -> DataFrame:
     """Turns after the chat cut with their rendered part, token count and
-    the tokens before them (``cb``)."""
+    the tokens before them (``cb``).
+
+    With ``materialize`` the rendered, tokenized messages are written as a
+    table in the shared folder and read back: the text work (render, strip, tokenize)
+    runs once although the prefix sum and the range join read the messages
+    several times, and the lineage is cut there (a lost executor recomputes
+    from the checkpoint, not from the turn log).
+    """
     m = chat_cut(turns.select("conv_id", "turn", "role", "text"))
-    m = (m.withColumn("part", history_part("role", "text"))
+    m = (m.select("conv_id", "turn", "role", history_part("role", "text").alias("part"))
          .withColumn("n", F.size(tokenize("part")).cast("long")))
+    if materialize:
+        m = write_and_read(m, "history-messages")
     return prefix_sum(m, "conv_id", "turn", "n", "cb")
 
 
 def history_budget(turns: DataFrame, budget: int, align_to_user: bool = False,
-                   with_prompt: bool = True) -> DataFrame:
+                   with_prompt: bool = True, materialize: bool = True) -> DataFrame:
     """W4 (+ P6): for every user turn, the kept history.
 
     Output: conv_id, turn, start_turn, n_messages, n_tokens and, with
     ``with_prompt``, the rendered prompt. ``align_to_user`` drops leading
     non-user messages of the kept history (never the current turn).
     """
-    m = history_messages(turns)
+    m = history_messages(turns, materialize)
     B = int(budget)
     m = m.withColumn("c", F.col("cb") + F.col("n"))
     probes = (m.where(F.col("role") == "user")

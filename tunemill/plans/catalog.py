@@ -507,18 +507,19 @@ def strip_prompt_slice(spark, d):
     return dec.select("example_id", fn.py_strip("answer").alias("answer"))
 
 
-def _comparison(spark, d) -> DataFrame:
+def _comparison(spark, d, ordered: bool = False) -> DataFrame:
     g = generated_pairs(spark, d)
     gen = g.select("example_id", ev.strip_prompt_replace(F.col("full_text"), F.col("prompt"))
                    .alias("generated"))
-    return ev.compare_outputs(g.select("example_id", "prompt", "expected"), gen)
+    return ev.compare_outputs(g.select("example_id", "prompt", "expected"), gen, ordered=ordered)
 
 
 @query
 def compare_outputs(spark, d):
     """Expected beside generated, in example order, written as a
     report table and read back."""
-    report = _comparison(spark, d).select("example_id", "prompt", "expected", "generated")
+    report = _comparison(spark, d, ordered=True).select("example_id", "prompt", "expected",
+                                                        "generated")
     path = write_table(report, shared_path(spark, "comparison-report"))
     return spark.read.parquet(path)
 

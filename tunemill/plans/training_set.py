@@ -22,7 +22,7 @@ from ..operators import sampling as smp
 from ..operators import templates as tpl
 from ..operators import tokens as tk
 from ..operators import validate as val
-from ..session import shared_path, shared_root
+from ..session import materialize, shared_path
 from ..sources.io import write_table
 
 
@@ -46,11 +46,11 @@ def build_training_set(spark: SparkSession, sources: list[DataFrame], cfg: SftCo
     kept = [c.where("valid").drop("valid", "reason") for c in checked]
     subsets = [smp.subset_pct(k, cfg.train_pct, cfg.seed, prefix_hex=cfg.index_prefix_hex)
                .drop("idx", "group_n") for k in kept]
-    # Reliable checkpoint in the shared folder: the validated, subset, rendered
-    # mix is computed once for both the vocabulary and the encode, and a lost
-    # executor later recomputes from here, not from the raw tables.
-    shared_root(spark)
-    mixed = tpl.render(smp.mix_strict(*subsets), cfg.template).checkpoint(eager=True)
+    # Written to the shared folder and read back: the validated, subset,
+    # rendered mix is computed once for the vocabulary, the plan and the
+    # encode, and a lost executor later recomputes from here, not from the
+    # raw tables.
+    mixed = materialize(tpl.render(smp.mix_strict(*subsets), cfg.template), "training-mix")
 
     vocab_path = vocab_path or shared_path(spark, "vocab")
     write_table(tk.build_vocab(mixed, ["prompt", "answer"], cfg.vocab_size), vocab_path)

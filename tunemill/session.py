@@ -57,3 +57,13 @@ def shared_root(spark: SparkSession) -> str:
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared root for one written table."""
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def materialize(df, name: str):
+    """Cuts lineage: writes ``df`` as parquet in the shared folder and reads it
+    back. One computation (``DataFrame.checkpoint`` on an unpersisted plan
+    computes twice), fault tolerant (the table outlives executors), and later
+    reads get column pruning and predicate pushdown."""
+    path = shared_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
