@@ -2,6 +2,7 @@
 golden eviction cases, and the stream against the batch form."""
 
 import os
+import time
 
 import pytest
 import regex
@@ -116,3 +117,44 @@ def test_stream_equals_batch_split_triggers(spark, conv, tmpdir_path):
     out = run_history_stream(spark, flat, 128, files_per_trigger=1)
     got = {(r.conv_id, r.turn): (r.start_turn, r.n_messages, r.prompt) for r in out.collect()}
     assert got == batch(spark, conv, 128)
+
+
+def test_stream_with_idle_timeout_equals_batch(spark, conv, tmpdir_path):
+    """A continuous query with a long idle timeout gives the batch result."""
+    from tunemill.sources.io import read_turn_stream
+    from tunemill.streaming.history_stream import history_stream
+    src = os.path.join(tmpdir_path, "t")
+    conv.coalesce(1).write.parquet(src)
+    out = history_stream(read_turn_stream(spark, src), 128, idle_timeout_ms=3_600_000)
+    q = (out.writeStream.format("memory").queryName("hist_idle").outputMode("append")
+         .option("checkpointLocation", os.path.join(tmpdir_path, "ck"))
+         .trigger(processingTime="1 second").start())
+    want = batch(spark, conv, 128)
+    try:  # pending timeouts keep the query busy: wait for the rows, bounded
+        deadline = time.time() + 180
+        while spark.table("hist_idle").count() < len(want) and time.time() < deadline:
+            time.sleep(1)
+    finally:
+        q.stop()
+    got = {(r.conv_id, r.turn): (r.start_turn, r.n_messages, r.prompt)
+           for r in spark.table("hist_idle").collect()}
+    assert got == want
+
+
+def test_prompt_len_padded_undercounts_when_pad_is_eos(spark):
+    """T8a with pad = end-of-text misses an end-of-text inside the prompt;
+    the encode's own prompt length counts before padding."""
+    from tunemill.config import SftConfig
+    from tunemill.operators import tokens as tk
+    df = spark.createDataFrame([(1, "<s>[INST] a </s> b [/INST] ", "c </s>")],
+                               "example_id long, prompt string, answer string")
+    cfg = SftConfig(max_len=16, vocab_size=20, pad_id=None)
+    vocab = tk.build_vocab(df, ["prompt", "answer"], 20)
+    t = df.select("example_id", tk.tokenize("prompt").alias("tok"))
+    enc = tk.encode_tokens(t, "example_id", "tok", vocab, "ids")
+    row = enc.select(tk.prompt_len_padded(tk.pad_right(F.col("ids"), 16, cfg.effective_pad_id),
+                                          cfg.effective_pad_id).alias("a"),
+                     F.size("ids").alias("b")).first()
+    assert (row.a, row.b) == (5, 6)  # <s> [INST] a </s> b [/INST]
+    e = tk.encode_examples(df, vocab, cfg).first()
+    assert e.prompt_len == 6

@@ -30,8 +30,13 @@ OUTPUT_SCHEMA = ("conv_id long, turn long, start_turn long, n_messages long, "
 STATE_SCHEMA = "ended boolean, last_turn long, hist string, n_late long"
 
 
-def _history_fn(budget: int, align_to_user: bool = False):
+def _history_fn(budget: int, align_to_user: bool = False, idle_timeout_ms: int | None = None):
     def fn(key, pdf_iter, state):
+        if state.hasTimedOut:  # idle conversation: forget its history
+            state.remove()
+            yield pd.DataFrame([], columns=["conv_id", "turn", "start_turn", "n_messages",
+                                            "n_tokens", "prompt"])
+            return
         if state.exists:
             ended, last_turn, hist_json, n_late = state.get
             hist = json.loads(hist_json)
@@ -67,21 +72,33 @@ def _history_fn(budget: int, align_to_user: bool = False):
                 rows.append((int(key[0]), turn, kept[0][0], len(kept), total,
                              "".join(h[2] for h in kept)))
         state.update((bool(ended), int(last_turn), json.dumps(hist), int(n_late)))
+        if idle_timeout_ms:
+            state.setTimeoutDuration(idle_timeout_ms)
         yield pd.DataFrame(rows, columns=["conv_id", "turn", "start_turn", "n_messages",
                                           "n_tokens", "prompt"])
     return fn
 
 
-def history_stream(turns: DataFrame, budget: int, align_to_user: bool = False) -> DataFrame:
-    """Streaming (or batch) turns -> one row per user turn with its kept history."""
+def history_stream(turns: DataFrame, budget: int, align_to_user: bool = False,
+                   idle_timeout_ms: int | None = None) -> DataFrame:
+    """Streaming (or batch) turns -> one row per user turn with its kept history.
+
+    ``idle_timeout_ms`` (off by default, as in the reference, which never
+    expires history) drops the state of a conversation idle for that long,
+    bounding state on an endless stream. It is for continuous queries
+    (processing-time triggers): a pending processing-time timeout keeps
+    requesting batches, so an ``availableNow`` catch-up run would not end.
+    """
     t = turns.select("conv_id", "turn", "role", "text")
     t = t.select("conv_id", "turn", "role",
                  history_part("role", "text").alias("part"),
                  F.size(tokenize(history_part("role", "text"))).cast("long").alias("n"),
                  ((F.col("role") == "user") & is_blank("text")).alias("blank"))
+    timeout = (GroupStateTimeout.ProcessingTimeTimeout if idle_timeout_ms
+               else GroupStateTimeout.NoTimeout)
     return t.groupBy("conv_id").applyInPandasWithState(
-        _history_fn(budget, align_to_user), OUTPUT_SCHEMA, STATE_SCHEMA, "append",
-        GroupStateTimeout.NoTimeout)
+        _history_fn(budget, align_to_user, idle_timeout_ms), OUTPUT_SCHEMA, STATE_SCHEMA,
+        "append", timeout)
 
 
 def run_history_stream(spark: SparkSession, path: str, budget: int,
