@@ -28,24 +28,28 @@ def _c(x) -> Column:
 def build_vocab(texts: DataFrame, text_cols, vocab_size: int) -> DataFrame:
     """Vocabulary ``(token, id, n)``: reserved tokens first with fixed ids,
     then the most frequent tokens (count desc, token asc) up to ``vocab_size``.
+
+    One pass: the token counts (partial aggregation, hash-partitioned by
+    token) meet the reserved tokens in a full outer join, so reserved tokens
+    are present even when never seen; one bounded top-``vocab_size`` selection
+    puts them first and numbers everything.
     """
     if isinstance(text_cols, str):
         text_cols = [text_cols]
-    n_special = len(SPECIAL_TOKENS)
+    if vocab_size < len(SPECIAL_TOKENS):
+        raise ValueError(f"vocab_size must be at least {len(SPECIAL_TOKENS)}")
     toks = texts.select(F.explode(F.concat(*[tokenize(c) for c in text_cols])).alias("token"))
     counts = toks.groupBy("token").agg(F.count(F.lit(1)).alias("n"))  # partial agg map-side
     specials = texts.sparkSession.createDataFrame(
-        [(t, i) for i, t in enumerate(SPECIAL_TOKENS)], "token string, id int")
-    learned = (counts.join(F.broadcast(specials.select("token")), "token", "left_anti")
-               .orderBy(F.desc("n"), F.asc("token"))
-               .limit(max(vocab_size - n_special, 0)))  # TakeOrderedAndProject: bounded
-    # row_number over at most vocab_size rows (after the limit)
-    learned = learned.withColumn(
-        "id", (F.row_number().over(Window.orderBy(F.desc("n"), F.asc("token")))
-               + (n_special - 1)).cast("int"))
-    special_rows = (specials.join(counts, "token", "left")
-                    .select("token", "id", F.coalesce("n", F.lit(0)).cast("long").alias("n")))
-    return special_rows.unionByName(learned.select("token", "id", "n"))
+        [(t, i) for i, t in enumerate(SPECIAL_TOKENS)], "token string, sid int")
+    order = [F.col("sid").asc_nulls_last(), F.desc("n"), F.asc("token")]
+    top = (counts.join(specials, "token", "full_outer")
+           .select("token", "sid", F.coalesce("n", F.lit(0)).cast("long").alias("n"))
+           .orderBy(*order).limit(vocab_size))  # TakeOrderedAndProject: bounded
+    # row_number over at most vocab_size rows (after the limit); reserved
+    # tokens come first in sid order, so their ids are their fixed ids
+    return top.select("token", (F.row_number().over(Window.orderBy(*order)) - 1)
+                      .cast("int").alias("id"), "n")
 
 
 # --------------------------------------------------------------------- T1
