@@ -55,14 +55,17 @@ def build_vocab(texts: DataFrame, text_cols, vocab_size: int) -> DataFrame:
 # --------------------------------------------------------------------- T1
 def encode_tokens(df: DataFrame, key: str, tokens_col: str, vocab: DataFrame,
                   out_col: str = "ids", unk_id: int = UNK_TOKEN_ID,
-                  prepartition: bool = True) -> DataFrame:
+                  prepartition: bool = True, partition_by=None) -> DataFrame:
     """Map the token array ``tokens_col`` of every row to vocabulary ids.
 
-    Keeps every other column. ``key`` must be unique per row.
+    Keeps every other column. ``key`` must be unique per row. Rows are
+    hash-partitioned by ``partition_by`` (default: the key) before the
+    explode; any subset of the kept columns works, and choosing the key of
+    the next step (e.g. the batch) lets that step reuse the same exchange.
     """
     others = [c for c in df.columns if c != tokens_col]
     if prepartition:
-        df = df.repartition(key)
+        df = df.repartition(*(partition_by or [key]))
     exploded = df.select(*others, F.posexplode_outer(tokens_col).alias("_pos", "_token"))
     v = vocab.select(F.col("token").alias("_token"), F.col("id").alias("_id"))
     looked = exploded.join(F.broadcast(v), "_token", "left")
@@ -118,7 +121,7 @@ def mask_labels(ids: Column, prompt_len: Column, real_len: Column | None) -> Col
 
 
 def encode_examples(df: DataFrame, vocab: DataFrame, cfg: SftConfig, key: str = "example_id",
-                    pad: bool = True, carry=()) -> DataFrame:
+                    pad: bool = True, carry=(), partition_by=None) -> DataFrame:
     """Encoded, masked training rows from rendered ``prompt``/``answer``.
 
     Output: key, carried columns, ``input_ids``, ``attention_mask``, ``labels``
@@ -128,7 +131,7 @@ def encode_examples(df: DataFrame, vocab: DataFrame, cfg: SftConfig, key: str =
     """
     n = cfg.max_len
     base = tokenize_pair(df.select(key, *carry, "prompt", "answer"), n).drop("prompt", "answer")
-    enc = encode_tokens(base, key, "_tok", vocab, "ids", cfg.unk_id)
+    enc = encode_tokens(base, key, "_tok", vocab, "ids", cfg.unk_id, partition_by=partition_by)
     k = F.size("ids")
     prompt_len = F.least(F.col("prompt_tokens"), F.lit(n))
     enc = enc.withColumn("length", k).withColumn("prompt_len", prompt_len)

@@ -372,7 +372,8 @@ def batch_padding(spark, d):
     ex = rendered_pairs(spark, d).withColumn("source", F.lit("dialogue"))
     plan = bat.batch_plan(ex, 1, CFG.batch_size, CFG.grad_accum, 1, CFG.seed)
     enc = tk.encode_examples(plan, dialogue_vocab(spark, d), CFG, pad=False,
-                             carry=("source", "epoch", "batch_id"))
+                             carry=("source", "epoch", "batch_id"),
+                             partition_by=["epoch", "batch_id"])  # reused by the padding
     padded = bat.pad_to_batch(enc, CFG.effective_pad_id)
     return padded.select("batch_id", "example_id", "batch_len",
                          tk.ids_text("input_ids").alias("input_ids"),
