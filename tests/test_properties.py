@@ -78,3 +78,32 @@ def test_pad_falls_back_to_eos(spark):
     e = tk.encode_examples(ex, tk.build_vocab(ex, ["prompt", "answer"], 100), cfg).collect()
     for r in e:
         assert all(x == cfg.eos_id for x in r.input_ids[r.length:])
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(keys=st.lists(st.integers(min_value=-10**6, max_value=10**6), min_size=0, max_size=300,
+                     unique=True),
+       groups=st.integers(min_value=1, max_value=3), prefix=st.integers(min_value=1, max_value=3))
+def test_global_index_matches_row_number_random(spark, keys, groups, prefix):
+    rows = [(k % groups, k) for k in keys]
+    df = spark.createDataFrame(rows, "g long, k long")
+    key = smp.seeded_key(7, "k")
+    got = {r.k: (r.idx, r.group_n) for r in smp.global_index(df, key, "k", ["g"], prefix).collect()}
+    w = Window.partitionBy("g").orderBy(key, "k")
+    exp = {r.k: (r.idx, r.n) for r in df.select(
+        "k", (F.row_number().over(w) - 1).alias("idx"),
+        F.count(F.lit(1)).over(Window.partitionBy("g")).alias("n")).collect()}
+    assert got == exp
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(ties=st.integers(min_value=2, max_value=40))
+def test_global_index_breaks_equal_keys_by_tie_column(spark, ties):
+    """Equal order keys (same md5 input) are ordered by the tie column."""
+    df = spark.range(ties).select(F.lit("same").alias("v"), F.col("id"))
+    got = [r.id for r in smp.global_index(df, F.md5("v"), "id", (), 2).orderBy("idx").collect()]
+    assert got == list(range(ties))
