@@ -1,0 +1 @@
+"""Operators: each takes and returns DataFrames (see the modules)."""
