@@ -7,7 +7,8 @@ bucket. Rows are counted per bucket (partial aggregation), the at most
 ``16**p`` counts per group are prefix-summed and broadcast (size bound:
 16**p rows per group), and rows are numbered inside their bucket only. Each
 bucket holds about n / 16**p rows whatever the skew of the key values, since
-md5 spreads distinct keys evenly.
+md5 spreads distinct keys evenly. With grouping columns the bound is
+16**p rows per group; the broadcast is then left to the runtime size check.
 """
 
 from __future__ import annotations
@@ -41,8 +42,10 @@ def global_index(df: DataFrame, order_key: Column, tie: str, group=(), prefix_he
     offsets = counts.select(*group, "_bk",
                             F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_off"),
                             F.sum("_bn").over(whole).alias("group_n"))
-    # at most 16**prefix_hex rows per group: broadcast is size-bounded
-    j = d.join(F.broadcast(offsets), [*group, "_bk"], "inner")
+    # Without groups the offsets have at most 16**prefix_hex rows: a proven
+    # bound, so they are broadcast. With groups the count of groups comes from
+    # the data, so the choice is left to Spark's runtime size check (AQE).
+    j = d.join(offsets if group else F.broadcast(offsets), [*group, "_bk"], "inner")
     inb = Window.partitionBy(*group, "_bk").orderBy("_ok", tie)
     return (j.withColumn(out, F.col("_off") + F.row_number().over(inb) - 1)
             .drop("_ok", "_bk", "_off"))
