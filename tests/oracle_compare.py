@@ -38,6 +38,10 @@ def rows_key(rows):
     return sorted((tuple(_norm(x) for x in r) for r in rows), key=repr)
 
 
+SPARK_TO_DUCK = {"LongType()": "BIGINT", "IntegerType()": "INTEGER", "StringType()": "VARCHAR",
+                 "DoubleType()": "DOUBLE", "BooleanType()": "BOOLEAN"}
+
+
 def compare(spark, con, name, qfn, sql, data_dir):
     t0 = time.time()
     sdf = qfn(spark, data_dir)
@@ -53,6 +57,12 @@ def compare(spark, con, name, qfn, sql, data_dir):
         res["ok"] = False
         res["why"] = f"columns {cols} vs {dcols}"
         return res
+    stypes = {f.name: SPARK_TO_DUCK.get(str(f.dataType), str(f.dataType)) for f in sdf.schema.fields}
+    dtypes = {c: str(t) for c, t in zip(dcols, rel.types)}
+    if stypes != dtypes:
+        res["ok"] = False
+        res["why"] = f"types {stypes} vs {dtypes}"
+        return res
     order = [dcols.index(c) for c in cols]
     drows = [tuple(r[i] for i in order) for r in drows]
     a, b = rows_key(srows), rows_key(drows)

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from functools import partial
+from functools import partial, wraps
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import functions as fn
 from ..config import SftConfig
@@ -40,8 +41,18 @@ CFG = SftConfig(max_len=256, vocab_size=500, history_budget=128,
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
+def _long_ints(df: DataFrame) -> DataFrame:
+    """Integer outputs leave as 64-bit, one integer width for every query."""
+    return df.select(*[F.col(f.name).cast("long").alias(f.name)
+                       if isinstance(f.dataType, (T.IntegerType, T.ShortType, T.ByteType))
+                       else F.col(f.name) for f in df.schema.fields])
+
+
 def query(fn):
-    QUERIES[fn.__name__] = fn
+    @wraps(fn)
+    def run(spark, d):
+        return _long_ints(fn(spark, d))
+    QUERIES[fn.__name__] = run
     return fn
 
 

@@ -105,11 +105,11 @@ specials(token, id) AS (VALUES {specials}),
 tok_counts AS (
   SELECT token, count(*) AS n FROM (SELECT unnest({arr}) AS token FROM {texts}) GROUP BY token),
 learned AS (
-  SELECT token, n, CAST(row_number() OVER (ORDER BY n DESC, token) + {n_sp - 1} AS INTEGER) AS id
+  SELECT token, n, CAST(row_number() OVER (ORDER BY n DESC, token) + {n_sp - 1} AS BIGINT) AS id
   FROM tok_counts WHERE token NOT IN (SELECT token FROM specials)
   QUALIFY id < {vocab_size}),
 vocab AS (
-  SELECT s.token, CAST(s.id AS INTEGER) AS id, CAST(coalesce(c.n, 0) AS BIGINT) AS n
+  SELECT s.token, CAST(s.id AS BIGINT) AS id, CAST(coalesce(c.n, 0) AS BIGINT) AS n
   FROM specials s LEFT JOIN tok_counts c USING (token)
   UNION ALL SELECT token, id, n FROM learned)"""
 

@@ -103,8 +103,8 @@ _FIELDS = " UNION ALL ".join(
 ORACLE["field_profile"] = with_(PAIRS, MCQ, DOCS, PAIRS_X, ALL) + f"""
 , long AS ({_FIELDS})
 SELECT source, field, count(*) AS n_rows,
-       sum(CASE WHEN value IS NULL THEN 1 ELSE 0 END) AS n_null,
-       sum(CASE WHEN value IS NOT NULL AND length({strip('value')}) = 0 THEN 1 ELSE 0 END) AS n_blank,
+       CAST(sum(CASE WHEN value IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS n_null,
+       CAST(sum(CASE WHEN value IS NOT NULL AND length({strip('value')}) = 0 THEN 1 ELSE 0 END) AS BIGINT) AS n_blank,
        min(length(value)) AS min_len, round(avg(length(value)), 4) AS avg_len,
        max(length(value)) AS max_len, count(DISTINCT value) AS n_distinct
 FROM long GROUP BY source, field"""
@@ -154,7 +154,7 @@ SELECT example_id,
 FROM docs"""
 
 ORACLE["filter_rows"] = with_(DOCS) + """
-SELECT d.example_id, l.quality, l.toxic, length(d.input) AS n_in, length(d.output) AS n_out
+SELECT d.example_id, CAST(l.quality AS BIGINT) AS quality, CAST(l.toxic AS BIGINT) AS toxic, length(d.input) AS n_in, length(d.output) AS n_out
 FROM docs d JOIN labels l ON l.doc_id = d.example_id
 WHERE l.quality = 1 AND l.toxic = 0 AND length(d.output) >= 1 AND length(d.output) <= 20000
   AND length(d.output) <= 50.0 * greatest(length(d.input), 1)"""
@@ -177,9 +177,9 @@ SELECT row_number() OVER (ORDER BY {md5key('source', 'example_id')}, example_id)
        source, example_id FROM mixed"""
 
 ORACLE["mix_lenient"] = with_(PAIRS, MCQ, PAIRS_X) + """
-SELECT 0 AS source_rank, source, example_id, instruction, coalesce(input, '') AS input, output FROM pairs_x
+SELECT CAST(0 AS BIGINT) AS source_rank, source, example_id, instruction, coalesce(input, '') AS input, output FROM pairs_x
 UNION ALL
-SELECT 1, source, example_id, instruction, '', output FROM mcq"""
+SELECT CAST(1 AS BIGINT), source, example_id, instruction, '', output FROM mcq"""
 
 ORACLE["shuffle_index"] = with_(PAIRS, MCQ, DOCS, PAIRS_X, ALL) + f"""
 SELECT row_number() OVER (ORDER BY {md5key('source', 'example_id')}, example_id) - 1 AS pos,
@@ -249,11 +249,11 @@ def _plan(src: str, epochs: int, bsz: int, accum: int, world: int) -> str:
 
 
 ORACLE["batch_plan"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + f"""
-SELECT CAST(epoch AS INTEGER) AS epoch, source, example_id, pos, step, micro_step, batch_id
+SELECT CAST(epoch AS BIGINT) AS epoch, source, example_id, pos, step, micro_step, batch_id
 FROM {_plan('chat_ex', CFG.epochs, CFG.batch_size, CFG.grad_accum, 1)}"""
 
 ORACLE["batch_plan_ranks"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + f"""
-SELECT CAST(epoch AS INTEGER) AS epoch, source, example_id, pos, rank, step, micro_step, batch_id
+SELECT CAST(epoch AS BIGINT) AS epoch, source, example_id, pos, rank, step, micro_step, batch_id
 FROM {_plan('chat_ex', CFG.epochs, CFG.batch_size, CFG.grad_accum, CFG.world_size)}"""
 
 ORACLE["batch_padding"] = with_(PAIRS, RENDERED, _V, _E) + f"""
@@ -273,9 +273,9 @@ ORACLE["plan_totals"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + f"""
 , r AS (SELECT source, {inst_prompt('instruction', 'input')} AS prompt, {inst_answer('output')} AS answer
         FROM chat_ex),
 c AS (SELECT source, least(len({toks('prompt')}) + len({toks('answer')}), {_N}) AS length FROM r),
-t AS (SELECT source, count(*) AS n_rows, sum(length) AS real_tokens FROM c GROUP BY source
-      UNION ALL SELECT 'all', count(*), sum(length) FROM c)
-SELECT source, n_rows, {_EFF} AS effective_batch,
+t AS (SELECT source, count(*) AS n_rows, CAST(sum(length) AS BIGINT) AS real_tokens FROM c GROUP BY source
+      UNION ALL SELECT 'all', count(*), CAST(sum(length) AS BIGINT) FROM c)
+SELECT source, n_rows, CAST({_EFF} AS BIGINT) AS effective_batch,
        CAST(ceil(n_rows / {_EFF}) AS BIGINT) AS steps_per_epoch,
        CAST(ceil(n_rows / {_EFF}) AS BIGINT) * {CFG.epochs} AS total_steps,
        real_tokens * {CFG.epochs} AS real_tokens, n_rows * {_N} * {CFG.epochs} AS padded_tokens
@@ -286,7 +286,7 @@ ORACLE["vocab_roundtrip"] = ORACLE["vocab"]
 ORACLE["shard_roundtrip"] = with_(PAIRS, RENDERED, _V, _E) + f"""
 , src AS (SELECT 'dialogue' AS source, example_id, ids, prompt_tokens FROM enc),
 pl AS {_plan('src', 1, CFG.batch_size, CFG.grad_accum, CFG.world_size)}
-SELECT CAST(rank AS INTEGER) AS rank, step, batch_id, example_id,
+SELECT CAST(rank AS BIGINT) AS rank, step, batch_id, example_id,
        array_to_string(list_resize(ids, {_N}, 0), ' ') AS input_ids,
        array_to_string(list_transform(list_resize(ids, {_N}, 0), lambda x, i:
          CASE WHEN i - 1 < least(prompt_tokens, {_N}) OR i - 1 >= len(ids) THEN -100 ELSE x END), ' ') AS labels
@@ -324,7 +324,7 @@ pairs_h AS (
   WHERE u.role = 'user' AND (u.c - (h.c - h.n) <= {_B} OR h.turn = u.turn))"""
 
 ORACLE["history_budget"] = with_(_CUT, _HIST) + """
-SELECT conv_id, u AS turn, min(h) AS start_turn, count(*) AS n_messages, sum(n) AS n_tokens
+SELECT conv_id, u AS turn, min(h) AS start_turn, count(*) AS n_messages, CAST(sum(n) AS BIGINT) AS n_tokens
 FROM pairs_h GROUP BY conv_id, u"""
 
 ORACLE["history_prompt"] = with_(_CUT, _HIST) + """
@@ -358,7 +358,7 @@ SELECT example_id, prompt, expected, generated FROM cmp"""
 
 ORACLE["exact_match"] = with_(PAIRS, _GEN, _CMP) + f"""
 SELECT count(*) AS n_rows,
-       sum(CASE WHEN {strip('generated')} = {strip('expected')} THEN 1 ELSE 0 END) AS n_exact,
+       CAST(sum(CASE WHEN {strip('generated')} = {strip('expected')} THEN 1 ELSE 0 END) AS BIGINT) AS n_exact,
        round(avg(CASE WHEN {strip('generated')} = {strip('expected')} THEN 1.0 ELSE 0.0 END), 6) AS exact_rate
 FROM cmp"""
 
@@ -412,9 +412,9 @@ ORACLE["win_tie_loss"] = with_(_SCORES) + """
                  sum(score) FILTER (WHERE model = 'model_a') AS sa,
                  sum(score) FILTER (WHERE model = 'model_b') AS sb
           FROM scores GROUP BY benchmark, prompt_id)
-SELECT benchmark, sum(CASE WHEN sa > sb THEN 1 ELSE 0 END) AS wins,
-       sum(CASE WHEN sa = sb THEN 1 ELSE 0 END) AS ties,
-       sum(CASE WHEN sa < sb THEN 1 ELSE 0 END) AS losses
+SELECT benchmark, CAST(sum(CASE WHEN sa > sb THEN 1 ELSE 0 END) AS BIGINT) AS wins,
+       CAST(sum(CASE WHEN sa = sb THEN 1 ELSE 0 END) AS BIGINT) AS ties,
+       CAST(sum(CASE WHEN sa < sb THEN 1 ELSE 0 END) AS BIGINT) AS losses
 FROM per WHERE sa IS NOT NULL AND sb IS NOT NULL GROUP BY benchmark"""
 
 ORACLE["retrieve_topk"] = """
@@ -443,8 +443,8 @@ ORACLE["training_set"] = with_(PAIRS, MCQ, PAIRS_X, CHAT, _VALID, _TRAIN,
                                encoded_cte(CFG.max_len, src="rtrain", key="uid")) + f"""
 , src AS (SELECT r.source, r.example_id, e.ids, e.prompt_tokens FROM enc e JOIN rtrain r USING (uid)),
 pl AS {_plan('src', CFG.epochs, CFG.batch_size, CFG.grad_accum, CFG.world_size)}
-SELECT CAST(epoch AS INTEGER) AS epoch, CAST(rank AS INTEGER) AS rank, step,
-       CAST(micro_step AS INTEGER) AS micro_step, batch_id, pos, source, example_id,
+SELECT CAST(epoch AS BIGINT) AS epoch, CAST(rank AS BIGINT) AS rank, step,
+       CAST(micro_step AS BIGINT) AS micro_step, batch_id, pos, source, example_id,
        array_to_string(list_resize(ids, {_N}, 0), ' ') AS input_ids,
        array_to_string(list_transform(list_resize(ids, {_N}, 0), lambda x, i:
          CASE WHEN i - 1 < least(prompt_tokens, {_N}) OR i - 1 >= len(ids) THEN -100 ELSE x END), ' ') AS labels,
@@ -452,6 +452,6 @@ SELECT CAST(epoch AS INTEGER) AS epoch, CAST(rank AS INTEGER) AS rank, step,
 FROM pl"""
 
 ORACLE["history_stream"] = with_(_CUT, _HIST) + """
-SELECT conv_id, u AS turn, min(h) AS start_turn, count(*) AS n_messages, sum(n) AS n_tokens,
+SELECT conv_id, u AS turn, min(h) AS start_turn, count(*) AS n_messages, CAST(sum(n) AS BIGINT) AS n_tokens,
        string_agg(part, '' ORDER BY h) AS prompt
 FROM pairs_h GROUP BY conv_id, u"""
