@@ -61,21 +61,36 @@ def tokenizer_from_file(path: str):
 
 
 def encode_external(df: DataFrame, key: str, text_col: str, loader: Callable[[], object],
-                    out_col: str = "ids") -> DataFrame:
+                    out_col: str = "ids", prompt_col: str | None = None) -> DataFrame:
     """Ids from an external tokenizer, batch-encoded per Arrow batch.
 
     ``loader`` returns the tokenizer inside the worker (e.g. a partial of
-    ``tokenizer_from_file``); no tokenizer object crosses the driver.
+    ``tokenizer_from_file``); no tokenizer object crosses the driver. With
+    ``prompt_col`` the prompt is encoded too, giving ``prompt_len`` and
+    ``prefix_ok``: whether the prompt's ids are a prefix of the full text's,
+    the assumption behind masking by prompt length, which a subword tokenizer
+    can break at the prompt boundary (checked on every row).
     """
-    schema = T.StructType([df.schema[key], T.StructField(out_col, T.ArrayType(T.LongType()), True)])
+    fields = [df.schema[key], T.StructField(out_col, T.ArrayType(T.LongType()), True)]
+    if prompt_col:
+        fields += [T.StructField("prompt_len", T.LongType(), True),
+                   T.StructField("prefix_ok", T.BooleanType(), True)]
+    cols = [key, text_col] + ([prompt_col] if prompt_col else [])
 
     def run(it):
         tok = loader()
         for pdf in it:
             texts = pdf[text_col].fillna("").tolist()
-            enc = tok.encode_batch(texts, add_special_tokens=False) if texts else []
-            yield pd.DataFrame({key: pdf[key], out_col: [e.ids for e in enc]})
-    return df.select(key, text_col).mapInPandas(run, schema)
+            full = [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)] if texts else []
+            out = {key: pdf[key], out_col: full}
+            if prompt_col:
+                prompts = pdf[prompt_col].fillna("").tolist()
+                pids = ([e.ids for e in tok.encode_batch(prompts, add_special_tokens=False)]
+                        if prompts else [])
+                out["prompt_len"] = [len(p) for p in pids]
+                out["prefix_ok"] = [f[:len(p)] == p for f, p in zip(full, pids)]
+            yield pd.DataFrame(out)
+    return df.select(*cols).mapInPandas(run, T.StructType(fields))
 
 
 # ------------------------------------------------------------------- X3

@@ -449,11 +449,12 @@ def tokenize_external(spark, d):
     """Ids from an external (``tokenizers``) word-level tokenizer over the
     vocabulary table, loaded once per worker from the shared folder."""
     path = write_table(dialogue_vocab(spark, d), shared_path(spark, "tok-vocab"))
-    ex = rendered_pairs(spark, d).select("example_id",
+    ex = rendered_pairs(spark, d).select("example_id", "prompt",
                                          F.concat("prompt", "answer").alias("text"))
     out = udf.encode_external(ex, "example_id", "text",
-                              partial(udf.word_level_tokenizer_from_vocab, path))
-    return out.select("example_id", tk.ids_text("ids").alias("ids"))
+                              partial(udf.word_level_tokenizer_from_vocab, path),
+                              prompt_col="prompt")
+    return out.select("example_id", tk.ids_text("ids").alias("ids"), "prompt_len", "prefix_ok")
 
 
 @query

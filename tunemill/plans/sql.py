@@ -297,7 +297,8 @@ SELECT example_id, {inst_prompt('instruction', 'input')} AS prompt,
        length({inst_prompt('instruction', 'input')}) AS n_chars FROM pairs"""
 
 ORACLE["tokenize_external"] = with_(PAIRS, RENDERED, _V, encoded_cte(10 ** 9)) + """
-SELECT example_id, array_to_string(ids, ' ') AS ids FROM enc"""
+SELECT example_id, array_to_string(ids, ' ') AS ids, prompt_tokens AS prompt_len,
+       true AS prefix_ok FROM enc"""
 
 ORACLE["generate_batch"] = f"""
 WITH p AS (SELECT conv_id * 1000 + turn AS prompt_id, {role_prompt('text')} AS prompt
