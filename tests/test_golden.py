@@ -163,3 +163,10 @@ def test_json_readers(spark, tmpdir_path):
     assert len(bad) == 1 and "broken" in bad[0]._corrupt_record
     both = read_instruction_json(spark, [jl, jl])
     assert both.count() == 4 and both.select("source_file").distinct().count() == 1
+
+
+def test_token_f1_edges(spark):
+    df = spark.createDataFrame([(1, "", ""), (2, "a b", ""), (3, "a a b", "a b b"), (4, None, "x")],
+                               "example_id long, generated string, expected string")
+    got = sorted(tuple(r) for r in ev.token_f1(df).collect())
+    assert got == [(1, 0, 0, 0, 1.0), (2, 2, 0, 0, 0.0), (3, 3, 3, 2, 0.666667), (4, 0, 1, 0, 0.0)]

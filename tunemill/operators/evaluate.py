@@ -2,7 +2,8 @@
 
 Model outputs are rows; scoring is joins and aggregations. Token F1 counts
 the token multiset overlap with a (example, token) aggregation after a
-pre-partition by example, so both aggregation levels share one exchange.
+pre-partition by example, so both aggregation levels share one exchange and
+the input is read once.
 """
 
 from __future__ import annotations
@@ -38,18 +39,22 @@ def token_f1(cmp: DataFrame, key: str = "example_id", pred: str = "generated",
              gold: str = "expected") -> DataFrame:
     """Per-row token F1 over token multisets (built-in tokenizer).
 
-    Both empty -> 1, one empty -> 0.
+    Both empty -> 1, one empty -> 0. One aggregation chain on one
+    partitioning by ``key``: counts per (row, token), then per row the sizes
+    (sums of the counts) and the overlap (sum of the smaller counts); the
+    input is read once. ``explode_outer`` keeps rows with no tokens at all.
     """
     d = cmp.select(key, tokenize(F.coalesce(F.col(pred), F.lit(""))).alias("_p"),
                    tokenize(F.coalesce(F.col(gold), F.lit(""))).alias("_g")).repartition(key)
-    sizes = d.select(key, F.size("_p").alias("np"), F.size("_g").alias("ng"))
-    toks = d.select(key, F.explode(F.concat(
+    toks = d.select(key, F.explode_outer(F.concat(
         F.transform("_p", lambda t: F.struct(t.alias("t"), F.lit(1).alias("ip"), F.lit(0).alias("ig"))),
         F.transform("_g", lambda t: F.struct(t.alias("t"), F.lit(0).alias("ip"), F.lit(1).alias("ig")))
-    )).alias("x")).select(key, "x.t", "x.ip", "x.ig")
+    )).alias("x")).select(key, "x.t", F.coalesce("x.ip", F.lit(0)).alias("ip"),
+                          F.coalesce("x.ig", F.lit(0)).alias("ig"))
     per_tok = toks.groupBy(key, "t").agg(F.sum("ip").alias("cp"), F.sum("ig").alias("cg"))
-    overlap = per_tok.groupBy(key).agg(F.sum(F.least("cp", "cg")).alias("overlap"))
-    j = sizes.join(overlap, key, "left").fillna(0, ["overlap"])
+    j = per_tok.groupBy(key).agg(F.sum("cp").cast("int").alias("np"),
+                                 F.sum("cg").cast("int").alias("ng"),
+                                 F.sum(F.least("cp", "cg")).alias("overlap"))
     p = F.col("overlap") / F.col("np")
     r = F.col("overlap") / F.col("ng")
     f1 = (F.when((F.col("np") == 0) & (F.col("ng") == 0), F.lit(1.0))
