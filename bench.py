@@ -3,7 +3,9 @@
 Runs each query at ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]``: one warm-up, then the median of ``$BENCH_RUNS`` runs.
 Each run executes the whole plan into Spark's ``noop`` sink, so nothing is
-collected to the driver. Prints one JSON line.
+collected to the driver. Prints one JSON line: seconds per query
+(``queries``), their total (``value``), and output rows and rows per second per
+query (rows counted once, outside the timed runs).
 """
 
 from __future__ import annotations
@@ -38,6 +40,8 @@ def main() -> None:
     sf = float(m.group(1)) if m else None
 
     times: dict[str, float] = {}
+    rows: dict[str, int] = {}
+    rate: dict[str, float | None] = {}
     for name in only or HEADLINE:
         fn = QUERIES[name]
 
@@ -47,10 +51,14 @@ def main() -> None:
             return time.perf_counter() - t0
         once()  # warm-up
         times[name] = round(statistics.median(once() for _ in range(runs)), 3)
+        n = fn(spark, sf_dir).count()  # output rows, counted outside the timing
+        rows[name] = n
+        rate[name] = round(n / times[name], 1) if times[name] else None
 
     total = round(sum(times.values()), 3)
     print(json.dumps({"metric": "headline_total_median_sec", "value": total, "unit": "sec",
-                      "queries": times, "sf": sf, "cpus": cpus, "runs": runs}))
+                      "queries": times, "sf": sf, "cpus": cpus, "runs": runs,
+                      "rows": rows, "rows_per_sec": rate}))
     spark.stop()
 
 
