@@ -107,3 +107,25 @@ def test_global_index_breaks_equal_keys_by_tie_column(spark, ties):
     df = spark.range(ties).select(F.lit("same").alias("v"), F.col("id"))
     got = [r.id for r in smp.global_index(df, F.md5("v"), "id", (), 2).orderBy("idx").collect()]
     assert got == list(range(ties))
+
+
+def test_external_tokenizer_file_equals_vocab_tokenizer(spark, tmpdir_path):
+    """X2 from a serialized tokenizer.json gives the same ids as the tokenizer
+    built from the vocabulary table, and the prefix check holds on every row."""
+    import os
+    from functools import partial
+
+    from tunemill.operators import udfs
+    from tunemill.sources.io import write_table
+    ex = cat.rendered_pairs(spark, SF_SMALL).select(
+        "example_id", "prompt", F.concat("prompt", "answer").alias("text"))
+    vpath = write_table(tk.build_vocab(ex, ["text"], 300), os.path.join(tmpdir_path, "vocab"))
+    tok_file = os.path.join(tmpdir_path, "tokenizer.json")
+    udfs.word_level_tokenizer_from_vocab(vpath).save(tok_file)
+    a = udfs.encode_external(ex, "example_id", "text",
+                             partial(udfs.word_level_tokenizer_from_vocab, vpath), prompt_col="prompt")
+    b = udfs.encode_external(ex, "example_id", "text",
+                             partial(udfs.tokenizer_from_file, tok_file), prompt_col="prompt")
+    ra = sorted((r.example_id, tuple(r.ids), r.prompt_len, r.prefix_ok) for r in a.collect())
+    rb = sorted((r.example_id, tuple(r.ids), r.prompt_len, r.prefix_ok) for r in b.collect())
+    assert ra == rb and all(r[3] for r in ra) and len(ra) == ex.count()
