@@ -4,9 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import linededup
+from . import bpe, linededup
 from .common import table
 
+
+def byte_bpe_path(name: str = "byte_bpe_50k.tiktoken") -> str:
+    """Place of the public vocabulary file the registered queries use."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
 QUERIES: dict = {}
 ORACLE: dict[str, str] = {}
 
@@ -23,3 +30,8 @@ def query(name: str, sql: str | None = None):
 @query("op7_line_dedup", linededup.SQL)
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.op7(spark, sf_dir, table(spark, sf_dir, "documents"))
+
+
+@query("op10_byte_bpe")
+def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.op10(spark, table(spark, sf_dir, "documents"), byte_bpe_path())
