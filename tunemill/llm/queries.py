@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, linededup
+from . import bpe, linededup, mixing
 from .common import table
 
 
@@ -35,3 +35,8 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_byte_bpe")
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.op10(spark, table(spark, sf_dir, "documents"), byte_bpe_path())
+
+
+@query("op2_mix_sources")
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op2(table(spark, sf_dir, "documents"))
