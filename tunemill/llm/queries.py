@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, linededup, mixing
+from . import bpe, linededup, mixing, quality
 from .common import table
 
 
@@ -40,3 +40,8 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op2_mix_sources")
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op2(table(spark, sf_dir, "documents"))
+
+
+@query("op5_quality_rules")
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.op5(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
