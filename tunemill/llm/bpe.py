@@ -25,7 +25,9 @@ from __future__ import annotations
 
 import base64
 import heapq
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -38,9 +40,10 @@ from pyspark.sql import types as T
 from .common import fresh
 
 MAX_RANKS = 1_000_000
-GROUP_BYTES = 4 << 20
+GROUP_BYTES = 1 << 20
 CACHE_PIECES = 200_000  # per generation; two generations are kept
 CACHED_LENGTH = 64
+LONG_PIECE = 128  # bytes from which merging uses a heap
 
 # Character classes.
 LETTER, NUMBER, OTHER, SPACE, WHITE = range(5)
@@ -187,44 +190,65 @@ def slice_starts(buf: bytes, first_bytes: np.ndarray, classes: np.ndarray) -> np
     return char_at[match_starts(symbols)]
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+NO_PAIR = 1 << 40
+
+
+def pair_ranks(ranks: dict[bytes, int]) -> dict[int, int]:
+    """Rank of two adjacent tokens' concatenation, by ``left * 2**20 + right``."""
+    get, pairs = ranks.get, {}
+    for token, rank in ranks.items():
+        for i in range(1, len(token)):
+            a, b = get(token[:i]), get(token[i:])
+            if a is not None and b is not None:
+                pairs[a << 20 | b] = rank
+    return pairs
+
+
+def merge(piece: bytes, ranks: dict[bytes, int], pairs: dict[int, int]) -> list[int]:
     """Token ids of one slice: the lowest-ranked adjacent pair merges first, the
-    leftmost among equals. A heap keeps very long slices at n log n."""
+    leftmost among equals."""
     whole = ranks.get(piece)
     if whole is not None:
         return [whole]
-    n = len(piece)
-    end = list(range(1, n + 1))  # end[i]: where the part that begins at i ends
-    prev = list(range(-1, n - 1))
-    heap = []
-    for i in range(n - 1):
-        r = ranks.get(piece[i:i + 2])
-        if r is not None:
-            heap.append((r, i, i + 2))
+    ids = [ranks[piece[i:i + 1]] for i in range(len(piece))]
+    if len(piece) >= LONG_PIECE:
+        return merge_long(ids, pairs)
+    get = pairs.get
+    near = [get(a << 20 | b, NO_PAIR) for a, b in zip(ids, ids[1:])]
+    while near:
+        low = min(near)
+        if low == NO_PAIR:
+            break
+        i = near.index(low)
+        ids[i] = low
+        del ids[i + 1], near[i]
+        if i < len(near):
+            near[i] = get(low << 20 | ids[i + 1], NO_PAIR)
+        if i:
+            near[i - 1] = get(ids[i - 1] << 20 | low, NO_PAIR)
+    return ids
+
+
+def merge_long(ids: list[int], pairs: dict[int, int]) -> list[int]:
+    """The same by a heap over a linked list, n log n for very long slices."""
+    n = len(ids)
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    heap = [(pairs[k], i, k) for i in range(n - 1) if (k := ids[i] << 20 | ids[i + 1]) in pairs]
     heapq.heapify(heap)
-    alive = bytearray(b"\1") * n
     while heap:
-        _, i, stop = heapq.heappop(heap)
-        j = end[i]
-        if not alive[i] or j >= n or not alive[j] or end[j] != stop:
-            continue  # one of the two parts has merged meanwhile
-        alive[j] = 0
-        end[i] = stop
-        if stop < n:
-            prev[stop] = i
-            r = ranks.get(piece[i:end[stop]])
-            if r is not None:
-                heapq.heappush(heap, (r, i, end[stop]))
-        p = prev[i]
-        if p >= 0:
-            r = ranks.get(piece[p:stop])
-            if r is not None:
-                heapq.heappush(heap, (r, p, stop))
-    out, i = [], 0
-    while i < n:
-        out.append(ranks[piece[i:end[i]]])
-        i = end[i]
-    return out
+        rank, i, k = heapq.heappop(heap)
+        j = after[i]
+        if ids[i] < 0 or j >= n or ids[i] << 20 | ids[j] != k:
+            continue  # one of the two has merged meanwhile
+        ids[i], ids[j] = rank, -1
+        after[i] = nxt = after[j]
+        if nxt < n:
+            before[nxt] = i
+            if (k := rank << 20 | ids[nxt]) in pairs:
+                heapq.heappush(heap, (pairs[k], i, k))
+        if (p := before[i]) >= 0 and (k := ids[p] << 20 | rank) in pairs:
+            heapq.heappush(heap, (pairs[k], p, k))
+    return [x for x in ids if x >= 0]
 
 
 class PieceCache(dict):
@@ -232,12 +256,15 @@ class PieceCache(dict):
     older, from which slices still in use come back."""
 
     def __init__(self, ranks: dict[bytes, int]):
-        self.ranks, self.older = ranks, {}
+        self.ranks, self.pairs, self.older = ranks, pair_ranks(ranks), {}
 
     def __missing__(self, piece: bytes) -> bytes:
         ids = self.older.get(piece)
         if ids is None:
-            ids = np.array(merge(piece, self.ranks), "<u4").tobytes()
+            ids = array("I", merge(piece, self.ranks, self.pairs))
+            if sys.byteorder == "big":
+                ids.byteswap()
+            ids = ids.tobytes()
         if len(piece) <= CACHED_LENGTH:
             if len(self) >= CACHE_PIECES:
                 self.older = dict(self)
@@ -316,49 +343,46 @@ def _add_columns(batch: pa.RecordBatch, names: list[str], columns: list[pa.Array
     return pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *names])
 
 
-def encode(df: DataFrame, ranks_path: str, text_col: str = "text") -> DataFrame:
-    """``df`` with ``ids`` and ``offsets`` (binary, unsigned 32-bit little-endian)."""
-    ranks_file, packed = read_ranks(ranks_path), class_table()
-    names = [fresh(df, "ids"), fresh(df, "offsets")]
-    at = df.columns.index(text_col)
+def _per_group(df: DataFrame, columns: list[str], new: list[str], work) -> DataFrame:
+    """``df`` with binary columns ``new`` that ``work`` makes of the values of ``columns``,
+    for one group of rows at a time."""
+    at = [df.columns.index(c) for c in columns]
 
     def run(batches):
         for batch in batches:
-            lengths = [x or 0 for x in pa.compute.binary_length(batch.column(at)).to_pylist()]
+            lengths = [x or 0 for x in pa.compute.binary_length(batch.column(at[0])).to_pylist()]
             for a, b in _groups(lengths):
                 own = batch.slice(a, b - a)
-                texts = [x or b"" for x in own.column(at).cast(pa.binary()).to_pylist()]
-                ids, offsets = encode_texts(texts, ranks_file, packed)
-                yield _add_columns(own, names, [pa.array(ids, pa.binary()),
-                                                pa.array(offsets, pa.binary())])
+                values = [[x or b"" for x in own.column(i).cast(pa.binary()).to_pylist()] for i in at]
+                yield _add_columns(own, new, [pa.array(x, pa.binary()) for x in work(*values)])
 
-    schema = T.StructType([*df.schema.fields, *(T.StructField(n, T.BinaryType()) for n in names)])
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, *(T.StructField(n, T.BinaryType()) for n in new)]))
+
+
+def encode(df: DataFrame, ranks_path: str, text_col: str = "text") -> DataFrame:
+    """``df`` with ``ids`` and ``offsets`` (binary, unsigned 32-bit little-endian)."""
+    ranks_file, packed = read_ranks(ranks_path), class_table()
+    return _per_group(df, [text_col], [fresh(df, "ids"), fresh(df, "offsets")],
+                      lambda texts: encode_texts(texts, ranks_file, packed))
 
 
 def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids",
            offsets_col: str = "offsets") -> DataFrame:
     """``df`` with ``decoded``, the bytes of the ids."""
     ranks_file = read_ranks(ranks_path)
-    name = fresh(df, "decoded")
-    i, o = df.columns.index(ids_col), df.columns.index(offsets_col)
+    return _per_group(df, [ids_col, offsets_col], [fresh(df, "decoded")],
+                      lambda ids, offsets: [[decode_ids(x, y, ranks_file) for x, y in zip(ids, offsets)]])
 
-    def run(batches):
-        for batch in batches:
-            lengths = [x or 0 for x in pa.compute.binary_length(batch.column(i)).to_pylist()]
-            for a, b in _groups(lengths):
-                own = batch.slice(a, b - a)
-                yield _add_columns(own, [name], [pa.array(
-                    [decode_ids(x or b"", y or b"", ranks_file) for x, y in
-                     zip(own.column(i).to_pylist(), own.column(o).to_pylist())], pa.binary())])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(name, T.BinaryType())]))
+def round_trip(df: DataFrame, ranks_path: str, text_col: str = "text") -> DataFrame:
+    """Encoding followed by decoding, in one pass: ``ids``, ``offsets``, ``decoded``."""
+    ranks_file, packed = read_ranks(ranks_path), class_table()
 
+    def work(texts):
+        ids, offsets = encode_texts(texts, ranks_file, packed)
+        return ids, offsets, [decode_ids(x, y, ranks_file) for x, y in zip(ids, offsets)]
 
-def round_trip(df: DataFrame, ranks_path: str, text_col: str = "text") -> DataFrame:
-    """Encoding followed by decoding."""
-    out = encode(df, ranks_path, text_col)
-    return decode(out, ranks_path, out.columns[-2], out.columns[-1])
+    return _per_group(df, [text_col], [fresh(df, c) for c in ("ids", "offsets", "decoded")], work)
 
 
 def op10(spark: SparkSession, docs: DataFrame, ranks_path: str) -> DataFrame:
