@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, linededup, mixing, quality
+from . import bpe, chat, linededup, mixing, quality, sharding
 from .common import table
 
 
@@ -45,3 +45,13 @@ def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_quality_rules")
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.op5(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op1_chat_rotation", chat.SQL)
+def op1_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.op1(table(spark, sf_dir, "conversations"))
+
+
+@query("op3_sharding")
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.op3(table(spark, sf_dir, "documents"))
