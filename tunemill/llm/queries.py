@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, linededup, mixing, quality, sharding
+from . import bpe, chat, langid, linededup, mixing, quality, sharding
 from .common import table
 
 
@@ -55,3 +55,8 @@ def op1_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op3_sharding")
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.op3(table(spark, sf_dir, "documents"))
+
+
+@query("op4_language_id")
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.op4(table(spark, sf_dir, "documents"))
