@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, langid, linededup, mixing, quality, sharding
+from . import bpe, chat, jaccard, langid, linededup, mixing, quality, sharding
 from .common import table
 
 
@@ -60,3 +60,8 @@ def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op4_language_id")
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.op4(table(spark, sf_dir, "documents"))
+
+
+@query("op9_ngram_jaccard")
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.op9(table(spark, sf_dir, "documents"))
