@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, jaccard, langid, linededup, mixing, quality, sharding
+from . import bpe, chat, hnsw, jaccard, langid, linededup, mixing, quality, sharding
 from .common import table
 
 
@@ -65,3 +65,8 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_ngram_jaccard")
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.op9(table(spark, sf_dir, "documents"))
+
+
+@query("op6_hnsw")
+def op6_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hnsw.op6(table(spark, sf_dir, "embeddings"))
