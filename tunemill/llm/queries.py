@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, hnsw, jaccard, langid, linededup, mixing, quality, sharding
+from . import bpe, chat, hnsw, jaccard, langid, linededup, mixing, quality, sharding, suffixdedup
 from .common import table
 
 
@@ -70,3 +70,8 @@ def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_hnsw")
 def op6_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.op6(table(spark, sf_dir, "embeddings"))
+
+
+@query("op8_suffix_dedup")
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixdedup.op8(table(spark, sf_dir, "documents"))
