@@ -17,11 +17,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+NULL_PART = "\x00null"  # a null key is a key of its own, unlike any text
+
+
 def seeded_key(seed, *parts) -> Column:
     """md5 of ``'<seed>:<part1>[:<part2>...]'``."""
     items = [F.lit(str(seed))]
     for p in parts:
-        items += [F.lit(":"), (F.col(p) if isinstance(p, str) else p).cast("string")]
+        c = (F.col(p) if isinstance(p, str) else p).cast("string")
+        items += [F.lit(":"), F.coalesce(c, F.lit(NULL_PART))]
     return F.md5(F.concat(*items))
 
 
@@ -39,13 +43,16 @@ def global_index(df: DataFrame, order_key: Column, tie: str, group=(), prefix_he
     counts = d.groupBy(*group, "_bk").agg(F.count(F.lit(1)).alias("_bn"))
     before = Window.partitionBy(*group).orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy(*group)
-    offsets = counts.select(*group, "_bk",
+    offsets = counts.select(*[F.col(g).alias(f"_o_{g}") for g in group], F.col("_bk").alias("_o_bk"),
                             F.coalesce(F.sum("_bn").over(before), F.lit(0)).alias("_off"),
                             F.sum("_bn").over(whole).alias("group_n"))
     # Without groups the offsets have at most 16**prefix_hex rows: a proven
     # bound, so they are broadcast. With groups the count of groups comes from
     # the data, so the choice is left to Spark's runtime size check (AQE).
-    j = d.join(offsets if group else F.broadcast(offsets), [*group, "_bk"], "inner")
+    # Null groups match themselves: no row is lost.
+    on = [F.col(g).eqNullSafe(F.col(f"_o_{g}")) for g in group] + [F.col("_bk") == F.col("_o_bk")]
+    j = (d.join(offsets if group else F.broadcast(offsets), on, "inner")
+         .drop(*[f"_o_{g}" for g in group], "_o_bk"))
     inb = Window.partitionBy(*group, "_bk").orderBy("_ok", tie)
     return (j.withColumn(out, F.col("_off") + F.row_number().over(inb) - 1)
             .drop("_ok", "_bk", "_off"))
@@ -61,10 +68,12 @@ def keep_count(n: Column, pct: float) -> Column:
 def subset_pct(df: DataFrame, pct: float, seed: int, key: str = "example_id",
                group=("source",), prefix_hex: int = 4) -> DataFrame:
     """W1 + W3: exactly ``int(n*pct/100)`` rows of each group, chosen by the
-    seeded order (the first rows of the seeded shuffle). pct >= 100 keeps all.
-    Adds ``idx`` (position in the seeded order) and ``group_n``."""
+    seeded order (the first rows of the seeded shuffle), with ``idx`` (position in
+    the seeded order) and ``group_n``. pct >= 100 returns ``df`` as it is."""
     group = list(group)
     k = seeded_key(seed, key)
+    if pct >= 100.0:  # everything: no index is needed
+        return df
     ix = global_index(df, k, key, group, prefix_hex)
     return ix.where(F.col("idx") < keep_count(F.col("group_n"), pct))
 
@@ -92,6 +101,5 @@ def mix_lenient(*dfs: DataFrame) -> DataFrame:
     for i, d in enumerate(dfs):
         d = d.withColumn("source_rank", F.lit(i))
         out = d if out is None else out.unionByName(d, allowMissingColumns=True)
-    if "input" in out.columns:
-        out = out.withColumn("input", F.coalesce(F.col("input"), F.lit("")))
-    return out
+    given = F.col("input") if "input" in out.columns else F.lit(None).cast("string")
+    return out.withColumn("input", F.coalesce(given, F.lit("")))

@@ -60,7 +60,10 @@ def history_part(role="role", text="text") -> Column:
 
 
 def render(df: DataFrame, template: str = "inst") -> DataFrame:
-    """Adds ``prompt`` and ``answer`` for the chosen template."""
+    """Adds ``prompt`` and ``answer`` for the chosen template; without an ``input``
+    column every input is empty (P10)."""
+    if "input" not in df.columns:
+        df = df.withColumn("input", F.lit(""))
     if template == "inst":
         return df.withColumn("prompt", inst_prompt()).withColumn("answer", inst_answer())
     if template == "alpaca":

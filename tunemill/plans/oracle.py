@@ -65,18 +65,18 @@ def history_part(role: str, text: str) -> str:
 # ----------------------------------------------------------------- sources
 PAIRS = f"""
 pairs AS (
-  SELECT 'dialogue' AS source, u.conv_id * 1000 + u.turn AS example_id,
+  SELECT 'dialogue' AS source, u.conv_id || ':' || u.turn AS example_id,
          coalesce(s.system_text, {lit(DOCTOR_INSTRUCTION)}) AS instruction,
-         u.text AS input, a.text AS output, u.conv_id, u.turn
-  FROM conversations u
-  JOIN conversations a ON a.conv_id = u.conv_id AND a.turn = u.turn + 1 AND a.role = 'assistant'
+         u.text AS input, u.next_text AS output, u.conv_id, u.turn
+  FROM (SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text FROM conversations
+        WINDOW w AS (PARTITION BY conv_id ORDER BY turn)) u
   LEFT JOIN (SELECT conv_id, arg_min(text, turn) AS system_text FROM conversations
              WHERE role = 'system' GROUP BY conv_id) s ON s.conv_id = u.conv_id
-  WHERE u.role = 'user')"""
+  WHERE u.role = 'user' AND u.next_role = 'assistant')"""
 
 MCQ = f"""
 mcq AS (
-  SELECT 'mcq' AS source, item_id AS example_id, {lit(MCQ_INSTRUCTION)} AS instruction,
+  SELECT 'mcq' AS source, item_id::VARCHAR AS example_id, {lit(MCQ_INSTRUCTION)} AS instruction,
          CASE WHEN strpos(text, '.') > 0 THEN substr(text, 1, strpos(text, '.')) ELSE text END AS input,
          CASE WHEN strpos(text, '.') > 0 THEN {strip("substr(text, strpos(text, '.') + 1)")}
               ELSE '' END AS output
@@ -84,7 +84,7 @@ mcq AS (
 
 DOCS = f"""
 docs AS (
-  SELECT 'docs' AS source, doc_id AS example_id, {lit(DOCS_INSTRUCTION)} AS instruction,
+  SELECT 'docs' AS source, doc_id::VARCHAR AS example_id, {lit(DOCS_INSTRUCTION)} AS instruction,
          CASE WHEN strpos(text, chr(10)) > 0 THEN split_part(text, chr(10), 1) ELSE text END AS input,
          CASE WHEN strpos(text, chr(10)) > 0 THEN substr(text, strpos(text, chr(10)) + 1)
               ELSE '' END AS output

@@ -11,7 +11,7 @@ EXAMPLE = T.StructType([
 # instruction records as they travel between jobs (JSON files, mixes)
 SOURCED_EXAMPLE = T.StructType([
     T.StructField("source", T.StringType(), True),
-    T.StructField("example_id", T.LongType(), True),
+    T.StructField("example_id", T.StringType(), True),
     T.StructField("instruction", T.StringType(), True),
     T.StructField("input", T.StringType(), True),
     T.StructField("output", T.StringType(), True),

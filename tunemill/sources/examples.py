@@ -1,6 +1,6 @@
 """Instruction examples derived from the driver's tables.
 
-* ``dialogue``: a user turn followed by an assistant turn is one example;
+* ``dialogue``: a user turn whose next turn is an assistant's is one example;
   instruction = the conversation's system text, else the doctor instruction.
 * ``mcq``: benchmark text up to and including the first '.' is the input,
   the rest (stripped) the output; it may be blank and is then rejected.
@@ -9,7 +9,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import DOCS_INSTRUCTION, DOCTOR_INSTRUCTION, MCQ_INSTRUCTION
@@ -18,27 +18,38 @@ from ..functions.text import py_strip
 EXAMPLE_COLS = ["source", "example_id", "instruction", "input", "output"]
 
 
-def dialogue_pairs(turns: DataFrame, keep_turn_cols: bool = False) -> DataFrame:
-    """Pairs (user turn t, assistant turn t+1) of one conversation.
+def turn_id(conv="conv_id", turn="turn") -> Column:
+    """Example id of a turn: ``<conv_id>:<turn>``, unique for any number of turns."""
+    return F.concat_ws(":", F.col(conv).cast("string"), F.col(turn).cast("string"))
 
-    Written as an equi-join on (conv_id, turn) rather than a window over the
-    conversation, so a very long conversation is hash-spread over many tasks
-    instead of landing in one. Turns are consecutive integers per conversation.
+
+def dialogue_pairs(turns: DataFrame, keep_turn_cols: bool = False, block: int = 4096) -> DataFrame:
+    """Pairs (user turn, next existing turn if it is an assistant's) of one conversation.
+
+    The next turn is a ``lead`` within blocks of ``block`` turn numbers; across
+    blocks it is the first turn of the next block that exists. What a block
+    needs of its conversation (that turn, the system text) comes from one row
+    per block, so a very long conversation is spread over many tasks and no
+    join or window is keyed by the conversation alone except over those rows.
+    Rows without a conversation or turn cannot be paired.
     """
-    t = turns.select("conv_id", "turn", "role", "text")
-    users = t.where(F.col("role") == "user").select(
-        "conv_id", "turn", F.col("text").alias("input"))
-    replies = t.where(F.col("role") == "assistant").select(
-        "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("output"))
-    system = (t.where(F.col("role") == "system").groupBy("conv_id")
-              .agg(F.min_by("text", "turn").alias("system_text")))
-    pairs = (users.join(replies, ["conv_id", "turn"], "inner")
-             .join(system, "conv_id", "left"))
+    t = (turns.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
+         .select("conv_id", "turn", "role", "text", F.floor(F.col("turn") / block).alias("_blk")))
+    here = F.struct("turn", "role", "text")
+    per = t.groupBy("conv_id", "_blk").agg(
+        F.min(here).alias("_first"),
+        F.min(F.when(F.col("role") == "system", F.struct("turn", "text"))).alias("_sys"))
+    conv = Window.partitionBy("conv_id")
+    per = per.select("conv_id", "_blk", F.lead("_first").over(conv.orderBy("_blk")).alias("_after"),
+                     F.min("_sys").over(conv)["text"].alias("system_text"))
+    inside = Window.partitionBy("conv_id", "_blk").orderBy("turn", "role", "text")
+    j = t.join(per, ["conv_id", "_blk"]).withColumn(
+        "_next", F.coalesce(F.lead(here).over(inside), F.col("_after")))
+    pairs = j.where((F.col("role") == "user") & (F.col("_next.role") == "assistant"))
     out = pairs.select(
-        F.lit("dialogue").alias("source"),
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("example_id"),
+        F.lit("dialogue").alias("source"), turn_id().alias("example_id"),
         F.coalesce(F.col("system_text"), F.lit(DOCTOR_INSTRUCTION)).alias("instruction"),
-        "input", "output", "conv_id", "turn")
+        F.col("text").alias("input"), F.col("_next.text").alias("output"), "conv_id", "turn")
     return out if keep_turn_cols else out.drop("conv_id", "turn")
 
 
@@ -47,7 +58,7 @@ def mcq_examples(benchmark: DataFrame) -> DataFrame:
     dot = F.instr(text, ".")
     return benchmark.select(
         F.lit("mcq").alias("source"),
-        F.col("item_id").alias("example_id"),
+        F.col("item_id").cast("string").alias("example_id"),
         F.lit(MCQ_INSTRUCTION).alias("instruction"),
         F.when(dot > 0, F.substring(text, 1, dot)).otherwise(text).alias("input"),
         F.when(dot > 0, py_strip(F.expr("substring(text, instr(text, '.') + 1)")))
@@ -59,7 +70,7 @@ def docs_examples(documents: DataFrame) -> DataFrame:
     nl = F.instr(text, "\n")
     return documents.select(
         F.lit("docs").alias("source"),
-        F.col("doc_id").alias("example_id"),
+        F.col("doc_id").cast("string").alias("example_id"),
         F.lit(DOCS_INSTRUCTION).alias("instruction"),
         F.when(nl > 0, F.substring_index(text, "\n", 1)).otherwise(text).alias("input"),
         F.when(nl > 0, F.expr("substring(text, instr(text, '\n') + 1)"))
@@ -69,5 +80,5 @@ def docs_examples(documents: DataFrame) -> DataFrame:
 def role_prompts(turns: DataFrame) -> DataFrame:
     """Prompt table (S5): every user turn is one prompt to answer."""
     return turns.where(F.col("role") == "user").select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("prompt_id"),
+        turn_id().alias("prompt_id"),
         F.col("text").alias("user_text"))
