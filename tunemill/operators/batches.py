@@ -17,15 +17,26 @@ from .sampling import global_index, seeded_key
 
 def batch_plan(df: DataFrame, epochs: int, batch_size: int, grad_accum: int,
                world_size: int = 1, seed: int = 42, key: str = "example_id",
-               source: str = "source", prefix_hex: int = 4) -> DataFrame:
+               source: str = "source", prefix_hex: int = 4, shuffle: bool = True) -> DataFrame:
     """Adds ``epoch, pos, rank, step, micro_step, batch_id``.
 
+    Without ``shuffle`` every epoch has the sources one after the other, by
+    ``source_rank``, each in the order of md5('<key>').
+
     The epoch's order is md5('<seed>:<epoch>:<source>:<key>'); ``batch_id``
     numbers micro-batches within an epoch across ranks.
     """
     ep = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
-    k = seeded_key(seed, "epoch", source, key)
-    ix = global_index(ep, k, key, ["epoch"], prefix_hex, out="pos").drop("group_n")
+    if shuffle:
+        k = seeded_key(seed, "epoch", source, key)
+        ix = global_index(ep, k, key, ["epoch"], prefix_hex, out="pos").drop("group_n")
+    else:
+        ix = global_index(ep, F.md5(F.col(key).cast("string")), key, ["epoch", "source_rank"], prefix_hex, out="_i")
+        before = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)  # one row per source
+        starts = df.groupBy(F.col("source_rank").alias("_r")).agg(F.count(F.lit(1)).alias("_n")).select(
+            "_r", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_at"))
+        ix = (ix.join(starts, F.col("source_rank") == F.col("_r"))
+              .withColumn("pos", F.col("_at") + F.col("_i")).drop("_i", "_r", "_at", "_n", "group_n"))
     rank = F.col("pos") % world_size
     local = F.floor(F.col("pos") / world_size).cast("long")
     micro = F.floor(local / batch_size).cast("long")  # micro-batch index on this rank

@@ -2,23 +2,27 @@
 
 Design for scale:
 * Tokenizing is ``regexp_extract_all`` in the JVM (whole-stage codegen).
-* The vocabulary is a table of at most ``vocab_size`` rows: that is its proven
-  size bound, and the only reason it is broadcast.
-* Encoding explodes (example, position, token), looks ids up through the
-  broadcast vocabulary and regroups per example. The rows are hash-partitioned
-  by the example key *before* the explode, so the regroup needs no second
-  exchange and the shuffle carries text, not one row per token.
-* A frequent token cannot skew anything: the lookup is a broadcast hash join.
+* Encoding maps a row's token array to its id array in one Arrow-vectorised
+  step, and decoding the reverse: no row is exploded, shuffled or regrouped, so
+  no key is needed and repeated rows stay apart.
+* The vocabulary is a table of at most ``MAX_VOCAB`` rows; a larger one is refused
+  with an error. It travels with the tasks.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import (LABEL_IGNORE, SPECIAL_TOKENS, UNK_TOKEN_ID, SftConfig)
 from ..functions.text import tokenize
 
+MAX_VOCAB = 1_000_000
+
 
 def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
@@ -53,27 +57,43 @@ def build_vocab(texts: DataFrame, text_cols, vocab_size: int) -> DataFrame:
 
 
 # --------------------------------------------------------------------- T1
-def encode_tokens(df: DataFrame, key: str, tokens_col: str, vocab: DataFrame,
-                  out_col: str = "ids", unk_id: int = UNK_TOKEN_ID,
-                  prepartition: bool = True, partition_by=None) -> DataFrame:
-    """Map the token array ``tokens_col`` of every row to vocabulary ids.
-
-    Keeps every other column. ``key`` must be unique per row. Rows are
-    hash-partitioned by ``partition_by`` (default: the key) before the
-    explode; any subset of the kept columns works, and choosing the key of
-    the next step (e.g. the batch) lets that step reuse the same exchange.
-    """
-    others = [c for c in df.columns if c != tokens_col]
-    if prepartition:
-        df = df.repartition(*(partition_by or [key]))
-    exploded = df.select(*others, F.posexplode_outer(tokens_col).alias("_pos", "_token"))
-    v = vocab.select(F.col("token").alias("_token"), F.col("id").alias("_id"))
-    looked = exploded.join(F.broadcast(v), "_token", "left")
-    item = F.when(F.col("_pos").isNotNull(),
-                  F.struct(F.col("_pos").alias("pos"),
-                           F.coalesce(F.col("_id"), F.lit(unk_id)).cast("long").alias("id")))
-    regrouped = looked.groupBy(*others).agg(F.sort_array(F.collect_list(item)).alias("_p"))
-    return regrouped.select(*others, F.transform("_p", lambda x: x["id"]).alias(out_col))
+def read_vocab(vocab: DataFrame) -> tuple[pa.Array, np.ndarray]:
+    """Tokens and their ids, checked against ``MAX_VOCAB``."""
+    rows = vocab.select("token", "id").limit(MAX_VOCAB + 1).collect()
+    if len(rows) > MAX_VOCAB:
+        raise ValueError(f"the vocabulary has more than {MAX_VOCAB} tokens")
+    return pa.array([r["token"] for r in rows], pa.string()), np.array([r["id"] for r in rows], np.int64)
+
+
+def _map_arrays(df: DataFrame, col: str, out_col: str, of: T.DataType, look_up) -> DataFrame:
+    """``df`` with ``col`` replaced by ``out_col``: ``look_up`` of all elements of an
+    Arrow batch at once, cut into rows as before (a null array becomes empty)."""
+    at = df.columns.index(col)
+    rest = [i for i in range(len(df.columns)) if i != at]
+    schema = T.StructType([*(df.schema.fields[i] for i in rest), T.StructField(out_col, T.ArrayType(of))])
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column(at)
+            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+            ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+            made = pa.ListArray.from_arrays(pa.array(ends), look_up(lists.flatten()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in rest), made],
+                                             [*(batch.schema.names[i] for i in rest), out_col])
+
+    return df.mapInArrow(run, schema)
+
+
+def encode_tokens(df: DataFrame, tokens_col: str, vocab: DataFrame, out_col: str = "ids",
+                  unk_id: int = UNK_TOKEN_ID) -> DataFrame:
+    """The token array ``tokens_col`` of every row as vocabulary ids; other columns stay."""
+    tokens, ids = read_vocab(vocab)
+
+    def look_up(flat):
+        at = pc.fill_null(pc.index_in(flat, value_set=tokens), -1).to_numpy(zero_copy_only=False)
+        return pa.array(np.where(at < 0, unk_id, ids[np.maximum(at, 0)] if len(ids) else unk_id), pa.int64())
+
+    return _map_arrays(df, tokens_col, out_col, T.LongType(), look_up)
 
 
 def tokenize_pair(df: DataFrame, max_len: int | None) -> DataFrame:
@@ -120,34 +140,42 @@ def mask_labels(ids: Column, prompt_len: Column, real_len: Column | None) -> Col
     return F.transform(ids, f)
 
 
-def encode_examples(df: DataFrame, vocab: DataFrame, cfg: SftConfig, key: str = "example_id",
-                    pad: bool = True, carry=(), partition_by=None) -> DataFrame:
-    """Encoded, masked training rows from rendered ``prompt``/``answer``.
+def encode_ids(df: DataFrame, vocab: DataFrame, cfg: SftConfig) -> DataFrame:
+    """``prompt`` and ``answer`` replaced by ``ids`` (truncated, unpadded), ``length``,
+    ``prompt_len`` (T8b: prompt tokens, capped at max_len), ``prompt_tokens`` (T8c:
+    uncapped) and ``n_tokens`` (untruncated). Other columns stay; no key is needed."""
+    base = tokenize_pair(df, cfg.max_len).drop("prompt", "answer")
+    enc = encode_tokens(base, "_tok", vocab, "ids", cfg.unk_id)
+    return (enc.withColumn("length", F.size("ids"))
+            .withColumn("prompt_len", F.least(F.col("prompt_tokens"), F.lit(cfg.max_len))))
 
-    Output: key, carried columns, ``input_ids``, ``attention_mask``, ``labels``
-    (array<bigint>), ``prompt_len`` (T8b: prompt tokens, capped at max_len),
-    ``prompt_tokens`` (T8c: uncapped), ``n_tokens`` (untruncated length) and
-    ``length`` (kept tokens). ``pad=False`` gives ragged rows (T5).
-    """
+
+def pad_and_mask(enc: DataFrame, cfg: SftConfig, pad: bool = True) -> DataFrame:
+    """``ids`` replaced by ``input_ids``, ``attention_mask`` and ``labels`` (array<bigint>),
+    padded to ``max_len``, or ragged (T5)."""
     n = cfg.max_len
-    base = tokenize_pair(df.select(key, *carry, "prompt", "answer"), n).drop("prompt", "answer")
-    enc = encode_tokens(base, key, "_tok", vocab, "ids", cfg.unk_id, partition_by=partition_by)
-    k = F.size("ids")
-    prompt_len = F.least(F.col("prompt_tokens"), F.lit(n))
-    enc = enc.withColumn("length", k).withColumn("prompt_len", prompt_len)
     if pad:
-        pad_id = cfg.effective_pad_id
-        input_ids = pad_right(F.col("ids"), n, pad_id)
+        input_ids = pad_right(F.col("ids"), n, cfg.effective_pad_id)
         mask = attention_mask(F.col("length"), n)
-        labels = mask_labels(input_ids, F.col("prompt_len"),
-                             F.col("length") if cfg.mask_padding else None)
+        labels = mask_labels(input_ids, F.col("prompt_len"), F.col("length") if cfg.mask_padding else None)
     else:
         input_ids = F.col("ids")
         mask = F.array_repeat(F.lit(1).cast("long"), F.col("length"))
         labels = mask_labels(input_ids, F.least(F.col("prompt_len"), F.col("length")), None)
-    return enc.select(key, *carry, input_ids.alias("input_ids"), mask.alias("attention_mask"),
-                      labels.alias("labels"), "prompt_len", "prompt_tokens", "n_tokens",
-                      "length")
+    rest = [c for c in enc.columns if c != "ids"]
+    return enc.select(*rest, input_ids.alias("input_ids"), mask.alias("attention_mask"), labels.alias("labels"))
+
+
+def encode_examples(df: DataFrame, vocab: DataFrame, cfg: SftConfig, key: str | None = "example_id",
+                    pad: bool = True, carry=()) -> DataFrame:
+    """Encoded, masked training rows from rendered ``prompt``/``answer``: key (or
+    ``key=None``: none is needed), carried columns, ``input_ids``, ``attention_mask``,
+    ``labels``, ``prompt_len``, ``prompt_tokens``, ``n_tokens`` and ``length``.
+    ``pad=False`` gives ragged rows (T5)."""
+    kept = [*([key] if key else []), *carry]
+    enc = pad_and_mask(encode_ids(df.select(*kept, "prompt", "answer"), vocab, cfg), cfg, pad)
+    return enc.select(*kept, "input_ids", "attention_mask", "labels", "prompt_len", "prompt_tokens",
+                      "n_tokens", "length")
 
 
 def prompt_len_padded(prompt_ids_padded: Column, pad_id: int) -> Column:
@@ -156,21 +184,21 @@ def prompt_len_padded(prompt_ids_padded: Column, pad_id: int) -> Column:
 
 
 # --------------------------------------------------------------------- T11
-def decode_parts(df: DataFrame, key: str, ids_col: str, vocab: DataFrame,
-                 prepartition: bool = True) -> DataFrame:
-    """ids -> ``_dec``: array of (pos, id, token) in position order, one
-    explode and regroup through the broadcast vocabulary; ids outside the
+def decode_parts(df: DataFrame, ids_col: str, vocab: DataFrame) -> DataFrame:
+    """ids -> ``_dec``: array of (pos, id, token) in position order; ids outside the
     vocabulary decode to ``<unk>``. Texts are cut from it with ``join_tokens``."""
+    tokens, ids = read_vocab(vocab)
+    value_set = pa.array(ids, pa.int64())
+    unk = SPECIAL_TOKENS[UNK_TOKEN_ID]
+
+    def look_up(flat):
+        return pc.fill_null(tokens.take(pc.index_in(flat.cast(pa.int64()), value_set=value_set)), unk)
+
     others = [c for c in df.columns if c != ids_col]
-    if prepartition:
-        df = df.repartition(key)
-    ex = df.select(*others, F.posexplode_outer(ids_col).alias("_pos", "_id"))
-    v = vocab.select(F.col("id").cast("long").alias("_id"), F.col("token").alias("_token"))
-    looked = ex.join(F.broadcast(v), "_id", "left")
-    tok = F.coalesce(F.col("_token"), F.lit(SPECIAL_TOKENS[UNK_TOKEN_ID]))
-    item = F.when(F.col("_pos").isNotNull(),
-                  F.struct(F.col("_pos").alias("pos"), F.col("_id").alias("id"), tok.alias("token")))
-    return looked.groupBy(*others).agg(F.sort_array(F.collect_list(item)).alias("_dec"))
+    d = _map_arrays(df.withColumn("_copy", F.col(ids_col)), "_copy", "_tokens", T.StringType(), look_up)
+    return d.select(*others, F.transform(F.arrays_zip(F.col(ids_col).alias("id"), F.col("_tokens").alias("token")),
+                                         lambda x, i: F.struct(i.alias("pos"), x["id"].alias("id"),
+                                                               x["token"].alias("token"))).alias("_dec"))
 
 
 def join_tokens(dec="_dec", skip_special: bool = True, lo=None, hi=None) -> Column:
@@ -188,10 +216,10 @@ def join_tokens(dec="_dec", skip_special: bool = True, lo=None, hi=None) -> Colu
     return F.array_join(F.transform(F.filter(_c(dec), keep), lambda x: x["token"]), " ")
 
 
-def decode_ids(df: DataFrame, key: str, ids_col: str, vocab: DataFrame,
+def decode_ids(df: DataFrame, ids_col: str, vocab: DataFrame,
                out_col: str = "text", skip_special: bool = True) -> DataFrame:
     """Ids -> text (tokens joined by one space)."""
-    d = decode_parts(df, key, ids_col, vocab)
+    d = decode_parts(df, ids_col, vocab)
     return d.withColumn(out_col, join_tokens("_dec", skip_special)).drop("_dec")
 
 
