@@ -54,8 +54,14 @@ def has_marker(col) -> Column:
     return _c(col).rlike(MARKER_PATTERN)
 
 
-def remove_markers(col) -> Column:
-    return F.regexp_replace(_c(col), MARKER_PATTERN, "")
+def remove_markers(col, rounds: int = 4) -> Column:
+    """No marker is left: removal is repeated ``rounds`` times, as what stands around
+    a removed marker may form another, and a text that still holds one (nested deeper)
+    loses the brackets all markers are made of."""
+    x = _c(col)
+    for _ in range(rounds):
+        x = F.regexp_replace(x, MARKER_PATTERN, "")
+    return F.when(x.rlike(MARKER_PATTERN), F.translate(x, "<>[]", "")).otherwise(x)
 
 
 def preview(col, n: int = PREVIEW_CHARS) -> Column:

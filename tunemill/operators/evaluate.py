@@ -65,13 +65,26 @@ def token_f1(cmp: DataFrame, key: str = "example_id", pred: str = "generated",
 
 # ------------------------------------------------------ benchmark scoring
 def accuracy_rollup(preds: DataFrame, gold: DataFrame) -> DataFrame:
-    """J2 + A5: predictions joined to gold on (benchmark, item); accuracy per
-    model and benchmark, per model, and overall (ROLLUP)."""
-    j = preds.join(gold, ["benchmark", "item_id"], "inner")
-    ok = F.when(F.col("predicted") == F.col("gold"), 1.0).otherwise(0.0)
-    return (j.rollup("model", "benchmark")
-            .agg(F.count(F.lit(1)).alias("n_items"), F.sum(ok).cast("long").alias("n_correct"),
-                 F.round(F.avg(ok), 6).alias("accuracy")))
+    """J2 + A5: every model against every gold item; accuracy per model and
+    benchmark, per model, and overall (ROLLUP, told apart by ``grouping_id``).
+
+    An item that a model left out counts as wrong and in ``n_unanswered``. Items
+    are counted per benchmark, so gold is not repeated per model: only the few
+    benchmark totals are (a scalar subquery).
+    """
+    ok = F.when(F.col("predicted") == F.col("gold"), 1).otherwise(0)
+    given = (preds.join(gold, ["benchmark", "item_id"], "inner").groupBy("model", "benchmark")
+             .agg(F.count(F.lit(1)).alias("n_answered"), F.sum(ok).alias("n_correct")))
+    totals = gold.groupBy("benchmark").agg(F.count(F.lit(1)).alias("n_items"))
+    every = preds.select("model").distinct().select("model", F.inline(
+        totals.agg(F.collect_list(F.struct("benchmark", "n_items"))).scalar()))
+    got = given.select(F.col("model").alias("m"), F.col("benchmark").alias("b"), "n_answered", "n_correct")
+    per = every.join(got, F.col("model").eqNullSafe(F.col("m")) & F.col("benchmark").eqNullSafe(F.col("b")), "left")
+    n = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return per.rollup("model", "benchmark").agg(
+        F.grouping_id().cast("long").alias("grouping_id"), n("n_items").alias("n_items"),
+        n("n_correct").alias("n_correct"), (n("n_items") - n("n_answered")).alias("n_unanswered"),
+        F.round(n("n_correct") / n("n_items"), 6).alias("accuracy"))
 
 
 def rubric_pivot(scores: DataFrame, criteria=("coherence", "empathy", "factuality")) -> DataFrame:

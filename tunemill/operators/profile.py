@@ -50,12 +50,9 @@ def plan_totals(enc: DataFrame, batch_size: int, grad_accum: int, world_size: in
                 epochs: int, max_len: int, group: str = "source") -> DataFrame:
     """Effective batch, optimizer steps per epoch and in total, tokens."""
     eff = batch_size * grad_accum * world_size
-    per = enc.groupBy(group).agg(F.count(F.lit(1)).alias("n_rows"),
-                                 F.sum("length").alias("real_tokens"))
-    allrows = enc.agg(F.count(F.lit(1)).alias("n_rows"),
-                      F.sum("length").alias("real_tokens")).select(
-        F.lit("all").alias(group), "n_rows", "real_tokens")
-    out = per.unionByName(allrows)
+    out = enc.rollup(group).agg(F.grouping_id().alias("_all"), F.count(F.lit(1)).alias("n_rows"),
+                                F.sum("length").alias("real_tokens"))  # one pass for groups and total
+    out = out.withColumn(group, F.when(F.col("_all") == 1, F.lit("all")).otherwise(F.col(group)))
     steps = F.ceil(F.col("n_rows") / F.lit(eff)).cast("long")
     return out.select(group, "n_rows", F.lit(eff).alias("effective_batch"),
                       steps.alias("steps_per_epoch"),

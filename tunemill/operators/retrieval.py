@@ -1,90 +1,66 @@
 """Exact top-k retrieval of supporting passages by cosine similarity.
 
-The corpus is scanned once. Query vectors are shipped to the tasks only after
-their count is checked against ``max_broadcast``; beyond it the queries are
-cut into chunks of that size (by an exact position from ``global_index``) and
-each chunk is one more bounded pass. Each task keeps the k best corpus rows
-per query for its own partition (numpy over Arrow batches), so the final
-per-query ranking only sees ``k * partitions`` rows per query instead of the
-whole corpus.
+The corpus is scanned and dealt out once, in chunks of about ``CHUNK`` rows by a
+hash of the id. Every chunk meets the queries in blocks of about ``QUERIES`` (a
+cogroup, both sides of bounded size), keeps its k best rows per query, and the
+best of all chunks are ranked per query. Nothing passes through the driver.
 """
 
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from .sampling import global_index
+CHUNK = 32768
+QUERIES = 4096
+PARTIAL = "query_id long, vec_id long, sim double"
 
-PARTIAL = T.StructType([
-    T.StructField("query_id", T.LongType()),
-    T.StructField("vec_id", T.LongType()),
-    T.StructField("sim", T.DoubleType()),
-])
 
+def mean_vectors(df: DataFrame, group: str, vec_col: str = "embedding") -> DataFrame:
+    """(``query_id``, ``qv``): the mean vector of every group, over all its rows."""
+    parts = df.select(F.col(group).cast("long").alias("query_id"), F.posexplode(vec_col).alias("pos", "x"))
+    means = parts.groupBy("query_id", "pos").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    return means.groupBy("query_id").agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("pos", "m"))), lambda p: p["m"]).alias("qv"))
 
-def _round6(x: np.ndarray) -> np.ndarray:
-    return np.sign(x) * np.floor(np.abs(x) * 1e6 + 0.5) / 1e6
 
+def _unit(table: pa.Table, col: str) -> np.ndarray:
+    m = np.array(table[col].combine_chunks().flatten(), np.float64).reshape(len(table), -1)
+    return m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
 
-def _partial_topk(qids: np.ndarray, qmat: np.ndarray, k: int, id_col: str, vec_col: str):
-    qn = qmat / np.maximum(np.linalg.norm(qmat, axis=1, keepdims=True), 1e-300)
 
-    def run(it):
-        best_ids = [np.empty(0, dtype=np.int64) for _ in qids]
-        best_sim = [np.empty(0) for _ in qids]
-        for pdf in it:
-            if len(pdf) == 0:
-                continue
-            ids = pdf[id_col].to_numpy(dtype=np.int64)
-            m = np.stack(pdf[vec_col].to_numpy()).astype(np.float64)
-            mn = m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
-            sims = qn @ mn.T  # (queries, batch)
-            for qi in range(len(qids)):
-                cid = np.concatenate([best_ids[qi], ids])
-                cs = np.concatenate([best_sim[qi], sims[qi]])
-                order = np.lexsort((cid, -_round6(cs)))[:k]
-                best_ids[qi], best_sim[qi] = cid[order], cs[order]
-        rows = [(int(q), int(i), float(s)) for q, bi, bs in zip(qids, best_ids, best_sim)
-                for i, s in zip(bi, bs)]
-        yield pd.DataFrame(rows, columns=["query_id", "vec_id", "sim"])
-    return run
+def _round6(x: np.ndarray) -> np.ndarray:
+    return np.sign(x) * np.floor(np.abs(x) * 1e6 + 0.5) / 1e6
 
 
 def retrieve_topk(queries: DataFrame, corpus: DataFrame, k: int = 5, id_col: str = "vec_id",
-                  vec_col: str = "embedding", max_broadcast: int = 4096) -> DataFrame:
-    """Top ``k`` corpus rows per query: ``query_id, vec_id, sim (6 digits), rank``.
+                  vec_col: str = "embedding") -> DataFrame:
+    """Top ``k`` corpus rows per query (``query_id``, ``qv``): ``query_id, vec_id, sim
+    (6 digits), rank``; ties go to the smaller id. Rows without a vector take no part."""
+    rows = corpus.where(F.col(vec_col).isNotNull()).select(
+        F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).cast("array<double>").alias("vec"))
+    asked = queries.where(F.col("qv").isNotNull()).select("query_id", F.col("qv").cast("array<double>").alias("qv"))
+    chunks, blocks = (max(1, -(-d.count() // n)) for d, n in ((rows, CHUNK), (asked, QUERIES)))
+    spread = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = rows.select("*", F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int").alias("chunk"),
+                       spread(blocks).alias("block"))
+    right = asked.select("*", F.pmod(F.xxhash64("query_id"), F.lit(blocks)).cast("int").alias("q_block"),
+                         spread(chunks).alias("q_chunk"))
+
+    def best(c, q):
+        ids, out = np.zeros(0, np.int64), [np.zeros(0, np.int64)] * 2 + [np.zeros(0)]
+        if len(c) and len(q):
+            c = c.sort_by("vec_id")  # the stable sort below then prefers the smaller id
+            sims = _round6(_unit(q, "qv") @ _unit(c, "vec").T)
+            at = np.argsort(-sims, axis=1, kind="stable")[:, :k]
+            ids = np.array(c["vec_id"])
+            out = [np.repeat(np.array(q["query_id"]), at.shape[1]), ids[at].ravel(),
+                   np.take_along_axis(sims, at, 1).ravel()]
+        return pa.table(dict(zip(("query_id", "vec_id", "sim"), map(pa.array, out))))
 
-    Ties are broken by ``vec_id``.
-    """
-    q = queries.select(F.col(id_col).alias("query_id"), F.col(vec_col).alias("qv"))
-    nq = q.limit(max_broadcast + 1).count()
-    if nq <= max_broadcast:
-        chunks = [q]
-    else:
-        ix = global_index(q, F.md5(F.col("query_id").cast("string")), "query_id", (), 4)
-        n_total = ix.agg(F.max("group_n")).first()[0]
-        ix = ix.withColumn("_chunk", F.floor(F.col("idx") / max_broadcast))
-        chunks = [ix.where(F.col("_chunk") == c).select("query_id", "qv")
-                  for c in range(int(np.ceil(n_total / max_broadcast)))]
-    corpus_cols = corpus.select(id_col, vec_col)
-    parts = []
-    for chunk in chunks:
-        rows = chunk.collect()  # at most max_broadcast vectors: checked above
-        if not rows:
-            continue
-        qids = np.array([r["query_id"] for r in rows], dtype=np.int64)
-        qmat = np.array([r["qv"] for r in rows], dtype=np.float64)
-        parts.append(corpus_cols.mapInPandas(_partial_topk(qids, qmat, k, id_col, vec_col),
-                                             PARTIAL))
-    if not parts:
-        return queries.sparkSession.createDataFrame([], PARTIAL.add("rank", T.IntegerType()))
-    partial = parts[0]
-    for p in parts[1:]:
-        partial = partial.unionByName(p)
-    partial = partial.withColumn("sim", F.round("sim", 6))
+    found = (left.groupBy("chunk", "block").cogroup(right.groupBy("q_chunk", "q_block"))
+             .applyInArrow(best, PARTIAL))
     w = Window.partitionBy("query_id").orderBy(F.desc("sim"), F.asc("vec_id"))
-    return (partial.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
+    return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)

@@ -110,7 +110,3 @@ def generate(df: DataFrame, prompt_col: str, model_fn: Callable[[list[str]], lis
             outs = model_fn(pdf[prompt_col].fillna("").tolist()) if len(pdf) else []
             yield pdf.assign(**{out_col: outs})
     return df.mapInPandas(run, schema)
-
-
-def ids_to_array(col: str):
-    return F.col(col).cast(T.ArrayType(T.LongType()))

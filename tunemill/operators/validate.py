@@ -22,18 +22,11 @@ def required_fields(df: DataFrame, required=("instruction", "output")) -> DataFr
     return df.withColumn("reason", reason).withColumn("valid", F.col("reason") == "")
 
 
-def split_valid(df: DataFrame):
-    """(valid rows, rejected rows with reason)."""
-    checked = required_fields(df)
-    return (checked.where("valid").drop("valid", "reason"),
-            checked.where(~F.col("valid")).drop("valid"))
-
-
 def marker_guard(df: DataFrame, cols=("instruction", "input", "output"),
                  mode: str = "strip") -> DataFrame:
     """user text must not carry ``<s>``, ``</s>``, ``[INST]``, ``[/INST]``.
 
-    ``mode='strip'`` removes the markers, ``'reject'`` drops such rows;
+    ``mode='strip'`` removes the markers (none is left, also if nested), ``'reject'`` drops such rows;
     ``had_marker`` records what was found either way.
     """
     flag = None
@@ -48,21 +41,25 @@ def marker_guard(df: DataFrame, cols=("instruction", "input", "output"),
     return out
 
 
-def filter_rows(examples: DataFrame, labels: DataFrame, min_output_chars: int = 1,
-                max_output_chars: int = 20000, max_ratio: float = 50.0,
+def filter_rows(examples: DataFrame, labels: DataFrame, min_output_chars: int | None = None,
+                max_output_chars: int | None = None, max_ratio: float | None = None,
                 require_label: bool = True) -> DataFrame:
-    """keep examples labelled good quality and non-toxic, with an output of
-    reasonable length and not overly long against its input.
+    """every example with ``reason``, '' if it is kept: labelled good quality and
+    non-toxic, with an output within the limits the caller states (None: no limit).
 
     The label join is on ``example_id``; both sides grow with the data, so
     Spark picks the join strategy from runtime sizes (AQE).
     """
-    lab = labels.select(F.col("doc_id").alias("example_id"), "quality", "toxic")
-    how = "inner" if require_label else "left"
-    j = examples.join(lab, "example_id", how)
-    out_len = F.length("output")
-    in_len = F.greatest(F.length("input"), F.lit(1))
-    ok = ((F.coalesce("quality", F.lit(1)) == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
-          & (out_len >= min_output_chars) & (out_len <= max_output_chars)
-          & (out_len <= F.lit(max_ratio) * in_len))
-    return j.where(ok)
+    lab = labels.select(F.col("doc_id").cast("string").alias("example_id"), "quality", "toxic")
+    j = examples.join(lab, "example_id", "left")
+    out_len, in_len = F.coalesce(F.length("output"), F.lit(0)), F.greatest(F.length("input"), F.lit(1))
+    checks = [("quality", F.col("quality") != 1), ("toxic", F.col("toxic") != 0)]
+    if require_label:
+        checks.append(("unlabelled", F.col("quality").isNull() | F.col("toxic").isNull()))
+    if min_output_chars is not None:
+        checks.append(("output too short", out_len < min_output_chars))
+    if max_output_chars is not None:
+        checks.append(("output too long", out_len > max_output_chars))
+    if max_ratio is not None:
+        checks.append(("output too long for its input", out_len > F.lit(float(max_ratio)) * in_len))
+    return j.withColumn("reason", F.concat_ws("; ", *[F.when(c, F.lit(name)) for name, c in checks]))
