@@ -11,17 +11,21 @@ from pyspark.sql import SparkSession
 
 def get_session(master: str | None = None, shuffle_partitions: int = 8,
                 app: str = "tunemill") -> SparkSession:
-    """Local/test session. On a cluster the submitter's session is used as is."""
+    """The session there is, unchanged; else, with ``master``, a local one.
+
+    An existing session keeps all its settings. Without ``master`` a new session
+    takes everything from the submitter (spark-submit, spark-defaults); only a
+    session made here for a named master gets the settings below.
+    """
+    active = SparkSession.getActiveSession()
+    if active is not None:
+        return active
     b = SparkSession.builder.appName(app)
-    if master:
-        b = b.master(master)
+    if not master:
+        return b.getOrCreate()
     spark = (
-        b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        b.master(master).config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.ui.enabled", "false")
@@ -36,21 +40,18 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8,
 def shared_root(spark: SparkSession) -> str:
     """Folder shared by all executors, taken from ``spark.checkpoint.dir``.
 
-    Only when the session names none (local runs, tests) is a private folder
-    created and registered as the checkpoint directory.
+    Only a local master (tests, laptops) may go without: a private folder is
+    made for it. A cluster that names no folder gets an error, as executors do
+    not see a folder of the driver's machine.
     """
     sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir", None)
-    if not base:
-        base = spark.conf.get("spark.checkpoint.dir", None)
+    base = (sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
+            or sc.getCheckpointDir())
     if not base:
-        current = sc.getCheckpointDir()
-        if current:
-            base = current
-        else:
-            base = tempfile.mkdtemp(prefix="tunemill-ckpt-")
-            sc.setCheckpointDir(base)
-            base = sc.getCheckpointDir() or base
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tunemill-ckpt-"))
+        base = sc.getCheckpointDir()
     return base.rstrip("/")
 
 

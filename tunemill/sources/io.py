@@ -11,29 +11,57 @@ from ..schemas import EXAMPLE, TURNS
 CORRUPT = "_corrupt_record"
 
 
-def read_instruction_json(spark: SparkSession, paths, multiline: bool = False,
-                          schema: T.StructType = EXAMPLE,
-                          keep_corrupt: bool = False) -> DataFrame:
-    """Instruction records from one or more JSON files.
-
-    ``multiline=True`` reads files holding one JSON array each; otherwise JSON
-    Lines. The schema is fixed (no inference pass over the data). Records that
-    do not parse are dropped, or kept with their raw text in ``_corrupt_record``
-    when ``keep_corrupt``; ``source_file`` keeps provenance.
+def json_form(spark: SparkSession, path: str) -> str:
+    """'array' if the first visible character under ``path`` opens a JSON array, else
+    'lines'. Reads one row."""
+    first = spark.read.text(path).where(F.btrim("value", F.lit(" \t\r\ufeff")) != "").limit(1).collect()
+    return "array" if first and first[0].value.lstrip(" \t\ufeff").startswith("[") else "lines"
+
+
+def read_instruction_json(spark: SparkSession, paths, form: str = "auto",
+                          schema: T.StructType = EXAMPLE) -> DataFrame:
+    """Instruction records from JSON files (S1, S2): files that hold one array each, or
+    JSON Lines; ``form`` 'auto' looks at the first character of each path.
+
+    The schema is fixed (no inference pass over the data). Nothing is dropped: a
+    record that does not parse is a row with its text in ``_corrupt_record`` and
+    null fields (``split_records`` parts them). ``source_file`` keeps provenance.
+    An array file is read by one task; convert large ones to lines once.
     """
-    if isinstance(paths, str):
-        paths = [paths]
-    reader = spark.read.option("multiLine", multiline)
-    if keep_corrupt:
-        full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
-        reader = (reader.schema(full).option("mode", "PERMISSIVE")
-                  .option("columnNameOfCorruptRecord", CORRUPT))
-    else:  # the parser drops what does not parse; counts stay correct
-        reader = reader.schema(schema).option("mode", "DROPMALFORMED")
-    return reader.json(list(paths)).withColumn("source_file", F.input_file_name())
-
-
-def write_instruction_json(df: DataFrame, path: str) -> str:
+    full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    out = None
+    for path in [paths] if isinstance(paths, str) else paths:
+        kind = json_form(spark, path) if form == "auto" else form
+        df = (spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+              .option("multiLine", kind == "array").json(path).withColumn("source_file", F.input_file_name()))
+        # Spark refuses queries that need nothing but the corrupt text: a count of it, say.
+        nothing = F.left(F.coalesce(F.col(schema.fieldNames()[0]).cast("string"), F.lit("")), F.lit(0))
+        df = df.withColumn(CORRUPT, F.concat(CORRUPT, nothing))
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+def split_records(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of ``read_instruction_json``: (records that parsed; rejected ones with their text,
+    ``reason``, and ``parsed``, the fields that could be read)."""
+    bad = F.col(CORRUPT).isNotNull()
+    fields = [c for c in df.columns if c not in (CORRUPT, "source_file")]
+    return (df.where(~bad).drop(CORRUPT),
+            df.where(bad).select("source_file", F.col(CORRUPT).alias("record"), F.lit("not a record").alias("reason"),
+                                 F.to_json(F.struct(*fields)).alias("parsed")))
+
+
+def write_instruction_json(df: DataFrame, path: str, form: str = "lines") -> str:
+    """JSON Lines, or (``form`` 'array') one file with a JSON array, for other tools:
+    that file is written by one task, as its form demands."""
+    if form == "array":
+        rows = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+        (rows.coalesce(1).write.mode("overwrite").option("lineSep", ",\n").text(path + "-records"))
+        spark = df.sparkSession
+        whole = spark.read.text(path + "-records", wholetext=True)
+        (whole.select(F.concat(F.lit("["), F.regexp_replace("value", r",\s*\z", ""), F.lit("]")).alias("value"))
+         .coalesce(1).write.mode("overwrite").text(path))
+        return path
     df.write.mode("overwrite").json(path)
     return path
 

@@ -8,27 +8,17 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "lineitem", "events", "documents", "embeddings", "pages",
           "benchmark", "labels", "conversations")
 
-# Below this size a table is not worth an extra exchange.
-MIN_SPREAD_BYTES = 1 << 20
+SPREAD = "tunemill.load.partitions"
 
 
 def load(spark: SparkSession, data_dir: str, name: str) -> DataFrame:
     """Reads ``<data_dir>/<name>.parquet``.
 
-    A scan is split by files and row groups. When a table of some size comes
-    as fewer splits than the cluster has cores (one large row group, say), the
-    rows are spread round-robin so CPU-heavy text work does not run in a single
-    task. A large table has far more splits than cores and is left untouched,
-    so at scale this adds no shuffle.
+    The scan is left as Spark splits it, whatever the table's size. Where a
+    caller knows that files are few (one row group each, as on a laptop), the
+    session setting ``tunemill.load.partitions`` spreads every table's rows over
+    as many partitions; it is unset unless somebody sets it.
     """
     df = spark.read.parquet(f"{data_dir.rstrip('/')}/{name}.parquet")
-    try:
-        cores = spark.sparkContext.defaultParallelism
-        jdf = df._jdf
-        splits = jdf.rdd().getNumPartitions()
-        size = int(str(jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # no JVM handle (e.g. a remote session): leave the scan as is
-        return df
-    if splits < cores and size >= MIN_SPREAD_BYTES:
-        df = df.repartition(cores)
-    return df
+    n = spark.conf.get(SPREAD, None)
+    return df.repartition(int(n)) if n else df

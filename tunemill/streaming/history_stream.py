@@ -103,30 +103,25 @@ def history_stream(turns: DataFrame, budget: int, align_to_user: bool = False,
 
 def run_history_stream(spark: SparkSession, path: str, budget: int,
                        files_per_trigger: int = 1, align_to_user: bool = False,
-                       state_partitions: int | None = None) -> DataFrame:
+                       state_partitions: int | None = None, sink: str | None = None) -> DataFrame:
     """Runs the stream over every file available under ``path`` (availableNow)
     into a parquet sink in the shared folder and returns the sink as a table.
-    Checkpoint and sink live in the shared folder, so a restarted query resumes.
+    With ``sink`` (a folder of the caller's) a restarted query resumes where it
+    stopped; without it every call makes a new folder and starts anew.
 
     ``state_partitions`` (default: the cluster's cores) is the number of state
     store partitions. Spark fixes it from ``spark.sql.shuffle.partitions`` when
     the query first starts, and a value sized for batch shuffles of a huge
-    table is a poor state layout, so it is set just for the start: the running
-    query keeps its own copy of the session settings.
+    table is a poor state layout, so the query has a session of its own.
     """
-    src = read_turn_stream(spark, path, files_per_trigger)
-    out = history_stream(src, budget, align_to_user)
-    sink = shared_path(spark, "history-stream")
-    n = state_partitions or spark.sparkContext.defaultParallelism
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    spark.conf.set(key, str(n))
-    try:
-        q = (out.writeStream.format("parquet").outputMode("append")
-             .option("path", f"{sink}/data")
-             .option("checkpointLocation", f"{sink}/checkpoint")
-             .trigger(availableNow=True).start())
-    finally:
-        spark.conf.set(key, before)
+    own = spark.newSession()  # its settings are its own: no other job sees them
+    own.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
+    own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
+    out = history_stream(read_turn_stream(own, path, files_per_trigger), budget, align_to_user)
+    sink = sink or shared_path(spark, "history-stream")
+    q = (out.writeStream.format("parquet").outputMode("append")
+         .option("path", f"{sink}/data")
+         .option("checkpointLocation", f"{sink}/checkpoint")
+         .trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.schema(OUTPUT_SCHEMA).parquet(f"{sink}/data")
