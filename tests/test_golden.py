@@ -14,7 +14,8 @@ from tunemill.operators import sampling as smp
 from tunemill.operators import templates as tpl
 from tunemill.operators import tokens as tk
 from tunemill.operators import validate as val
-from tunemill.sources.io import read_instruction_json
+from tunemill.sources.io import (read_instruction_json, split_records,
+                                 write_instruction_json)
 
 SCHEMA = "source string, example_id long, instruction string, input string, output string"
 
@@ -83,6 +84,14 @@ def test_marker_guard(spark):
     assert [r.example_id for r in val.marker_guard(df, mode="reject").collect()] == [2]
 
 
+def test_marker_guard_leaves_no_nested_marker(spark):
+    nested = ["[IN[INST]ST] x <<s>/s>", "<</s>s>", "[/IN[/IN[INST]ST]ST]", "[IN" * 9 + "[INST]" + "ST]" * 9, None]
+    df = spark.createDataFrame([("g", i, "i", t, "o") for i, t in enumerate(nested)], SCHEMA)
+    got = {r.example_id: r.input for r in val.marker_guard(df).collect()}
+    assert got[0] == " x " and got[1] == "" and got[2] == "" and got[4] is None
+    assert not any(m in (t or "") for t in got.values() for m in ("<s>", "</s>", "[INST]", "[/INST]"))
+
+
 def test_strip_matches_python(spark):
     texts = ["\t  text \x1c", "\x1c\x1d x \x85", "​keep​", "", "   "]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
@@ -138,9 +147,9 @@ def test_strip_prompt_replace_and_slice(spark):
     vocab = tk.build_vocab(df, ["full"], 50)
     t = df.select("example_id", F.size(tk.tokenize("prompt")).alias("pl"),
                   tk.tokenize("full").alias("tok"))
-    enc = tk.encode_tokens(t, "example_id", "tok", vocab, "ids")
+    enc = tk.encode_tokens(t, "tok", vocab, "ids")
     tail = enc.select("example_id", F.slice("ids", F.col("pl") + 1, 1000).alias("tail"))
-    dec = {r.example_id: r.text for r in tk.decode_ids(tail, "example_id", "tail", vocab).collect()}
+    dec = {r.example_id: r.text for r in tk.decode_ids(tail, "tail", vocab).collect()}
     assert dec[1] == "answer P : again" and dec[2] == "text" and dec[3] == "tail"
 
 
@@ -154,15 +163,36 @@ def test_json_readers(spark, tmpdir_path):
         f.write('{"instruction": "x", "input": "y", "output": "z"}\n')
         f.write('{"instruction": "broken", \n')
         f.write('{"instruction": "u", "input": "", "output": "w"}\n')
-    a = read_instruction_json(spark, arr, multiline=True).orderBy("instruction").collect()
-    assert [(r.instruction, r.input, r.output) for r in a] == [("a", "b", "c"), ("d", None, "e")]
-    b = read_instruction_json(spark, jl).collect()
-    assert sorted(r.instruction for r in b) == ["u", "x"]
-    bad = [r for r in read_instruction_json(spark, jl, keep_corrupt=True)
-           .select("instruction", "_corrupt_record").collect() if r._corrupt_record is not None]
-    assert len(bad) == 1 and "broken" in bad[0]._corrupt_record
-    both = read_instruction_json(spark, [jl, jl])
-    assert both.count() == 4 and both.select("source_file").distinct().count() == 1
+    a, bad = split_records(read_instruction_json(spark, arr))
+    assert sorted((r.instruction, r.input, r.output) for r in a.collect()) == [("a", "b", "c"), ("d", None, "e")]
+    assert bad.count() == 0
+    b, bad = split_records(read_instruction_json(spark, jl))
+    assert sorted(r.instruction for r in b.collect()) == ["u", "x"]
+    rejected = bad.collect()
+    assert len(rejected) == 1 and "broken" in rejected[0].record and rejected[0].reason
+    both, _ = split_records(read_instruction_json(spark, [jl, arr]))
+    assert both.count() == 4 and both.select("source_file").distinct().count() == 2
+    pretty = os.path.join(tmpdir_path, "pretty.json")
+    with open(pretty, "w") as f:
+        json.dump([{"instruction": "p", "input": "q", "output": "r"}] * 2, f, indent=2)
+    assert split_records(read_instruction_json(spark, pretty))[0].count() == 2
+    no = os.path.join(tmpdir_path, "no.json")
+    with open(no, "w") as f:
+        f.write("this is no json\n")
+    good, bad = split_records(read_instruction_json(spark, no))
+    assert good.count() == 0 and bad.count() == 1  # never silently nothing
+
+
+def test_json_array_writer(spark, tmpdir_path):
+    rows = [("a\n]", None, "c, "), ("d", "", "]")]
+    df = spark.createDataFrame(rows, "instruction string, input string, output string")
+    path = write_instruction_json(df, os.path.join(tmpdir_path, "arr"), form="array")
+    part = [f for f in os.listdir(path) if f.startswith("part")]
+    assert len(part) == 1
+    with open(os.path.join(path, part[0])) as f:
+        assert sorted((x["instruction"], x["input"], x["output"]) for x in json.load(f)) == sorted(rows)
+    back, bad = split_records(read_instruction_json(spark, path))
+    assert sorted((r.instruction, r.input, r.output) for r in back.collect()) == sorted(rows) and bad.count() == 0
 
 
 def test_token_f1_edges(spark):

@@ -151,7 +151,7 @@ def test_prompt_len_padded_undercounts_when_pad_is_eos(spark):
     cfg = SftConfig(max_len=16, vocab_size=20, pad_id=None)
     vocab = tk.build_vocab(df, ["prompt", "answer"], 20)
     t = df.select("example_id", tk.tokenize("prompt").alias("tok"))
-    enc = tk.encode_tokens(t, "example_id", "tok", vocab, "ids")
+    enc = tk.encode_tokens(t, "tok", vocab, "ids")
     row = enc.select(tk.prompt_len_padded(tk.pad_right(F.col("ids"), 16, cfg.effective_pad_id),
                                           cfg.effective_pad_id).alias("a"),
                      F.size("ids").alias("b")).first()

@@ -55,20 +55,32 @@ def test_decode_encode_roundtrip(spark):
     ex = cat.rendered_pairs(spark, SF_SMALL).withColumn("text", F.concat("prompt", "answer"))
     vocab = tk.build_vocab(ex, ["text"], 100000)  # covers every token
     t = ex.select("example_id", tk.tokenize("text").alias("tok"))
-    enc = tk.encode_tokens(t, "example_id", "tok", vocab, "ids")
-    dec = tk.decode_ids(enc.select("example_id", "ids"), "example_id", "ids", vocab, "d",
+    enc = tk.encode_tokens(t, "tok", vocab, "ids")
+    dec = tk.decode_ids(enc.select("example_id", "ids"), "ids", vocab, "d",
                         skip_special=False)
     tok = py_token_regex()
     want = {r.example_id: " ".join(tok.findall(r.text)) for r in ex.collect()}
     assert {r.example_id: r.d for r in dec.collect()} == want
 
 
-def test_retrieval_chunked_equals_broadcast(spark):
+def test_retrieval_blocks_make_no_difference(spark, monkeypatch):
+    import numpy as np
     e = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
-    q, c = e.where("vec_id < 20"), e.where("vec_id >= 20")
-    a = sorted(tuple(r) for r in rt.retrieve_topk(q, c, 5).collect())
-    b = sorted(tuple(r) for r in rt.retrieve_topk(q, c, 5, max_broadcast=7).collect())
-    assert a == b and len(a) == 100
+    q = rt.mean_vectors(e, "label")
+    a = sorted(tuple(r) for r in rt.retrieve_topk(q, e, 5).collect())
+    monkeypatch.setattr(rt, "CHUNK", 60)
+    monkeypatch.setattr(rt, "QUERIES", 3)
+    assert a == sorted(tuple(r) for r in rt.retrieve_topk(q, e, 5).collect())
+    rows = e.collect()
+    ids = np.array([r.vec_id for r in rows])
+    m = np.array([r.embedding for r in rows], np.float64)
+    label = np.array([r.label for r in rows])
+    unit = lambda x: x / np.linalg.norm(x, axis=-1, keepdims=True)
+    for k in set(label.tolist()):
+        sims = np.round(unit(m) @ unit(m[label == k].mean(0)), 6)
+        best = sorted(zip(-sims, ids))[:5]
+        assert [x[1] for x in a if x[0] == k and x[3] == 1] == [best[0][1]]
+    assert rt.retrieve_topk(q.limit(0), e, 5).count() == 0 == rt.retrieve_topk(q, e.limit(0), 5).count()
 
 
 def test_pad_falls_back_to_eos(spark):

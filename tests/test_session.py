@@ -1,22 +1,30 @@
-"""Loader parallelism floor and lineage cuts."""
+"""Loader, session settings and lineage cuts."""
 
 from pyspark.sql import functions as F
 
 from conftest import SF_ORACLE
-from tunemill.session import materialize, shared_root
-from tunemill.sources.tables import MIN_SPREAD_BYTES, load
-
-
-def test_loader_spreads_only_sizable_single_split_tables(spark):
-    cores = spark.sparkContext.defaultParallelism
-    docs = load(spark, SF_ORACLE, "documents")          # ~1.4 MB, one row group
-    labels = load(spark, SF_ORACLE, "labels")           # a few KB
-    assert docs.rdd.getNumPartitions() == cores
-    assert labels.rdd.getNumPartitions() == 1
-    assert MIN_SPREAD_BYTES <= 2 << 20
-    # same rows either way
-    raw = spark.read.parquet(f"{SF_ORACLE}/documents.parquet")
-    assert docs.select(F.sum("doc_id")).first()[0] == raw.select(F.sum("doc_id")).first()[0]
+from tunemill.session import get_session, materialize, shared_root
+from tunemill.sources.tables import SPREAD, load
+
+
+def test_loader_leaves_scans_alone_unless_asked(spark):
+    docs = load(spark, SF_ORACLE, "documents")
+    assert docs.rdd.getNumPartitions() == 1  # one row group
+    spark.conf.set(SPREAD, "3")
+    try:
+        assert load(spark, SF_ORACLE, "documents").rdd.getNumPartitions() == 3
+    finally:
+        spark.conf.unset(SPREAD)
+
+
+def test_an_existing_session_keeps_its_settings(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "400")
+    try:
+        assert get_session().conf.get("spark.sql.shuffle.partitions") == "400"
+        assert get_session("local[2]", shuffle_partitions=3).conf.get("spark.sql.shuffle.partitions") == "400"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def test_materialize_cuts_lineage(spark):

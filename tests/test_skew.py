@@ -35,6 +35,8 @@ def test_hot_conversation_pairs_and_history(spark):
     want = {(c, t) for (c, t), (r, _) in by.items()
             if r == "user" and by.get((c, t + 1), ("", ""))[0] == "assistant"}
     assert pairs == want
+    few = {(r.conv_id, r.turn) for r in dialogue_pairs(turns, keep_turn_cols=True, block=3).collect()}
+    assert few == want
     assert batch(spark, turns, 128) == brute_force(rows, 128)
 
 

@@ -97,7 +97,10 @@ class SftConfig:
     max_len: int = DEFAULT_MAX_LEN
     seed: int = DEFAULT_SEED
     train_pct: float = 100.0
-    shuffle: bool = True
+    shuffle: bool = True  # False: sources one after the other, each in the order of its keys' md5
+    clean: bool = True  # formatting clean-up of all fields
+    guard: bool = True  # remove sequence and role markers from all fields
+    drop_all_masked: bool = False  # leave out rows whose prompt fills max_len
     vocab_size: int = 32000
     pad_id: int | None = PAD_TOKEN_ID  # None -> falls back to the end-of-text id
     eos_id: int = EOS_TOKEN_ID

@@ -10,7 +10,7 @@ from collections.abc import Callable
 
 from functools import partial, wraps
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,9 +28,10 @@ from ..operators import udfs as udf
 from ..operators import validate as val
 from ..schemas import SOURCED_EXAMPLE
 from ..session import shared_path
-from ..sources.examples import dialogue_pairs, docs_examples, mcq_examples
+from ..sources.examples import dialogue_pairs, docs_examples, mcq_examples, turn_id
 from ..sources.examples import role_prompts as src_role_prompts
-from ..sources.io import read_instruction_json, write_instruction_json, write_table
+from ..sources.io import (read_instruction_json, split_records, write_instruction_json,
+                          write_table)
 from ..sources.tables import load
 
 # Parameters of the registered queries (small enough that truncation,
@@ -98,6 +99,45 @@ def encode_masked(spark, d):
                       tk.ids_text("labels").alias("labels"), "prompt_len", "n_tokens")
 
 
+@query
+def encode_duplicates(spark, d):
+    """T1 without a key: all documents as prompts, ids and other columns left out,
+    so that every copy of a text has to come out whole."""
+    ex = load(spark, d, "documents").select(F.coalesce("text", F.lit("")).alias("prompt"),
+                                            F.lit("").alias("answer"))
+    enc = tk.encode_examples(ex, dialogue_vocab(spark, d), CFG, key=None, pad=False)
+    return enc.select(tk.ids_text("input_ids").alias("input_ids"), "n_tokens", "length")
+
+
+@query
+def sft_pairs_gaps(spark, d):
+    """P8 on turn numbers with gaps: the whole turn table renumbered to turn * 3."""
+    t = load(spark, d, "conversations").withColumn("turn", F.col("turn") * 3)
+    return dialogue_pairs(t, keep_turn_cols=True)
+
+
+@query
+def prompt_len_eos_pad(spark, d):
+    """T8a against T8b where the pad id is the end-of-text id (no pad token of its own):
+    the count of non-pad ids loses the prompt's own end-of-text ids."""
+    cfg = CFG.with_(pad_id=None)
+    t = rendered_pairs(spark, d).select("example_id", fn.tokenize(F.concat("prompt", "answer")).alias("_tok"))
+    enc = tk.encode_tokens(t.select("example_id", F.slice("_tok", 1, cfg.max_len).alias("_tok")),
+                           "_tok", dialogue_vocab(spark, d), "ids")
+    padded = tk.pad_right(F.col("ids"), cfg.max_len, cfg.effective_pad_id)
+    return enc.select("example_id", tk.prompt_len_padded(padded, cfg.effective_pad_id).alias("len_non_pad"),
+                      F.size("ids").alias("len_true"), tk.ids_text(padded).alias("padded"))
+
+
+@query
+def encode_loss_on_padding(spark, d):
+    """T7, T9 with ``mask_padding=False``: pad = end-of-text, loss on padded positions."""
+    cfg = CFG.with_(pad_id=None, mask_padding=False)
+    enc = tk.encode_examples(rendered_pairs(spark, d), dialogue_vocab(spark, d), cfg)
+    return enc.select("example_id", tk.ids_text("input_ids").alias("input_ids"),
+                      tk.ids_text("labels").alias("labels"))
+
+
 @query
 def encode_ragged(spark, d):
     """Truncated, unpadded rows; labels masked up to the prompt."""
@@ -132,10 +172,10 @@ def token_counts(spark, d) -> DataFrame:
 
 def generated_pairs(spark, d) -> DataFrame:
     """Stand-in model output from the turn table: the decoded text holds the
-    prompt followed by the answer; every third answer (by example id) is
+    prompt followed by the answer; every third answer (by turn number) is
     altered by dropping its sentence punctuation."""
-    ex = pairs(spark, d)
-    gen_answer = F.when(F.col("example_id") % 3 == 0,
+    ex = pairs(spark, d, keep_turn_cols=True)
+    gen_answer = F.when(F.col("turn") % 3 == 0,
                         F.regexp_replace("output", r"[.!?]", "")).otherwise(F.col("output"))
     return ex.select("example_id", tpl.inst_prompt().alias("prompt"),
                      F.col("output").alias("expected"),
@@ -143,15 +183,17 @@ def generated_pairs(spark, d) -> DataFrame:
 
 
 def eval_predictions(spark, d) -> DataFrame:
-    """Two fixed rules on n_chars stand in for models A and B; benchmark = lang."""
+    """Two fixed rules on n_chars stand in for models A and B (B leaves some items
+    unanswered); benchmark = lang."""
     docs_t = load(spark, d, "documents").select("doc_id", "lang", "n_chars")
     rules = {"model_a": F.when(F.col("n_chars") >= 1000, 1).otherwise(0),
              "model_b": F.when(F.col("n_chars") % 3 != 0, 1).otherwise(0)}
-    return docs_t.select(F.col("lang").alias("benchmark"), F.col("doc_id").alias("item_id"),
+    return docs_t.select(F.col("lang").alias("benchmark"), F.col("doc_id").alias("item_id"), "n_chars",
                          F.explode(F.array(*[F.struct(F.lit(m).alias("model"),
                                                       r.alias("predicted"))
                                              for m, r in rules.items()])).alias("p")
-                         ).select("p.model", "benchmark", "item_id", "p.predicted")
+                         ).where("p.model = 'model_a' or n_chars % 11 <> 0"
+                                 ).select("p.model", "benchmark", "item_id", "p.predicted")
 
 
 def eval_gold(spark, d) -> DataFrame:
@@ -180,10 +222,11 @@ def rubric_scores(spark, d) -> DataFrame:
 # ------------------------------------------------------- sources and text
 @query
 def json_roundtrip(spark, d):
-    """Both training sources written as JSON files, read back as one."""
-    a = write_instruction_json(pairs(spark, d), shared_path(spark, "conv-json"))
+    """Both training sources written as JSON files (an array, and lines), read
+    back as one by the default call."""
+    a = write_instruction_json(pairs(spark, d), shared_path(spark, "conv-json"), form="array")
     b = write_instruction_json(mcq(spark, d), shared_path(spark, "mcq-json"))
-    back = read_instruction_json(spark, [a, b], schema=SOURCED_EXAMPLE)
+    back, _ = split_records(read_instruction_json(spark, [a, b], schema=SOURCED_EXAMPLE))
     return back.select("source", "example_id", "instruction", "input", "output")
 
 
@@ -205,7 +248,7 @@ def render_alpaca(spark, d):
 def render_single_turn(spark, d):
     """P5: single-turn alpaca prompt for every user message."""
     t = load(spark, d, "conversations").where(F.col("role") == "user")
-    return t.select((F.col("conv_id") * 1000 + F.col("turn")).alias("prompt_id"),
+    return t.select(turn_id().alias("prompt_id"),
                     tpl.single_turn_prompt("text").alias("prompt"))
 
 
@@ -262,16 +305,19 @@ def special_token_guard(spark, d):
 
 @query
 def filter_rows(spark, d):
-    """quality / toxicity / length / ratio filter over the docs source."""
-    f = val.filter_rows(docs(spark, d), load(spark, d, "labels"))
+    """quality / toxicity / length / ratio filter over the docs source; every row
+    with the reasons against it."""
+    f = val.filter_rows(docs(spark, d), load(spark, d, "labels"), min_output_chars=1,
+                        max_output_chars=20000, max_ratio=50.0)
     return f.select("example_id", "quality", "toxic", F.length("input").alias("n_in"),
-                    F.length("output").alias("n_out"))
+                    F.length("output").alias("n_out"), "reason")
 
 
 # ----------------------------------------------------- sampling and mixing
 SUBSET_PCT = 33.3
 MIX_PCT = 50.0
 TRAIN_PCT = 50.0
+RUN = 50  # positions per shard file of shard_roundtrip
 
 
 @query
@@ -282,6 +328,14 @@ def subset_pct(spark, d):
     return s.select("source", "example_id", "idx")
 
 
+@query
+def mix_sources_all(spark, d):
+    """U1 and W2 over all rows of both sources (W1 at 100 %)."""
+    a, b = (smp.subset_pct(x, 100.0, CFG.seed) for x in (pairs(spark, d), mcq(spark, d)))
+    m = smp.shuffle_index(smp.mix_strict(a, b), CFG.seed, prefix_hex=CFG.index_prefix_hex)
+    return m.select("pos", "source", "example_id")
+
+
 @query
 def mix_sources(spark, d):
     """W1 per source, U1, then the seeded shuffle of the mix."""
@@ -313,7 +367,7 @@ def prompt_len_variants(spark, d):
     t = ex.select("example_id", fn.tokenize("prompt").alias("_pt"))
     t = t.select("example_id", F.size("_pt").alias("prompt_len_full"),
                  F.slice("_pt", 1, CFG.max_len).alias("_tok"))
-    enc = tk.encode_tokens(t, "example_id", "_tok", dialogue_vocab(spark, d), "ids")
+    enc = tk.encode_tokens(t, "_tok", dialogue_vocab(spark, d), "ids")
     padded = tk.pad_right(F.col("ids"), CFG.max_len, CFG.effective_pad_id)
     return enc.select("example_id",
                       tk.prompt_len_padded(padded, CFG.effective_pad_id).alias("prompt_len_padded"),
@@ -331,27 +385,24 @@ def token_profile(spark, d):
 def token_view(spark, d):
     """First 50 ids, mask and labels, the decoded prompt part and the
     next 20 tokens decoded, for every row."""
-    enc = tk.encode_examples(rendered_pairs(spark, d), dialogue_vocab(spark, d), CFG)
-    v = enc.select("example_id", "input_ids", "attention_mask", "labels", "prompt_len",
-                   F.slice("input_ids", 1, CFG.max_len).alias("ids"))
-    dec = tk.decode_parts(v.select("example_id", "prompt_len", "ids"), "example_id", "ids",
-                          dialogue_vocab(spark, d))
-    dec = dec.select("example_id",
-                     tk.join_tokens("_dec", True, hi=F.col("prompt_len")).alias("prompt_text"),
-                     tk.join_tokens("_dec", True, lo=F.col("prompt_len"),
-                                    hi=F.col("prompt_len") + 20).alias("next_text"))
-    head = v.select("example_id", "prompt_len",
-                    tk.ids_text(F.slice("input_ids", 1, 50)).alias("ids_50"),
-                    tk.ids_text(F.slice("attention_mask", 1, 50)).alias("mask_50"),
-                    tk.ids_text(F.slice("labels", 1, 50)).alias("labels_50"))
-    return head.join(dec, "example_id")
+    vocab_t = dialogue_vocab(spark, d)
+    enc = tk.encode_examples(rendered_pairs(spark, d), vocab_t, CFG)
+    v = enc.select("example_id", "input_ids", "prompt_len",
+                   tk.ids_text(F.slice("input_ids", 1, 50)).alias("ids_50"),
+                   tk.ids_text(F.slice("attention_mask", 1, 50)).alias("mask_50"),
+                   tk.ids_text(F.slice("labels", 1, 50)).alias("labels_50"))
+    dec = tk.decode_parts(v, "input_ids", vocab_t)
+    return dec.select("example_id", "prompt_len", "ids_50", "mask_50", "labels_50",
+                      tk.join_tokens("_dec", True, hi=F.col("prompt_len")).alias("prompt_text"),
+                      tk.join_tokens("_dec", True, lo=F.col("prompt_len"),
+                                     hi=F.col("prompt_len") + 20).alias("next_text"))
 
 
 @query
 def decode_tokens(spark, d):
     """Ids back to text, with and without the reserved tokens."""
     enc = tk.encode_examples(rendered_pairs(spark, d), dialogue_vocab(spark, d), CFG, pad=False)
-    dec = tk.decode_parts(enc.select("example_id", "input_ids"), "example_id", "input_ids",
+    dec = tk.decode_parts(enc.select("example_id", "input_ids"), "input_ids",
                           dialogue_vocab(spark, d))
     return dec.select("example_id", tk.join_tokens("_dec", True).alias("text"),
                       tk.join_tokens("_dec", False).alias("text_all"))
@@ -378,14 +429,12 @@ def batch_plan_ranks(spark, d):
 @query
 def batch_padding(spark, d):
     """Ragged rows padded to the longest row of their batch."""
-    # plan on the light rendered rows (the index makes two passes over its
-    # input), then one encode that carries the plan columns
-    ex = rendered_pairs(spark, d).withColumn("source", F.lit("dialogue"))
-    plan = bat.batch_plan(ex, 1, CFG.batch_size, CFG.grad_accum, 1, CFG.seed)
-    enc = tk.encode_examples(plan, dialogue_vocab(spark, d), CFG, pad=False,
-                             carry=("source", "epoch", "batch_id"),
-                             partition_by=["epoch", "batch_id"])  # reused by the padding
-    padded = bat.pad_to_batch(enc, CFG.effective_pad_id)
+    # the plan is made of keys only and meets the encoded rows once
+    ex = rendered_pairs(spark, d)
+    plan = bat.batch_plan(ex.select(F.lit("dialogue").alias("source"), "example_id"), 1, CFG.batch_size,
+                          CFG.grad_accum, 1, CFG.seed).select("example_id", "epoch", "batch_id")
+    enc = tk.encode_examples(ex, dialogue_vocab(spark, d), CFG, pad=False)
+    padded = bat.pad_to_batch(plan.join(enc, "example_id"), CFG.effective_pad_id)
     return padded.select("batch_id", "example_id", "batch_len",
                          tk.ids_text("input_ids").alias("input_ids"),
                          tk.ids_text("attention_mask").alias("attention_mask"),
@@ -409,18 +458,24 @@ def vocab_roundtrip(spark, d):
 
 @query
 def shard_roundtrip(spark, d):
-    """Encoded rows written in batch order as per-rank shards, read back."""
+    """Encoded rows written in batch order as per-rank shards, read back, with each
+    row's place in its file."""
     ex = rendered_pairs(spark, d).withColumn("source", F.lit("dialogue"))
-    plan = bat.batch_plan(ex, 1, CFG.batch_size, CFG.grad_accum, CFG.world_size, CFG.seed)
-    plan = tk.encode_examples(
-        plan, dialogue_vocab(spark, d), CFG,
-        carry=("source", "rank", "step", "micro_step", "batch_id", "pos"))
-    out = plan.select("rank", "step", "micro_step", "batch_id", "pos", "example_id",
-                      "input_ids", "attention_mask", "labels")
-    path = write_table(out.sortWithinPartitions("pos"), shared_path(spark, "shards"),
-                       partition_by="rank")
+    plan = bat.batch_plan(ex.select("source", "example_id"), 1, CFG.batch_size, CFG.grad_accum,
+                          CFG.world_size, CFG.seed)
+    enc = tk.encode_ids(ex.select("example_id", "prompt", "answer"), dialogue_vocab(spark, d), CFG)
+    rows = plan.join(enc, "example_id").withColumn("run", F.floor(F.col("pos") / RUN))
+    rows = rows.repartition("rank", "run").sortWithinPartitions("rank", "run", "pos")
+    out = tk.pad_and_mask(rows, CFG).select("rank", "run", "step", "batch_id", "pos", "example_id",
+                                            "input_ids", "labels")
+    path = write_table(out, shared_path(spark, "shards"), partition_by=["rank", "run"])
     back = spark.read.parquet(path)
-    return back.select("rank", "step", "batch_id", "example_id",
+    # the place in the file is what the reader meets: the row's number in its only file
+    place = Window.partitionBy("rank", "run", "file").orderBy("at")
+    back = (back.withColumn("file", F.input_file_name()).withColumn("at", F.monotonically_increasing_id())
+            .withColumn("place", F.row_number().over(place) - 1))
+    files = F.size(F.collect_set("file").over(Window.partitionBy("rank", "run")))
+    return back.select("rank", "run", "place", files.alias("n_files"), "step", "batch_id", "example_id",
                        tk.ids_text("input_ids").alias("input_ids"),
                        tk.ids_text("labels").alias("labels"))
 
@@ -441,7 +496,7 @@ def _render_in_pandas(pdf):
 def map_rows(spark, d):
     """A user function over rows, in Arrow batches."""
     return udf.map_rows(pairs(spark, d), _render_in_pandas,
-                        "example_id long, prompt string, n_chars long")
+                        "example_id string, prompt string, n_chars long")
 
 
 @query
@@ -513,10 +568,10 @@ def strip_prompt_slice(spark, d):
     t = g.select("example_id", fn.tokenize("prompt").alias("_pt"),
                  fn.tokenize("full_text").alias("_ft"))
     t = t.select("example_id", F.size("_pt").alias("prompt_len"), "_ft")
-    enc = tk.encode_tokens(t, "example_id", "_ft", dialogue_vocab(spark, d), "ids")
+    enc = tk.encode_tokens(t, "_ft", dialogue_vocab(spark, d), "ids")
     tail = enc.select("example_id", F.slice("ids", F.col("prompt_len") + 1,
                                             F.greatest(F.size("ids"), F.lit(1))).alias("tail"))
-    dec = tk.decode_ids(tail, "example_id", "tail", dialogue_vocab(spark, d), "answer")
+    dec = tk.decode_ids(tail, "tail", dialogue_vocab(spark, d), "answer")
     return dec.select("example_id", fn.py_strip("answer").alias("answer"))
 
 
@@ -569,22 +624,41 @@ def win_tie_loss(spark, d):
 
 @query
 def retrieve_topk(spark, d):
-    """Five most similar passages for every query vector (vec_id < 20)."""
+    """Five most similar passages for the mean vector of every label."""
     e = load(spark, d, "embeddings")
-    q = e.where(F.col("vec_id") < 20)
-    c = e.where(F.col("vec_id") >= 20)
-    r = rt.retrieve_topk(q, c, k=5)
+    r = rt.retrieve_topk(rt.mean_vectors(e, "label"), e, k=5)
     return r.select("query_id", "vec_id", "sim", "rank")
 
 
-@query
-def training_set(spark, d):
-    """The whole flow: validate, exact 50 % of each source, mix, render,
-    vocabulary (saved), encode and mask, batch plan, per-rank shards."""
+def _training_rows(spark, sources, cfg, **kw):
     from .training_set import build_training_set
-    cfg = CFG.with_(train_pct=TRAIN_PCT)
-    ts = build_training_set(spark, [pairs(spark, d), mcq(spark, d)], cfg)
+    ts = build_training_set(spark, sources, cfg, **kw)
     back = spark.read.parquet(ts.shards_path)
     return back.select("epoch", "rank", "step", "micro_step", "batch_id", "pos", "source",
                        "example_id", tk.ids_text("input_ids").alias("input_ids"),
-                       tk.ids_text("labels").alias("labels"), "prompt_len", "length")
+                       tk.ids_text("labels").alias("labels"), "prompt_len", "length", "template")
+
+
+@query
+def training_set(spark, d):
+    """The whole flow: clean, guard, validate, exact 50 % of each source, mix, render,
+    vocabulary (saved), encode, batch plan, pad and mask, per-rank shards."""
+    return _training_rows(spark, [pairs(spark, d), mcq(spark, d)], CFG.with_(train_pct=TRAIN_PCT))
+
+
+@query
+def training_set_all(spark, d):
+    """The whole flow over all rows (100 %)."""
+    return _training_rows(spark, [pairs(spark, d), mcq(spark, d)], CFG)
+
+
+@query
+def json_training_set(spark, d):
+    """S1, S2 to shards: the pairs as a JSON array file and the MCQs as lines, three
+    fields each, read by the default call, given ids, unshuffled, all rows."""
+    from .training_set import examples_from_json
+    a = write_instruction_json(pairs(spark, d).select("instruction", "input", "output"),
+                               shared_path(spark, "conv-json"), form="array")
+    b = write_instruction_json(mcq(spark, d).select("instruction", "input", "output"), shared_path(spark, "mcq-json"))
+    tables, bad = examples_from_json(spark, {"dialogue": a, "mcq": b})
+    return _training_rows(spark, tables, CFG.with_(shuffle=False), also_rejected=bad)

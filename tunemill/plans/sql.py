@@ -42,7 +42,7 @@ FROM enc"""
 
 # ------------------------------------------------------------------ shared
 from ..config import (PREVIEW_CHARS, PREVIEW_ELLIPSIS, SPECIAL_TOKENS)  # noqa: E402
-from .catalog import MIX_PCT, SUBSET_PCT  # noqa: E402
+from .catalog import MIX_PCT, RUN, SUBSET_PCT  # noqa: E402
 from .oracle import (DOCS, MCQ, MARKER_PATTERN, MCQ_NO_OPTION, alpaca_answer,  # noqa: E402
                      alpaca_prompt, history_part, lit, role_prompt, single_turn,
                      strip, toks)
@@ -62,7 +62,7 @@ ORACLE["json_roundtrip"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + """
 SELECT source, example_id, instruction, input, output FROM chat_ex"""
 
 ORACLE["role_prompts"] = f"""
-SELECT conv_id * 1000 + turn AS prompt_id, {role_prompt('text')} AS prompt
+SELECT conv_id || ':' || turn AS prompt_id, {role_prompt('text')} AS prompt
 FROM conversations WHERE role = 'user'"""
 
 ORACLE["render_alpaca"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + f"""
@@ -70,7 +70,7 @@ SELECT source, example_id, {alpaca_prompt('instruction', 'input')} AS prompt,
        {alpaca_answer('output')} AS answer FROM chat_ex"""
 
 ORACLE["render_single_turn"] = f"""
-SELECT conv_id * 1000 + turn AS prompt_id, {single_turn('text')} AS prompt
+SELECT conv_id || ':' || turn AS prompt_id, {single_turn('text')} AS prompt
 FROM conversations WHERE role = 'user'"""
 
 _SLOT = "CASE WHEN g = {i} THEN answer WHEN g > {i} THEN d{j} ELSE d{k} END"
@@ -146,18 +146,30 @@ SELECT doc_id, {strip('text')} AS stripped, length(text) - length({strip('text')
 FROM documents"""
 
 _MK = lit(MARKER_PATTERN)
+
+
+def _unmarked(x: str) -> str:
+    """Markers removed again and again, far beyond the nesting of any given text."""
+    return (f"list_reduce(list_concat([{x}], list_transform(range(20), lambda i: '')), "
+            f"lambda s, i: regexp_replace(s, {_MK}, '', 'g'))")
+
+
 ORACLE["special_token_guard"] = with_(DOCS) + f"""
 SELECT example_id,
        coalesce(regexp_matches(instruction, {_MK}), false) OR coalesce(regexp_matches(input, {_MK}), false)
          OR coalesce(regexp_matches(output, {_MK}), false) AS had_marker,
-       regexp_replace(input, {_MK}, '', 'g') AS input, regexp_replace(output, {_MK}, '', 'g') AS output
+       {_unmarked('input')} AS input, {_unmarked('output')} AS output
 FROM docs"""
 
 ORACLE["filter_rows"] = with_(DOCS) + """
-SELECT d.example_id, CAST(l.quality AS BIGINT) AS quality, CAST(l.toxic AS BIGINT) AS toxic, length(d.input) AS n_in, length(d.output) AS n_out
-FROM docs d JOIN labels l ON l.doc_id = d.example_id
-WHERE l.quality = 1 AND l.toxic = 0 AND length(d.output) >= 1 AND length(d.output) <= 20000
-  AND length(d.output) <= 50.0 * greatest(length(d.input), 1)"""
+SELECT d.example_id, CAST(l.quality AS BIGINT) AS quality, CAST(l.toxic AS BIGINT) AS toxic, length(d.input) AS n_in, length(d.output) AS n_out,
+       concat_ws('; ', CASE WHEN l.quality <> 1 THEN 'quality' END, CASE WHEN l.toxic <> 0 THEN 'toxic' END,
+                 CASE WHEN l.doc_id IS NULL THEN 'unlabelled' END,
+                 CASE WHEN length(d.output) < 1 THEN 'output too short' END,
+                 CASE WHEN length(d.output) > 20000 THEN 'output too long' END,
+                 CASE WHEN length(d.output) > 50.0 * greatest(length(d.input), 1)
+                      THEN 'output too long for its input' END) AS reason
+FROM docs d LEFT JOIN labels l ON l.doc_id::VARCHAR = d.example_id"""
 
 
 def _subset(src: str, pct: float) -> str:
@@ -185,6 +197,41 @@ ORACLE["shuffle_index"] = with_(PAIRS, MCQ, DOCS, PAIRS_X, ALL) + f"""
 SELECT row_number() OVER (ORDER BY {md5key('source', 'example_id')}, example_id) - 1 AS pos,
        source, example_id FROM all_ex"""
 
+ORACLE["mix_sources_all"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + f"""
+SELECT row_number() OVER (ORDER BY {md5key('source', 'example_id')}, example_id) - 1 AS pos,
+       source, example_id FROM chat_ex"""
+
+ORACLE["sft_pairs_gaps"] = with_(PAIRS.replace("FROM conversations\n        WINDOW", "FROM spaced\n        WINDOW")
+                                 .replace("FROM conversations\n", "FROM spaced\n")
+                                 .replace("\npairs AS (", "\nspaced AS (SELECT * REPLACE (turn * 3 AS turn) FROM conversations),"
+                                          "\npairs AS (")) + """
+SELECT source, example_id, instruction, input, output, conv_id, turn FROM pairs"""
+
+# every copy of a text is a row of its own: numbered here, keyless in the engine
+ORACLE["encode_duplicates"] = with_(PAIRS, RENDERED, _V) + f"""
+, src AS (SELECT row_number() OVER () AS rn, coalesce(text, '') AS t FROM documents),
+arr AS (SELECT rn, {toks('t')} AS tk FROM src),
+x AS (SELECT rn, unnest(tk[1:{_N}]) AS token, generate_subscripts(tk[1:{_N}], 1) AS pos FROM arr),
+i AS (SELECT rn, string_agg(CAST(coalesce(v.id, 1) AS VARCHAR), ' ' ORDER BY pos) AS ids
+      FROM x LEFT JOIN vocab v USING (token) GROUP BY rn)
+SELECT coalesce(i.ids, '') AS input_ids, len(tk) AS n_tokens, least(len(tk), {_N}) AS length
+FROM arr LEFT JOIN i USING (rn)"""
+
+# pad = end-of-text (3): the count of other ids is what a pad-based length sees
+ORACLE["prompt_len_eos_pad"] = with_(PAIRS, RENDERED, _V, _E) + f"""
+SELECT example_id, len(list_filter(ids, lambda x: x <> 3)) AS len_non_pad, len(ids) AS len_true,
+       array_to_string(list_concat(ids, list_transform(range({_N} - len(ids)), lambda i: 3)), ' ') AS padded
+FROM enc"""
+
+# loss everywhere after the prompt, padded positions (end-of-text, 3) included
+ORACLE["encode_loss_on_padding"] = with_(PAIRS, RENDERED, _V, _E) + f"""
+, p AS (SELECT example_id, prompt_tokens,
+               list_concat(ids, list_transform(range({_N} - len(ids)), lambda i: 3)) AS input_ids FROM enc)
+SELECT example_id, array_to_string(input_ids, ' ') AS input_ids,
+       array_to_string(list_concat(list_transform(range(least(prompt_tokens, {_N})), lambda i: -100),
+                                   input_ids[least(prompt_tokens, {_N}) + 1:]), ' ') AS labels
+FROM p"""
+
 ORACLE["prompt_len_variants"] = with_(PAIRS, RENDERED, _V) + f"""
 , p AS (SELECT example_id, {toks('prompt')} AS pt FROM rendered)
 SELECT example_id, least(len(pt), {_N}) AS prompt_len_padded, least(len(pt), {_N}) AS prompt_len_trunc,
@@ -286,7 +333,9 @@ ORACLE["vocab_roundtrip"] = ORACLE["vocab"]
 ORACLE["shard_roundtrip"] = with_(PAIRS, RENDERED, _V, _E) + f"""
 , src AS (SELECT 'dialogue' AS source, example_id, ids, prompt_tokens FROM enc),
 pl AS {_plan('src', 1, CFG.batch_size, CFG.grad_accum, CFG.world_size)}
-SELECT CAST(rank AS BIGINT) AS rank, step, batch_id, example_id,
+SELECT CAST(rank AS BIGINT) AS rank, pos // {RUN} AS run,
+       row_number() OVER (PARTITION BY rank, pos // {RUN} ORDER BY pos) - 1 AS place,
+       CAST(1 AS BIGINT) AS n_files, step, batch_id, example_id,
        array_to_string(list_resize(ids, {_N}, 0), ' ') AS input_ids,
        array_to_string(list_transform(list_resize(ids, {_N}, 0), lambda x, i:
          CASE WHEN i - 1 < least(prompt_tokens, {_N}) OR i - 1 >= len(ids) THEN -100 ELSE x END), ' ') AS labels
@@ -301,7 +350,7 @@ SELECT example_id, array_to_string(ids, ' ') AS ids, prompt_tokens AS prompt_len
        true AS prefix_ok FROM enc"""
 
 ORACLE["generate_batch"] = f"""
-WITH p AS (SELECT conv_id * 1000 + turn AS prompt_id, {role_prompt('text')} AS prompt
+WITH p AS (SELECT conv_id || ':' || turn AS prompt_id, {role_prompt('text')} AS prompt
            FROM conversations WHERE role = 'user'),
 g AS (SELECT prompt_id, prompt, prompt || 'Noted ' || length(prompt) || ' characters.' AS generated FROM p)
 SELECT prompt_id, generated, {strip("replace(generated, prompt, '')")} AS answer FROM g"""
@@ -335,7 +384,7 @@ FROM pairs_h GROUP BY conv_id, u"""
 _GEN = f"""
 gen AS (
   SELECT example_id, {inst_prompt('instruction', 'input')} AS prompt, output AS expected,
-         {inst_prompt('instruction', 'input')} || CASE WHEN example_id % 3 = 0
+         {inst_prompt('instruction', 'input')} || CASE WHEN turn % 3 = 0
            THEN regexp_replace(output, '[.!?]', '', 'g') ELSE output END AS full_text
   FROM pairs)"""
 
@@ -380,15 +429,17 @@ preds AS (
   SELECT 'model_a' AS model, lang AS benchmark, doc_id AS item_id,
          CASE WHEN n_chars >= 1000 THEN 1 ELSE 0 END AS predicted FROM documents
   UNION ALL
-  SELECT 'model_b', lang, doc_id, CASE WHEN n_chars % 3 <> 0 THEN 1 ELSE 0 END FROM documents),
+  SELECT 'model_b', lang, doc_id, CASE WHEN n_chars % 3 <> 0 THEN 1 ELSE 0 END FROM documents
+  WHERE n_chars % 11 <> 0),
 gold AS (SELECT l.doc_id AS item_id, d.lang AS benchmark, l.quality AS gold
          FROM labels l JOIN documents d ON d.doc_id = l.doc_id)"""
 
 ORACLE["accuracy_rollup"] = with_(_PRED) + """
-SELECT model, benchmark, count(*) AS n_items,
-       CAST(sum(CASE WHEN predicted = gold THEN 1.0 ELSE 0.0 END) AS BIGINT) AS n_correct,
+SELECT model, benchmark, GROUPING(model, benchmark)::BIGINT AS grouping_id, count(*) AS n_items,
+       CAST(sum(CASE WHEN predicted = gold THEN 1 ELSE 0 END) AS BIGINT) AS n_correct,
+       count(*) FILTER (WHERE predicted IS NULL) AS n_unanswered,
        round(avg(CASE WHEN predicted = gold THEN 1.0 ELSE 0.0 END), 6) AS accuracy
-FROM preds JOIN gold USING (benchmark, item_id)
+FROM (SELECT DISTINCT model FROM preds) m CROSS JOIN gold LEFT JOIN preds USING (model, benchmark, item_id)
 GROUP BY ROLLUP (model, benchmark)"""
 
 _SCORES = """
@@ -419,8 +470,10 @@ SELECT benchmark, CAST(sum(CASE WHEN sa > sb THEN 1 ELSE 0 END) AS BIGINT) AS wi
 FROM per WHERE sa IS NOT NULL AND sb IS NOT NULL GROUP BY benchmark"""
 
 ORACLE["retrieve_topk"] = """
-WITH q AS (SELECT vec_id AS query_id, CAST(embedding AS DOUBLE[]) AS qv FROM embeddings WHERE vec_id < 20),
-c AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE vec_id >= 20),
+WITH x AS (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS p FROM embeddings),
+m AS (SELECT label, p, avg(x) AS m FROM x GROUP BY label, p),
+q AS (SELECT label::BIGINT AS query_id, list(m ORDER BY p) AS qv FROM m GROUP BY label),
+c AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
 s AS (SELECT q.query_id, c.vec_id,
              round(list_dot_product(q.qv, c.v) / (sqrt(list_dot_product(q.qv, q.qv)) * sqrt(list_dot_product(c.v, c.v))), 6) AS sim
       FROM q, c)
@@ -430,28 +483,45 @@ WHERE rank <= 5"""
 
 from .catalog import TRAIN_PCT  # noqa: E402
 
-_VALID = f"""
-valid AS (SELECT * FROM chat_ex
+def _training(chat: str, pct: float, order: str | None = None) -> str:
+    """Clean, guard, validate, subset, render, vocabulary, encode, plan, pad, mask.
+    ``order``: expressions that order an epoch; default the seeded key."""
+    made = {c: _unmarked(_clean(c)) for c in ("instruction", "input", "output")}
+    ready = f"""
+ready AS (SELECT source, example_id, {', '.join(f'{x} AS {c}' for c, x in made.items())} FROM {chat}),
+valid AS (SELECT * FROM ready
           WHERE instruction IS NOT NULL AND length({strip('instruction')}) > 0
-            AND output IS NOT NULL AND length({strip('output')}) > 0)"""
-_TRAIN = f"""
-sub AS {_subset('valid', TRAIN_PCT)},
-rtrain AS (SELECT source, example_id, source || ':' || CAST(example_id AS VARCHAR) AS uid,
+            AND output IS NOT NULL AND length({strip('output')}) > 0),
+sub AS {_subset('valid', pct)},
+rtrain AS (SELECT source, example_id, source || ':' || example_id AS uid,
                   {inst_prompt('instruction', 'input')} AS prompt, {inst_answer('output')} AS answer
            FROM sub)"""
-ORACLE["training_set"] = with_(PAIRS, MCQ, PAIRS_X, CHAT, _VALID, _TRAIN,
-                               vocab_cte(CFG.vocab_size, texts="rtrain"),
-                               encoded_cte(CFG.max_len, src="rtrain", key="uid")) + f"""
+    plan = _plan('src', CFG.epochs, CFG.batch_size, CFG.grad_accum, CFG.world_size)
+    if order:
+        plan = plan.replace(f"ORDER BY {md5key('e.epoch', 's.source', 's.example_id')}", f"ORDER BY {order}")
+    return ", ".join(x.strip("\n") for x in (ready, vocab_cte(CFG.vocab_size, texts="rtrain"),
+                                             encoded_cte(CFG.max_len, src="rtrain", key="uid"))) + f"""
 , src AS (SELECT r.source, r.example_id, e.ids, e.prompt_tokens FROM enc e JOIN rtrain r USING (uid)),
-pl AS {_plan('src', CFG.epochs, CFG.batch_size, CFG.grad_accum, CFG.world_size)}
+pl AS {plan}
 SELECT CAST(epoch AS BIGINT) AS epoch, CAST(rank AS BIGINT) AS rank, step,
        CAST(micro_step AS BIGINT) AS micro_step, batch_id, pos, source, example_id,
        array_to_string(list_resize(ids, {_N}, 0), ' ') AS input_ids,
        array_to_string(list_transform(list_resize(ids, {_N}, 0), lambda x, i:
          CASE WHEN i - 1 < least(prompt_tokens, {_N}) OR i - 1 >= len(ids) THEN -100 ELSE x END), ' ') AS labels,
-       least(prompt_tokens, {_N}) AS prompt_len, len(ids) AS length
+       least(prompt_tokens, {_N}) AS prompt_len, len(ids) AS length, 'inst' AS template
 FROM pl"""
 
+
+ORACLE["training_set"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + ", " + _training("chat_ex", TRAIN_PCT)
+ORACLE["training_set_all"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + ", " + _training("chat_ex", 100.0)
+ORACLE["json_training_set"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + f"""
+, rec AS (SELECT source, instruction, input, output,
+                 md5(coalesce(instruction, '') || chr(31) || coalesce(input, '') || chr(31) || coalesce(output, '')) AS h
+          FROM chat_ex),
+numbered AS (SELECT source, h || '-' || row_number() OVER (PARTITION BY source, h) AS example_id,
+                    instruction, input, output FROM rec), """ + _training(
+    "numbered", 100.0, "s.source, md5(s.example_id)")
+
 ORACLE["history_stream"] = with_(_CUT, _HIST) + """
 SELECT conv_id, u AS turn, min(h) AS start_turn, count(*) AS n_messages, CAST(sum(n) AS BIGINT) AS n_tokens,
        string_agg(part, '' ORDER BY h) AS prompt

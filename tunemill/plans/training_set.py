@@ -1,79 +1,132 @@
-"""The reference's data flow end to end, as one lazy plan per stage:
+"""The reference's data flow end to end:
 
-read -> validate -> exact subset per source -> mix -> render -> vocabulary
--> encode, truncate, pad, mask -> batch plan -> per-rank shards.
+read -> clean, guard, validate -> exact subset per source -> mix -> render ->
+vocabulary -> encode -> batch plan -> truncate, pad, mask -> per-rank shards.
 
-The vocabulary is written to the shared folder and read back before encoding:
-that cuts the lineage (a lost executor recomputes the encode from the saved
-vocabulary, not the whole vocabulary job) and it is the artefact the trainer
-needs anyway (S7). The shards are the stage output (S6).
+What is rejected is written with its reason. The rendered mix and the vocabulary
+are written once and read back, which cuts the lineage and is the artefact the
+trainer needs anyway (S7). Shuffles carry keys (the plan) and unpadded ids; mask,
+labels and padding are made after the last one.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import asdict, dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import SftConfig
+from ..functions.text import clean_text, tokenize
 from ..operators import batches as bat
 from ..operators import sampling as smp
 from ..operators import templates as tpl
 from ..operators import tokens as tk
 from ..operators import validate as val
 from ..session import materialize, shared_path
-from ..sources.io import write_table
+from ..sources.io import read_instruction_json, split_records, write_table
 
 
 @dataclass(frozen=True)
 class TrainingSet:
     vocab_path: str
     shards_path: str
-    rejected: DataFrame
+    rejected_path: str
+    config_path: str
+
+
+FIELDS = ["source", "example_id", "instruction", "input", "output"]
+
+
+def assign_example_ids(rows: DataFrame, source: str) -> DataFrame:
+    """Records (instruction, input, output) as examples of ``source``. The id is a hash of
+    the record and a running number among equal ones, so it does not depend on files or
+    order. Equal records are numbered within partitions of a written table, with offsets
+    from counts: a record that makes up much of the input is no single task."""
+    if "input" not in rows.columns:
+        rows = rows.withColumn("input", F.lit(""))
+    text = [F.coalesce(F.col(c), F.lit("")) for c in FIELDS[2:]]
+    d = materialize(rows.select(*FIELDS[2:], F.md5(F.concat_ws("\x1f", *text)).alias("h")), "records")
+    d = d.withColumn("part", F.spark_partition_id())
+    before = Window.partitionBy("h").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = d.groupBy("h", "part").agg(F.count(F.lit(1)).alias("n")).select(
+        F.col("h").alias("sh"), F.col("part").alias("sp"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("at"))
+    number = F.row_number().over(Window.partitionBy("h", "part").orderBy(F.lit(0))) + F.col("at")
+    d = d.join(starts, (F.col("h") == F.col("sh")) & (F.col("part") == F.col("sp")))
+    return d.select(F.lit(source).alias("source"), F.concat_ws("-", "h", number.cast("string")).alias("example_id"),
+                    *FIELDS[2:])
+
+
+def examples_from_json(spark: SparkSession, files: dict[str, str]) -> tuple[list[DataFrame], DataFrame]:
+    """(one example table per source, rejected records) of the JSON files of each source."""
+    tables, bad = [], None
+    for source, path in files.items():
+        good, rejected = split_records(materialize(read_instruction_json(spark, path), "json"))
+        tables.append(assign_example_ids(good, source))
+        rejected = rejected.select(F.lit(source).alias("source"), "record", "reason")
+        bad = rejected if bad is None else bad.unionByName(rejected)
+    return tables, bad
+
+
+def prepare(source: DataFrame, cfg: SftConfig) -> DataFrame:
+    """F5, F7, F4 on one source: cleaned and guarded fields, with ``valid`` and ``reason``."""
+    if "input" not in source.columns:
+        source = source.withColumn("input", F.lit(""))
+    d = source.select(*FIELDS)
+    if cfg.clean:
+        for c in FIELDS[2:]:
+            d = d.withColumn(c, clean_text(c))
+    if cfg.guard:
+        d = val.marker_guard(d).drop("had_marker")
+    return val.required_fields(d)
 
 
 def build_training_set(spark: SparkSession, sources: list[DataFrame], cfg: SftConfig,
                        out_path: str | None = None, vocab_path: str | None = None,
-                       rows_per_file: int = 200_000) -> TrainingSet:
-    """Writes vocabulary and shards; returns their paths and the rejected rows.
+                       rows_per_file: int = 200_000, also_rejected: DataFrame | None = None) -> TrainingSet:
+    """Writes vocabulary, shards, rejected rows (with ``also_rejected``: source, record,
+    reason) and the parameters; returns their paths.
 
-    ``sources`` are example tables (source, example_id, instruction, input,
-    output); each is subset on its own before the mix, as in the reference.
+    ``sources`` are example tables (source, example_id, instruction, output, and
+    input or not); each is subset on its own before the mix, as in the reference.
     """
-    checked = [val.required_fields(s) for s in sources]
-    rejected = smp.mix_strict(*[c.where(~F.col("valid")).drop("valid") for c in checked])
+    out_path = out_path or shared_path(spark, "shards")
+    vocab_path = vocab_path or shared_path(spark, "vocab")
+    paths = TrainingSet(vocab_path, out_path, f"{out_path}-rejected", f"{out_path}-config")
+    checked = [prepare(s, cfg).withColumn("source_rank", F.lit(i)) for i, s in enumerate(sources)]
+    rejected = smp.mix_strict(*[c.where(~F.col("valid")) for c in checked]).select(
+        "source", F.to_json(F.struct(*FIELDS[1:])).alias("record"), "reason")
+    if also_rejected is not None:
+        rejected = rejected.unionByName(also_rejected.select("source", "record", "reason"))
+    write_table(rejected, paths.rejected_path)
     kept = [c.where("valid").drop("valid", "reason") for c in checked]
     subsets = [smp.subset_pct(k, cfg.train_pct, cfg.seed, prefix_hex=cfg.index_prefix_hex)
                .drop("idx", "group_n") for k in kept]
-    # Written to the shared folder and read back: the validated, subset,
-    # rendered mix is computed once for the vocabulary, the plan and the
-    # encode, and a lost executor later recomputes from here, not from the
-    # raw tables.
-    mixed = materialize(tpl.render(smp.mix_strict(*subsets), cfg.template), "training-mix")
-
-    vocab_path = vocab_path or shared_path(spark, "vocab")
+    # The subset, rendered mix is computed once for the vocabulary, the plan and
+    # the encode; a lost executor later recomputes from here.
+    mixed = tpl.render(smp.mix_strict(*subsets), cfg.template).select(
+        "source", "source_rank", "example_id", "prompt", "answer")
+    if cfg.drop_all_masked:
+        mixed = mixed.where(F.size(tokenize("prompt")) < cfg.max_len)
+    mixed = materialize(mixed, "training-mix")
     write_table(tk.build_vocab(mixed, ["prompt", "answer"], cfg.vocab_size), vocab_path)
     vocab = spark.read.parquet(vocab_path)
+    write_table(spark.createDataFrame([tuple(str(v) for v in asdict(cfg).values())],
+                                      ", ".join(f"{k} string" for k in asdict(cfg))), paths.config_path)
 
-    enc = tk.encode_examples(mixed, vocab, cfg, carry=("source",))
-    # The plan is computed from the checkpointed keys (the index reads its
-    # input twice; reading keys twice is cheap, encoding twice is not) and
-    # joined to the encoded rows once; each row appears once per epoch.
-    plan = bat.batch_plan(mixed.select("source", "example_id"), cfg.epochs, cfg.batch_size,
-                          cfg.grad_accum, cfg.world_size, cfg.seed,
-                          prefix_hex=cfg.index_prefix_hex)
-    plan = plan.join(enc, ["source", "example_id"], "inner")
-    out = plan.select("epoch", "rank", "step", "micro_step", "batch_id", "pos", "source",
-                      "example_id", "input_ids", "attention_mask", "labels", "prompt_len",
-                      "length")
-    out_path = out_path or shared_path(spark, "shards")
-    # Positions are exact already, so contiguous runs of ``rows_per_file``
-    # positions are hash-partitioned as units (no sampling pass over the plan,
-    # as a range repartition would need). A task writes whole runs sorted by
-    # position; no task holds a whole (epoch, rank) shard.
+    # Ragged rows and the plan, which is made of keys only, meet once; each row
+    # appears once per epoch. Contiguous runs of ``rows_per_file`` positions are
+    # hash-partitioned as units, and a task writes whole runs in order.
+    enc = tk.encode_ids(mixed.select("source", "example_id", "prompt", "answer"), vocab, cfg)
+    plan = bat.batch_plan(mixed.select("source", "source_rank", "example_id"), cfg.epochs, cfg.batch_size,
+                          cfg.grad_accum, cfg.world_size, cfg.seed, prefix_hex=cfg.index_prefix_hex,
+                          shuffle=cfg.shuffle).drop("source_rank")
+    rows = plan.join(enc, ["source", "example_id"], "inner")
     run = F.floor(F.col("pos") / rows_per_file).cast("long")
-    ordered = (out.withColumn("run", run).repartition("epoch", "rank", "run")
+    ordered = (rows.withColumn("run", run).repartition("epoch", "rank", "run")
                .sortWithinPartitions("epoch", "rank", "run", "pos"))
-    write_table(ordered, out_path, partition_by=["epoch", "rank"])
-    return TrainingSet(vocab_path, out_path, rejected)
+    out = tk.pad_and_mask(ordered, cfg).select(
+        "epoch", "rank", "run", "step", "micro_step", "batch_id", "pos", "source", "example_id",
+        "input_ids", "attention_mask", "labels", "prompt_len", "length", F.lit(cfg.template).alias("template"))
+    write_table(out, out_path, partition_by=["epoch", "rank", "run"])
+    return paths
