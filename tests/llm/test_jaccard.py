@@ -129,6 +129,19 @@ def test_tree_keeps_what_the_bound_allows():
         assert set(want) <= set(tree.search(q, int(q.sum()), limit).tolist())
 
 
+def test_points_never_exclude_links():
+    rng = np.random.default_rng(2)
+    limit = jaccard.Threshold(4, 5)
+    for _ in range(1500):
+        a = np.unique(rng.integers(0, 2**63, int(rng.integers(6, 90))).astype(np.uint64))
+        b = np.unique(np.concatenate([a[rng.random(len(a)) < 0.93],
+                                      rng.integers(0, 2**63, int(rng.integers(0, 6))).astype(np.uint64)]))
+        for m in (3, 17, 60):
+            if len(b) and limit.linked(a, b):
+                assert jaccard.allowed(*jaccard.read_point(jaccard.point_of(a, m)),
+                                       *jaccard.read_point(jaccard.point_of(b, m)), limit)
+
+
 def test_components(spark):
     rng = random.Random(2)
     edges = [(i, i + 1) for i in range(0, 60)] + [(1000, i) for i in range(1001, 1400)] + [(7, 7)]

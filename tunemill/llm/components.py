@@ -19,8 +19,12 @@ def _smallest(edges: DataFrame) -> DataFrame:
     return edges.groupBy(F.col("u").alias("mu")).agg(F.min("v").alias("m"))
 
 
-def _mark(edges: DataFrame) -> tuple:
-    return edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first()[:]
+def _stars_only(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour, or none and only larger ones."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up")).union(
+        edges.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    per = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return not per.where("down > 1 or (down = 1 and up = 1)").take(1)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -28,8 +32,7 @@ def components(edges: DataFrame) -> DataFrame:
     ``root`` is the smallest node of its component."""
     e = cut(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
             .distinct(), "edges")
-    seen = _mark(e)
-    while seen[0]:
+    while not _stars_only(e):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         large = (both.join(_smallest(both), F.col("u") == F.col("mu")).where("v > u")
                  .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct())
@@ -38,9 +41,5 @@ def components(edges: DataFrame) -> DataFrame:
         small = (joined.select("u", F.col("m").alias("v"))
                  .union(joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))))
         e = cut(small.distinct(), "small-star")
-        now = _mark(e)
-        if now == seen:
-            break
-        seen = now
     return (e.select(F.col("u").alias("node"), F.col("v").alias("root"))
             .union(e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()))

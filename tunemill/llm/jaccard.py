@@ -12,13 +12,17 @@ is a signature under which the pair is sure to meet, with nothing capped.
    the signatures of several sets give a star: every set and the smallest one.
    What occurs often within a task is starred there and sent on as one entry, so
    a signature that a third of all documents hold is no hot group.
-3. Star pairs are verified on their texts; verified ones are contracted to
-   components. Near copies are joined by this, without forming all pairs.
-4. A signature whose sets are still in several components is a block. Its
-   points, in tiles of bounded size, are packed into an R-tree (nodes keep the
-   coordinates' maxima and the least size); every point outside the block's
-   largest component searches it, subtrees whose bound is too low are left out,
-   and survivors in other components are verified as in 3.
+3. Star pairs whose points allow a link join their sets to candidate components.
+   A signature whose sets are still in several of them is a block: its points, in
+   tiles of bounded size, are packed into an R-tree (nodes keep the coordinates'
+   maxima and the least size), every point outside the block's largest component
+   searches it, and what the bound allows joins components, one edge per join.
+   So all linked sets share a candidate component; no pairs are listed.
+4. The sets of a candidate component meet once, in tiles: an R-tree over their
+   counts in many groups yields, for each set, partners that are not connected
+   with it yet; these are verified on the sets themselves. A component of
+   several tiles has its first sets in each of them, and what its tiles leave
+   apart is compared across tiles, the largest connected part against the rest.
 
 Nothing depends on the order of rows or tasks, and each step ends in a table in
 the shared folder.
@@ -37,7 +41,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,7 +51,8 @@ from .components import components
 GROWTH = 1.6  # ratio of size classes
 FLUSH = 1 << 21  # signatures a task holds before it sends them
 LOCAL = 32  # sets under one signature in a flush from which they are starred in place
-TILE = 512  # points of an R-tree
+TILE = 1024  # points of an R-tree
+HUBS = 4  # sets that are in all tiles of a component
 FANOUT = 16
 U = np.uint64
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -172,16 +177,21 @@ def _shared(sig: np.ndarray, key: np.ndarray):
 
 
 def _stars(sig, key, begin, count, wide):
-    """Of the chosen signatures: rows (signature, key) and pairs (key, smallest key)."""
+    """Of the chosen signatures: rows (signature, key) and pairs (key, smallest key, class)."""
     inside = np.repeat(wide, count)
-    hub = np.repeat(key[begin], count)
-    pairs = np.unique(np.stack([key[inside], hub[inside]], 1), axis=0) if inside.any() else np.zeros((0, 2), np.int64)
-    return sig[inside].view(np.int64), key[inside], pairs[pairs[:, 0] != pairs[:, 1]]
+    hub = np.repeat(key[begin], count)[inside]
+    sig, key = sig[inside], key[inside]
+    kind = (sig & U(0xFF)).astype(np.int64)
+    order = np.lexsort((kind, hub, key))
+    pairs = np.stack([key, hub, kind])[:, order]
+    new = np.ones(len(order), bool)
+    new[1:] = (pairs[:, 1:] != pairs[:, :-1]).any(0)
+    return sig.view(np.int64), key, pairs[:, new & (pairs[0] != pairs[1])]
 
 
 def meet(docs: DataFrame, text_col: str, n: int, limit: Threshold) -> DataFrame:
     """Where sets meet: rows ``pair`` true (``a``: set, ``b``: the smallest set under a
-    shared signature) and false (``a``: shared signature, ``b``: a set that has it)."""
+    shared signature of the class) and false (``a``: shared signature, ``b``: a set that has it)."""
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = docs.select(F.col(text_col).alias("text"))
@@ -200,7 +210,7 @@ def meet(docs: DataFrame, text_col: str, n: int, limit: Threshold) -> DataFrame:
         edge = np.searchsorted(bucket[order], np.arange(buckets + 1))
         rows = [(b, 0, np.stack([sig[o].view(np.int64), key[o]]).tobytes())
                 for b in range(buckets) if len(o := order[edge[b]:edge[b + 1]])]
-        for kind, data in ((1, pairs.T), (2, np.stack([members, holders]))):
+        for kind, data in ((1, pairs), (2, np.stack([members, holders]))):
             for piece in np.array_split(data, max(1, data.shape[1] // 4096), axis=1):
                 if piece.shape[1]:  # anywhere, evenly
                     rows.append((int(piece[1, 0] % buckets), kind, np.ascontiguousarray(piece).tobytes()))
@@ -224,46 +234,28 @@ def meet(docs: DataFrame, text_col: str, n: int, limit: Threshold) -> DataFrame:
             yield flush(sigs, keys)
 
     def gather(batches):
-        names = ["pair", "a", "b"]
         sig, key = [], []
-        def out(pair, a, b):
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), pair)), pa.array(a), pa.array(b)], names)
+
+        def out(pair, a, b, kind):
+            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), pair)), pa.array(a), pa.array(b),
+                                               pa.array(kind.astype(np.int32))], ["pair", "a", "b", "class"])
+
         for batch in batches:
             for kind, data in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                x = np.frombuffer(data, np.int64).reshape(2, -1)
+                x = np.frombuffer(data, np.int64).reshape(3 if kind == 1 else 2, -1)
                 if kind:
-                    yield out(kind == 1, x[0], x[1])
+                    yield out(kind == 1, x[0], x[1], x[2] if kind == 1 else x[0] & 255)
                 else:
                     sig.append(x[0])
                     key.append(x[1])
         if sig:
             s, k, begin, count = _shared(np.concatenate(sig).view(np.uint64), np.concatenate(key))
             members, holders, pairs = _stars(s, k, begin, count, count > 1)
-            yield out(False, members, holders)
-            yield out(True, pairs[:, 0].copy(), pairs[:, 1].copy())
+            yield out(False, members, holders, members & 255)
+            yield out(True, *pairs)
 
     sent = own.mapInArrow(sign, "bucket int, kind int, data binary").repartition(buckets, "bucket")
-    return sent.select("bucket", "kind", "data").mapInArrow(gather, "pair boolean, a long, b long")
-
-
-def verify(pairs: DataFrame, texts: DataFrame, n: int, limit: Threshold) -> DataFrame:
-    """Those of the pairs (``a``, ``b``) whose sets are linked, as ``u``, ``v``."""
-    left = texts.select(F.col("key").alias("a"), F.col("text").alias("ta"))
-    right = texts.select(F.col("key").alias("b"), F.col("text").alias("tb"))
-    both = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
-
-    def run(batches):
-        last = (None, None)
-        for batch in batches:
-            keep = []
-            for ta, tb in zip(batch.column(2), batch.column(3)):
-                if last[0] != (tb := tb.as_py()):  # rows of one b come together
-                    last = tb, shingles(tb, n)
-                keep.append(limit.linked(shingles(ta.as_py(), n), last[1]))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["u", "v"])
-
-    return both.mapInArrow(run, "u long, v long")
+    return sent.select("bucket", "kind", "data").mapInArrow(gather, "pair boolean, a long, b long, class int")
 
 
 class RTree:
@@ -291,6 +283,42 @@ class RTree:
         return self.order[at]
 
 
+class Forest(dict):
+    """Union-find over 64-bit labels; the smallest label is a tree's root."""
+
+    def find(self, x: int) -> int:
+        while (up := self.setdefault(x, x)) != x:
+            self[x] = x = self.setdefault(up, up)
+        return x
+
+    def join(self, x: int, y: int) -> None:
+        x, y = self.find(x), self.find(y)
+        self[max(x, y)] = min(x, y)
+
+    def edges(self) -> list[tuple[int, int]]:
+        return [(x, r) for x in list(self) if (r := self.find(x)) != x]
+
+
+def point_of(u: np.ndarray, m: int) -> bytes:
+    """Counts of the groups, and eight bits of each group's content."""
+    g = group_of(u, m).astype(np.int64)
+    content = np.zeros(m, np.uint64)
+    np.add.at(content, g, mix(u))
+    return np.bincount(g, minlength=m).astype("<u2").tobytes() + (mix(content) & U(0xFF)).astype(np.uint8).tobytes()
+
+
+def read_point(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    m = len(data) // 3
+    return np.frombuffer(data, "<u2", m), np.frombuffer(data, np.uint8, m, 2 * m)
+
+
+def allowed(p, h, q, k, limit: Threshold) -> np.ndarray:
+    """Whether the points ``p`` (contents ``h``) may be linked with ``q`` (``k``). A group
+    of equal counts but other content shares at least one hash less than it counts."""
+    both = np.minimum(p, q).sum(-1, dtype=np.int64) - ((p == q) & (h != k)).sum(-1)
+    return both >= limit.overlap(p.sum(-1, dtype=np.int64) + int(q.sum()))
+
+
 def count_vectors(texts: DataFrame, n: int, limit: Threshold) -> DataFrame:
     """(``key``, ``class``, ``point``) for every class in which a set is searched."""
     def run(batches):
@@ -298,73 +326,152 @@ def count_vectors(texts: DataFrame, n: int, limit: Threshold) -> DataFrame:
             rows = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
                 u = shingles(text.as_py(), n)
-                for c, m, _ in limit.classes(len(u)):
-                    rows.append((key, c, np.bincount(group_of(u, m).astype(np.int64), minlength=m)
-                                 .astype("<i4").tobytes()))
+                rows += [(key, c, point_of(u, m)) for c, m, _ in limit.classes(len(u))]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
                 zip(*rows) if rows else [[]] * 3, (pa.int64(), pa.int32(), pa.binary()))], ["key", "class", "point"])
 
     return texts.select("key", "text").mapInArrow(run, "key long, class int, point binary")
 
 
-def block_pairs(blocks: DataFrame, limit: Threshold) -> DataFrame:
-    """Pairs in different components whose bound allows a link, from tiles: rows
-    (``sig``, ``i``, ``j``, ``query``, ``key``, ``root``, ``point``)."""
-    dealt = blocks.repartition("sig", "i", "j").sortWithinPartitions("sig", "i", "j")
+def _edge_batch(found) -> pa.RecordBatch:
+    u, v = zip(*found) if found else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
 
-    def tile(rows) -> Iterator[tuple[int, int]]:
-        tree = [r for r in rows if not r[0]]
-        if not tree:
-            return
-        points = np.array([np.frombuffer(r[3], "<i4") for r in tree])
-        t = RTree(points, points.sum(1))
-        for _, key, root, point in (r for r in rows if r[0]):
-            q = np.frombuffer(point, "<i4")
-            for x in t.search(q, int(q.sum()), limit):
-                if tree[x][2] != root:
-                    yield max(key, tree[x][1]), min(key, tree[x][1])
+
+def star_edges(stars: DataFrame, points: DataFrame, limit: Threshold) -> DataFrame:
+    """The star pairs (``a``, ``b``, ``class``) whose points allow a link."""
+    own = lambda end: points.select(F.col("key").alias(end), "class", F.col("point").alias(f"p{end}"))
+    both = stars.join(own("a"), ["a", "class"]).join(own("b"), ["b", "class"]).select("a", "b", "pa", "pb")
 
     def run(batches):
-        here, rows = None, []
         for batch in batches:
-            found = set()
-            for sig, i, j, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                if here != (sig, i, j):
-                    found.update(tile(rows))
-                    here, rows = (sig, i, j), []
-                rows.append(row)
-            yield _pair_batch(found)
-        yield _pair_batch(set(tile(rows)))
+            keep = [bool(allowed(*read_point(x), *read_point(y), limit))
+                    for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist())]
+            mask = pa.array(keep, pa.bool_())
+            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["u", "v"])
 
-    return dealt.select("sig", "i", "j", "query", "key", "root", "point").mapInArrow(run, "a long, b long").distinct()
+    return both.mapInArrow(run, "u long, v long").distinct()
 
 
-def _pair_batch(found) -> pa.RecordBatch:
-    a, b = zip(*found) if found else ((), ())
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+def _tiled(rows: DataFrame, by: list[str], columns: list[str], work) -> DataFrame:
+    """Edges that ``work`` finds in the rows of each tile (columns ``by``)."""
+    k = len(by)
+    dealt = rows.repartition(*by).sortWithinPartitions(*by).select(*by, *columns)
+
+    def run(batches):
+        here, held = None, []
+        for batch in batches:
+            found = []
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if here != row[:k]:
+                    found += work(held)
+                    here, held = row[:k], []
+                held.append(row[k:])
+            yield _edge_batch(found)
+        yield _edge_batch(work(held))
+
+    return dealt.mapInArrow(run, "u long, v long").distinct()
+
+
+def block_edges(blocks: DataFrame, limit: Threshold) -> DataFrame:
+    """Edges between components with points that allow a link, from the tiles of
+    blocks (``group``, ``i``, ``j``, ``query``, ``key``, ``root``, ``point``)."""
+    def work(rows):
+        tree = [r for r in rows if not r[0]]
+        if not tree or len(tree) == len(rows):
+            return []
+        p, h = (np.array(x) for x in zip(*(read_point(r[3]) for r in tree)))
+        t, forest = RTree(p, p.sum(1, dtype=np.int64)), Forest()
+        for _, _, root, point in (r for r in rows if r[0]):
+            q, k = read_point(point)
+            at = t.search(q, int(q.sum()), limit)
+            for x in at[allowed(p[at], h[at], q, k, limit)]:
+                forest.join(root, tree[x][2])
+        return forest.edges()
+
+    return _tiled(blocks, ["group", "i", "j"], ["query", "key", "root", "point"], work)
+
+
+def connect(rows: list[tuple], n: int, limit: Threshold) -> list[tuple[int, int]]:
+    """Edges that connect what is linked among (query, key, label, text): queries
+    against the others, or all against all if there are no queries."""
+    tree = list({r[1]: r for r in rows if not r[0]}.values())
+    asked = [r for r in rows if r[0]]
+    sets = [shingles(r[3], n) for r in tree]
+    if len(tree) + len(asked) < 2:
+        return []
+    groups = int(min(2048, max(64, 2 ** np.ceil(np.log2(2 * np.median([len(u) for u in sets]) + 1)))))
+    count = lambda u: np.bincount(group_of(u, groups).astype(np.int64), minlength=groups)
+    points = np.array([count(u) for u in sets])
+    kind = np.uint8 if points.max() < 256 else np.uint32
+    sizes = np.array([len(u) for u in sets])
+    t, forest = RTree(points.astype(kind), sizes), Forest()
+    queries = ((r[2], shingles(r[3], n)) for r in asked) if asked else ((r[2], u) for r, u in zip(tree, sets))
+    for label, u in queries:
+        q = count(u)
+        if q.max() > np.iinfo(kind).max:
+            q = np.minimum(q, np.iinfo(kind).max)  # no count in the tree is larger
+        for x in t.search(q.astype(kind), len(u), limit).tolist():
+            if forest.find(label) != forest.find(tree[x][2]) and limit.linked(u, sets[x]):
+                forest.join(label, tree[x][2])
+    return forest.edges()
 
 
 def tiles(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Rows of the signatures whose sets are in several components. Every set goes
-    to tile row i of each tile column j; the sets outside the block's largest
-    component are also the queries of column j against all rows."""
+    """Tiles of the groups (``group``, ``key``) whose sets are in several components.
+    Every set goes to tile row i of each tile column j; the sets outside the group's
+    largest component are also the queries of column j against all rows."""
     own = members.join(roots, F.col("key") == F.col("node"), "left").select(
-        "sig", "key", F.coalesce("root", "key").alias("root"))
-    per = own.groupBy("sig", "root").agg(F.count(F.lit(1)).alias("n")).groupBy(F.col("sig").alias("msig")).agg(
+        "group", "key", F.coalesce("root", "key").alias("root"))
+    per = own.groupBy("group", "root").agg(F.count(F.lit(1)).alias("n")).groupBy(F.col("group").alias("mixed")).agg(
         F.sum("n").alias("n"), F.max_by("root", F.struct("n", "root")).alias("major"), F.max("n").alias("most"))
     mixed = cut(per.where("n > most"), "mixed")
-    rows = own.join(mixed, F.col("sig") == F.col("msig")).drop("msig")
+    rows = own.join(mixed, F.col("group") == F.col("mixed"))
     high, wide = F.ceil(F.col("n") / TILE), F.ceil((F.col("n") - F.col("most")) / TILE)
-    spot = F.xxhash64("key")
-    base = rows.select(
-        "sig", F.pmod(spot, high).alias("i"), F.explode(F.sequence(F.lit(0).cast("long"), wide - 1)).alias("j"),
-        F.lit(False).alias("query"), "key", "root")
+    spot, zero = F.xxhash64("key"), F.lit(0).cast("long")
+    base = rows.select("group", F.pmod(spot, high).alias("i"), F.explode(F.sequence(zero, wide - 1)).alias("j"),
+                       F.lit(False).alias("query"), "key", "root")
     ask = rows.where(F.col("root") != F.col("major")).select(
-        "sig", F.explode(F.sequence(F.lit(0).cast("long"), high - 1)).alias("i"), F.pmod(spot, wide).alias("j"),
+        "group", F.explode(F.sequence(zero, high - 1)).alias("i"), F.pmod(spot, wide).alias("j"),
         F.lit(True).alias("query"), "key", "root")
     return base.union(ask)
 
 
+def linked_roots(clusters: DataFrame, texts: DataFrame, n: int, limit: Threshold) -> DataFrame:
+    """(``node``, ``root``) of the linked sets within candidate components (``node``, ``root``)."""
+    work = lambda rows: connect(rows, n, limit)
+    size = cut(clusters.groupBy(F.col("root").alias("_root")).agg(F.count(F.lit(1)).alias("n")), "sizes")
+    rows = clusters.join(size, F.col("root") == F.col("_root")).select(
+        F.col("root").alias("group"), F.col("node").alias("key"), "n", F.ceil(F.col("n") / TILE).alias("high"))
+    wide = rows.where(F.col("n") > TILE)
+    first = Window.partitionBy("group").orderBy("key")
+    hubs = wide.withColumn("r", F.row_number().over(first)).where(F.col("r") <= HUBS).select(
+        "group", "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("high") - 1)).alias("i"))
+    placed = rows.select("group", "key", F.pmod(F.xxhash64("key"), F.col("high")).alias("i")).union(hubs)
+    met = placed.join(texts, "key").select("group", "i", F.lit(False).alias("query"), "key",
+                                           F.col("key").alias("label"), "text")
+    edges = cut(_tiled(met, ["group", "i"], ["query", "key", "label", "text"], work), "linked")
+    roots = cut(components(edges), "roots")
+    if not wide.take(1):
+        return roots
+    apart = tiles(wide.select("group", "key"), roots).join(texts, "key")
+    more = cut(_tiled(apart, ["group", "i", "j"], ["query", "key", "root", "text"], work), "linked")
+    return cut(merged(roots, more), "roots") if more.take(1) else roots
+
+
+def merged(roots: DataFrame, more: DataFrame) -> DataFrame:
+    """``roots`` after further edges, of which only those between components are contracted."""
+    own = lambda end: roots.select(F.col("node").alias(f"{end}n"), F.col("root").alias(f"{end}r"))
+    between = more
+    for end in ("u", "v"):
+        between = between.join(own(end), F.col(end) == F.col(f"{end}n"), "left")
+    between = between.select(F.coalesce("ur", "u").alias("u"), F.coalesce("vr", "v").alias("v"))
+    top = cut(components(between), "tops").select(F.col("node").alias("t"), F.col("root").alias("top"))
+    moved = roots.join(top, F.col("root") == F.col("t"), "left").select("node", F.coalesce("top", "root").alias("root"))
+    alone = top.join(roots.select("node"), F.col("t") == F.col("node"), "left_anti")
+    return moved.union(alone.select(F.col("t").alias("node"), F.col("top").alias("root")))
+
+
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5,
          num: int = 4, den: int = 5) -> DataFrame:
     """(``id``, ``n_shingles``, ``key``, ``root``, ``component_id``) per row of ``docs``;
@@ -372,25 +479,22 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     limit = Threshold(num, den)
     sets = cut(describe(docs, id_col, text_col, n), "sets")
     met = cut(meet(docs, text_col, n, limit), "met")
-    stars = met.where("pair").select("a", "b").distinct()
-    members = met.where("not pair").select(F.col("a").alias("sig"), F.col("b").alias("key"))
-
-    wanted = members.select("key").distinct()
-    chosen = (sets.where("key is not null").groupBy("key").agg(F.min("id").alias("of"))
-              .join(wanted, "key"))
-    texts = cut(docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"))
-                .join(cut(chosen, "chosen"), F.col("_id").eqNullSafe(F.col("of")))
-                .select("key", "text"), "texts")
-    texts = cut(_own_texts(texts, n), "texts")
-    edges = cut(verify(stars, texts, n, limit), "linked")
-    roots = cut(components(edges), "roots")
-
-    points = count_vectors(texts, n, limit)
-    blocks = tiles(members, roots).withColumn("class", F.col("sig").bitwiseAND(255).cast("int"))
-    rest = verify(block_pairs(blocks.join(points, ["key", "class"]), limit), texts, n, limit)
-    more = cut(rest, "linked")
+    members = met.where("not pair").select(F.col("a").alias("group"), F.col("b").alias("key"))
+
+    chosen = cut(sets.where("key is not null").groupBy("key").agg(F.min("id").alias("of"))
+                 .join(members.select("key").distinct(), "key"), "chosen")
+    by_id = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(
+        chosen, F.col("_id").eqNullSafe(F.col("of"))).select("key", "text")
+    texts = cut(_own_texts(by_id, n), "texts")
+    points = cut(count_vectors(texts, n, limit), "points")
+
+    stars = met.where("pair").select("a", "b", "class").distinct()
+    clusters = cut(components(star_edges(stars, points, limit)), "clusters")
+    blocks = tiles(members, clusters).withColumn("class", F.col("group").bitwiseAND(255).cast("int"))
+    more = cut(block_edges(blocks.join(points, ["key", "class"]), limit), "block-edges")
     if more.take(1):
-        roots = cut(components(edges.union(more)), "roots")
+        clusters = cut(merged(clusters, more), "clusters")
+    roots = linked_roots(clusters, texts, n, limit)
 
     found = sets.join(roots, F.col("key") == F.col("node"), "left").select(
         "id", "n_shingles", "key", F.coalesce("root", "key").alias("root"))

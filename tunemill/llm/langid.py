@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import fresh
+from .common import cut, fresh
 
 BITS = 15
 BUCKETS = 1 << BITS
@@ -211,7 +211,8 @@ def document_frequencies(texts: DataFrame, text_col: str) -> tuple[np.ndarray, i
 
 def sample(training: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> list[tuple]:
     """Bucket counts of a bounded sample of each language, picked by a hash of the id."""
-    per = training.groupBy(F.col(lang_col).alias("_lang")).agg(F.count(F.lit(1)).alias("_n"))
+    # Written, so that Spark sees its size before it plans the join: no text is shuffled.
+    per = cut(training.groupBy(F.col(lang_col).alias("_lang")).agg(F.count(F.lit(1)).alias("_n")), "languages")
     unit = lambda salt: (F.xxhash64(F.lit(salt), F.col(id_col)) / F.lit(2.0**64) + 0.5)
     picked = (training.select(id_col, text_col, lang_col, unit("pick").alias("u"), unit("fold").alias("fold"))
               .join(per, F.col(lang_col) == F.col("_lang"))
