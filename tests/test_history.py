@@ -1,4 +1,4 @@
-"""Chat history: batch form against a brute-force run of the reference's loop,
+"""Chat history: batch form against its plain definition,
 golden eviction cases, and the stream against the batch form."""
 
 import os
@@ -9,7 +9,8 @@ import regex
 from pyspark.sql import functions as F
 
 from conftest import SF_ORACLE, py_token_regex
-from tunemill.config import TOKEN_PATTERN
+from tunemill.config import (HISTORY_OTHER_TAIL, HISTORY_USER_HEAD, HISTORY_USER_TAIL,
+                             TOKEN_PATTERN)
 from tunemill.operators import history as hist
 from tunemill.streaming.history_stream import run_history_stream
 
@@ -20,32 +21,31 @@ def n_tok(s):
     return len(TOK.findall(s))
 
 
-def render(hist_):
-    return "".join(f"<s>[INST] {m.strip()} [/INST] " if r == "user" else f"{m.strip()} </s>"
-                   for r, m in hist_)
+def render(messages):
+    """The rendered text of (turn, role, text) messages."""
+    forms = {True: (HISTORY_USER_HEAD, HISTORY_USER_TAIL), False: ("", HISTORY_OTHER_TAIL)}
+    return "".join(m.strip().join(forms[role == "user"]) for _, role, m in messages)
 
 
 def brute_force(turns, budget, align=False):
-    """The reference's loop: append, re-render, re-count, drop the oldest."""
-    out = {}
-    by_conv = {}
-    for c, t, r, x in turns:
-        by_conv.setdefault(c, []).append((t, r, x))
-    for c, rows in by_conv.items():
-        h = []
-        for t, r, x in sorted(rows):
-            if r == "user" and x.strip() == "":
-                break
-            h.append((t, r, x))
-            if r != "user":
+    """By definition: a user turn keeps the longest run of messages that ends with it and
+    fits the budget, or itself alone; the chat ends before its first blank user message."""
+    chats, out = {}, {}
+    for conv, *message in sorted(turns, key=lambda t: t[:2]):
+        chats.setdefault(conv, []).append(tuple(message))
+    for conv, messages in chats.items():
+        blank = [i for i, (_, role, text) in enumerate(messages) if role == "user" and not text.strip()]
+        messages = messages[:min(blank, default=len(messages))]
+        for last, (turn, role, _) in enumerate(messages):
+            if role != "user":
                 continue
-            while n_tok(render([(a, b) for _, a, b in h])) > budget and len(h) > 1:
-                h.pop(0)
-            kept = h
+            first = last
+            while first and n_tok(render(messages[first - 1:last + 1])) <= budget:
+                first -= 1
+            kept = messages[first:last + 1]
             if align:
-                first = next(i for i, m in enumerate(kept) if m[1] == "user")
-                kept = kept[first:]
-            out[(c, t)] = (kept[0][0], len(kept), render([(a, b) for _, a, b in kept]))
+                kept = kept[[m[1] for m in kept].index("user"):]
+            out[conv, turn] = (kept[0][0], len(kept), render(kept))
     return out
 
 
@@ -60,7 +60,7 @@ def conv(spark):
 
 
 @pytest.mark.parametrize("budget", [64, 128, 256, 896])
-def test_history_equals_loop(spark, conv, budget):
+def test_history_equals_definition(spark, conv, budget):
     rows = [tuple(r) for r in conv.select("conv_id", "turn", "role", "text").collect()]
     assert batch(spark, conv, budget) == brute_force(rows, budget)
 

@@ -2,6 +2,7 @@
 most examples. Results must stay exact (no rows dropped or capped)."""
 
 import os
+import random
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from conftest import SF_ORACLE
 from test_history import batch, brute_force
 from tunemill.operators import sampling as smp
 from tunemill.sources.examples import dialogue_pairs
-from tunemill.streaming.history_stream import run_history_stream
+from tunemill.streaming.history_stream import read_late, run_history_stream
 
 
 def skewed_turns(spark):
@@ -49,19 +50,45 @@ def test_hot_source_exact_subset(spark):
     assert got == {"hot": int(19000 * 12.5 / 100), "cold": int(1000 * 12.5 / 100)}
 
 
-def test_stream_drops_late_turns(spark, tmpdir_path):
-    rows = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 3, "user", "d")]
-    late = [(1, 2, "assistant", "c"), (1, 4, "assistant", "e"), (1, 5, "user", "f")]
-    schema = "conv_id long, turn long, role string, text string"
-    src = os.path.join(tmpdir_path, "late")
-    os.makedirs(src)
-    for i, part in enumerate([rows, late]):
-        out = os.path.join(tmpdir_path, f"w{i}")
-        spark.createDataFrame(part, schema).coalesce(1).write.parquet(out)
+SCHEMA = "conv_id long, turn long, role string, text string"
+
+
+def files(spark, folder, parts, start=0):
+    """One parquet file per part in ``folder/src``, in order of time."""
+    src = os.path.join(folder, "src")
+    os.makedirs(src, exist_ok=True)
+    for i, part in enumerate(parts, start):
+        out = os.path.join(folder, f"w{i}")
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.parquet(out)
         f = [x for x in os.listdir(out) if x.endswith(".parquet")][0]
         os.link(os.path.join(out, f), os.path.join(src, f"{i:03d}.parquet"))
         os.utime(os.path.join(src, f"{i:03d}.parquet"), (1_000_000 + i, 1_000_000 + i))
-    got = {r.turn: (r.start_turn, r.n_messages) for r in
-           run_history_stream(spark, src, 1000, files_per_trigger=1).collect()}
-    # turn 2 came after turn 3 was processed: dropped, the rest goes on
-    assert got == {0: (0, 1), 3: (0, 3), 5: (0, 5)}
+    return src
+
+
+def test_stream_waits_for_late_turns_and_lists_the_rest(spark, tmpdir_path):
+    first = [(1, 0, "user", "a"), (1, 1, "assistant", "b"), (1, 3, "user", "d"), (2, 5, "user", "x")]
+    then = [(1, 2, "assistant", "c"), (1, 4, "assistant", "e"), (1, 5, "user", "f"), (1, 5, "user", "f")]
+    src = files(spark, tmpdir_path, [first, then])
+    for hold, want, late in (
+            (64, {(1, 0): (0, 1), (1, 3): (0, 4), (1, 5): (0, 6)}, {(1, 5, "repeated")}),
+            (0, {(1, 0): (0, 1), (1, 3): (0, 3), (1, 5): (0, 5), (2, 5): (5, 1)}, {(1, 2, "late"), (1, 5, "repeated")})):
+        sink = os.path.join(tmpdir_path, f"sink{hold}")
+        got = run_history_stream(spark, src, 1000, files_per_trigger=1, sink=sink, hold=hold)
+        assert {(r.conv_id, r.turn): (r.start_turn, r.n_messages) for r in got.collect()} == want
+        assert {tuple(r) for r in read_late(spark, sink).collect()} == late
+
+
+def test_stream_stops_and_goes_on(spark, tmpdir_path):
+    rows = [tuple(r) for r in spark.read.parquet(f"{SF_ORACLE}/conversations.parquet")
+            .select("conv_id", "turn", "role", "text").collect()]
+    random.Random(1).shuffle(rows)
+    parts = [rows[i::8] for i in range(8)]
+    sink = os.path.join(tmpdir_path, "sink")
+    src = files(spark, tmpdir_path, parts[:5])
+    some = run_history_stream(spark, src, 128, sink=sink).count()
+    files(spark, tmpdir_path, parts[5:], 5)
+    got = run_history_stream(spark, src, 128, sink=sink).collect()
+    assert some < len(got)
+    assert {(r.conv_id, r.turn): (r.start_turn, r.n_messages, r.prompt) for r in got} == brute_force(rows, 128)
+    assert read_late(spark, sink).count() == 0

@@ -65,15 +65,12 @@ MCQ_NO_OPTION = "None of the above"
 
 # Python's str.strip() whitespace set, spelled out so that the JVM regex
 # engine and RE2 (used by the SQL oracle) agree code point for code point.
-WS_CLASS = (
-    r"\x{9}-\x{D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}"
-    r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
-)
-STRIP_PATTERN = rf"^[{WS_CLASS}]+|[{WS_CLASS}]+$"
-# The same set as characters, for the JVM's set-based trim (no regex scan).
 _WS_RANGES = ((0x9, 0xD), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680),
               (0x2000, 0x200A), (0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F),
               (0x3000, 0x3000))
+WS_CLASS = "".join(rf"\x{{{lo:X}}}" + (rf"-\x{{{hi:X}}}" if hi > lo else "") for lo, hi in _WS_RANGES)
+STRIP_PATTERN = rf"^[{WS_CLASS}]+|[{WS_CLASS}]+$"
+# The same set as characters, for the JVM's set-based trim (no regex scan).
 WS_CHARS = "".join(chr(c) for lo, hi in _WS_RANGES for c in range(lo, hi + 1))
 
 # Token pattern of the built-in tokenizer: markers, letter/digit runs, and

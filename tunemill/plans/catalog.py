@@ -546,10 +546,12 @@ def history_prompt(spark, d):
 
 @query
 def history_stream(spark, d):
-    """The same history, computed by a stateful stream over the turn log."""
+    """The same history, computed by a stateful stream over the turn table, dealt
+    out over eight files (one a trigger) so that turns arrive in no order."""
     from ..streaming.history_stream import run_history_stream
-    return run_history_stream(spark, f"{d.rstrip('/')}/conversations[.]parquet",
-                              CFG.history_budget)
+    path = shared_path(spark, "turns")
+    load(spark, d, "conversations").repartition(8, F.xxhash64("conv_id", "turn")).write.parquet(path)
+    return run_history_stream(spark, path, CFG.history_budget)
 
 
 # ------------------------------------------------------------- evaluation

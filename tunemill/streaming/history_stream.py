@@ -1,14 +1,16 @@
 """Chat history on a stream (X5): ``applyInPandasWithState`` keyed by conversation.
 
-Per conversation the state holds the kept messages (turn, role, rendered part,
-token count), the last turn seen, whether the chat has ended (first blank user
-message, F2) and how many late turns were dropped. Rendering and token counts
-are computed in the JVM before the stateful step; Python only keeps the deque.
-
-State stays small: after every user turn it is cut back to the budget, so it
-holds at most one budget of tokens plus the messages since the last user turn.
-A turn that arrives after a later turn of its conversation was processed is
-out of order for the reference's sequential loop; it is dropped and counted.
+Turns may arrive in any order. Per conversation the state holds the kept messages
+(turn, role, rendered part, token count), the last turn processed, whether the chat
+has ended (first blank user message, F2), and the turns that wait for earlier ones.
+A turn is processed when its predecessor number has been; behind a gap turns wait
+until more than ``hold`` of them do, then the smallest goes on without the missing
+ones. A turn that arrives after it was skipped, or twice, is not lost: it comes out
+as a row with a ``reason`` (the side table). Rendering and token counts are computed
+in the JVM before the stateful step.
+
+State stays small: the history is cut back to the budget after every message, so it
+holds one budget of tokens and at most ``hold`` waiting turns.
 """
 
 from __future__ import annotations
@@ -26,62 +28,72 @@ from ..session import shared_path
 from ..sources.io import read_turn_stream
 
 OUTPUT_SCHEMA = ("conv_id long, turn long, start_turn long, n_messages long, "
-                 "n_tokens long, prompt string")
-STATE_SCHEMA = "ended boolean, last_turn long, hist string, n_late long"
+                 "n_tokens long, prompt string, reason string")
+COLUMNS = [c.split()[0] for c in OUTPUT_SCHEMA.split(", ")]
+STATE_SCHEMA = "ended boolean, last_turn long, hist string, held string"
+HOLD = 64
 
 
-def _history_fn(budget: int, align_to_user: bool = False, idle_timeout_ms: int | None = None):
+def _history_fn(budget: int, align_to_user: bool = False, idle_timeout_ms: int | None = None,
+                hold: int = HOLD):
     def fn(key, pdf_iter, state):
-        if state.hasTimedOut:  # idle conversation: forget its history
-            state.remove()
-            yield pd.DataFrame([], columns=["conv_id", "turn", "start_turn", "n_messages",
-                                            "n_tokens", "prompt"])
-            return
         if state.exists:
-            ended, last_turn, hist_json, n_late = state.get
-            hist = json.loads(hist_json)
+            ended, last_turn, hist, held = state.get
+            hist, held = json.loads(hist), {int(t): m for t, m in json.loads(held).items()}
         else:
-            ended, last_turn, hist, n_late = False, -1, [], 0
-        frames = [p for p in pdf_iter if len(p)]
-        rows = []
-        if frames:
-            pdf = pd.concat(frames).sort_values("turn", kind="stable")
-            for turn, role, part, n, blank in zip(pdf["turn"], pdf["role"], pdf["part"],
-                                                  pdf["n"], pdf["blank"]):
-                turn = int(turn)
-                if turn <= last_turn:
-                    n_late += 1
-                    continue
-                last_turn = turn
-                if ended:
-                    continue
-                if role == "user" and blank:
-                    ended = True
-                    continue
-                hist.append([turn, role, part, int(n)])
-                if role != "user":
-                    continue
-                total = sum(h[3] for h in hist)
-                while total > budget and len(hist) > 1:
-                    total -= hist.pop(0)[3]
+            ended, last_turn, hist, held = False, -1, [], {}
+        total = sum(h[3] for h in hist)
+        rows, conv = [], int(key[0])
+
+        def process(turn):
+            nonlocal ended, last_turn, total
+            role, part, n, blank = held.pop(turn)
+            last_turn = turn
+            ended = ended or (role == "user" and blank)
+            if ended:
+                return
+            # what does not fit now fits no later turn either
+            hist.append([turn, role, part, n])
+            total += n
+            while total > budget and len(hist) > 1:
+                total -= hist.pop(0)[3]
+            if role == "user":
                 kept = hist
                 if align_to_user:
-                    first = next(i for i, h in enumerate(kept) if h[1] == "user")
-                    kept = kept[first:]
-                    total = sum(h[3] for h in kept)
-                rows.append((int(key[0]), turn, kept[0][0], len(kept), total,
-                             "".join(h[2] for h in kept)))
-        state.update((bool(ended), int(last_turn), json.dumps(hist), int(n_late)))
+                    kept = hist[next(i for i, h in enumerate(hist) if h[1] == "user"):]
+                rows.append((conv, turn, kept[0][0], len(kept), sum(h[3] for h in kept),
+                             "".join(h[2] for h in kept), ""))
+
+        def catch_up(wait):
+            while held and ((turn := min(held)) == last_turn + 1 or len(held) > wait):
+                process(turn)
+
+        if state.hasTimedOut:  # idle conversation: nothing more is waited for, its history goes
+            catch_up(0)
+            state.remove()
+            yield pd.DataFrame(rows, columns=COLUMNS)
+            return
+        for pdf in pdf_iter:
+            for turn, role, part, n, blank in zip(*(pdf[c] for c in ("turn", "role", "part", "n", "blank"))):
+                turn = int(turn)
+                if turn <= last_turn or turn in held:
+                    rows.append((conv, turn, None, None, None, None,
+                                 "repeated" if turn in held or turn == last_turn else "late"))
+                else:
+                    held[turn] = [role, part, int(n), bool(blank)]
+                    catch_up(hold)
+        state.update((bool(ended), int(last_turn), json.dumps(hist), json.dumps(held)))
         if idle_timeout_ms:
             state.setTimeoutDuration(idle_timeout_ms)
-        yield pd.DataFrame(rows, columns=["conv_id", "turn", "start_turn", "n_messages",
-                                          "n_tokens", "prompt"])
+        yield pd.DataFrame(rows, columns=COLUMNS).astype({c: "Int64" for c in COLUMNS[:5]})
     return fn
 
 
 def history_stream(turns: DataFrame, budget: int, align_to_user: bool = False,
-                   idle_timeout_ms: int | None = None) -> DataFrame:
-    """Streaming (or batch) turns -> one row per user turn with its kept history.
+                   idle_timeout_ms: int | None = None, hold: int = HOLD) -> DataFrame:
+    """Streaming (or batch) turns -> one row per user turn with its kept history
+    (``reason`` ''), and one per late or repeated turn. ``hold=0`` waits for nothing:
+    for input that is in order but for gaps.
 
     ``idle_timeout_ms`` (off by default, as in the reference, which never
     expires history) drops the state of a conversation idle for that long,
@@ -97,13 +109,14 @@ def history_stream(turns: DataFrame, budget: int, align_to_user: bool = False,
     timeout = (GroupStateTimeout.ProcessingTimeTimeout if idle_timeout_ms
                else GroupStateTimeout.NoTimeout)
     return t.groupBy("conv_id").applyInPandasWithState(
-        _history_fn(budget, align_to_user, idle_timeout_ms), OUTPUT_SCHEMA, STATE_SCHEMA,
+        _history_fn(budget, align_to_user, idle_timeout_ms, hold), OUTPUT_SCHEMA, STATE_SCHEMA,
         "append", timeout)
 
 
 def run_history_stream(spark: SparkSession, path: str, budget: int,
                        files_per_trigger: int = 1, align_to_user: bool = False,
-                       state_partitions: int | None = None, sink: str | None = None) -> DataFrame:
+                       state_partitions: int | None = None, sink: str | None = None,
+                       hold: int = HOLD) -> DataFrame:
     """Runs the stream over every file available under ``path`` (availableNow)
     into a parquet sink in the shared folder and returns the sink as a table.
     With ``sink`` (a folder of the caller's) a restarted query resumes where it
@@ -117,11 +130,22 @@ def run_history_stream(spark: SparkSession, path: str, budget: int,
     own = spark.newSession()  # its settings are its own: no other job sees them
     own.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    out = history_stream(read_turn_stream(own, path, files_per_trigger), budget, align_to_user)
+    out = history_stream(read_turn_stream(own, path, files_per_trigger), budget, align_to_user, hold=hold)
     sink = sink or shared_path(spark, "history-stream")
     q = (out.writeStream.format("parquet").outputMode("append")
          .option("path", f"{sink}/data")
          .option("checkpointLocation", f"{sink}/checkpoint")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.schema(OUTPUT_SCHEMA).parquet(f"{sink}/data")
+    return read_history(spark, sink)
+
+
+def read_history(spark: SparkSession, sink: str) -> DataFrame:
+    """The histories written so far."""
+    return spark.read.schema(OUTPUT_SCHEMA).parquet(f"{sink}/data").where("reason = ''").drop("reason")
+
+
+def read_late(spark: SparkSession, sink: str) -> DataFrame:
+    """The side table: turns that came too late or twice, with the reason."""
+    return (spark.read.schema(OUTPUT_SCHEMA).parquet(f"{sink}/data").where("reason <> ''")
+            .select("conv_id", "turn", "reason"))
