@@ -34,10 +34,10 @@ def components(edges: DataFrame) -> DataFrame:
             .distinct(), "edges")
     while not _stars_only(e):
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (both.join(_smallest(both), F.col("u") == F.col("mu")).where("v > u")
+        large = (both.join(_smallest(both).hint("merge"), F.col("u") == F.col("mu")).where("v > u")
                  .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct())
         large = cut(large, "large-star")
-        joined = large.join(_smallest(large), F.col("u") == F.col("mu"))
+        joined = large.join(_smallest(large).hint("merge"), F.col("u") == F.col("mu"))
         small = (joined.select("u", F.col("m").alias("v"))
                  .union(joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))))
         e = cut(small.distinct(), "small-star")

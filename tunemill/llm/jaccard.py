@@ -12,7 +12,8 @@ is a signature under which the pair is sure to meet, with nothing capped.
    the signatures of several sets give a star: every set and the smallest one.
    What occurs often within a task is starred there and sent on as one entry, so
    a signature that a third of all documents hold is no hot group.
-3. Star pairs whose points allow a link join their sets to candidate components.
+3. Star pairs that share several signatures, or whose points allow a link, join
+   their sets to candidate components (these only say who is compared with whom).
    A signature whose sets are still in several of them is a block: its points, in
    tiles of bounded size, are packed into an R-tree (nodes keep the coordinates'
    maxima and the least size), every point outside the block's largest component
@@ -24,7 +25,9 @@ is a signature under which the pair is sure to meet, with nothing capped.
    several tiles has its first sets in each of them, and what its tiles leave
    apart is compared across tiles, the largest connected part against the rest.
 
-Nothing depends on the order of rows or tasks, and each step ends in a table in
+Joins with sides that grow with the input are sort-merge joins at every size (a
+hint), so that a plan seen on little data is the plan on much, and Spark splits
+them where a key is hot. Nothing depends on the order of rows or tasks, and each step ends in a table in
 the shared folder.
 
 Defined results: null, empty or blank text has size 0 and is linked with nothing;
@@ -52,6 +55,7 @@ GROWTH = 1.6  # ratio of size classes
 FLUSH = 1 << 21  # signatures a task holds before it sends them
 LOCAL = 32  # sets under one signature in a flush from which they are starred in place
 TILE = 1024  # points of an R-tree
+OFTEN = 3  # shared signatures from which two sets are compared without a look at their points
 HUBS = 4  # sets that are in all tiles of a component
 FANOUT = 16
 U = np.uint64
@@ -177,7 +181,8 @@ def _shared(sig: np.ndarray, key: np.ndarray):
 
 
 def _stars(sig, key, begin, count, wide):
-    """Of the chosen signatures: rows (signature, key) and pairs (key, smallest key, class)."""
+    """Of the chosen signatures: rows (signature, key) and pairs (key, smallest key, class,
+    how many signatures)."""
     inside = np.repeat(wide, count)
     hub = np.repeat(key[begin], count)[inside]
     sig, key = sig[inside], key[inside]
@@ -186,12 +191,15 @@ def _stars(sig, key, begin, count, wide):
     pairs = np.stack([key, hub, kind])[:, order]
     new = np.ones(len(order), bool)
     new[1:] = (pairs[:, 1:] != pairs[:, :-1]).any(0)
-    return sig.view(np.int64), key, pairs[:, new & (pairs[0] != pairs[1])]
+    times = np.diff(np.append(np.flatnonzero(new), len(order)))
+    pairs = np.concatenate([pairs[:, new], times[None, :]])
+    return sig.view(np.int64), key, pairs[:, pairs[0] != pairs[1]]
 
 
 def meet(docs: DataFrame, text_col: str, n: int, limit: Threshold) -> DataFrame:
     """Where sets meet: rows ``pair`` true (``a``: set, ``b``: the smallest set under a
-    shared signature of the class) and false (``a``: shared signature, ``b``: a set that has it)."""
+    ``times`` shared signatures of the class) and false (``a``: shared signature, ``b``: a
+    set that has it)."""
     spark = docs.sparkSession
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = docs.select(F.col(text_col).alias("text"))
@@ -236,26 +244,27 @@ def meet(docs: DataFrame, text_col: str, n: int, limit: Threshold) -> DataFrame:
     def gather(batches):
         sig, key = [], []
 
-        def out(pair, a, b, kind):
-            return pa.RecordBatch.from_arrays([pa.array(np.full(len(a), pair)), pa.array(a), pa.array(b),
-                                               pa.array(kind.astype(np.int32))], ["pair", "a", "b", "class"])
+        def out(pair, a, b, kind, times):
+            return pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(a), pair)), pa.array(a), pa.array(b), pa.array(kind.astype(np.int32)),
+                 pa.array(times)], ["pair", "a", "b", "class", "times"])
 
         for batch in batches:
             for kind, data in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                x = np.frombuffer(data, np.int64).reshape(3 if kind == 1 else 2, -1)
+                x = np.frombuffer(data, np.int64).reshape(4 if kind == 1 else 2, -1)
                 if kind:
-                    yield out(kind == 1, x[0], x[1], x[2] if kind == 1 else x[0] & 255)
+                    yield out(True, *x) if kind == 1 else out(False, *x, x[0] & 255, np.ones_like(x[0]))
                 else:
                     sig.append(x[0])
                     key.append(x[1])
         if sig:
             s, k, begin, count = _shared(np.concatenate(sig).view(np.uint64), np.concatenate(key))
             members, holders, pairs = _stars(s, k, begin, count, count > 1)
-            yield out(False, members, holders, members & 255)
+            yield out(False, members, holders, members & 255, np.ones_like(members))
             yield out(True, *pairs)
 
     sent = own.mapInArrow(sign, "bucket int, kind int, data binary").repartition(buckets, "bucket")
-    return sent.select("bucket", "kind", "data").mapInArrow(gather, "pair boolean, a long, b long, class int")
+    return sent.select("bucket", "kind", "data").mapInArrow(gather, "pair boolean, a long, b long, class int, times long")
 
 
 class RTree:
@@ -341,7 +350,7 @@ def _edge_batch(found) -> pa.RecordBatch:
 def star_edges(stars: DataFrame, points: DataFrame, limit: Threshold) -> DataFrame:
     """The star pairs (``a``, ``b``, ``class``) whose points allow a link."""
     own = lambda end: points.select(F.col("key").alias(end), "class", F.col("point").alias(f"p{end}"))
-    both = stars.join(own("a"), ["a", "class"]).join(own("b"), ["b", "class"]).select("a", "b", "pa", "pb")
+    both = stars.join(own("a").hint("merge"), ["a", "class"]).join(own("b").hint("merge"), ["b", "class"]).select("a", "b", "pa", "pb")
 
     def run(batches):
         for batch in batches:
@@ -397,9 +406,9 @@ def connect(rows: list[tuple], n: int, limit: Threshold) -> list[tuple[int, int]
     against the others, or all against all if there are no queries."""
     tree = list({r[1]: r for r in rows if not r[0]}.values())
     asked = [r for r in rows if r[0]]
-    sets = [shingles(r[3], n) for r in tree]
-    if len(tree) + len(asked) < 2:
+    if not tree or len(tree) + len(asked) < 2:
         return []
+    sets = [shingles(r[3], n) for r in tree]
     groups = int(min(2048, max(64, 2 ** np.ceil(np.log2(2 * np.median([len(u) for u in sets]) + 1)))))
     count = lambda u: np.bincount(group_of(u, groups).astype(np.int64), minlength=groups)
     points = np.array([count(u) for u in sets])
@@ -421,12 +430,12 @@ def tiles(members: DataFrame, roots: DataFrame) -> DataFrame:
     """Tiles of the groups (``group``, ``key``) whose sets are in several components.
     Every set goes to tile row i of each tile column j; the sets outside the group's
     largest component are also the queries of column j against all rows."""
-    own = members.join(roots, F.col("key") == F.col("node"), "left").select(
+    own = members.join(roots.hint("merge"), F.col("key") == F.col("node"), "left").select(
         "group", "key", F.coalesce("root", "key").alias("root"))
     per = own.groupBy("group", "root").agg(F.count(F.lit(1)).alias("n")).groupBy(F.col("group").alias("mixed")).agg(
         F.sum("n").alias("n"), F.max_by("root", F.struct("n", "root")).alias("major"), F.max("n").alias("most"))
     mixed = cut(per.where("n > most"), "mixed")
-    rows = own.join(mixed, F.col("group") == F.col("mixed"))
+    rows = own.join(mixed.hint("merge"), F.col("group") == F.col("mixed"))
     high, wide = F.ceil(F.col("n") / TILE), F.ceil((F.col("n") - F.col("most")) / TILE)
     spot, zero = F.xxhash64("key"), F.lit(0).cast("long")
     base = rows.select("group", F.pmod(spot, high).alias("i"), F.explode(F.sequence(zero, wide - 1)).alias("j"),
@@ -448,13 +457,13 @@ def linked_roots(clusters: DataFrame, texts: DataFrame, n: int, limit: Threshold
     hubs = wide.withColumn("r", F.row_number().over(first)).where(F.col("r") <= HUBS).select(
         "group", "key", F.explode(F.sequence(F.lit(0).cast("long"), F.col("high") - 1)).alias("i"))
     placed = rows.select("group", "key", F.pmod(F.xxhash64("key"), F.col("high")).alias("i")).union(hubs)
-    met = placed.join(texts, "key").select("group", "i", F.lit(False).alias("query"), "key",
+    met = placed.join(texts.hint("merge"), "key").select("group", "i", F.lit(False).alias("query"), "key",
                                            F.col("key").alias("label"), "text")
     edges = cut(_tiled(met, ["group", "i"], ["query", "key", "label", "text"], work), "linked")
     roots = cut(components(edges), "roots")
     if not wide.take(1):
         return roots
-    apart = tiles(wide.select("group", "key"), roots).join(texts, "key")
+    apart = tiles(wide.select("group", "key"), roots).join(texts.hint("merge"), "key")
     more = cut(_tiled(apart, ["group", "i", "j"], ["query", "key", "root", "text"], work), "linked")
     return cut(merged(roots, more), "roots") if more.take(1) else roots
 
@@ -482,21 +491,23 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     members = met.where("not pair").select(F.col("a").alias("group"), F.col("b").alias("key"))
 
     chosen = cut(sets.where("key is not null").groupBy("key").agg(F.min("id").alias("of"))
-                 .join(members.select("key").distinct(), "key"), "chosen")
+                 .join(members.select("key").distinct().hint("merge"), "key"), "chosen")
     by_id = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(
-        chosen, F.col("_id").eqNullSafe(F.col("of"))).select("key", "text")
+        chosen.hint("merge"), F.col("_id").eqNullSafe(F.col("of"))).select("key", "text")
     texts = cut(_own_texts(by_id, n), "texts")
     points = cut(count_vectors(texts, n, limit), "points")
 
-    stars = met.where("pair").select("a", "b", "class").distinct()
-    clusters = cut(components(star_edges(stars, points, limit)), "clusters")
+    stars = cut(met.where("pair").groupBy("a", "b", "class").agg(F.sum("times").alias("times")), "stars")
+    often = stars.where(F.col("times") >= OFTEN).select(F.col("a").alias("u"), F.col("b").alias("v"))
+    clusters = cut(components(often.union(
+        star_edges(stars.where(F.col("times") < OFTEN), points, limit))), "clusters")
     blocks = tiles(members, clusters).withColumn("class", F.col("group").bitwiseAND(255).cast("int"))
-    more = cut(block_edges(blocks.join(points, ["key", "class"]), limit), "block-edges")
+    more = cut(block_edges(blocks.join(points.hint("merge"), ["key", "class"]), limit), "block-edges")
     if more.take(1):
         clusters = cut(merged(clusters, more), "clusters")
     roots = linked_roots(clusters, texts, n, limit)
 
-    found = sets.join(roots, F.col("key") == F.col("node"), "left").select(
+    found = sets.join(roots.hint("merge"), F.col("key") == F.col("node"), "left").select(
         "id", "n_shingles", "key", F.coalesce("root", "key").alias("root"))
     found = cut(found, "found")
     least = cut(found.where("root is not null").groupBy(F.col("root").alias("r"))
@@ -527,7 +538,7 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     stay = cut(found.where(F.col("id").eqNullSafe(F.col("component_id")) & F.col("root").isNotNull())
                .groupBy("root").agg(F.min(F.struct("id", "key")).alias("s"))
                .select(F.col("s.id").alias("_id"), F.col("s.key").alias("_key")), "stay")
-    picked = (rows.join(stay, (F.col("key") == F.col("_key"))
+    picked = (rows.join(stay.hint("merge"), (F.col("key") == F.col("_key"))
                         & F.col(row)[id_col].eqNullSafe(F.col("_id")), "inner")
               .groupBy("key").agg(F.min(row).alias(row)).select(f"{row}.*"))
     return picked.unionByName(rows.where("key is null").select(f"{row}.*"))
