@@ -242,7 +242,9 @@ def build_index(nodes: DataFrame) -> DataFrame:
             "lists": pa.array([[x.astype("<i4").tobytes() for x in g.lists]], pa.list_(pa.binary()))})
 
     # Inserted in the order of a hash, so that levels hold a fair share of all regions.
+    # As many partitions as shards: a graph takes far more time than its bytes let Spark expect.
     return (dealt.select("dim", "shard", "vec", "ids", F.xxhash64(F.lit("order"), "node").alias("mix"))
+            .repartition(max(1, -(-nodes.count() // SHARD)), "dim", "shard")
             .groupBy("dim", "shard").applyInArrow(build, INDEX))
 
 
