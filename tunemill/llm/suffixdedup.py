@@ -174,6 +174,52 @@ def compressed(docs: DataFrame, id_col: str, text_col: str, names: dict[str, str
         T.StructField(names["th"], T.LongType())]))
 
 
+def _dealt(doc, th, items: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Items (rows of bytes) of documents, packed into one row per bucket of ids."""
+    bucket = doc % buckets
+    order = np.lexsort((th, doc, bucket))
+    doc, th, items, bucket = doc[order], th[order], items[order], bucket[order]
+    edge = np.searchsorted(bucket, np.arange(buckets + 1))
+    rows = []
+    for b in range(buckets):
+        o = slice(edge[b], edge[b + 1])
+        if edge[b] < edge[b + 1]:
+            begin = _document_runs(doc[o], th[o])
+            count = np.diff(np.append(begin, edge[b + 1] - edge[b]))
+            rows.append((b, 0, squeeze(doc[o][begin], th[o][begin], count), items[o].tobytes()))
+    return _sent(rows)
+
+
+def _document_runs(doc: np.ndarray, th: np.ndarray) -> np.ndarray:
+    new = np.ones(len(doc), bool)
+    new[1:] = (doc[1:] != doc[:-1]) | (th[1:] != th[:-1])
+    return np.flatnonzero(new)
+
+
+def per_document(dealt: DataFrame, buckets: int, width: int, name: str) -> DataFrame:
+    """(``d``, ``th``, ``name``): all items of a document in one row, from ``_dealt`` rows."""
+    def run(batches):
+        docs, ths, items = [], [], []
+        for batch in batches:
+            for head, body in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                h = np.frombuffer(expand(head), np.int64).reshape(3, -1)
+                docs.append(np.repeat(h[0], h[2]))
+                ths.append(np.repeat(h[1], h[2]))
+                items.append(np.frombuffer(body, np.uint8).reshape(-1, width))
+        if not docs:
+            return
+        doc, th, item = np.concatenate(docs), np.concatenate(ths), np.concatenate(items)
+        order = np.lexsort((th, doc))
+        doc, th, item = doc[order], th[order], item[order]
+        begin = _document_runs(doc, th)
+        edge = np.append(begin, len(doc)).tolist()
+        for part in np.array_split(np.arange(len(begin)), max(1, len(begin) // 1024)):
+            yield _batch([(int(doc[edge[i]]), int(th[edge[i]]), item[edge[i]:edge[i + 1]].tobytes())
+                          for i in part.tolist()], ("d", "th", name), (pa.int64(), pa.int64(), pa.binary()))
+
+    return dealt.repartition(buckets, "bucket").mapInArrow(run, f"d long, th long, {name} binary")
+
+
 def _grouped(ids: np.ndarray, values: np.ndarray):
     """Sorted by id: (ids, counts, values in order of the ids)."""
     order = np.argsort(ids, kind="stable")
@@ -183,7 +229,7 @@ def _grouped(ids: np.ndarray, values: np.ndarray):
 
 
 def shared_hashes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(``d``, ``vals``): anchor hashes of a document that another one also has, in parts."""
+    """(``d``, ``vals``): anchor hashes of a document that another one also has."""
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("d"),
                                                        F.col(text_col).alias("text"))
@@ -236,18 +282,12 @@ def shared_hashes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             yield flush(ids, found)
 
     def answer(batches):
-        docs_, tags, vals = [], [], []
-
-        def rows(ids, count, v):
-            stop = np.cumsum(count)
-            return _batch([(int(d), pack48(v[s - c:s])) for d, c, s in zip(ids, count, stop)],
-                          ("d", "vals"), (pa.int64(), pa.binary()))
-
+        docs_, tags, vals, found = [], [], [], []
         for batch in batches:
             for kind, head, body in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
                 h = np.frombuffer(expand(head), np.int64).reshape(2 if kind else 3, -1)
                 if kind:
-                    yield rows(h[0], h[1], unpack48(body))
+                    found.append((np.repeat(h[0], h[1]), unpack48(body)))
                 else:
                     docs_.append(np.repeat(h[0], h[2]))
                     tags.append(np.repeat(h[1] < 0, h[2]))
@@ -260,11 +300,13 @@ def shared_hashes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             count = np.diff(np.append(begin, len(v)))
             # several entries of one document (its id repeats) do no harm: this is a filter
             some = np.repeat(count > 1, count) & ~many
-            ids, c, values = _grouped(doc[some], v[some])
-            yield rows(ids, c, values)
+            found.append((doc[some], v[some]))
+        if found:
+            doc, v = (np.concatenate(x) for x in zip(*found))
+            yield _dealt(doc, np.zeros_like(doc), np.frombuffer(pack48(v), np.uint8).reshape(-1, 6), buckets)
 
     sent = own.mapInArrow(send, SENT).repartition(buckets, "bucket")
-    return sent.mapInArrow(answer, "d long, vals binary")
+    return per_document(sent.mapInArrow(answer, SENT), buckets, 6, "vals").select("d", "vals")
 
 
 def segments_of(text: bytes, shared: np.ndarray):
@@ -425,7 +467,7 @@ def _steps(sizes: np.ndarray) -> np.ndarray:
 
 
 def repeated_spans(texts: DataFrame, buckets: int) -> DataFrame:
-    """(``d``, ``th``, ``spans``) from (``d``, ``th``, ``z``, ``vals``): spans to remove, in parts."""
+    """(``d``, ``th``, ``spans``) from (``d``, ``th``, ``z``, ``vals``): spans to remove."""
     def flush(held):
         rows, lo, hi, pos, doc, th = (np.concatenate(x) for x in held)
         order, begin, number = _distinct(rows, lo, hi, doc)
@@ -450,7 +492,7 @@ def repeated_spans(texts: DataFrame, buckets: int) -> DataFrame:
         for batch in batches:
             for d, th, z, vals in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
                                       batch.column(2), batch.column(3)):
-                shared = np.unique(unpack48(b"".join(vals.as_py())))
+                shared = np.unique(unpack48(vals.as_py()))
                 if not len(shared):
                     continue
                 for rows, lo, hi, first in segments_of(expand(z.as_py()), shared):
@@ -463,19 +505,14 @@ def repeated_spans(texts: DataFrame, buckets: int) -> DataFrame:
         if n:
             yield flush(held)
 
-    names, types = ("d", "th", "spans"), (pa.int64(), pa.int64(), pa.binary())
-
-    def unpacked(head, body):
-        h = np.frombuffer(expand(head), np.int64).reshape(3, -1)
-        stop = np.cumsum(h[2]) * 8
-        return [(int(d), int(t), body[s - 8 * c:s]) for d, t, c, s in zip(h[0], h[1], h[2], stop.tolist())]
-
     def work(batches):
-        parts = [[] for _ in range(6)]
+        parts, found = [[] for _ in range(6)], []
         for batch in batches:
             for kind, head, body in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
                 if kind:
-                    yield _batch(unpacked(head, body), names, types)
+                    h = np.frombuffer(expand(head), np.int64).reshape(3, -1)
+                    found.append((np.repeat(h[0], h[2]), np.repeat(h[1], h[2]),
+                                  np.frombuffer(body, np.uint8).reshape(-1, 8)))
                     continue
                 rows = np.frombuffer(expand(body), np.uint8).reshape(-1, COLUMNS)
                 h, n = expand(head), len(rows)
@@ -486,11 +523,12 @@ def repeated_spans(texts: DataFrame, buckets: int) -> DataFrame:
                     x.append(y)
         if parts[0]:
             doc, th, start, stop = settle(*(np.concatenate(x) for x in parts))
-            for _, _, head, body in _span_blobs(doc, th, start, stop, buckets):
-                yield _batch(unpacked(head, body), names, types)
+            found.append((doc, th, np.stack([start, stop], 1).astype("<u4").view(np.uint8).reshape(-1, 8)))
+        if found:
+            yield _dealt(*(np.concatenate(x) for x in zip(*found)), buckets)
 
     sent = texts.mapInArrow(send, SENT).repartition(buckets, "bucket")
-    return sent.mapInArrow(work, "d long, th long, spans binary")
+    return per_document(sent.mapInArrow(work, SENT), buckets, 8, "spans")
 
 
 def cut_out(text: bytes, spans: bytes) -> tuple[int, int, bytes]:
@@ -513,12 +551,11 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     names = {c: fresh(docs, c) for c in ("z", "th")}
     small = compressed(docs.select(id_col, text_col), id_col, text_col, names)
     shared = cut(shared_hashes(docs, id_col, text_col), "anchors")
-    lists = shared.groupBy(F.col("d").alias("_d")).agg(F.collect_list("vals").alias("vals"))
+    lists = shared.withColumnRenamed("d", "_d")
     texts = small.join(lists, F.col(id_col).cast("long") == F.col("_d")).select(
         F.col("_d").alias("d"), F.col(names["th"]).alias("th"), F.col(names["z"]).alias("z"), "vals")
     spans = cut(repeated_spans(texts, buckets), "spans")
-    per = spans.groupBy(F.col("d").alias("_d"), F.col("th").alias("_th")).agg(
-        F.collect_list("spans").alias("_spans"))
+    per = spans.toDF("_d", "_th", "_spans")
     whole = compressed(docs, id_col, text_col, names)
     rest = [c for c in docs.columns if c != text_col]
     met = whole.join(per, (F.col(id_col).cast("long") == F.col("_d")) & (F.col(names["th"]) == F.col("_th")), "left")
@@ -530,7 +567,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             rows = []
             for z, s in zip(batch.column(len(rest)), batch.column(len(rest) + 1)):
                 text = expand(z.as_py())
-                rows.append((len(text), *cut_out(text, b"".join(s.as_py() or []))))
+                rows.append((len(text), *cut_out(text, s.as_py() or b"")))
             made = [pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4,
                                                    (pa.int64(), pa.int64(), pa.int64(), pa.binary()))]
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(len(rest))), *made], [*rest, *out])
