@@ -92,3 +92,17 @@ def test_documents_repeat(spark):
     assert got.columns == docs.columns
     assert got.where("doc_id = 1").count() == 3
     assert got.where(F.col("row") != 7).count() == 0
+
+
+def test_tiny_sources_beside_a_huge_one(spark):
+    """28 million words: a block is as long as in a small table, and every tiny source is mixed."""
+    huge = spark.range(1400).select("id", F.lit("huge").alias("source"), F.repeat(F.lit("w "), 20000).alias("text"))
+    tiny = spark.range(40).select("id", F.format_string("tiny%02d", "id").alias("source"),
+                                  F.repeat(F.lit("v "), 1 + F.col("id").cast("int")).alias("text"))
+    per_doc, mixed = mixing.mix(mixing.lay_out(huge.union(tiny), ["id"]))
+    got = per_doc.groupBy("source_size").agg(F.sum("taken").alias("taken"), F.max("target").alias("target")).collect()
+    assert len(got) == 41
+    for r in got:
+        assert r.taken == pytest.approx(r.target, abs=1), r
+        assert r.source_size > 40 or r.taken == 3 * r.source_size
+    assert mixed.groupBy("slot").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] == 16

@@ -9,9 +9,12 @@ blocks of the slots' length, and slot rank r takes block r.
 
 No window spans a source: offsets and ranks are running totals over ranges of
 the hash (or of slot numbers), so a source with a third of all rows is spread
-over all ranges. Slots and intervals meet in an equi-join on a grid cell. The
-number of slots is bounded by ``max_slots`` (blocks grow with the input). A
-table written once fixes row ids, so recomputed tasks agree.
+over all ranges. Slots and intervals meet in an equi-join on a grid cell. Blocks have
+the same length at any size of input. A source gives as many words as its target
+(rounded up), whatever its share of the slots: the schedule can leave it a few
+blocks short, or without a slot if it is tiny, and what is missing follows in
+slots of its own after the schedule; slots left over stay empty. A table written
+once fixes row ids, so recomputed tasks agree.
 
 Defined results: null text has size 0; a null source is a source of its own,
 last in order; documents of size 0 are returned with taken 0; repeated rows are
@@ -32,7 +35,9 @@ from .common import cut, running_total, words
 WEIGHTS = (5, 2, 1)
 MAX_PASSES = 3
 
-GOLDEN = 0.6180339887498949  # fractional part of the golden ratio
+# Two Fibonacci numbers; their quotient is the golden ratio's fractional part. In whole
+# numbers, points keep their places however many slots there are.
+FIB, FIB_BEFORE = 2971215073, 1836311903
 GRID = 1024
 
 
@@ -67,8 +72,13 @@ def source_targets(base: DataFrame, weights: Sequence[float] = WEIGHTS,
                     F.when(last & (F.col("total") > 0), 1.0).otherwise(F.col("hi")).alias("hi"))
 
 
-def schedule(targets: DataFrame, n_slots: int) -> DataFrame:
-    """(``source``, ``rank``, ``slot``): the source of each slot and its rank there, from 0."""
+def wanted(passes: int = MAX_PASSES) -> Column:
+    """The words that a source gives: its target, rounded up."""
+    return F.least(F.ceil("target"), F.col("source_size") * passes)
+
+
+def points(targets: DataFrame, n_slots: int) -> DataFrame:
+    """(``source``, ``slot``): the source into whose interval each slot's point falls."""
     spark = targets.sparkSession
     slots = spark.range(n_slots).select(F.col("id").alias("slot"), _point(F.col("id")).alias("u"))
     slots = slots.withColumn("cell", F.floor(F.col("u") * GRID))
@@ -77,25 +87,40 @@ def schedule(targets: DataFrame, n_slots: int) -> DataFrame:
         F.explode(F.sequence(F.floor(F.col("lo") * GRID),
                              F.least(F.floor(F.col("hi") * GRID), F.lit(GRID - 1)))).alias("cell"))
     placed = slots.join(cells, "cell").where((F.col("lo") <= F.col("u")) & (F.col("u") < F.col("hi")))
-    placed = placed.select("source", "slot", F.floor(F.col("slot") / 1024).alias("stretch"))
-    return running_total(placed, ["source"], "stretch", ["slot"], F.lit(1), "rank").drop("stretch")
+    return placed.select("source", "slot")
 
 
 def _point(i: Column) -> Column:
-    x = (i + F.lit(0.5)) * F.lit(GOLDEN)
-    return x - F.floor(x)
+    return (F.pmod(F.pmod(i, F.lit(FIB)) * FIB_BEFORE + FIB_BEFORE // 2, F.lit(FIB)) + F.lit(0.5)) / FIB
+
+
+def schedule(targets: DataFrame, n_slots: int, block: int, passes: int = MAX_PASSES) -> DataFrame:
+    """(``source``, ``rank``, ``slot``): the source of each slot and its rank there, from
+    0; after the ``n_slots`` scheduled ones, a slot for each block still missing."""
+    placed = points(targets, n_slots)
+    ranked = running_total(placed.withColumn("stretch", F.floor(F.col("slot") / 8192)),
+                           ["source"], "stretch", ["slot"], F.lit(1), "rank")
+    have = placed.groupBy(F.col("source").alias("_source")).agg(F.count(F.lit(1)).alias("have"))
+    short = targets.join(have, F.col("source").eqNullSafe(F.col("_source")), "left").select(
+        "source", F.coalesce("have", F.lit(0)).alias("have"), F.ceil(wanted(passes) / block).alias("blocks"))
+    # the schedule is even to within a few slots a source, so these are few rows
+    short = short.where(F.col("have") < F.col("blocks")).select(
+        "source", F.explode(F.sequence("have", F.col("blocks") - 1)).alias("rank"))
+    after = Window.orderBy("rank", F.col("source").asc_nulls_last())
+    return ranked.select("source", "rank", "slot").unionByName(
+        short.withColumn("slot", F.row_number().over(after) + F.lit(n_slots - 1).cast("long")))
 
 
 def block_pieces(base: DataFrame, targets: DataFrame, block: int, passes: int = MAX_PASSES) -> DataFrame:
     """Where each document lies in its source's blocks: one row per document, pass
     and block (``rank``), with the block's words that it gives (``n``) and the
     word of the document at which they begin (``first``)."""
-    t = targets.select(F.col("source").alias("_source"), "source_size", "target")
+    t = targets.select(F.col("source").alias("_source"), "source_size", wanted(passes).alias("want"))
     line = base.where(F.col("size") > 0).join(t, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
-    needed = F.least(F.lit(passes), F.floor((F.col("target") + 16 * block) / F.col("source_size")) + 1)
+    needed = F.ceil(F.col("want") / F.col("source_size"))
     line = line.withColumn("pass", F.explode(F.sequence(F.lit(0), needed.cast("int") - 1)))
-    line = line.withColumn("a", F.col("pass") * F.col("source_size") + F.col("at"))
-    line = line.withColumn("b", F.col("a") + F.col("size"))
+    line = line.withColumn("a", F.col("pass") * F.col("source_size") + F.col("at")).where(F.col("a") < F.col("want"))
+    line = line.withColumn("b", F.least(F.col("a") + F.col("size"), "want"))
     line = line.withColumn("rank", F.explode(F.sequence(
         F.floor(F.col("a") / block), F.floor((F.col("b") - 1) / block))))
     begin = F.greatest("a", F.col("rank") * block)
@@ -116,18 +141,17 @@ def lay_out(docs: DataFrame, carry: Sequence[str], text_col: str = "text", sourc
 
 
 def mix(rows: DataFrame, weights: Sequence[float] = WEIGHTS, passes: int = MAX_PASSES,
-        max_slots: int = 1 << 18, min_block: int = 16) -> tuple[DataFrame, DataFrame]:
+        block: int = 16) -> tuple[DataFrame, DataFrame]:
     """From ``lay_out``: (per document ``row``, ``size``, ``source_size``, ``target``, ``taken``;
     the mix itself: ``slot``, ``rid``, ``pass``, ``first``, ``n`` words, in slot order)."""
     small = rows.select("rid", "source", "size", "h")
     targets = cut(source_targets(small, weights, passes), "mix-targets")
     total, count = rows.agg(F.sum("size"), F.count(F.lit(1))).first()
-    block = max(min_block, ceil((total or 0) / max_slots))
     n_slots = ceil((total or 0) / block)
     bits = min(24, max(10, (count // 4096).bit_length()))
     ranged = small.withColumn("range", F.shiftrightunsigned("h", 64 - bits))
     placed = running_total(ranged, ["source"], "range", ["h", "rid"], F.col("size"), "at")
-    slots = schedule(targets, n_slots).select(F.col("source").alias("_source"), F.col("rank").alias("_rank"), "slot")
+    slots = schedule(targets, n_slots, block, passes).select(F.col("source").alias("_source"), F.col("rank").alias("_rank"), "slot")
     pieces = block_pieces(placed, targets, block, passes)
     mixed = pieces.join(slots, F.col("source").eqNullSafe(F.col("_source"))
                         & (F.col("rank") == F.col("_rank"))).select("slot", "rid", "pass", "first", "n")
