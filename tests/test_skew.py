@@ -92,3 +92,19 @@ def test_stream_stops_and_goes_on(spark, tmpdir_path):
     assert some < len(got)
     assert {(r.conv_id, r.turn): (r.start_turn, r.n_messages, r.prompt) for r in got} == brute_force(rows, 128)
     assert read_late(spark, sink).count() == 0
+
+
+def test_registered_stream_is_whole(spark, tmpdir_path):
+    """Over 1,000 turns in one conversation, gaps, and a first turn other than 0: all as in the batch form."""
+    from tunemill.operators.history import history_budget
+    from tunemill.plans import catalog
+    rows = [(1, t, ("user", "assistant")[t % 2], f"turn {t} " + "word " * 40) for t in range(1200)]
+    rows += [(2, t, "user", f"gap {t}") for t in (0, 1, 5, 6, 9)] + [(3, 4, "user", "x"), (3, 5, "assistant", "y")]
+    rows += [(4, t, "user", f"in order {t}") for t in range(5)]
+    turns = spark.createDataFrame(rows, SCHEMA)
+    turns.coalesce(1).write.parquet(os.path.join(tmpdir_path, "conversations.parquet"))
+    got = catalog.history_stream(spark, tmpdir_path)
+    want = history_budget(turns, catalog.CFG.history_budget)
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got.count() == 600 + 5 + 1 + 5

@@ -547,11 +547,14 @@ def history_prompt(spark, d):
 @query
 def history_stream(spark, d):
     """The same history, computed by a stateful stream over the turn table, dealt
-    out over eight files (one a trigger) so that turns arrive in no order."""
-    from ..streaming.history_stream import run_history_stream
+    out over eight files (one a trigger) so that turns arrive in no order; conversations
+    that the stream could not take in order are rebuilt at its end."""
+    from ..streaming.history_stream import run_history_stream, whole_history
     path = shared_path(spark, "turns")
     load(spark, d, "conversations").repartition(8, F.xxhash64("conv_id", "turn")).write.parquet(path)
-    return run_history_stream(spark, path, CFG.history_budget)
+    sink = shared_path(spark, "history-stream")
+    run_history_stream(spark, path, CFG.history_budget, sink=sink)
+    return whole_history(spark, path, sink, CFG.history_budget)
 
 
 # ------------------------------------------------------------- evaluation

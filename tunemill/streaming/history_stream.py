@@ -11,6 +11,9 @@ in the JVM before the stateful step.
 
 State stays small: the history is cut back to the budget after every message, so it
 holds one budget of tokens and at most ``hold`` waiting turns.
+
+A finite input has an end: ``whole_history`` then gives what the batch form gives,
+with the conversations in which turns were skipped or still wait rebuilt by it.
 """
 
 from __future__ import annotations
@@ -23,8 +26,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from ..functions.text import is_blank, tokenize
+from ..operators.history import history_budget
 from ..operators.templates import history_part
-from ..session import shared_path
+from ..schemas import TURNS
+from ..session import materialize, shared_path
 from ..sources.io import read_turn_stream
 
 OUTPUT_SCHEMA = ("conv_id long, turn long, start_turn long, n_messages long, "
@@ -120,7 +125,8 @@ def run_history_stream(spark: SparkSession, path: str, budget: int,
     """Runs the stream over every file available under ``path`` (availableNow)
     into a parquet sink in the shared folder and returns the sink as a table.
     With ``sink`` (a folder of the caller's) a restarted query resumes where it
-    stopped; without it every call makes a new folder and starts anew.
+    stopped; without it every call makes a new folder and starts anew. Turns that
+    were skipped or still wait are not in the table: see ``whole_history``.
 
     ``state_partitions`` (default: the cluster's cores) is the number of state
     store partitions. Spark fixes it from ``spark.sql.shuffle.partitions`` when
@@ -149,3 +155,17 @@ def read_late(spark: SparkSession, sink: str) -> DataFrame:
     """The side table: turns that came too late or twice, with the reason."""
     return (spark.read.schema(OUTPUT_SCHEMA).parquet(f"{sink}/data").where("reason <> ''")
             .select("conv_id", "turn", "reason"))
+
+
+def whole_history(spark: SparkSession, path: str, sink: str, budget: int,
+                  align_to_user: bool = False) -> DataFrame:
+    """After a run over all files under ``path`` into ``sink``: exactly ``history_budget``
+    of all turns. A conversation whose turns are 0, 1, 2, ... and of which the side
+    table has none went through the stream in order; all others are computed anew."""
+    turns = spark.read.schema(TURNS).parquet(path)
+    waiting = (turns.groupBy("conv_id").agg(F.min("turn").alias("a"), F.max("turn").alias("b"),
+                                            F.count(F.lit(1)).alias("n"))
+               .where((F.col("a") != 0) | (F.col("b") != F.col("n") - 1)).select("conv_id"))
+    anew = materialize(read_late(spark, sink).select("conv_id").union(waiting).distinct(), "history-anew")
+    rebuilt = history_budget(turns.join(anew, "conv_id", "left_semi"), budget, align_to_user)
+    return read_history(spark, sink).join(anew, "conv_id", "left_anti").unionByName(rebuilt)
