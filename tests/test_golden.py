@@ -195,6 +195,19 @@ def test_json_array_writer(spark, tmpdir_path):
     assert sorted((r.instruction, r.input, r.output) for r in back.collect()) == sorted(rows) and bad.count() == 0
 
 
+def test_json_arrays_stay_small(spark, tmpdir_path):
+    """A table beyond one array's bound, a third of it one record: many files, all records."""
+    rows = [("same", None, "x" * 40_000)] * 300 + [(f"q{i}", "", "y" * 30_000) for i in range(600)]
+    df = spark.createDataFrame(rows, "instruction string, input string, output string")
+    path = write_instruction_json(df, os.path.join(tmpdir_path, "arr"), form="array")
+    parts = [os.path.join(path, f) for f in os.listdir(path) if f.startswith("part")]
+    assert len(parts) > 1 and max(map(os.path.getsize, parts)) < 10_000_000
+    back = read_instruction_json(spark, path)
+    assert back.where("_corrupt_record is not null").count() == 0
+    assert sorted((r.instruction, r.input or "", r.output) for r in back.collect()) == sorted(
+        (a, b or "", c) for a, b, c in rows)
+
+
 def test_token_f1_edges(spark):
     df = spark.createDataFrame([(1, "", ""), (2, "a b", ""), (3, "a a b", "a b b"), (4, None, "x")],
                                "example_id long, generated string, expected string")

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from math import ceil
+
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +12,7 @@ from pyspark.sql import types as T
 from ..schemas import EXAMPLE, TURNS
 
 CORRUPT = "_corrupt_record"
+ARRAY_CHARS = 1 << 23
 
 
 def json_form(spark: SparkSession, path: str) -> str:
@@ -51,16 +55,36 @@ def split_records(df: DataFrame) -> tuple[DataFrame, DataFrame]:
                                  F.to_json(F.struct(*fields)).alias("parsed")))
 
 
-def write_instruction_json(df: DataFrame, path: str, form: str = "lines") -> str:
-    """JSON Lines, or (``form`` 'array') one file with a JSON array, for other tools:
-    that file is written by one task, as its form demands."""
+def _arrays(limit: int):
+    """Joins the records of a task to arrays of up to ``limit`` characters (or one record)."""
+    def fn(batches):
+        held, size = [], 0
+        for pdf in batches:
+            for record in pdf["value"]:
+                if held and size + len(record) > limit:
+                    yield pd.DataFrame({"value": ["[" + ",\n".join(held) + "]"]})
+                    held, size = [], 0
+                held.append(record)
+                size += len(record)
+        if held:
+            yield pd.DataFrame({"value": ["[" + ",\n".join(held) + "]"]})
+    return fn
+
+
+def write_instruction_json(df: DataFrame, path: str, form: str = "lines", array_chars: int = ARRAY_CHARS) -> str:
+    """JSON Lines, or (``form`` 'array') files that hold one JSON array each, for other
+    tools: one file for a small table, else as many as keep each array under
+    ``array_chars`` characters, written and read by as many tasks."""
     if form == "array":
-        rows = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
-        (rows.coalesce(1).write.mode("overwrite").option("lineSep", ",\n").text(path + "-records"))
         spark = df.sparkSession
-        whole = spark.read.text(path + "-records", wholetext=True)
-        (whole.select(F.concat(F.lit("["), F.regexp_replace("value", r",\s*\z", ""), F.lit("]")).alias("value"))
-         .coalesce(1).write.mode("overwrite").text(path))
+        rows = df.select(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("value"))
+        rows.write.mode("overwrite").text(path + "-records")  # once: the count and the arrays see the same records
+        records = spark.read.schema("value string").text(path + "-records")
+        chars = records.agg(F.sum(F.length("value").cast("long"))).first()[0] or 0
+        # dealt out in turn, so no content can fill one file; tasks stay well under the limit, mostly one file each
+        (records.repartition(max(1, ceil(2 * chars / array_chars)))
+         .mapInPandas(_arrays(array_chars), "value string")
+         .write.mode("overwrite").option("maxRecordsPerFile", 1).text(path))
         return path
     df.write.mode("overwrite").json(path)
     return path
