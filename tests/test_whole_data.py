@@ -120,3 +120,14 @@ def test_all_masked_rows_can_be_left_out(spark):
     for drop, n in ((True, 1), (False, 2)):
         ts = build_training_set(spark, [df], SftConfig(max_len=20, vocab_size=50, drop_all_masked=drop))
         assert spark.read.parquet(ts.shards_path).count() == n
+
+
+def test_left_out_prompts_are_rejected_with_a_reason(spark):
+    rows = [("s", "1", "short", "", "answer"), ("s", "2", "long " * 100, "", "answer")]
+    df = spark.createDataFrame(rows, "source string, example_id string, instruction string, input string, output string")
+    cfg = SftConfig(max_len=64, vocab_size=100, shuffle=False, batch_size=1, grad_accum=1, drop_all_masked=True)
+    ts = build_training_set(spark, [df], cfg)
+    assert [r.example_id for r in spark.read.parquet(ts.shards_path).collect()] == ["1"]
+    rejected = spark.read.parquet(ts.rejected_path).collect()
+    assert [(r.source, r.reason) for r in rejected] == [("s", "prompt fills max_len")]
+    assert '"example_id":"2"' in rejected[0].record

@@ -98,17 +98,23 @@ def build_training_set(spark: SparkSession, sources: list[DataFrame], cfg: SftCo
         "source", F.to_json(F.struct(*FIELDS[1:])).alias("record"), "reason")
     if also_rejected is not None:
         rejected = rejected.unionByName(also_rejected.select("source", "record", "reason"))
-    write_table(rejected, paths.rejected_path)
     kept = [c.where("valid").drop("valid", "reason") for c in checked]
     subsets = [smp.subset_pct(k, cfg.train_pct, cfg.seed, prefix_hex=cfg.index_prefix_hex)
                .drop("idx", "group_n") for k in kept]
     # The subset, rendered mix is computed once for the vocabulary, the plan and
     # the encode; a lost executor later recomputes from here.
-    mixed = tpl.render(smp.mix_strict(*subsets), cfg.template).select(
-        "source", "source_rank", "example_id", "prompt", "answer")
+    mixed = tpl.render(smp.mix_strict(*subsets), cfg.template)
+    columns = ["source", "source_rank", "example_id", "prompt", "answer"]
     if cfg.drop_all_masked:
-        mixed = mixed.where(F.size(tokenize("prompt")) < cfg.max_len)
-    mixed = materialize(mixed, "training-mix")
+        fills = F.size(tokenize("prompt")) >= cfg.max_len
+        mixed = mixed.withColumn("record", F.when(fills, F.to_json(F.struct(*FIELDS[1:]))))
+        mixed = materialize(mixed.select(*columns, "record"), "training-mix")
+        rejected = rejected.unionByName(mixed.where(F.col("record").isNotNull()).select(
+            "source", "record", F.lit("prompt fills max_len").alias("reason")))
+        mixed = mixed.where(F.col("record").isNull()).drop("record")
+    else:
+        mixed = materialize(mixed.select(*columns), "training-mix")
+    write_table(rejected, paths.rejected_path)
     write_table(tk.build_vocab(mixed, ["prompt", "answer"], cfg.vocab_size), vocab_path)
     vocab = spark.read.parquet(vocab_path)
     write_table(spark.createDataFrame([tuple(str(v) for v in asdict(cfg).values())],
