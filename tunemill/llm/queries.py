@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, chat, hnsw, jaccard, langid, linededup, mixing, quality, sharding, suffixdedup
+from . import (bpe, chat, hnsw, jaccard, langid, linededup, mixing, periodic, quality, sharding,
+               suffixdedup)
 from .common import table
 
 
@@ -75,3 +76,8 @@ def op6_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_suffix_dedup")
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.op8(table(spark, sf_dir, "documents"))
+
+
+@query("op13_periodic_runs", periodic.SQL)
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.op13(table(spark, sf_dir, "documents"))
