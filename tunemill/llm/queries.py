@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bpe, chat, hnsw, jaccard, langid, linededup, mixing, periodic, quality, sharding,
-               suffixdedup)
+from . import (bpe, chat, hnsw, jaccard, langid, lexical, linededup, mixing, periodic, quality,
+               sharding, suffixdedup)
 from .common import table
 
 
@@ -81,3 +81,8 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op13_periodic_runs", periodic.SQL)
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return periodic.op13(table(spark, sf_dir, "documents"))
+
+
+@query("op12_lexical_search", lexical.SQL)
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.op12(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
