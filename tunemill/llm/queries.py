@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (bpe, chat, hnsw, jaccard, langid, lexical, linededup, mixing, periodic, quality,
-               sharding, suffixdedup)
+               sharding, suffixdedup, warc)
 from .common import table
 
 
@@ -86,3 +86,8 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_lexical_search", lexical.SQL)
 def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.op12(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_warc", warc.SQL)
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.op11(spark, table(spark, sf_dir, "pages"))
