@@ -31,7 +31,8 @@ from ..session import shared_path
 from ..sources.examples import dialogue_pairs, docs_examples, mcq_examples, turn_id
 from ..sources.examples import role_prompts as src_role_prompts
 from ..sources.io import (read_instruction_json, split_records, write_instruction_json,
-                          write_table)
+                          write_one_array, write_table)
+from ..sources.raw_records import RecordShape, read_raw_records
 from ..sources.tables import load
 
 # Parameters of the registered queries (small enough that truncation,
@@ -230,6 +231,40 @@ def json_roundtrip(spark, d):
     return back.select("source", "example_id", "instruction", "input", "output")
 
 
+@query
+def json_large_array(spark, d):
+    """The pairs as one array file, read in byte ranges by as many tasks."""
+    lines = write_instruction_json(pairs(spark, d), shared_path(spark, "conv-lines"))
+    one = write_one_array(lines, shared_path(spark, "conv-array") + ".json", spark)
+    back, _ = split_records(read_instruction_json(spark, one, schema=SOURCED_EXAMPLE))
+    return back.select("source", "example_id", "instruction", "input", "output")
+
+
+# two shapes of other programs: a list of messages, and a nested question with its solution
+MESSAGES = RecordShape(example_id=("$.ref",), instruction=("$.context.system",), input=("$.messages[0].value",),
+                       output=("$.messages[1].value",))
+NESTED = RecordShape(example_id=("$.data['item no']",), instruction=("$.task",), input=("$.data.question",),
+                     output=("$.data.answer", "$.data.solution.text"))
+
+
+@query
+def raw_records(spark, d):
+    """The pairs and the MCQs as raw JSON in two foreign nested shapes, mapped to instruction examples by
+    paths; fields that no path uses are kept."""
+    said = lambda who, c: F.struct(F.lit(who).alias("from"), F.col(c).alias("value"))
+    a = write_instruction_json(pairs(spark, d).select(
+        F.col("example_id").alias("ref"), F.struct(F.col("instruction").alias("system")).alias("context"),
+        F.array(said("patient", "input"), said("doctor", "output")).alias("messages"),
+        F.struct("source").alias("origin")), shared_path(spark, "raw-messages"), form="array")
+    b = write_instruction_json(mcq(spark, d).select(
+        F.col("instruction").alias("task"), F.lit(4).alias("options"),
+        F.struct(F.col("example_id").cast("long").alias("item no"), F.col("input").alias("question"),
+                 F.struct(F.col("output").alias("text")).alias("solution")).alias("data")), shared_path(spark, "raw-nested"))
+    rows = read_raw_records(spark, a, MESSAGES).withColumn("source", F.lit("dialogue")).unionByName(
+        read_raw_records(spark, b, NESTED).withColumn("source", F.lit("mcq")))
+    return rows.select("source", "example_id", "instruction", "input", "output", "extra", "reason")
+
+
 @query
 def role_prompts(spark, d):
     """Prompt table with the fixed doctor role."""

@@ -61,6 +61,14 @@ def md5key(*parts: str) -> str:
 ORACLE["json_roundtrip"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + """
 SELECT source, example_id, instruction, input, output FROM chat_ex"""
 
+ORACLE["json_large_array"] = with_(PAIRS) + """
+SELECT source, example_id, instruction, input, output FROM pairs"""
+
+ORACLE["raw_records"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + """
+SELECT source, example_id, instruction, input, output,
+       CASE source WHEN 'dialogue' THEN '{"origin":{"source":"dialogue"}}' ELSE '{"options":4}' END AS extra, '' AS reason
+FROM chat_ex"""
+
 ORACLE["role_prompts"] = f"""
 SELECT conv_id || ':' || turn AS prompt_id, {role_prompt('text')} AS prompt
 FROM conversations WHERE role = 'user'"""

@@ -25,6 +25,7 @@ from ..operators import tokens as tk
 from ..operators import validate as val
 from ..session import materialize, shared_path
 from ..sources.io import read_instruction_json, split_records, write_table
+from ..sources.raw_records import RecordShape, read_raw_records
 
 
 @dataclass(frozen=True)
@@ -57,11 +58,17 @@ def assign_example_ids(rows: DataFrame, source: str) -> DataFrame:
                     *FIELDS[2:])
 
 
-def examples_from_json(spark: SparkSession, files: dict[str, str]) -> tuple[list[DataFrame], DataFrame]:
-    """(one example table per source, rejected records) of the JSON files of each source."""
+def examples_from_json(spark: SparkSession, files: dict[str, str],
+                       shapes: dict[str, RecordShape] | None = None) -> tuple[list[DataFrame], DataFrame]:
+    """(one example table per source, rejected records) of the JSON files of each source. A source with a shape has raw
+    records, which are mapped by its paths; the others have the three fields themselves."""
     tables, bad = [], None
     for source, path in files.items():
-        good, rejected = split_records(materialize(read_instruction_json(spark, path), "json"))
+        if source in (shapes or {}):
+            rows = materialize(read_raw_records(spark, path, shapes[source]), "json")
+            good, rejected = rows.where("reason = ''"), rows.where("reason <> ''")
+        else:
+            good, rejected = split_records(materialize(read_instruction_json(spark, path), "json"))
         tables.append(assign_example_ids(good, source))
         rejected = rejected.select(F.lit(source).alias("source"), "record", "reason")
         bad = rejected if bad is None else bad.unionByName(rejected)

@@ -10,44 +10,36 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import EXAMPLE, TURNS
+from .files import file_system
+from .json_ranges import cut_lines, files_under, read_records
 
 CORRUPT = "_corrupt_record"
 ARRAY_CHARS = 1 << 23
 
 
-def json_form(spark: SparkSession, path: str) -> str:
-    """'array' if the first visible character under ``path`` opens a JSON array, else
-    'lines'. Reads one row."""
-    first = spark.read.text(path).where(F.btrim("value", F.lit(" \t\r\ufeff")) != "").limit(1).collect()
-    return "array" if first and first[0].value.lstrip(" \t\ufeff").startswith("[") else "lines"
+def read_instruction_json(spark: SparkSession, paths, form: str = "auto", schema: T.StructType = EXAMPLE,
+                          range_bytes: int | None = None) -> DataFrame:
+    """Instruction records from JSON files (S1, S2): array files and files of one record a
+    line, in any mix; ``form`` 'auto' looks at the first visible character of every file.
 
-
-def read_instruction_json(spark: SparkSession, paths, form: str = "auto",
-                          schema: T.StructType = EXAMPLE) -> DataFrame:
-    """Instruction records from JSON files (S1, S2): files that hold one array each, or
-    JSON Lines; ``form`` 'auto' looks at the first character of each path.
-
-    The schema is fixed (no inference pass over the data). Nothing is dropped: a
-    record that does not parse is a row with its text in ``_corrupt_record`` and
-    null fields (``split_records`` parts them). ``source_file`` keeps provenance.
-    An array file is read by one task; convert large ones to lines once.
+    Files of either form are read in byte ranges by as many tasks (``json_ranges``).
+    The schema is fixed (no inference pass over the data). Nothing is dropped: text
+    that is not one record, in an array, on a line or outside an array, is a row with the
+    text in ``_corrupt_record`` and null fields (``split_records`` parts them).
+    ``source_file`` keeps provenance. No files, or only empty ones: no rows.
     """
+    files = [f for path in ([paths] if isinstance(paths, str) else paths) for f in files_under(spark, path, form)]
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
-    out = None
-    for path in [paths] if isinstance(paths, str) else paths:
-        kind = json_form(spark, path) if form == "auto" else form
-        df = (spark.read.schema(full).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-              .option("multiLine", kind == "array").json(path).withColumn("source_file", F.input_file_name()))
-        # Spark refuses queries that need nothing but the corrupt text: a count of it, say.
-        nothing = F.left(F.coalesce(F.col(schema.fieldNames()[0]).cast("string"), F.lit("")), F.lit(0))
-        df = df.withColumn(CORRUPT, F.concat(CORRUPT, nothing))
-        out = df if out is None else out.unionByName(df)
-    return out
+    rows = read_records(spark, files, range_bytes).withColumn("_r", F.from_json(
+        "value", full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    fits = F.col("whole") & F.col("_r").isNotNull() & F.col(f"_r.{CORRUPT}").isNull()
+    return rows.select(*[F.when(fits, F.col(f"_r.{c}")).alias(c) for c in schema.fieldNames()],
+                       F.when(~fits, F.col("value")).alias(CORRUPT), F.col("file").alias("source_file"))
 
 
 def split_records(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of ``read_instruction_json``: (records that parsed; rejected ones with their text,
-    ``reason``, and ``parsed``, the fields that could be read)."""
+    ``reason``, and ``parsed``, the fields that other readers could fill)."""
     bad = F.col(CORRUPT).isNotNull()
     fields = [c for c in df.columns if c not in (CORRUPT, "source_file")]
     return (df.where(~bad).drop(CORRUPT),
@@ -90,6 +82,27 @@ def write_instruction_json(df: DataFrame, path: str, form: str = "lines", array_
     return path
 
 
+def write_one_array(lines: str, path: str, spark: SparkSession) -> str:
+    """Files of one record a line joined to one array file, as other tools hand over. One file is written
+    by one task, in pieces of bounded size."""
+    parts = sorted(r.path for r in spark.read.format("binaryFile").load(lines).select("path").collect())
+
+    def join(batches):
+        fs, name = file_system(path)
+        first = True
+        for _ in batches:
+            with fs.open_output_stream(name, compression=None) as out:
+                out.write(b"[")
+                for part in parts:
+                    for _, _, text in cut_lines(part, 0, None):
+                        out.write((b"" if first else b",\n") + text)
+                        first = False
+                out.write(b"]\n")
+            yield pd.DataFrame({"path": [path]})
+    spark.range(1, numPartitions=1).mapInPandas(join, "path string").collect()
+    return path
+
+
 def write_table(df: DataFrame, path: str, partition_by=None) -> str:
     """Parquet sink (S6, S7, S8); ``partition_by`` e.g. split or rank."""
     w = df.write.mode("overwrite")
