@@ -12,13 +12,14 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import LABEL_IGNORE
-from .sampling import global_index, seeded_key
+from .sampling import NULL_PART, global_index, seeded_key
 
 
 def batch_plan(df: DataFrame, epochs: int, batch_size: int, grad_accum: int,
                world_size: int = 1, seed: int = 42, key: str = "example_id",
-               source: str = "source", prefix_hex: int = 4, shuffle: bool = True) -> DataFrame:
-    """Adds ``epoch, pos, rank, step, micro_step, batch_id``.
+               source: str = "source", prefix_hex: int = 4, shuffle: bool = True, tie=()) -> DataFrame:
+    """Adds ``epoch, pos, rank, step, micro_step, batch_id``; other columns stay. Rows with one key, and
+    rows with a null one, are rows of their own, in the order of the columns ``tie``.
 
     Without ``shuffle`` every epoch has the sources one after the other, by
     ``source_rank``, each in the order of md5('<key>').
@@ -29,9 +30,10 @@ def batch_plan(df: DataFrame, epochs: int, batch_size: int, grad_accum: int,
     ep = df.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))))
     if shuffle:
         k = seeded_key(seed, "epoch", source, key)
-        ix = global_index(ep, k, key, ["epoch"], prefix_hex, out="pos").drop("group_n")
+        ix = global_index(ep, k, [key, *tie], ["epoch"], prefix_hex, out="pos").drop("group_n")
     else:
-        ix = global_index(ep, F.md5(F.col(key).cast("string")), key, ["epoch", "source_rank"], prefix_hex, out="_i")
+        name = F.coalesce(F.col(key).cast("string"), F.lit(NULL_PART))
+        ix = global_index(ep, F.md5(name), [key, *tie], ["epoch", "source_rank"], prefix_hex, out="_i")
         before = Window.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)  # one row per source
         starts = df.groupBy(F.col("source_rank").alias("_r")).agg(F.count(F.lit(1)).alias("_n")).select(
             "_r", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_at"))

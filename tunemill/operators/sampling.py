@@ -17,6 +17,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+FEW = 4096  # order texts fetched of the digit group that holds a cut
+MAX_GROUPS = 200  # groups whose cuts become one filter
+
 NULL_PART = "\x00null"  # a null key is a key of its own, unlike any text
 
 
@@ -29,9 +32,9 @@ def seeded_key(seed, *parts) -> Column:
     return F.md5(F.concat(*items))
 
 
-def global_index(df: DataFrame, order_key: Column, tie: str, group=(), prefix_hex: int = 4,
+def global_index(df: DataFrame, order_key: Column, tie, group=(), prefix_hex: int = 4,
                  out: str = "idx") -> DataFrame:
-    """0-based position of each row along ``(order_key, tie)`` within ``group``.
+    """0-based position of each row along ``(order_key, tie)`` within ``group``; ``tie`` is a column or several.
 
     ``order_key`` must be a lowercase hex md5 string. Also adds ``group_n``
     (rows in the group), useful for exact subsets.
@@ -53,7 +56,7 @@ def global_index(df: DataFrame, order_key: Column, tie: str, group=(), prefix_he
     on = [F.col(g).eqNullSafe(F.col(f"_o_{g}")) for g in group] + [F.col("_bk") == F.col("_o_bk")]
     j = (d.join(offsets if group else F.broadcast(offsets), on, "inner")
          .drop(*[f"_o_{g}" for g in group], "_o_bk"))
-    inb = Window.partitionBy(*group, "_bk").orderBy("_ok", tie)
+    inb = Window.partitionBy(*group, "_bk").orderBy("_ok", *([tie] if isinstance(tie, str) else tie))
     return (j.withColumn(out, F.col("_off") + F.row_number().over(inb) - 1)
             .drop("_ok", "_bk", "_off"))
 
@@ -78,12 +81,109 @@ def subset_pct(df: DataFrame, pct: float, seed: int, key: str = "example_id",
     return ix.where(F.col("idx") < keep_count(F.col("group_n"), pct))
 
 
+def _hex_order(seed, key: str, tie=()) -> Column:
+    """The seeded order as one hex text: the md5 of the key, then of the ``tie`` columns (null kept apart)."""
+    parts = [F.coalesce(F.col(c).cast("string"), F.lit(NULL_PART)) for c in tie]
+    after = [F.md5(F.concat_ws("\x1f", *parts))] if parts else []
+    return F.concat(seeded_key(seed, key), *after)
+
+
+def subset_exact(df: DataFrame, pct: float, seed: int, key: str = "example_id", group=("source",),
+                 digits: int = 4, tie=(), few: int = FEW, max_groups: int = MAX_GROUPS) -> DataFrame:
+    """W1 + W3 without numbering rows: the rows of ``subset_pct``, by one filter.
+
+    The last row of a group's share is found by radix selection. Rows are counted by the
+    next ``digits`` hex digits of the seeded order (partial aggregation); only the digit group that
+    holds the cut is looked at further, until it has at most ``few`` rows, whose order
+    texts are fetched. What passes through the driver is one row per group and level and
+    those few. ``tie`` names columns that part rows with one key (without it such rows are alike). Where the cut falls
+    among rows that are alike in all of these, or beyond ``max_groups`` groups, rows are
+    numbered as in ``subset_pct``. Null groups and null keys count like others.
+    """
+    if pct >= 100.0:
+        return df
+    group = list(group)
+    order = fresh_name(df, "_order")
+    keyed = df.select(*group, _hex_order(seed, key, tie).alias(order))
+    cuts = _cuts(keyed, order, pct, group, digits, few, max_groups)
+    if cuts is None:
+        number = fresh_name(df, "_idx")
+        total = fresh_name(df, "group_n")
+        ix = global_index(df, seeded_key(seed, key), [key, *tie], group, digits, out=number)
+        return ix.where(F.col(number) < keep_count(F.col(total), pct)).select(*df.columns)
+    keep = F.lit(False)
+    for values, cut in cuts:
+        here = F.lit(True)
+        for g, v in zip(group, values):
+            here = here & F.col(g).eqNullSafe(F.lit(v))
+        keep = keep | (here & (_hex_order(seed, key, tie) < cut))
+    return df.where(keep)
+
+
+def fresh_name(df: DataFrame, stem: str) -> str:
+    taken = {c.lower() for c in df.columns}
+    return stem if stem.lower() not in taken else fresh_name(df, stem + "_")
+
+
+def _cuts(keyed: DataFrame, order: str, pct: float, group: list[str], digits: int, few: int, max_groups: int):
+    """[(group values, first order text that is not kept)], or None if the cut cannot be told by the
+    order alone or there are too many groups."""
+    same = lambda values: [F.col(g).eqNullSafe(F.lit(v)) for g, v in zip(group, values)]
+    done, open_ = [], None
+    depth = 0
+    while open_ is None or open_:
+        rows = keyed
+        if open_ is not None:  # only what begins like a group's cut
+            near = F.lit(False)
+            for values, (prefix, _) in open_.items():
+                here = F.substring(order, 1, depth) == prefix
+                for c in same(values):
+                    here = here & c
+                near = near | here
+            rows = keyed.where(near)
+        depth += digits
+        counts = rows.groupBy(*group, F.substring(order, 1, depth).alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+        by = Window.partitionBy(*group)
+        upto = counts.select(*group, "_p", "_n", F.sum("_n").over(by.orderBy("_p")).alias("_upto"),
+                             F.sum("_n").over(by).alias("_all"))
+        wanted = keep_count(F.col("_all"), pct) if open_ is None else F.lit(None).cast("long")
+        if open_ is not None:
+            for values, (_, left) in open_.items():
+                here = F.lit(True)
+                for c in same(values):
+                    here = here & c
+                wanted = F.when(here, F.lit(left).cast("long")).otherwise(wanted)
+        at = (upto.withColumn("_k", wanted).where((F.col("_upto") > F.col("_k")) & (F.col("_upto") - F.col("_n") <= F.col("_k")))
+              .limit(max_groups + 1).collect())
+        if len(at) > max_groups:
+            return None
+        small, again = {}, {}
+        for r in at:
+            values, left = tuple(r[g] for g in group), r["_k"] - (r["_upto"] - r["_n"])
+            if r["_n"] <= few:
+                small[values] = (r["_p"], left)
+            elif len(r["_p"]) < depth:  # the texts end: all these rows are alike
+                return None
+            else:
+                again[values] = (r["_p"], left)
+        for values, (prefix, left) in small.items():
+            here = F.substring(order, 1, depth) == prefix
+            for c in same(values):
+                here = here & c
+            texts = sorted(r[0] for r in keyed.where(here).select(order).collect())
+            if left and texts[left - 1] == texts[left]:
+                return None
+            done.append((values, texts[left]))
+        open_ = again
+    return done
+
+
 def shuffle_index(df: DataFrame, seed: int, key: str = "example_id",
                   source: str = "source", prefix_hex: int = 4, out: str = "pos",
-                  group=()) -> DataFrame:
-    """Position of every row in a seeded global shuffle of the mix."""
+                  group=(), tie=()) -> DataFrame:
+    """Position of every row in a seeded global shuffle of the mix; rows with one key go by ``tie``."""
     k = seeded_key(seed, source, key)
-    return global_index(df, k, key, group, prefix_hex, out=out).drop("group_n")
+    return global_index(df, k, [key, *tie], group, prefix_hex, out=out).drop("group_n")
 
 
 def mix_strict(*dfs: DataFrame) -> DataFrame:

@@ -88,10 +88,13 @@ def encode_tokens(df: DataFrame, tokens_col: str, vocab: DataFrame, out_col: str
                   unk_id: int = UNK_TOKEN_ID) -> DataFrame:
     """The token array ``tokens_col`` of every row as vocabulary ids; other columns stay."""
     tokens, ids = read_vocab(vocab)
+    known = dict(zip(tokens.to_pylist(), ids.tolist()))
 
-    def look_up(flat):
-        at = pc.fill_null(pc.index_in(flat, value_set=tokens), -1).to_numpy(zero_copy_only=False)
-        return pa.array(np.where(at < 0, unk_id, ids[np.maximum(at, 0)] if len(ids) else unk_id), pa.int64())
+    def look_up(flat):  # each distinct token of a batch once
+        coded = flat.dictionary_encode()
+        found = np.array([known.get(t, unk_id) for t in coded.dictionary.to_pylist()], np.int64)
+        at = coded.indices.to_numpy(zero_copy_only=False)
+        return pa.array(found[at] if len(found) else np.zeros(0, np.int64), pa.int64())
 
     return _map_arrays(df, tokens_col, out_col, T.LongType(), look_up)
 

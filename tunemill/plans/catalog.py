@@ -27,7 +27,7 @@ from ..operators import tokens as tk
 from ..operators import udfs as udf
 from ..operators import validate as val
 from ..schemas import SOURCED_EXAMPLE
-from ..session import shared_path
+from ..session import materialize, shared_path
 from ..sources.examples import dialogue_pairs, docs_examples, mcq_examples, turn_id
 from ..sources.examples import role_prompts as src_role_prompts
 from ..sources.io import (read_instruction_json, split_records, write_instruction_json,
@@ -71,6 +71,11 @@ def dialogue_vocab(spark, d, cfg: SftConfig = CFG) -> DataFrame:
     return tk.build_vocab(rendered_pairs(spark, d), ["prompt", "answer"], cfg.vocab_size)
 
 
+def written_vocab(spark, d) -> DataFrame:
+    """The vocabulary for a query that needs it more than once."""
+    return materialize(dialogue_vocab(spark, d), "vocab")
+
+
 # ------------------------------------------------------------ step 1 slice
 @query
 def sft_pairs(spark, d):
@@ -363,6 +368,13 @@ def subset_pct(spark, d):
     return s.select("source", "example_id", "idx")
 
 
+@query
+def subset_exact(spark, d):
+    """The same rows by radix selection and one filter, without their numbers."""
+    return smp.subset_exact(all_examples(spark, d), SUBSET_PCT, CFG.seed,
+                            digits=CFG.index_prefix_hex).select("source", "example_id")
+
+
 @query
 def mix_sources_all(spark, d):
     """U1 and W2 over all rows of both sources (W1 at 100 %)."""
@@ -374,8 +386,8 @@ def mix_sources_all(spark, d):
 @query
 def mix_sources(spark, d):
     """W1 per source, U1, then the seeded shuffle of the mix."""
-    a = smp.subset_pct(pairs(spark, d), MIX_PCT, CFG.seed).drop("idx", "group_n")
-    b = smp.subset_pct(mcq(spark, d), MIX_PCT, CFG.seed).drop("idx", "group_n")
+    a = smp.subset_exact(pairs(spark, d), MIX_PCT, CFG.seed)
+    b = smp.subset_exact(mcq(spark, d), MIX_PCT, CFG.seed)
     m = smp.shuffle_index(smp.mix_strict(a, b), CFG.seed, prefix_hex=CFG.index_prefix_hex)
     return m.select("pos", "source", "example_id")
 
@@ -420,7 +432,7 @@ def token_profile(spark, d):
 def token_view(spark, d):
     """First 50 ids, mask and labels, the decoded prompt part and the
     next 20 tokens decoded, for every row."""
-    vocab_t = dialogue_vocab(spark, d)
+    vocab_t = written_vocab(spark, d)
     enc = tk.encode_examples(rendered_pairs(spark, d), vocab_t, CFG)
     v = enc.select("example_id", "input_ids", "prompt_len",
                    tk.ids_text(F.slice("input_ids", 1, 50)).alias("ids_50"),
@@ -436,9 +448,9 @@ def token_view(spark, d):
 @query
 def decode_tokens(spark, d):
     """Ids back to text, with and without the reserved tokens."""
-    enc = tk.encode_examples(rendered_pairs(spark, d), dialogue_vocab(spark, d), CFG, pad=False)
-    dec = tk.decode_parts(enc.select("example_id", "input_ids"), "input_ids",
-                          dialogue_vocab(spark, d))
+    vocab_t = written_vocab(spark, d)
+    enc = tk.encode_examples(rendered_pairs(spark, d), vocab_t, CFG, pad=False)
+    dec = tk.decode_parts(enc.select("example_id", "input_ids"), "input_ids", vocab_t)
     return dec.select("example_id", tk.join_tokens("_dec", True).alias("text"),
                       tk.join_tokens("_dec", False).alias("text_all"))
 
@@ -464,12 +476,10 @@ def batch_plan_ranks(spark, d):
 @query
 def batch_padding(spark, d):
     """Ragged rows padded to the longest row of their batch."""
-    # the plan is made of keys only and meets the encoded rows once
-    ex = rendered_pairs(spark, d)
-    plan = bat.batch_plan(ex.select(F.lit("dialogue").alias("source"), "example_id"), 1, CFG.batch_size,
-                          CFG.grad_accum, 1, CFG.seed).select("example_id", "epoch", "batch_id")
-    enc = tk.encode_examples(ex, dialogue_vocab(spark, d), CFG, pad=False)
-    padded = bat.pad_to_batch(plan.join(enc, "example_id"), CFG.effective_pad_id)
+    # the plan goes with the unpadded ids: no join, so repeated and null ids stay rows of their own
+    ex = rendered_pairs(spark, d).select(F.lit("dialogue").alias("source"), "example_id", "prompt", "answer")
+    plan = bat.batch_plan(tk.encode_ids(ex, dialogue_vocab(spark, d), CFG), 1, CFG.batch_size, CFG.grad_accum, 1, CFG.seed)
+    padded = bat.pad_to_batch(tk.pad_and_mask(plan, CFG, pad=False), CFG.effective_pad_id)
     return padded.select("batch_id", "example_id", "batch_len",
                          tk.ids_text("input_ids").alias("input_ids"),
                          tk.ids_text("attention_mask").alias("attention_mask"),
@@ -495,11 +505,10 @@ def vocab_roundtrip(spark, d):
 def shard_roundtrip(spark, d):
     """Encoded rows written in batch order as per-rank shards, read back, with each
     row's place in its file."""
-    ex = rendered_pairs(spark, d).withColumn("source", F.lit("dialogue"))
-    plan = bat.batch_plan(ex.select("source", "example_id"), 1, CFG.batch_size, CFG.grad_accum,
+    ex = rendered_pairs(spark, d).select(F.lit("dialogue").alias("source"), "example_id", "prompt", "answer")
+    plan = bat.batch_plan(tk.encode_ids(ex, dialogue_vocab(spark, d), CFG), 1, CFG.batch_size, CFG.grad_accum,
                           CFG.world_size, CFG.seed)
-    enc = tk.encode_ids(ex.select("example_id", "prompt", "answer"), dialogue_vocab(spark, d), CFG)
-    rows = plan.join(enc, "example_id").withColumn("run", F.floor(F.col("pos") / RUN))
+    rows = plan.withColumn("run", F.floor(F.col("pos") / RUN))
     rows = rows.repartition("rank", "run").sortWithinPartitions("rank", "run", "pos")
     out = tk.pad_and_mask(rows, CFG).select("rank", "run", "step", "batch_id", "pos", "example_id",
                                             "input_ids", "labels")
@@ -608,10 +617,11 @@ def strip_prompt_slice(spark, d):
     t = g.select("example_id", fn.tokenize("prompt").alias("_pt"),
                  fn.tokenize("full_text").alias("_ft"))
     t = t.select("example_id", F.size("_pt").alias("prompt_len"), "_ft")
-    enc = tk.encode_tokens(t, "_ft", dialogue_vocab(spark, d), "ids")
+    vocab_t = written_vocab(spark, d)
+    enc = tk.encode_tokens(t, "_ft", vocab_t, "ids")
     tail = enc.select("example_id", F.slice("ids", F.col("prompt_len") + 1,
                                             F.greatest(F.size("ids"), F.lit(1))).alias("tail"))
-    dec = tk.decode_ids(tail, "tail", dialogue_vocab(spark, d), "answer")
+    dec = tk.decode_ids(tail, "tail", vocab_t, "answer")
     return dec.select("example_id", fn.py_strip("answer").alias("answer"))
 
 
@@ -692,6 +702,17 @@ def training_set_all(spark, d):
     return _training_rows(spark, [pairs(spark, d), mcq(spark, d)], CFG)
 
 
+@query
+def training_set_duplicates(spark, d):
+    """The whole flow over all documents without ids of their own: the language is the id, so it repeats, and
+    documents from src0 have none. Every copy is in the shards."""
+    ids = F.when(F.coalesce(F.col("source"), F.lit("")) != "src0", F.col("lang"))
+    ex = docs_examples(load(spark, d, "documents").withColumn("doc_id", ids)).withColumn(
+        "output", F.concat_ws("\n", "input", "output"))
+    return _training_rows(spark, [ex], CFG).groupBy("epoch", "source", "example_id", "input_ids", "labels", "length").agg(
+        F.count(F.lit(1)).alias("copies"))
+
+
 @query
 def json_training_set(spark, d):
     """S1, S2 to shards: the pairs as a JSON array file and the MCQs as lines, three

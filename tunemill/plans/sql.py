@@ -190,6 +190,9 @@ def _subset(src: str, pct: float) -> str:
 ORACLE["subset_pct"] = with_(PAIRS, MCQ, DOCS, PAIRS_X, ALL) + f"""
 SELECT source, example_id, idx FROM {_subset('all_ex', SUBSET_PCT)}"""
 
+ORACLE["subset_exact"] = with_(PAIRS, MCQ, DOCS, PAIRS_X, ALL) + f"""
+SELECT source, example_id FROM {_subset('all_ex', SUBSET_PCT)}"""
+
 ORACLE["mix_sources"] = with_(PAIRS, MCQ, PAIRS_X) + f"""
 , mixed AS (SELECT source, example_id FROM {_subset('pairs_x', MIX_PCT)}
             UNION ALL SELECT source, example_id FROM {_subset('mcq', MIX_PCT)})
@@ -530,6 +533,22 @@ numbered AS (SELECT source, h || '-' || row_number() OVER (PARTITION BY source,
                     instruction, input, output FROM rec), """ + _training(
     "numbered", 100.0, "s.source, md5(s.example_id)")
 
+_DUP = {c: _unmarked(_clean(c)) for c in ("instruction", "input", "output")}
+ORACLE["training_set_duplicates"] = with_(DOCS) + f"""
+, dup AS (SELECT docs.source, CASE WHEN coalesce(d.source, '') <> 'src0' THEN d.lang END AS example_id, instruction, input,
+                 concat_ws(chr(10), input, output) AS output
+          FROM docs JOIN documents d ON docs.example_id = d.doc_id::VARCHAR),
+ready AS (SELECT source, example_id, {', '.join(f'{x} AS {c}' for c, x in _DUP.items())} FROM dup),
+rtrain AS (SELECT source, example_id, row_number() OVER () AS uid, {inst_prompt('instruction', 'input')} AS prompt,
+                  {inst_answer('output')} AS answer
+           FROM ready WHERE length({strip('instruction')}) > 0 AND length({strip('output')}) > 0), """ + ", ".join(
+    x.strip("\n") for x in (vocab_cte(CFG.vocab_size, texts="rtrain"), encoded_cte(CFG.max_len, src="rtrain", key="uid"))) + f"""
+SELECT epoch, source, example_id, array_to_string(list_resize(ids, {_N}, 0), ' ') AS input_ids,
+       array_to_string(list_transform(list_resize(ids, {_N}, 0), lambda x, i:
+         CASE WHEN i - 1 < least(prompt_tokens, {_N}) OR i - 1 >= len(ids) THEN -100 ELSE x END), ' ') AS labels,
+       len(ids) AS length, count(*) AS copies
+FROM enc JOIN rtrain USING (uid), (SELECT unnest(range({CFG.epochs})) AS epoch) GROUP BY ALL"""
+
 ORACLE["history_stream"] = with_(_CUT, _HIST) + """
 SELECT conv_id, u AS turn, min(h) AS start_turn, count(*) AS n_messages, CAST(sum(n) AS BIGINT) AS n_tokens,
        string_agg(part, '' ORDER BY h) AS prompt

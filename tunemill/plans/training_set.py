@@ -88,6 +88,30 @@ def prepare(source: DataFrame, cfg: SftConfig) -> DataFrame:
     return val.required_fields(d)
 
 
+def unique_keys(rows: DataFrame) -> DataFrame:
+    """``rows`` (a written table with ``part`` and ``row_id``) with ``uid``, unique within a source: the example id
+    where no other row has it, else (and for null ids) the id, the hash of the fields and a running
+    number among rows that are alike in all of these. Alike rows are numbered within the parts of the table,
+    with offsets from counts, so one that makes up much of the input is no single task."""
+    rows = rows.withColumn("h", F.md5(F.to_json(F.struct(*FIELDS))))
+    again = (rows.groupBy("source", "example_id").agg(F.count(F.lit(1)).alias("n"))
+             .where("n > 1 or example_id is null").select(F.col("source").alias("rs"), F.col("example_id").alias("re")))
+    if again.isEmpty():
+        return rows.withColumn("uid", F.col("example_id").cast("string")).drop("h", "part")
+    again = materialize(again, "repeated-ids")
+    meets = rows["source"].eqNullSafe(again["rs"]) & rows["example_id"].eqNullSafe(again["re"])
+    alike = ["source", "example_id", "h"]
+    some = rows.join(again, meets, "left_semi")
+    before = Window.partitionBy(*alike).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    starts = some.groupBy(*alike, "part").agg(F.count(F.lit(1)).alias("n")).select(
+        *[F.col(c).alias(f"s_{c}") for c in (*alike, "part")], F.coalesce(F.sum("n").over(before), F.lit(0)).alias("at"))
+    number = F.row_number().over(Window.partitionBy(*alike, "part").orderBy("row_id")) + F.col("at")
+    numbered = some.join(starts, [F.col(c).eqNullSafe(F.col(f"s_{c}")) for c in (*alike, "part")]).withColumn(
+        "uid", F.concat_ws("#", F.coalesce(F.col("example_id").cast("string"), F.lit(smp.NULL_PART)), "h", number.cast("string")))
+    single = rows.join(again, meets, "left_anti").withColumn("uid", F.col("example_id").cast("string"))
+    return materialize(single.unionByName(numbered.select(*single.columns)).drop("h", "part"), "training-rows")
+
+
 def build_training_set(spark: SparkSession, sources: list[DataFrame], cfg: SftConfig,
                        out_path: str | None = None, vocab_path: str | None = None,
                        rows_per_file: int = 200_000, also_rejected: DataFrame | None = None) -> TrainingSet:
@@ -96,22 +120,23 @@ def build_training_set(spark: SparkSession, sources: list[DataFrame], cfg: SftCo
 
     ``sources`` are example tables (source, example_id, instruction, output, and
     input or not); each is subset on its own before the mix, as in the reference.
+    Every row counts, also one that is there again or whose id is null or not its own (``unique_keys``).
     """
     out_path = out_path or shared_path(spark, "shards")
     vocab_path = vocab_path or shared_path(spark, "vocab")
     paths = TrainingSet(vocab_path, out_path, f"{out_path}-rejected", f"{out_path}-config")
-    checked = [prepare(s, cfg).withColumn("source_rank", F.lit(i)) for i, s in enumerate(sources)]
-    rejected = smp.mix_strict(*[c.where(~F.col("valid")) for c in checked]).select(
-        "source", F.to_json(F.struct(*FIELDS[1:])).alias("record"), "reason")
+    # The sources are read, cleaned and checked once; everything else comes from this table, and
+    # a lost executor later recomputes from here.
+    checked = materialize(smp.mix_strict(*[prepare(s, cfg).withColumn("source_rank", F.lit(i)) for i, s in enumerate(sources)])
+                          .withColumn("part", F.spark_partition_id()).withColumn("row_id", F.monotonically_increasing_id()),
+                          "checked")
+    rejected = checked.where(~F.col("valid")).select("source", F.to_json(F.struct(*FIELDS[1:])).alias("record"), "reason")
     if also_rejected is not None:
         rejected = rejected.unionByName(also_rejected.select("source", "record", "reason"))
-    kept = [c.where("valid").drop("valid", "reason") for c in checked]
-    subsets = [smp.subset_pct(k, cfg.train_pct, cfg.seed, prefix_hex=cfg.index_prefix_hex)
-               .drop("idx", "group_n") for k in kept]
-    # The subset, rendered mix is computed once for the vocabulary, the plan and
-    # the encode; a lost executor later recomputes from here.
-    mixed = tpl.render(smp.mix_strict(*subsets), cfg.template)
-    columns = ["source", "source_rank", "example_id", "prompt", "answer"]
+    kept = unique_keys(checked.where("valid").drop("valid", "reason"))
+    subset = smp.subset_exact(kept, cfg.train_pct, cfg.seed, "uid", ("source_rank", "source"), cfg.index_prefix_hex)
+    mixed = tpl.render(subset, cfg.template)
+    columns = ["source", "source_rank", "example_id", "uid", "row_id", "prompt", "answer"]
     if cfg.drop_all_masked:
         fills = F.size(tokenize("prompt")) >= cfg.max_len
         mixed = mixed.withColumn("record", F.when(fills, F.to_json(F.struct(*FIELDS[1:]))))
@@ -120,7 +145,7 @@ def build_training_set(spark: SparkSession, sources: list[DataFrame], cfg: SftCo
             "source", "record", F.lit("prompt fills max_len").alias("reason")))
         mixed = mixed.where(F.col("record").isNull()).drop("record")
     else:
-        mixed = materialize(mixed.select(*columns), "training-mix")
+        mixed = mixed.select(*columns)
     write_table(rejected, paths.rejected_path)
     write_table(tk.build_vocab(mixed, ["prompt", "answer"], cfg.vocab_size), vocab_path)
     vocab = spark.read.parquet(vocab_path)
@@ -130,11 +155,11 @@ def build_training_set(spark: SparkSession, sources: list[DataFrame], cfg: SftCo
     # Ragged rows and the plan, which is made of keys only, meet once; each row
     # appears once per epoch. Contiguous runs of ``rows_per_file`` positions are
     # hash-partitioned as units, and a task writes whole runs in order.
-    enc = tk.encode_ids(mixed.select("source", "example_id", "prompt", "answer"), vocab, cfg)
-    plan = bat.batch_plan(mixed.select("source", "source_rank", "example_id"), cfg.epochs, cfg.batch_size,
-                          cfg.grad_accum, cfg.world_size, cfg.seed, prefix_hex=cfg.index_prefix_hex,
-                          shuffle=cfg.shuffle).drop("source_rank")
-    rows = plan.join(enc, ["source", "example_id"], "inner")
+    enc = tk.encode_ids(mixed.select("row_id", "example_id", "prompt", "answer"), vocab, cfg)
+    plan = bat.batch_plan(mixed.select("source", "source_rank", "uid", "row_id"), cfg.epochs, cfg.batch_size,
+                          cfg.grad_accum, cfg.world_size, cfg.seed, key="uid", prefix_hex=cfg.index_prefix_hex,
+                          shuffle=cfg.shuffle).drop("source_rank", "uid")
+    rows = plan.join(enc, "row_id", "inner")
     run = F.floor(F.col("pos") / rows_per_file).cast("long")
     ordered = (rows.withColumn("run", run).repartition("epoch", "rank", "run")
                .sortWithinPartitions("epoch", "rank", "run", "pos"))
