@@ -213,3 +213,23 @@ def test_token_f1_edges(spark):
                                "example_id long, generated string, expected string")
     got = sorted(tuple(r) for r in ev.token_f1(df).collect())
     assert got == [(1, 0, 0, 0, 1.0), (2, 2, 0, 0, 0.0), (3, 3, 3, 2, 0.666667), (4, 0, 1, 0, 0.0)]
+
+
+def test_markers_of_any_depth_go_and_other_brackets_stay(spark):
+    import re
+
+    from tunemill.config import MARKER_PATTERN
+    from tunemill.functions.text import remove_markers
+    nest = lambda m, cut, n: m if n == 1 else m[:cut] + nest(m, cut, n - 1) + m[cut:]
+    ten = nest("[INST]", 3, 10)
+    mixed = "a [x] <b> " + nest("<s>", 2, 10) + nest("[/INST]", 4, 10) + nest("</s>", 1, 10) + " [IN] </ s> >]"
+    texts = [ten, "[" + ten + "INST]", mixed, "[INST", None, "", "plain <i>", "<<s>s><[INST]/s>[", "[IN<s>ST] <[/INST]s>x" * 500]
+
+    def rounds(t):
+        while t is not None and re.search(MARKER_PATTERN, t):
+            t = re.sub(MARKER_PATTERN, "", t, count=1)
+        return t
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = [r.x for r in df.select("i", remove_markers("t").alias("x")).orderBy("i").collect()]
+    assert got == [rounds(t) for t in texts]
+    assert got[:3] == ["", "", "a [x] <b>  [IN] </ s> >]"]

@@ -68,7 +68,7 @@ def test_retrieval_blocks_make_no_difference(spark, monkeypatch):
     e = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
     q = rt.mean_vectors(e, "label")
     a = sorted(tuple(r) for r in rt.retrieve_topk(q, e, 5).collect())
-    monkeypatch.setattr(rt, "CHUNK", 60)
+    monkeypatch.setattr(rt, "CELLS", 60)
     monkeypatch.setattr(rt, "QUERIES", 3)
     assert a == sorted(tuple(r) for r in rt.retrieve_topk(q, e, 5).collect())
     rows = e.collect()

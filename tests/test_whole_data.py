@@ -78,6 +78,23 @@ def test_unanswered_items_count(spark):
     assert got[None, None, 3] == (6, 2, 3, 0.333333)
 
 
+def test_repeated_and_null_keys_in_scoring(spark):
+    gold = spark.createDataFrame([("b", 1, 1), ("b", 1, 1), (None, 2, 1), ("b", None, 0)], "benchmark string, item_id long, gold int")
+    preds = spark.createDataFrame([("m", "b", 1, 1), ("m", "b", 1, 1), ("m", None, 2, 1), ("m", "b", None, 0), ("m", "b", None, 1)],
+                                  "model string, benchmark string, item_id long, predicted int")
+    total = ev.accuracy_rollup(preds, gold).where("grouping_id = 3").first()
+    assert (total.n_items, total.n_correct, total.n_unanswered, total.accuracy) == (3, 3, 0, 1.0)
+    assert sorted((r.item_id or 0, r.n_answers) for r in ev.repeated_answers(preds).collect()) == [(0, 2), (1, 2)]
+    want = spark.createDataFrame([("1", "a b"), ("1", "a c"), (None, "x"), ("2", "")], "example_id string, expected string")
+    made = spark.createDataFrame([("1", "a b"), ("1", "z"), (None, "x")], "example_id string, generated string")
+    cmp = ev.compare_outputs(want, made)
+    assert sorted(map(repr, (tuple(r) for r in cmp.collect()))) == sorted(map(repr, [
+        ("1", "a b", "a b", 2), ("1", "a c", "a b", 2), (None, "x", "x", 1), ("2", "", None, 0)]))
+    assert ev.exact_match(cmp).first().n_rows == 4
+    f1 = sorted((r.example_id or "", r.np, r.ng, r.overlap, r.f1) for r in ev.token_f1(cmp).collect())
+    assert f1 == [("", 1, 1, 1, 1.0), ("1", 2, 2, 1, 0.5), ("1", 2, 2, 2, 1.0), ("2", 0, 0, 0, 1.0)]
+
+
 def test_filter_states_every_reason(spark):
     ex = spark.createDataFrame([("1", "i", "ok"), ("2", "i", "x" * 50), ("3", "i", ""), ("4", "i", "ok")],
                                "example_id string, input string, output string")

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..config import (MARKER_PATTERN, PREVIEW_CHARS, PREVIEW_ELLIPSIS,
-                      TOKEN_PATTERN, WS_CHARS, WS_CLASS)
+from ..config import (BOS, EOS, INST_CLOSE, INST_OPEN, MARKER_PATTERN, PREVIEW_CHARS,
+                      PREVIEW_ELLIPSIS, TOKEN_PATTERN, WS_CHARS, WS_CLASS)
 
+MARKERS = (BOS, EOS, INST_OPEN, INST_CLOSE)
+MARKER_ENDS = frozenset(m[-1] for m in MARKERS)
 
 CONTROL_CHARS = r"[\x{0}-\x{8}\x{B}\x{C}\x{E}-\x{1F}\x{7F}]"
 # a run of blanks that is not a single plain space
@@ -54,14 +58,32 @@ def has_marker(col) -> Column:
     return _c(col).rlike(MARKER_PATTERN)
 
 
-def remove_markers(col, rounds: int = 4) -> Column:
-    """No marker is left: removal is repeated ``rounds`` times, as what stands around
-    a removed marker may form another, and a text that still holds one (nested deeper)
-    loses the brackets all markers are made of."""
-    x = _c(col)
-    for _ in range(rounds):
-        x = F.regexp_replace(x, MARKER_PATTERN, "")
-    return F.when(x.rlike(MARKER_PATTERN), F.translate(x, "<>[]", "")).otherwise(x)
+def cancel_markers(text: str) -> str:
+    """``text`` without markers, also those that form when one inside is removed: a stack of characters, from which a
+    marker goes as it closes. No two markers overlap, so the order of removal does not matter."""
+    out: list[str] = []
+    for c in text:
+        out.append(c)
+        if c in MARKER_ENDS:
+            for m in MARKERS:
+                if len(out) >= len(m) and "".join(out[-len(m):]) == m:
+                    del out[-len(m):]
+                    break
+    return "".join(out)
+
+
+@F.pandas_udf(T.StringType())
+def _cancel(texts: pd.Series) -> pd.Series:
+    return texts.map(cancel_markers, na_action="ignore")
+
+
+def remove_markers(col) -> Column:
+    """No marker is left, however deep they are nested, and other brackets stay. One pass of a
+    pattern removes the plain ones; only a text that then holds a marker anew goes through ``cancel_markers``, in
+    one pass over its characters."""
+    once = F.regexp_replace(_c(col), MARKER_PATTERN, "")
+    again = F.when(once.rlike(MARKER_PATTERN), once)
+    return F.coalesce(_cancel(again), once)
 
 
 def preview(col, n: int = PREVIEW_CHARS) -> Column:

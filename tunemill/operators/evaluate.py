@@ -21,9 +21,15 @@ def strip_prompt_replace(full, prompt):
 
 def compare_outputs(expected: DataFrame, generated: DataFrame, key: str = "example_id",
                     ordered: bool = False) -> DataFrame:
-    """Expected beside generated, aligned by key (left join); W7 with
-    ``ordered`` (a global sort, wanted for a report, not for scoring)."""
-    out = expected.join(generated, key, "left")
+    """Every expected row beside the generated one of its key (left join; null is a key like others); W7 with
+    ``ordered`` (a global sort, wanted for a report, not for scoring).
+
+    A key has one answer: of several the least by all its columns stands there, and ``n_answers`` says how
+    many there were (0: none), so expected rows are never multiplied."""
+    rest = [c for c in generated.columns if c != key]
+    one = generated.groupBy(F.col(key).alias("_key")).agg(F.min(F.struct(*rest)).alias("_one"), F.count(F.lit(1)).alias("_n"))
+    out = expected.join(one, F.col(key).eqNullSafe(F.col("_key")), "left").select(
+        *expected.columns, *[F.col(f"_one.{c}").alias(c) for c in rest], F.coalesce("_n", F.lit(0)).cast("long").alias("n_answers"))
     return out.orderBy(key) if ordered else out
 
 
@@ -39,20 +45,21 @@ def token_f1(cmp: DataFrame, key: str = "example_id", pred: str = "generated",
              gold: str = "expected") -> DataFrame:
     """Per-row token F1 over token multisets (built-in tokenizer).
 
-    Both empty -> 1, one empty -> 0. One aggregation chain on one
-    partitioning by ``key``: counts per (row, token), then per row the sizes
+    Both empty -> 1, one empty -> 0. Rows are told apart by a number of their own, so rows with one
+    key, or a null one, stay apart. One aggregation chain on one partitioning by that
+    number: counts per (row, token), then per row the sizes
     (sums of the counts) and the overlap (sum of the smaller counts); the
     input is read once. ``explode_outer`` keeps rows with no tokens at all.
     """
-    d = cmp.select(key, tokenize(F.coalesce(F.col(pred), F.lit(""))).alias("_p"),
-                   tokenize(F.coalesce(F.col(gold), F.lit(""))).alias("_g")).repartition(key)
-    toks = d.select(key, F.explode_outer(F.concat(
+    d = cmp.select(F.monotonically_increasing_id().alias("_row"), key, tokenize(F.coalesce(F.col(pred), F.lit(""))).alias("_p"),
+                   tokenize(F.coalesce(F.col(gold), F.lit(""))).alias("_g")).repartition("_row")
+    toks = d.select("_row", key, F.explode_outer(F.concat(
         F.transform("_p", lambda t: F.struct(t.alias("t"), F.lit(1).alias("ip"), F.lit(0).alias("ig"))),
         F.transform("_g", lambda t: F.struct(t.alias("t"), F.lit(0).alias("ip"), F.lit(1).alias("ig")))
-    )).alias("x")).select(key, "x.t", F.coalesce("x.ip", F.lit(0)).alias("ip"),
+    )).alias("x")).select("_row", key, "x.t", F.coalesce("x.ip", F.lit(0)).alias("ip"),
                           F.coalesce("x.ig", F.lit(0)).alias("ig"))
-    per_tok = toks.groupBy(key, "t").agg(F.sum("ip").alias("cp"), F.sum("ig").alias("cg"))
-    j = per_tok.groupBy(key).agg(F.sum("cp").cast("int").alias("np"),
+    per_tok = toks.groupBy("_row", key, "t").agg(F.sum("ip").alias("cp"), F.sum("ig").alias("cg"))
+    j = per_tok.groupBy("_row", key).agg(F.sum("cp").cast("int").alias("np"),
                                  F.sum("cg").cast("int").alias("ng"),
                                  F.sum(F.least("cp", "cg")).alias("overlap"))
     p = F.col("overlap") / F.col("np")
@@ -70,11 +77,17 @@ def accuracy_rollup(preds: DataFrame, gold: DataFrame) -> DataFrame:
 
     An item that a model left out counts as wrong and in ``n_unanswered``. Items
     are counted per benchmark, so gold is not repeated per model: only the few
-    benchmark totals are (a scalar subquery).
+    benchmark totals are (a scalar subquery). An item counts once: of several answers of a model, or several gold rows,
+    the least counts (``repeated_answers`` lists the others); null benchmarks and items are keys like others.
+    Answers and gold are dealt out by (benchmark, item) once, for both the counting once and the join.
     """
+    item = ["benchmark", "item_id"]
+    gold = gold.groupBy(*item).agg(F.min("gold").alias("gold"))
+    answers = preds.repartition(*item).groupBy("model", *item).agg(F.min("predicted").alias("predicted"))
     ok = F.when(F.col("predicted") == F.col("gold"), 1).otherwise(0)
-    given = (preds.join(gold, ["benchmark", "item_id"], "inner").groupBy("model", "benchmark")
-             .agg(F.count(F.lit(1)).alias("n_answered"), F.sum(ok).alias("n_correct")))
+    known = gold.select(F.col("benchmark").alias("_b"), F.col("item_id").alias("_i"), "gold")
+    given = (answers.join(known, F.col("benchmark").eqNullSafe(F.col("_b")) & F.col("item_id").eqNullSafe(F.col("_i")), "inner")
+             .groupBy("model", "benchmark").agg(F.count(F.lit(1)).alias("n_answered"), F.sum(ok).alias("n_correct")))
     totals = gold.groupBy("benchmark").agg(F.count(F.lit(1)).alias("n_items"))
     every = preds.select("model").distinct().select("model", F.inline(
         totals.agg(F.collect_list(F.struct("benchmark", "n_items"))).scalar()))
@@ -87,6 +100,11 @@ def accuracy_rollup(preds: DataFrame, gold: DataFrame) -> DataFrame:
         F.round(n("n_correct") / n("n_items"), 6).alias("accuracy"))
 
 
+def repeated_answers(preds: DataFrame) -> DataFrame:
+    """(model, benchmark, item_id, ``n_answers``) where a model answered an item more than once."""
+    return (preds.groupBy("model", "benchmark", "item_id").agg(F.count(F.lit(1)).alias("n_answers")).where("n_answers > 1"))
+
+
 def rubric_pivot(scores: DataFrame, criteria=("coherence", "empathy", "factuality")) -> DataFrame:
     """Mean score per model and criterion, criteria as columns."""
     return (scores.groupBy("model").pivot("criterion", list(criteria))

@@ -7,11 +7,16 @@ kept history at user turn ``u`` is the longest suffix of turns ``<= u`` whose
 tokens fit the budget, or ``u`` alone. With ``cb`` the tokens before a turn and
 ``c = cb + n`` the tokens through it, turn ``h`` is kept iff ``cb(h) >= c(u) - B``.
 
-Scale: nothing is windowed over a whole conversation.
-* ``cb`` is a prefix sum computed per (conversation, block of turns): block
-  totals are aggregated map-side, prefix-summed over blocks (one row per block)
-  and joined back on (conv_id, block), so a very long conversation is spread
-  over many tasks.
+A conversation has one message per turn number: of several rows with one number the
+least by role, then text, counts; the others, and rows without a conversation or
+a turn number, have no history and are listed with a reason by ``unused_turns``. A null text is
+an empty one, a null role none of a user.
+
+Scale: nothing is windowed over, or joined by, a whole conversation.
+* One pass deals the turns out by (conversation, block of turn numbers) and finds in each
+  block, with one window, repeated turns, the tokens before each turn and the first blank
+  user turn. That table is written. A row per block then gives the tokens before the
+  block and the turn at which the chat ends, and meets the turns again by (conversation, block).
 * Candidates for ``u`` are found by a bucketed range join: every message is
   sent to its token block ``cb div B`` and the next; since ``cb(h) > cb(u) - B``
   for kept turns, ``u`` only needs the messages of its own token block. Each
@@ -28,56 +33,69 @@ from ..session import materialize as write_and_read
 from .templates import history_part
 
 
+BLOCK = 4096  # turn numbers in a block
+SALTS = 16  # tasks that a conversation's blocks are dealt to where they meet its cut
+
+
 def chat_cut(turns: DataFrame) -> DataFrame:
-    """drop every turn from the first blank user message on."""
-    blank = (turns.where((F.col("role") == "user") & is_blank("text"))
-             .groupBy("conv_id").agg(F.min("turn").alias("_cut")))
-    j = turns.join(blank, "conv_id", "left")
-    return j.where(F.col("_cut").isNull() | (F.col("turn") < F.col("_cut"))).drop("_cut")
-
-
-def prefix_sum(df: DataFrame, group: str, order: str, value: str, out: str,
-               block: int = 4096) -> DataFrame:
-    """Exclusive running sum of ``value`` along ``order`` within ``group``,
-    without one task per group: blocks of ``block`` consecutive order values."""
-    d = df.withColumn("_blk", F.floor(F.col(order) / block).cast("long"))
-    tot = d.groupBy(group, "_blk").agg(F.sum(value).alias("_bt"))
-    wb = Window.partitionBy(group).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    off = tot.select(group, "_blk", F.coalesce(F.sum("_bt").over(wb), F.lit(0)).alias("_boff"))
-    j = d.join(off, [group, "_blk"], "inner")
-    wi = (Window.partitionBy(group, "_blk").orderBy(order)
-          .rowsBetween(Window.unboundedPreceding, -1))
-    return (j.withColumn(out, F.col("_boff") + F.coalesce(F.sum(value).over(wi), F.lit(0)))
-            .drop("_blk", "_boff"))
-
-
-def history_messages(turns: DataFrame, materialize: bool = True) -> DataFrame:
-    """Turns after the chat cut with their rendered part, token count and
-    the tokens before them (``cb``).
-
-    With ``materialize`` the rendered, tokenized messages are written as a
-    table in the shared folder and read back: the text work (render, strip, tokenize)
-    runs once although the prefix sum and the range join read the messages
-    several times, and the lineage is cut there (a lost executor recomputes
-    from the checkpoint, not from the turn log).
+    """drop every turn from the first blank user message on. The few cuts are repeated per salt, so
+    the turns of one long conversation meet its cut in many tasks."""
+    blank = (turns.where((F.col("role") == "user") & is_blank(F.coalesce("text", F.lit(""))))
+             .groupBy("conv_id").agg(F.min("turn").alias("_cut"))
+             .select(F.col("conv_id").alias("_c"), "_cut", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_s")))
+    salt = F.pmod(F.floor(F.col("turn") / BLOCK), F.lit(SALTS))
+    j = turns.join(blank, F.col("conv_id").eqNullSafe(F.col("_c")) & (F.coalesce(salt, F.lit(0)) == F.col("_s")), "left")
+    return j.where(F.col("_cut").isNull() | (F.col("turn") < F.col("_cut"))).drop("_cut", "_c", "_s")
+
+
+def unused_turns(turns: DataFrame) -> DataFrame:
+    """The rows that histories leave out, with ``reason``: no conversation, no turn number, or one of several
+    rows with one turn number."""
+    own = Window.partitionBy("conv_id", "turn").orderBy("role", "text")
+    missing = F.concat_ws("; ", F.when(F.col("conv_id").isNull(), "no conversation"), F.when(F.col("turn").isNull(), "no turn number"))
+    some = turns.where(F.col("conv_id").isNull() | F.col("turn").isNull()).withColumn("reason", missing)
+    again = (turns.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
+             .withColumn("_n", F.row_number().over(own)).where("_n > 1").drop("_n").withColumn("reason", F.lit("repeated turn")))
+    return some.unionByName(again)
+
+
+def history_messages(turns: DataFrame) -> DataFrame:
+    """Turns before the end of the chat with their rendered part, token count ``n`` and the tokens before
+    them (``cb``).
+
+    The text work (render, strip, tokenize) and the pass over blocks run once: their result is
+    written in the shared folder and read back, as the offsets and the range join read it
+    several times; a lost executor recomputes from there, not from the turn log.
     """
-    m = chat_cut(turns.select("conv_id", "turn", "role", "text"))
-    m = (m.select("conv_id", "turn", "role", history_part("role", "text").alias("part"))
-         .withColumn("n", F.size(tokenize("part")).cast("long")))
-    if materialize:
-        m = write_and_read(m, "history-messages")
-    return prefix_sum(m, "conv_id", "turn", "n", "cb")
+    role, text = F.coalesce("role", F.lit("")), F.coalesce("text", F.lit(""))
+    t = turns.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull()).select(
+        "conv_id", "turn", role.alias("role"), F.floor(F.col("turn") / BLOCK).cast("long").alias("blk"),
+        history_part(role, text).alias("part"), F.coalesce((role == "user") & is_blank(text), F.lit(False)).alias("blank"), "text")
+    t = t.withColumn("n", F.size(tokenize("part")).cast("long"))
+    own = Window.partitionBy("conv_id", "blk").orderBy("turn", "role", "text")
+    again = F.coalesce(F.lag("turn").over(own) == F.col("turn"), F.lit(False))
+    t = t.withColumn("again", again).withColumn("n", F.when(~F.col("again"), F.col("n")).otherwise(0))
+    t = t.withColumn("run", F.sum("n").over(own.rowsBetween(Window.unboundedPreceding, 0)) - F.col("n"))
+    m = write_and_read(t.where("not again").drop("again", "text"), "history-messages")
+    per = m.groupBy("conv_id", "blk").agg(F.sum("n").alias("bn"), F.min(F.when(F.col("blank"), F.col("turn"))).alias("bcut"))
+    conv = Window.partitionBy("c")
+    per = per.select(F.col("conv_id").alias("c"), F.col("blk").alias("b"), "bn", "bcut").select(
+        "c", "b", F.coalesce(F.sum("bn").over(conv.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("off"),
+        F.min("bcut").over(conv).alias("cut"))
+    j = m.join(per, (F.col("conv_id") == F.col("c")) & (F.col("blk") == F.col("b")))
+    return (j.where(F.col("cut").isNull() | (F.col("turn") < F.col("cut")))
+            .select("conv_id", "turn", "role", "part", "n", (F.col("off") + F.col("run")).alias("cb")))
 
 
 def history_budget(turns: DataFrame, budget: int, align_to_user: bool = False,
-                   with_prompt: bool = True, materialize: bool = True) -> DataFrame:
+                   with_prompt: bool = True) -> DataFrame:
     """W4 (+ P6): for every user turn, the kept history.
 
     Output: conv_id, turn, start_turn, n_messages, n_tokens and, with
     ``with_prompt``, the rendered prompt. ``align_to_user`` drops leading
     non-user messages of the kept history (never the current turn).
     """
-    m = history_messages(turns, materialize)
+    m = history_messages(turns)
     B = int(budget)
     m = m.withColumn("c", F.col("cb") + F.col("n"))
     probes = (m.where(F.col("role") == "user")

@@ -553,3 +553,5 @@ ORACLE["history_stream"] = with_(_CUT, _HIST) + """
 SELECT conv_id, u AS turn, min(h) AS start_turn, count(*) AS n_messages, CAST(sum(n) AS BIGINT) AS n_tokens,
        string_agg(part, '' ORDER BY h) AS prompt
 FROM pairs_h GROUP BY conv_id, u"""
+
+ORACLE["history_seeded"] = ORACLE["history_stream"]

@@ -36,15 +36,16 @@ def dialogue_pairs(turns: DataFrame, keep_turn_cols: bool = False, block: int =
     t = (turns.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
          .select("conv_id", "turn", "role", "text", F.floor(F.col("turn") / block).alias("_blk")))
     here = F.struct("turn", "role", "text")
-    per = t.groupBy("conv_id", "_blk").agg(
-        F.min(here).alias("_first"),
-        F.min(F.when(F.col("role") == "system", F.struct("turn", "text"))).alias("_sys"))
-    conv = Window.partitionBy("conv_id")
-    per = per.select("conv_id", "_blk", F.lead("_first").over(conv.orderBy("_blk")).alias("_after"),
-                     F.min("_sys").over(conv)["text"].alias("system_text"))
-    inside = Window.partitionBy("conv_id", "_blk").orderBy("turn", "role", "text")
-    j = t.join(per, ["conv_id", "_blk"]).withColumn(
-        "_next", F.coalesce(F.lead(here).over(inside), F.col("_after")))
+    own = Window.partitionBy("conv_id", "_blk")
+    inside = own.orderBy("turn", "role", "text")
+    # both the rows and the one row per block come from the same exchange
+    t = t.select("*", F.lead(here).over(inside).alias("_inner"), F.lag(F.lit(1)).over(inside).isNull().alias("_leads"),
+                 F.min(F.when(F.col("role") == "system", F.struct("turn", "text"))).over(own).alias("_sys"))
+    conv = Window.partitionBy("c")
+    per = t.where("_leads").select(F.col("conv_id").alias("c"), F.col("_blk").alias("b"), here.alias("first"), F.col("_sys").alias("sys"))
+    per = per.select("c", "b", F.lead("first").over(conv.orderBy("b")).alias("_after"), F.min("sys").over(conv)["text"].alias("system_text"))
+    j = (t.join(per, (F.col("conv_id") == F.col("c")) & (F.col("_blk") == F.col("b")))
+         .withColumn("_next", F.coalesce("_inner", "_after")))
     pairs = j.where((F.col("role") == "user") & (F.col("_next.role") == "assistant"))
     out = pairs.select(
         F.lit("dialogue").alias("source"), turn_id().alias("example_id"),

@@ -1,16 +1,21 @@
-"""Chat history on a stream (X5): ``applyInPandasWithState`` keyed by conversation.
+"""Chat history on a stream (X5): ``transformWithStateInPandas`` keyed by conversation.
 
-Turns may arrive in any order. Per conversation the state holds the kept messages
-(turn, role, rendered part, token count), the last turn processed, whether the chat
-has ended (first blank user message, F2), and the turns that wait for earlier ones.
-A turn is processed when its predecessor number has been; behind a gap turns wait
+Turns may arrive in any order. The state of a conversation is typed and kept in RocksDB: the
+last turn processed and whether the chat has ended (first blank user message, F2) as a
+value, the kept messages as a list, to which a message is appended and which is written
+anew only when some drop out of the budget, and the turns that wait for earlier ones as a map by
+turn number. A turn is processed when its predecessor number has been; behind a gap turns wait
 until more than ``hold`` of them do, then the smallest goes on without the missing
 ones. A turn that arrives after it was skipped, or twice, is not lost: it comes out
-as a row with a ``reason`` (the side table). Rendering and token counts are computed
+as a row with a ``reason`` (the side table), and so does a row without a conversation or a turn
+number, which meets no state. Rendering and token counts are computed
 in the JVM before the stateful step.
 
 State stays small: the history is cut back to the budget after every message, so it
-holds one budget of tokens and at most ``hold`` waiting turns.
+holds one budget of tokens and at most ``hold`` waiting turns, however long the conversation.
+
+A backlog need not go through the stream: ``history_state`` makes the state that a conversation
+has after its turns in a batch table, and the stream starts from it.
 
 A finite input has an end: ``whole_history`` then gives what the batch form gives,
 with the conversations in which turns were skipped or still wait rebuilt by it.
@@ -18,15 +23,15 @@ with the conversations in which turns were skipped or still wait rebuilt by it.
 
 from __future__ import annotations
 
-import json
+import time
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
+from pyspark.sql.streaming import StatefulProcessor
 
 from ..functions.text import is_blank, tokenize
-from ..operators.history import history_budget
+from ..operators.history import BLOCK, SALTS, history_budget, history_messages
 from ..operators.templates import history_part
 from ..schemas import TURNS
 from ..session import materialize, shared_path
@@ -35,93 +40,158 @@ from ..sources.io import read_turn_stream
 OUTPUT_SCHEMA = ("conv_id long, turn long, start_turn long, n_messages long, "
                  "n_tokens long, prompt string, reason string")
 COLUMNS = [c.split()[0] for c in OUTPUT_SCHEMA.split(", ")]
-STATE_SCHEMA = "ended boolean, last_turn long, hist string, held string"
+MESSAGE = "turn long, role string, part string, n long"
 HOLD = 64
-
-
-def _history_fn(budget: int, align_to_user: bool = False, idle_timeout_ms: int | None = None,
-                hold: int = HOLD):
-    def fn(key, pdf_iter, state):
-        if state.exists:
-            ended, last_turn, hist, held = state.get
-            hist, held = json.loads(hist), {int(t): m for t, m in json.loads(held).items()}
-        else:
-            ended, last_turn, hist, held = False, -1, [], {}
-        total = sum(h[3] for h in hist)
-        rows, conv = [], int(key[0])
-
-        def process(turn):
-            nonlocal ended, last_turn, total
-            role, part, n, blank = held.pop(turn)
-            last_turn = turn
-            ended = ended or (role == "user" and blank)
-            if ended:
-                return
-            # what does not fit now fits no later turn either
-            hist.append([turn, role, part, n])
-            total += n
-            while total > budget and len(hist) > 1:
-                total -= hist.pop(0)[3]
-            if role == "user":
-                kept = hist
-                if align_to_user:
-                    kept = hist[next(i for i, h in enumerate(hist) if h[1] == "user"):]
-                rows.append((conv, turn, kept[0][0], len(kept), sum(h[3] for h in kept),
-                             "".join(h[2] for h in kept), ""))
-
-        def catch_up(wait):
-            while held and ((turn := min(held)) == last_turn + 1 or len(held) > wait):
-                process(turn)
-
-        if state.hasTimedOut:  # idle conversation: nothing more is waited for, its history goes
-            catch_up(0)
-            state.remove()
-            yield pd.DataFrame(rows, columns=COLUMNS)
+LONE = 256  # groups of rows without a conversation or turn number
+STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class History(StatefulProcessor):
+    """The kept history of one conversation."""
+
+    def __init__(self, budget: int, align_to_user: bool, idle_timeout_ms: int | None, hold: int):
+        self.budget, self.align, self.idle, self.hold = budget, align_to_user, idle_timeout_ms, hold
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.chat = handle.getValueState("chat", "ended boolean, last_turn long")
+        self.history = handle.getListState("history", MESSAGE)
+        self.waiting = handle.getMapState("waiting", "turn long", "role string, part string, n long, blank boolean")
+
+    def handleInitialState(self, key, state, timer) -> None:
+        for r in state.itertuples():
+            self.chat.update((bool(r.ended), int(r.last_turn)))
+            if len(r.kept):
+                self.history.put([(int(m["turn"]), m["role"], m["part"], int(m["n"])) for m in r.kept])
+
+    def handleInputRows(self, key, rows, timer):
+        if key[1] >= 0:  # rows without a conversation or a turn number
+            for pdf in rows:
+                none = pd.array([None] * len(pdf), "Int64")
+                yield pd.DataFrame({"conv_id": pdf["conv_id"].astype("Int64"), "turn": pdf["turn"].astype("Int64"), "start_turn": none,
+                                    "n_messages": none, "n_tokens": none, "prompt": [None] * len(pdf), "reason": pdf["missing"]})
             return
-        for pdf in pdf_iter:
+        self.load()
+        for pdf in rows:
             for turn, role, part, n, blank in zip(*(pdf[c] for c in ("turn", "role", "part", "n", "blank"))):
                 turn = int(turn)
-                if turn <= last_turn or turn in held:
-                    rows.append((conv, turn, None, None, None, None,
-                                 "repeated" if turn in held or turn == last_turn else "late"))
+                if turn <= self.last_turn or turn in self.held:
+                    twice = turn in self.held or turn == self.last_turn
+                    self.out.append((key[0], turn, None, None, None, None, "repeated" if twice else "late"))
                 else:
-                    held[turn] = [role, part, int(n), bool(blank)]
-                    catch_up(hold)
-        state.update((bool(ended), int(last_turn), json.dumps(hist), json.dumps(held)))
-        if idle_timeout_ms:
-            state.setTimeoutDuration(idle_timeout_ms)
-        yield pd.DataFrame(rows, columns=COLUMNS).astype({c: "Int64" for c in COLUMNS[:5]})
-    return fn
+                    self.held[turn] = (role, part, int(n), bool(blank))
+                    self.catch_up(key[0], self.hold)
+        self.store()
+        if self.idle:
+            for t in list(self.handle.listTimers()):
+                self.handle.deleteTimer(t)
+            self.handle.registerTimer(int(time.time() * 1000) + self.idle)
+        yield self.rows()
+
+    def handleExpiredTimer(self, key, timer, expired):
+        """An idle conversation: nothing more is waited for, its state goes."""
+        self.load()
+        self.catch_up(key[0], 0)
+        for state in (self.chat, self.history, self.waiting):
+            state.clear()
+        yield self.rows()
+
+    def load(self) -> None:
+        self.ended, self.last_turn = self.chat.get() if self.chat.exists() else (False, -1)
+        self.kept = [tuple(m) for m in self.history.get()] if self.history.exists() else []
+        self.held = {k[0]: tuple(m) for k, m in self.waiting.iterator()} if self.waiting.exists() else {}
+        self.were_held, self.added, self.dropped = set(self.held), 0, 0
+        self.tokens = sum(m[3] for m in self.kept)
+        self.out: list[tuple] = []
+
+    def store(self) -> None:
+        self.chat.update((self.ended, self.last_turn))
+        if self.dropped:
+            self.history.put(self.kept)
+        elif self.added:
+            self.history.appendList(self.kept[-self.added:])
+        for t in self.were_held - set(self.held):
+            self.waiting.removeKey((t,))
+        for t in set(self.held) - self.were_held:
+            self.waiting.updateValue((t,), self.held[t])
+
+    def rows(self) -> pd.DataFrame:
+        return pd.DataFrame(self.out, columns=COLUMNS).astype({c: "Int64" for c in COLUMNS[:5]})
+
+    def catch_up(self, conv: int, wait: int) -> None:
+        while self.held and ((turn := min(self.held)) == self.last_turn + 1 or len(self.held) > wait):
+            role, part, n, blank = self.held.pop(turn)
+            self.last_turn = turn
+            self.ended = self.ended or (role == "user" and blank)
+            if self.ended:
+                continue
+            # what does not fit now fits no later turn either
+            self.kept.append((turn, role, part, n))
+            self.added += 1
+            self.tokens += n
+            while self.tokens > self.budget and len(self.kept) > 1:
+                self.tokens -= self.kept.pop(0)[3]
+                self.dropped += 1
+            if role == "user":
+                kept = self.kept
+                if self.align:
+                    kept = kept[next(i for i, m in enumerate(kept) if m[1] == "user"):]
+                self.out.append((conv, turn, kept[0][0], len(kept), sum(m[3] for m in kept), "".join(m[2] for m in kept), ""))
+
+
+def _keyed(turns: DataFrame) -> DataFrame:
+    """Turns rendered and counted, with the key of their state: rows without a conversation or a turn number are
+    dealt out by content (``lone``), not all to one key."""
+    text = F.coalesce("text", F.lit(""))
+    t = turns.select("conv_id", "turn", F.coalesce("role", F.lit("")).alias("role"), history_part(F.coalesce("role", F.lit("")), text).alias("part"),
+                     F.coalesce((F.col("role") == "user") & is_blank(text), F.lit(False)).alias("blank"))
+    missing = F.concat_ws("; ", F.when(F.col("conv_id").isNull(), "no conversation"), F.when(F.col("turn").isNull(), "no turn number"))
+    t = t.withColumn("n", F.size(tokenize("part")).cast("long")).withColumn("missing", missing)
+    lone = F.col("missing") != ""
+    return (t.withColumn("key", F.when(lone, 0).otherwise(F.col("conv_id")).cast("long"))
+            .withColumn("lone", F.when(lone, F.pmod(F.xxhash64("part", "turn"), F.lit(LONE))).otherwise(-1).cast("int")))
+
+
+def history_state(turns: DataFrame, budget: int) -> DataFrame:
+    """The state of every conversation after ``turns`` (a batch table): ``conv_id``, ``ended``, ``last_turn`` and ``kept``, the
+    messages of the longest end of the chat that fits the budget (a budget's worth at most)."""
+    known = turns.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
+    blank = F.coalesce((F.col("role") == "user") & is_blank(F.coalesce("text", F.lit(""))), F.lit(False))
+    ends = known.groupBy("conv_id").agg(F.max(blank).alias("ended"), F.max("turn").alias("last_turn"))
+    m = history_messages(turns)
+    last = m.groupBy("conv_id").agg(F.max("turn").alias("at"), F.max(F.col("cb") + F.col("n")).alias("total")).select(
+        F.col("conv_id").alias("c"), "at", "total", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    j = m.join(last, (F.col("conv_id") == F.col("c")) & (F.pmod(F.floor(F.col("turn") / BLOCK), F.lit(SALTS)) == F.col("salt")))
+    kept = (j.where((F.col("cb") >= F.col("total") - budget) | (F.col("turn") == F.col("at"))).groupBy("conv_id")
+            .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "part", "n"))).alias("kept")))
+    none = F.array().cast("array<struct<turn:bigint,role:string,part:string,n:bigint>>")
+    return ends.join(kept, "conv_id", "left").select("conv_id", "ended", "last_turn", F.coalesce("kept", none).alias("kept"))
 
 
 def history_stream(turns: DataFrame, budget: int, align_to_user: bool = False,
-                   idle_timeout_ms: int | None = None, hold: int = HOLD) -> DataFrame:
-    """Streaming (or batch) turns -> one row per user turn with its kept history
+                   idle_timeout_ms: int | None = None, hold: int = HOLD, state: DataFrame | None = None) -> DataFrame:
+    """Streaming turns -> one row per user turn with its kept history
     (``reason`` ''), and one per late or repeated turn. ``hold=0`` waits for nothing:
-    for input that is in order but for gaps.
+    for input that is in order but for gaps. ``state`` (``history_state``) is what conversations begin with.
 
+    The session needs RocksDB state (``STORE``), as ``run_history_stream`` sets it in a session of its own.
     ``idle_timeout_ms`` (off by default, as in the reference, which never
-    expires history) drops the state of a conversation idle for that long,
+    expires history) drops the state of a conversation idle for that long by a timer,
     bounding state on an endless stream. It is for continuous queries
-    (processing-time triggers): a pending processing-time timeout keeps
-    requesting batches, so an ``availableNow`` catch-up run would not end.
+    (processing-time triggers).
     """
-    t = turns.select("conv_id", "turn", "role", "text")
-    t = t.select("conv_id", "turn", "role",
-                 history_part("role", "text").alias("part"),
-                 F.size(tokenize(history_part("role", "text"))).cast("long").alias("n"),
-                 ((F.col("role") == "user") & is_blank("text")).alias("blank"))
-    timeout = (GroupStateTimeout.ProcessingTimeTimeout if idle_timeout_ms
-               else GroupStateTimeout.NoTimeout)
-    return t.groupBy("conv_id").applyInPandasWithState(
-        _history_fn(budget, align_to_user, idle_timeout_ms, hold), OUTPUT_SCHEMA, STATE_SCHEMA,
-        "append", timeout)
+    begin = None
+    if state is not None:
+        begin = state.select(F.col("conv_id").alias("key"), F.lit(-1).alias("lone"), "ended", "last_turn", "kept").groupBy("key", "lone")
+    return _keyed(turns).groupBy("key", "lone").transformWithStateInPandas(
+        History(budget, align_to_user, idle_timeout_ms, hold), OUTPUT_SCHEMA, "Append",
+        "ProcessingTime" if idle_timeout_ms else "None", initialState=begin)
 
 
 def run_history_stream(spark: SparkSession, path: str, budget: int,
                        files_per_trigger: int = 1, align_to_user: bool = False,
                        state_partitions: int | None = None, sink: str | None = None,
-                       hold: int = HOLD) -> DataFrame:
+                       hold: int = HOLD, state: DataFrame | None = None) -> DataFrame:
     """Runs the stream over every file available under ``path`` (availableNow)
     into a parquet sink in the shared folder and returns the sink as a table.
     With ``sink`` (a folder of the caller's) a restarted query resumes where it
@@ -131,12 +201,18 @@ def run_history_stream(spark: SparkSession, path: str, budget: int,
     ``state_partitions`` (default: the cluster's cores) is the number of state
     store partitions. Spark fixes it from ``spark.sql.shuffle.partitions`` when
     the query first starts, and a value sized for batch shuffles of a huge
-    table is a poor state layout, so the query has a session of its own.
+    table is a poor state layout, so the query has a session of its own. ``state``
+    (``history_state``) is read when the query first starts.
     """
     own = spark.newSession()  # its settings are its own: no other job sees them
     own.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
-    out = history_stream(read_turn_stream(own, path, files_per_trigger), budget, align_to_user, hold=hold)
+    own.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
+    if state is not None:  # a written table, read by the stream's session
+        begin = shared_path(spark, "history-state")
+        state.write.parquet(begin)
+        state = own.read.parquet(begin)
+    out = history_stream(read_turn_stream(own, path, files_per_trigger), budget, align_to_user, hold=hold, state=state)
     sink = sink or shared_path(spark, "history-stream")
     q = (out.writeStream.format("parquet").outputMode("append")
          .option("path", f"{sink}/data")
@@ -166,6 +242,8 @@ def whole_history(spark: SparkSession, path: str, sink: str, budget: int,
     waiting = (turns.groupBy("conv_id").agg(F.min("turn").alias("a"), F.max("turn").alias("b"),
                                             F.count(F.lit(1)).alias("n"))
                .where((F.col("a") != 0) | (F.col("b") != F.col("n") - 1)).select("conv_id"))
-    anew = materialize(read_late(spark, sink).select("conv_id").union(waiting).distinct(), "history-anew")
+    waiting = waiting.where("conv_id is not null")
+    late = read_late(spark, sink).where("conv_id is not null and turn is not null").select("conv_id")
+    anew = materialize(late.union(waiting).distinct(), "history-anew")
     rebuilt = history_budget(turns.join(anew, "conv_id", "left_semi"), budget, align_to_user)
     return read_history(spark, sink).join(anew, "conv_id", "left_anti").unionByName(rebuilt)
