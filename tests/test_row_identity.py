@@ -53,3 +53,43 @@ def test_alike_rows_and_many_groups_are_numbered(spark):
     assert Counter(r.source for r in smp.subset_exact(df, 30.0, 1, max_groups=1).collect()) == {"a": 15, "b": 3}
     assert smp.subset_exact(df.limit(0), 30.0, 1).count() == 0
     assert "Window" not in smp.subset_exact(df.where("source = 'b'"), 30.0, 1)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_stopped_build_goes_on(spark, tmpdir_path, monkeypatch):
+    """A write that breaks off: the second start writes the missing runs only and the shards equal those of one go."""
+    from tunemill.plans import training_set as ts_mod
+    rows = [("s", str(i), f"q {i}", "", f"a {i % 7}") for i in range(60)]
+    df = spark.createDataFrame(rows, EX).repartition(3)
+    cfg = SftConfig(max_len=32, vocab_size=50, epochs=2, batch_size=2, grad_accum=2, world_size=2)
+    whole = build_training_set(spark, [df], cfg, rows_per_file=10)
+    want = sorted(map(repr, spark.read.parquet(whole.shards_path).collect()))
+    wrote, real = [], ts_mod._write_runs
+
+    def breaks(plan, enc, cfg, paths):
+        if len(wrote) == 3:
+            # half a run is left in place without an entry
+            plan.limit(1).join(enc, "row_id").select("epoch", "rank", "run", "pos").write.mode("append").partitionBy(
+                "epoch", "rank", "run").parquet(paths.shards_path)
+            raise RuntimeError("stopped")
+        wrote.append(plan.count())
+        real(plan, enc, cfg, paths)
+    monkeypatch.setattr(ts_mod, "_write_runs", breaks)
+    out = f"{tmpdir_path}/shards"
+    with pytest.raises(RuntimeError, match="stopped"):
+        build_training_set(spark, [df], cfg, out, rows_per_file=10, runs_per_commit=2)
+    monkeypatch.setattr(ts_mod, "_write_runs", lambda *a: (wrote.append(a[0].count()), real(*a)))
+    before = spark.read.parquet(f"{out}-manifest").agg(F.sum("rows")).first()[0]
+    ts = build_training_set(spark, [df], cfg, out, rows_per_file=10, runs_per_commit=2, resume=True)
+    assert before == 60 and sum(wrote[3:]) == 60
+    assert sorted(map(repr, spark.read.parquet(ts.shards_path).select(spark.read.parquet(whole.shards_path).columns).collect())) == want
+    manifest = spark.read.parquet(ts.manifest_path)
+    assert manifest.agg(F.sum("rows")).first()[0] == 120 and manifest.count() == manifest.select("epoch", "rank", "run").distinct().count()
+    once = spark.read.parquet(whole.manifest_path)
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, manifest.select(once.columns).collect()))
+    mid = ts_mod.read_shards(spark, ts, from_step=4)
+    assert sorted((r.epoch, r.pos) for r in mid.collect()) == sorted(
+        (r.epoch, r.pos) for r in spark.read.parquet(whole.shards_path).collect() if r.step >= 4)
+    assert {r.epoch for r in ts_mod.read_shards(spark, ts, epoch=1).collect()} == {1}
+    assert ts_mod.read_shards(spark, ts, from_step=10 ** 6).count() == 0
+    with pytest.raises(ValueError, match="other parameters"):
+        build_training_set(spark, [df], cfg.with_(seed=1), out, rows_per_file=10, runs_per_commit=2, resume=True)

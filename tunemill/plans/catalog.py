@@ -698,7 +698,10 @@ def retrieve_topk(spark, d):
 def _training_rows(spark, sources, cfg, **kw):
     from .training_set import build_training_set
     ts = build_training_set(spark, sources, cfg, **kw)
-    back = spark.read.parquet(ts.shards_path)
+    return _shard_rows(spark.read.parquet(ts.shards_path))
+
+
+def _shard_rows(back):
     return back.select("epoch", "rank", "step", "micro_step", "batch_id", "pos", "source",
                        "example_id", tk.ids_text("input_ids").alias("input_ids"),
                        tk.ids_text("labels").alias("labels"), "prompt_len", "length", "template")
@@ -717,6 +720,18 @@ def training_set_all(spark, d):
     return _training_rows(spark, [pairs(spark, d), mcq(spark, d)], CFG)
 
 
+@query
+def shards_from_step(spark, d):
+    """The shards written and entered into the manifest some runs at a time, read from the middle step on; runs that end
+    before it are not opened."""
+    from .training_set import build_training_set, read_shards
+    runs = max(1, load(spark, d, "benchmark").count())  # positions per run
+    ts = build_training_set(spark, [pairs(spark, d), mcq(spark, d)], CFG, rows_per_file=runs,
+                            runs_per_commit=max(2, load(spark, d, "conversations").count() // runs // 4))
+    last = spark.read.parquet(ts.manifest_path).agg(F.max("last_step")).first()[0]
+    return _shard_rows(read_shards(spark, ts, (last + 1) // 2))
+
+
 @query
 def training_set_duplicates(spark, d):
     """The whole flow over all documents without ids of their own: the language is the id, so it repeats, and

@@ -525,6 +525,9 @@ FROM pl"""
 
 ORACLE["training_set"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + ", " + _training("chat_ex", TRAIN_PCT)
 ORACLE["training_set_all"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + ", " + _training("chat_ex", 100.0)
+ORACLE["shards_from_step"] = f"""
+SELECT * FROM ({ORACLE["training_set_all"]}) t
+WHERE step >= (SELECT (max(step) + 1) // 2 FROM ({ORACLE["training_set_all"]}) u)"""
 ORACLE["json_training_set"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + f"""
 , rec AS (SELECT source, instruction, input, output,
                  md5(coalesce(instruction, '') || chr(31) || coalesce(input, '') || chr(31) || coalesce(output, '')) AS h

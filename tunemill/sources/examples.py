@@ -30,22 +30,25 @@ def dialogue_pairs(turns: DataFrame, keep_turn_cols: bool = False, block: int =
     blocks it is the first turn of the next block that exists. What a block
     needs of its conversation (that turn, the system text) comes from one row
     per block, so a very long conversation is spread over many tasks and no
-    join or window is keyed by the conversation alone except over those rows.
+    join or window is keyed by the conversation alone except over those rows. A first look at the
+    turn numbers tells whether any conversation has more than one block; if none has, one window does.
     Rows without a conversation or turn cannot be paired.
     """
     t = (turns.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
          .select("conv_id", "turn", "role", "text", F.floor(F.col("turn") / block).alias("_blk")))
     here = F.struct("turn", "role", "text")
+    said = F.when(F.col("role") == "system", F.struct("turn", "text"))
     own = Window.partitionBy("conv_id", "_blk")
-    inside = own.orderBy("turn", "role", "text")
-    # both the rows and the one row per block come from the same exchange
-    t = t.select("*", F.lead(here).over(inside).alias("_inner"), F.lag(F.lit(1)).over(inside).isNull().alias("_leads"),
-                 F.min(F.when(F.col("role") == "system", F.struct("turn", "text"))).over(own).alias("_sys"))
-    conv = Window.partitionBy("c")
-    per = t.where("_leads").select(F.col("conv_id").alias("c"), F.col("_blk").alias("b"), here.alias("first"), F.col("_sys").alias("sys"))
-    per = per.select("c", "b", F.lead("first").over(conv.orderBy("b")).alias("_after"), F.min("sys").over(conv)["text"].alias("system_text"))
-    j = (t.join(per, (F.col("conv_id") == F.col("c")) & (F.col("_blk") == F.col("b")))
-         .withColumn("_next", F.coalesce("_inner", "_after")))
+    inner = F.lead(here).over(own.orderBy("turn", "role", "text"))
+    span = t.agg(F.min("_blk").alias("a"), F.max("_blk").alias("b")).first()
+    if span.a == span.b:  # no conversation has a second block: nothing comes from another one
+        j = t.select("*", inner.alias("_next"), F.min(said).over(own)["text"].alias("system_text"))
+    else:
+        per = t.groupBy(F.col("conv_id").alias("c"), F.col("_blk").alias("b")).agg(F.min(here).alias("first"), F.min(said).alias("sys"))
+        conv = Window.partitionBy("c")
+        per = per.select("c", "b", F.lead("first").over(conv.orderBy("b")).alias("_after"), F.min("sys").over(conv)["text"].alias("system_text"))
+        j = (t.join(per, (F.col("conv_id") == F.col("c")) & (F.col("_blk") == F.col("b")))
+             .withColumn("_next", F.coalesce(inner, "_after")))
     pairs = j.where((F.col("role") == "user") & (F.col("_next.role") == "assistant"))
     out = pairs.select(
         F.lit("dialogue").alias("source"), turn_id().alias("example_id"),
