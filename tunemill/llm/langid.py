@@ -5,12 +5,14 @@ elastic-net penalties, then calibrated by a temperature.
 Features. Letters are lower-cased, everything between two runs of letters is one
 blank, and the n-grams of 1 to 3 characters are hashed into ``BUCKETS``; a text
 is the relative frequency of each bucket times the bucket's inverse document
-frequency. All of a text counts, in blocks, so memory does not grow with it.
+frequency. All of a text counts; its n-grams are hashed in blocks, so a task holds the
+text, its letters (four bytes each) and one block.
 
 Training. Document frequencies are summed over all training documents: one
 counter per bucket and task, then by bucket. The classifier is fitted on a
-bounded sample: of each language the ``PER_LANGUAGE`` documents, in expectation,
-that a hash of the id selects (a documented parameter). A sampled document is at
+bounded sample: of each language exactly the ``PER_LANGUAGE`` rows (or all, if fewer) with the
+smallest hashes of id and text (a documented parameter), so neither a repeated id nor a repeated
+row makes it larger. More than ``LANGUAGES`` labels are an error. A sampled document is at
 most ``BUCKETS`` (bucket, weight) pairs, so what the driver receives is bounded
 by the sample whatever the texts' length. A fifth of the sample fits the
 temperature and trains nothing. Weights (languages x ``BUCKETS``) go to the
@@ -29,7 +31,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,6 +41,7 @@ BITS = 15
 BUCKETS = 1 << BITS
 ORDERS = 3
 PER_LANGUAGE = 600
+LANGUAGES = 1000
 BLOCK = 1 << 18  # characters of a text that are hashed at once
 UNKNOWN = "und"
 
@@ -210,14 +213,19 @@ def document_frequencies(texts: DataFrame, text_col: str) -> tuple[np.ndarray, i
 
 
 def sample(training: DataFrame, id_col: str, text_col: str, lang_col: str, per_language: int) -> list[tuple]:
-    """Bucket counts of a bounded sample of each language, picked by a hash of the id."""
-    # Written, so that Spark sees its size before it plans the join: no text is shuffled.
+    """Bucket counts of a bounded sample of each language, picked by a hash of id and text."""
+    # Written, so that Spark sees its size before it plans the join: no text is shuffled but the sample's.
     per = cut(training.groupBy(F.col(lang_col).alias("_lang")).agg(F.count(F.lit(1)).alias("_n")), "languages")
-    unit = lambda salt: (F.xxhash64(F.lit(salt), F.col(id_col)) / F.lit(2.0**64) + 0.5)
-    picked = (training.select(id_col, text_col, lang_col, unit("pick").alias("u"), unit("fold").alias("fold"))
+    if len(per.limit(LANGUAGES + 1).collect()) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
+    unit = lambda salt, *of: (F.xxhash64(F.lit(salt), *of) / F.lit(2.0**64) + 0.5)
+    # About twice the sample by its expected share, then exactly the smallest hashes: the limit is taken in every task first.
+    least = Window.partitionBy("lang").orderBy("u")
+    picked = (training.select(id_col, text_col, lang_col, unit("pick", id_col, text_col).alias("u"), unit("fold", id_col).alias("fold"))
               .join(per, F.col(lang_col) == F.col("_lang"))
-              .where(F.col("u") * F.col("_n") < per_language)
-              .select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), "fold"))
+              .where(F.col("u") * F.col("_n") < 2 * per_language + 100)
+              .select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), "fold", "u")
+              .withColumn("_r", F.row_number().over(least)).where(F.col("_r") <= per_language).select("lang", "text", "fold"))
 
     def run(batches):
         for batch in batches:
