@@ -179,3 +179,17 @@ def test_query_on_the_table(spark):
     rows = [tuple(r) for r in docs.select("doc_id", "text").collect()]
     got = sorted(((r.doc_id, r.n_shingles, r.component_id) for r in jaccard.op9(docs).collect()), key=repr)
     assert got == brute(rows, 4, 85, 100)
+
+
+def test_texts_of_null_and_repeated_ids_meet_their_own_sets_only(spark):
+    """A null or repeated id is no join key: as many texts come out of it as sets went in."""
+    n = 120
+    texts = [f"alpha beta {i} gamma delta {i} epsilon zeta {i} eta" for i in range(n)]
+    rows = [(None if i % 2 else 7, t, i) for i, t in enumerate(texts * 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, mark int")
+    out = jaccard.join(docs, n=2).collect()
+    assert len(out) == 2 * n and len({r.key for r in out}) == n
+    assert all(r.component_id in (7, None) for r in out)
+    sets = jaccard.describe(docs, "doc_id", "text", 2)
+    of = sets.groupBy("key").agg({"mark": "min"})
+    assert of.count() == n == sets.select("id", "mark").distinct().count()

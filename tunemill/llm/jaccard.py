@@ -7,7 +7,7 @@ class, so that a linked pair differs in fewer than m hashes: then some group
 holds exactly the same hashes in both (pigeonhole), and (class, group, content)
 is a signature under which the pair is sure to meet, with nothing capped.
 
-1. Sets. Equal sets form one class (a 128-bit digest), represented once below.
+1. Sets. Equal sets form one class (by a 64-bit digest of the set), represented once below.
 2. Signatures are sent as packed arrays, dealt out by their hash. In a bucket
    the signatures of several sets give a star: every set and the smallest one.
    What occurs often within a task is starred there and sent on as one entry, so
@@ -152,21 +152,22 @@ def signatures(u: np.ndarray, limit: Threshold) -> np.ndarray:
 
 
 def describe(docs: DataFrame, id_col: str, text_col: str, n: int) -> DataFrame:
-    """(id, ``n_shingles``, ``key``, ``key2``) per row; no key for an empty set."""
-    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    """(id, ``n_shingles``, ``key``, ``mark``) per row; no key for an empty set. ``mark`` is a hash of
+    the text: with the id it finds a text again, also where ids repeat or are null."""
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("mark"))
 
     def run(batches):
         for batch in batches:
             rows = []
             for text in batch.column(1):
                 u = shingles(text.as_py(), n)
-                rows.append((len(u), *(set_key(u) if len(u) else (None, None))))
-            cols = list(zip(*rows)) if rows else [[]] * 3
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in cols)],
-                                             ["id", "n_shingles", "key", "key2"])
+                rows.append((len(u), set_key(u)[0] if len(u) else None))
+            cols = list(zip(*rows)) if rows else [[]] * 2
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, pa.int64()) for c in cols), batch.column(2)],
+                                             ["id", "n_shingles", "key", "mark"])
 
     return own.mapInArrow(run, T.StructType([own.schema["id"], *(
-        T.StructField(c, T.LongType()) for c in ("n_shingles", "key", "key2"))]))
+        T.StructField(c, T.LongType()) for c in ("n_shingles", "key", "mark"))]))
 
 
 def _shared(sig: np.ndarray, key: np.ndarray):
@@ -490,10 +491,10 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
     met = cut(meet(docs, text_col, n, limit), "met")
     members = met.where("not pair").select(F.col("a").alias("group"), F.col("b").alias("key"))
 
-    chosen = cut(sets.where("key is not null").groupBy("key").agg(F.min("id").alias("of"))
-                 .join(members.select("key").distinct().hint("merge"), "key"), "chosen")
-    by_id = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text")).join(
-        chosen.hint("merge"), F.col("_id").eqNullSafe(F.col("of"))).select("key", "text")
+    chosen = cut(sets.where("key is not null").groupBy("key").agg(F.min(F.struct("id", "mark")).alias("of"))
+                 .join(members.select("key").distinct().hint("merge"), "key").select("key", "of.id", "of.mark"), "chosen")
+    by_id = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("_mark")).join(
+        chosen.hint("merge"), (F.col("_mark") == F.col("mark")) & F.col("_id").eqNullSafe(F.col("id"))).select("key", "text")
     texts = cut(_own_texts(by_id, n), "texts")
     points = cut(count_vectors(texts, n, limit), "points")
 
@@ -518,7 +519,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int
 
 
 def _own_texts(texts: DataFrame, n: int) -> DataFrame:
-    """Ids may repeat: of the texts found by id, one with the very set of its key."""
+    """Rows may repeat: of the texts found by id and hash, one with the very set of its key."""
     def run(batches):
         for batch in batches:
             mask = pa.array([set_key(shingles(t.as_py(), n))[0] == k
