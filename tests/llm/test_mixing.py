@@ -106,3 +106,32 @@ def test_tiny_sources_beside_a_huge_one(spark):
         assert r.taken == pytest.approx(r.target, abs=1), r
         assert r.source_size > 40 or r.taken == 3 * r.source_size
     assert mixed.groupBy("slot").agg(F.sum("n").alias("n")).agg(F.max("n")).first()[0] == 16
+
+
+def test_the_schedule_shows_in_the_result(spark, tmpdir_path, monkeypatch):
+    """Documents carry their slots, files have the sources interleaved, and other points give another order."""
+    docs = spark.createDataFrame([(i, "abc"[i % 3], " ".join(["w"] * 40)) for i in range(900)], "doc_id long, source string, text string")
+    out = mixing.op2(docs.repartition(1)).collect()
+    assert all((r.first_slot is None) == (r.taken == 0) and r.n_slots * 16 >= r.taken for r in out)
+    source = {r.doc_id: r.source for r in docs.collect()}
+    target = {}
+    for r in out:
+        target[source[r.doc_id]] = r.target
+    total = sum(target.values())
+    path = f"{tmpdir_path}/mix"
+    for n in (1, 4):
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        mixing.mix_documents(docs).write.mode("overwrite").parquet(path)
+        import glob
+
+        import pyarrow.parquet as pq
+        for f in glob.glob(f"{path}/*.parquet"):
+            got = pq.read_table(f)["source"].to_pylist()
+            for a in range(0, len(got) - 99, 100):  # every stretch of every file
+                for s, t in target.items():
+                    assert abs(got[a:a + 100].count(s) / 100 - t / total) < .2, (n, a, s)
+    spark.conf.set("spark.sql.shuffle.partitions", "8")
+    before = {r.doc_id: r.first_slot for r in out}
+    monkeypatch.setattr(mixing, "_point", lambda i: F.pmod(i, F.lit(100)) / 100 + 0.001)
+    after = {r.doc_id: r.first_slot for r in mixing.op2(docs.repartition(1)).collect()}
+    assert before != after

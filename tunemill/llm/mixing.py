@@ -142,7 +142,8 @@ def lay_out(docs: DataFrame, carry: Sequence[str], text_col: str = "text", sourc
 
 def mix(rows: DataFrame, weights: Sequence[float] = WEIGHTS, passes: int = MAX_PASSES,
         block: int = 16) -> tuple[DataFrame, DataFrame]:
-    """From ``lay_out``: (per document ``row``, ``size``, ``source_size``, ``target``, ``taken``;
+    """From ``lay_out``: (per document ``row``, ``size``, ``source_size``, ``target``, ``taken``, ``first_slot`` and
+    ``n_slots`` of the schedule that hold its words, and ``starts``, the slot at which each pass over it begins;
     the mix itself: ``slot``, ``rid``, ``pass``, ``first``, ``n`` words, in slot order)."""
     small = rows.select("rid", "source", "size", "h")
     targets = cut(source_targets(small, weights, passes), "mix-targets")
@@ -155,25 +156,32 @@ def mix(rows: DataFrame, weights: Sequence[float] = WEIGHTS, passes: int = MAX_P
     pieces = block_pieces(placed, targets, block, passes)
     mixed = pieces.join(slots, F.col("source").eqNullSafe(F.col("_source"))
                         & (F.col("rank") == F.col("_rank"))).select("slot", "rid", "pass", "first", "n")
-    taken = mixed.groupBy("rid").agg(F.sum("n").alias("taken"))
+    starts = [F.min(F.when(F.col("pass") == i, F.col("slot"))) for i in range(passes)]
+    taken = mixed.groupBy("rid").agg(F.sum("n").alias("taken"), F.min("slot").alias("first_slot"),
+                                     F.count(F.lit(1)).alias("n_slots"), F.array(*starts).alias("starts"))
     t = targets.select(F.col("source").alias("_source"), "source_size", "target")
     per_doc = (rows.join(taken, "rid", "left")
                .join(t, F.col("source").eqNullSafe(F.col("_source")))
                .select("row", "size", "source_size", "target",
-                       F.coalesce("taken", F.lit(0)).cast("long").alias("taken")))
+                       F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_slot",
+                       F.coalesce("n_slots", F.lit(0)).cast("long").alias("n_slots"), "starts"))
     return per_doc, mixed
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
     """``docs`` as the mix takes them, whole documents: one row for each time that
-    the words taken fill the document, rounded to the nearest."""
+    the words taken fill the document, rounded to the nearest. Each partition, and so each file written from
+    it, has its rows in the order of the schedule's slots: the sources are interleaved as their
+    targets ask in every stretch."""
     per_doc, _ = mix(lay_out(docs, docs.columns))
     times = F.floor(F.col("taken") / F.greatest(F.col("size"), F.lit(1)) + F.lit(0.5)).cast("int")
     repeated = per_doc.withColumn("times", times).where(F.col("times") > 0)
-    return repeated.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
+    slot = F.coalesce(F.get("starts", F.col("i")), "first_slot")
+    return (repeated.select("row", "starts", "first_slot", F.explode(F.sequence(F.lit(0), F.col("times") - 1)).alias("i"))
+            .select("row", slot.alias("slot")).sortWithinPartitions("slot").select("row.*"))
 
 
 def op2(docs: DataFrame) -> DataFrame:
-    """One row per document of the dealt query."""
+    """One row per document of the dealt query, with its place in the schedule."""
     per_doc, _ = mix(lay_out(docs.select("doc_id", "source", "text"), ["doc_id"]))
-    return per_doc.select("row.doc_id", "size", "source_size", "target", "taken")
+    return per_doc.select("row.doc_id", "size", "source_size", "target", "taken", "first_slot", "n_slots")
