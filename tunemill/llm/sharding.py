@@ -63,10 +63,10 @@ def lookup(spark: SparkSession, shards: Sequence[str], size: int = TABLE_SIZE) -
     if len(set(shards)) != len(shards):
         raise ValueError("shard names repeat")
     table = fill([preference(s, size) for s in shards], size)
-    packed = "".join(f"{x:05x}" for x in table)  # five hex digits a slot
+    packed = F.split(F.lit(" ".join(map(str, table))), " ")  # once, in one row
     names = F.array(*[F.lit(s) for s in shards])
-    shard = F.conv(F.substring(F.lit(packed), F.col("id").cast("int") * 5 + 1, F.lit(5)), 16, 10).cast("int")
-    return (spark.range(size).select(F.col("id").alias("slot"), shard.alias("shard"))
+    return (spark.range(1, numPartitions=1).select(F.posexplode(packed).alias("slot", "shard"))
+            .select(F.col("slot").cast("long").alias("slot"), F.col("shard").cast("int").alias("shard"))
             .withColumn("shard_name", F.get(names, F.col("shard"))))
 
 
