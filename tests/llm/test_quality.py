@@ -75,6 +75,66 @@ def test_guarantee_holds_on_labels(spark):
     assert bad < 0.75
 
 
+def plain_cutoffs(rows, risk=0.02, delta=0.05):
+    """The rule's definition over (stratum, quality, counts) of holdout documents."""
+    out, strata = {}, {r[0] for r in rows}
+    sequences = [list(quality.RULES), *[[r] for r in quality.RULES]]
+    for s in strata:
+        own = [(q, {r: c[a] / max(c[b], 1) for r, ((a, b), _) in quality.RULES.items()}) for t, q, c in rows if t == s]
+        n, options = sum(q for q, _ in own), []
+        for of in sequences:
+            sure = 0
+            for i in range(quality.STEPS):
+                k = sum(q == 1 and any(v[r] > quality.RULES[r][1][i] for r in of) for q, v in own)
+                p = sum(comb(n, j) * risk**j * (1 - risk)**(n - j) for j in range(k + 1)) if k < n * risk else 1.0
+                if p > delta / (len(sequences) * len(strata)):
+                    break
+                sure = i + 1
+            total, cuts = 0, {}
+            for r in of:
+                gains = [(sum((q == 0) - (q == 1) for q, v in own if v[r] > c), c) for c in quality.RULES[r][1][:sure]]
+                gain, cutoff = max(gains, default=(0, None))
+                if gain > 0:
+                    total, cuts[r] = total + gain, cutoff
+            options.append((total, cuts))
+        out[s] = max(options, key=lambda o: o[0])[1]
+    return out
+
+
+@pytest.mark.parametrize("sf", ["0.01", "0.1"])
+def test_kept_against_the_definition(spark, sf):
+    d = f"/root/testdata/sf{sf}"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    got = quality.judge(docs, labels).collect()
+    marks = {}
+    for r in labels.collect():
+        marks.setdefault(r.doc_id, set()).add(r.quality)
+    marks = {i: q & {0, 1} for i, q in marks.items()}
+    hold = [(r.stratum, next(iter(marks[r.doc_id])), r.asDict()) for r in got
+            if not r.base_failed and len(marks.get(r.doc_id, ())) == 1]
+    cuts = plain_cutoffs(hold)
+    for r in got:
+        own = cuts.get(r.stratum, {})
+        above = any(own.get(rule) is not None and r[a] / max(r[b], 1) > own[rule]
+                    for rule, ((a, b), _) in quality.RULES.items())
+        assert r.kept == (not r.base_failed and not above), r
+    sure = {s for s, c in cuts.items() if c}
+    assert sure == ({"de", "en", "es", "fr"} if sf == "0.1" else set()), cuts  # sf0.01 has too few labels
+
+
+def test_sequences_of_all_rules_and_of_one(spark):
+    assert all(len(cuts) == quality.STEPS for _, cuts in quality.RULES.values())
+    base = labelled(spark, 400, 50, 0)
+    r = quality.thresholds(base).first()
+    assert (r.decided, r.cut_symbols) == ("all", 0.3)
+    # 40 good documents in capitals end the sequence of all rules at its fourth set, not that of symbols
+    caps = base.union(labelled(spark, 40, 0, 0).withColumn("n_upper", F.lit(250)))
+    assert quality.thresholds(caps).first().asDict() == {**r.asDict(), "n_good": 440}
+    more = caps.union(labelled(spark, 0, 30, 0).withColumn("n_symbols", F.lit(60)))
+    r = quality.thresholds(more).first()
+    assert (r.decided, r.cut_symbols, r.cut_upper) == ("symbols", 0.1, None)
+
+
 def test_edges(spark):
     docs = spark.createDataFrame([(1, None, None, 1), (1, None, None, 1), (None, "a " * 30, "en", 2)],
                                  "doc_id long, text string, lang string, kept int")

@@ -2,15 +2,22 @@
 
 Counts of a text (words, symbols, repeated lines and windows) feed a fixed base
 rule and a few ratio rules. The ratio rules have no fixed cutoff: per stratum
-(language), labelled documents that pass the base rule serve as a holdout, and
-a cutoff is eligible if the exact binomial test refutes "it rejects more than
-``risk`` of the good documents": P(Binomial(n_good, risk / rules) <= rejected)
-at most ``delta / (rules * strata)``. The cutoffs of a rule are tested from
-lenient to strict (fixed sequence, which needs no correction as the rejected
-sets are nested), rules and strata share ``delta`` (Bonferroni), and a stratum's
-rules share ``risk`` (union bound). Among the eligible cutoffs the one whose
-rejected bad minus rejected good is largest is taken, the most lenient of equals;
-without a gain, or without enough labels, a rule rejects nothing.
+(language), labelled documents that pass the base rule serve as a holdout. The
+cutoffs form fixed sequences of sets, from lenient to strict: one for all rules, whose set
+``i`` rejects a document if any rule is above its ``i``-th cutoff, and one for each
+rule alone. A set is certified if the exact binomial test refutes "it rejects more
+than ``risk`` of the good documents": P(Binomial(n_good, risk) <= good documents that
+the set rejects) at most ``delta / (sequences * strata)``. Unions are counted directly,
+so rules share no risk; within a sequence, which stops at its first failure, no
+correction is needed; sequences and strata share ``delta`` (Bonferroni). Rejected
+documents only grow along a sequence, so its certified sets are its beginning, and
+whatever takes of each rule in it no cutoff or one of a certified set rejects no more than
+that set does. Within this freedom a rule takes the cutoff whose rejected bad minus
+rejected good is largest, the most lenient of equals, or none without a gain. The
+sequence with the largest sum of these gains decides (of equals that of all rules,
+then in their order). With few labels nothing can be certified and nothing is
+rejected: with no good one rejected it takes
+ln(delta / (sequences * strata)) / ln(1 - risk) of them.
 
 One pass computes all counts in the row; their narrow table is written once.
 Labels join it by id; what is summed per stratum has partial aggregation.
@@ -26,7 +33,9 @@ each returned (and each calibrate).
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 from math import log
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,13 +48,14 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
 
-# Ratio rules: (numerator, denominator), cutoffs from lenient to strict.
+# Ratio rules: (numerator, denominator), cutoffs from lenient to strict, as many for each rule.
 RULES = {
     "symbols": (("n_symbols", "word_chars"), (0.6, 0.4, 0.3, 0.2, 0.15, 0.1, 0.05, 0.02)),
     "upper": (("n_upper", "word_chars"), (0.9, 0.7, 0.5, 0.4, 0.3, 0.2, 0.15, 0.1)),
     "dup_lines": (("n_dup_lines", "n_lines"), (0.9, 0.7, 0.5, 0.4, 0.3, 0.2, 0.1, 0.05)),
     "repeats": (("n_repeat_words", "n_words"), (0.19, 0.17, 0.15, 0.12, 0.1, 0.08, 0.05, 0.02)),
 }
+STEPS = 8
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -127,26 +137,44 @@ def log_binomial_cdf(k: Column, n: Column, p: float) -> Column:
 
 def thresholds(labelled: DataFrame, risk: float = 0.02, delta: float = 0.05) -> DataFrame:
     """One row per stratum of ``labelled`` (``stratum``, ``quality`` 0 or 1, counts of
-    documents that pass the base rule): the chosen cutoff per rule, or null."""
+    documents that pass the base rule): ``n_good``, ``decided`` (the sequence that
+    decides) and the chosen cutoff per rule, or null."""
     good = F.col("quality") == 1
+    sequences = {"all": list(RULES), **{rule: [rule] for rule in RULES}}
     sums = [F.count_if(good).alias("n_good")]
-    for rule, (_, cutoffs) in RULES.items():
-        for i, c in enumerate(cutoffs):
-            sums += [F.count_if(good & (value(rule) > c)).alias(f"g_{rule}_{i}"),
-                     F.count_if(~good & (value(rule) > c)).alias(f"b_{rule}_{i}")]
+    for i in range(STEPS):
+        above = {rule: value(rule) > cutoffs[i] for rule, (_, cutoffs) in RULES.items()}
+        sums += [F.count_if(good & reduce(or_, [above[r] for r in of])).alias(f"good_{name}_{i}")
+                 for name, of in sequences.items()]
+        sums += [F.count_if(~good & hit).alias(f"bad_{rule}_{i}") for rule, hit in above.items()]
     per = labelled.groupBy("stratum").agg(*sums)
     per = per.withColumn("strata", F.count(F.lit(1)).over(
         Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
-    level = F.log(F.lit(delta) / (len(RULES) * F.col("strata")))
-    chosen = []
-    for rule, (_, cutoffs) in RULES.items():
-        tries = F.array(*[F.struct(
-            F.when(log_binomial_cdf(F.col(f"g_{rule}_{i}"), F.col("n_good"), risk / len(RULES)) <= level,
-                   F.col(f"b_{rule}_{i}") - F.col(f"g_{rule}_{i}")).alias("gain"),
-            F.lit(float(c)).alias("cutoff")) for i, c in enumerate(cutoffs)])
-        best = F.array_max(F.filter(tries, lambda t: t["gain"] > 0))
-        chosen.append(best["cutoff"].alias(f"cut_{rule}"))
-    return per.select("stratum", "n_good", *chosen)
+    level = F.log(F.lit(delta) / (len(sequences) * F.col("strata")))
+
+    def certified(name: str) -> Column:
+        """How many sets of the sequence pass before the first that does not."""
+        passed = F.array(*[log_binomial_cdf(F.col(f"good_{name}_{i}"), F.col("n_good"), risk) <= level
+                           for i in range(STEPS)])
+        return F.coalesce(F.nullif(F.array_position(passed, False), F.lit(0)) - 1, F.lit(STEPS)).cast("int")
+
+    def best(name: str, rule: str) -> Column:
+        tries = F.array(*[F.struct((F.col(f"bad_{rule}_{i}") - F.col(f"good_{rule}_{i}")).alias("gain"),
+                                   F.lit(float(c)).alias("cutoff")) for i, c in enumerate(RULES[rule][1])])
+        return F.array_max(F.filter(F.slice(tries, F.lit(1), F.col(f"sure_{name}")), lambda t: t["gain"] > 0))
+
+    per = per.select("*", *[certified(name).alias(f"sure_{name}") for name in sequences])
+    options = []
+    for at, (name, of) in enumerate(sequences.items()):
+        found = {rule: best(name, rule) for rule in of}
+        none = F.lit(None).cast("double")
+        options.append(F.struct(
+            reduce(lambda a, b: a + b, [F.coalesce(f["gain"], F.lit(0)) for f in found.values()]).alias("gain"),
+            F.lit(-at).alias("order"), F.lit(name).alias("name"),
+            *[(found[r]["cutoff"] if r in found else none).alias(f"cut_{r}") for r in RULES]))
+    chosen = per.select("stratum", "n_good", F.array_max(F.array(*options)).alias("one"))
+    return chosen.select("stratum", "n_good", F.col("one.name").alias("decided"),
+                         *[F.col(f"one.cut_{r}") for r in RULES])
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -163,7 +191,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rejected = F.lit(False)
     for rule in RULES:
         rejected = rejected | F.coalesce(value(rule) > F.col(f"cut_{rule}"), F.lit(False))
-    return judged.withColumn("kept", ~F.col("base_failed") & ~rejected).drop("_stratum", "n_good")
+    return judged.withColumn("kept", ~F.col("base_failed") & ~rejected).drop("_stratum", "n_good", "decided")
 
 
 def op5(docs: DataFrame, labels: DataFrame) -> DataFrame:
