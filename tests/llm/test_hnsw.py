@@ -48,6 +48,27 @@ def test_small_is_exact(spark):
     assert hnsw.op6(df.where("vec_id % 20 <> 0")).count() == 0
 
 
+def test_ids_with_several_vectors(spark, monkeypatch):
+    rng = np.random.default_rng(2)
+    rows = [(int(rng.integers(0, 70)), [float(x) for x in rng.integers(-9, 10, 4)]) for _ in range(240)]
+    rows += [(i, rows[0][1]) for i in range(0, 70, 3)]  # and one vector under several of them
+    rows += [(20, [float(x), 1.0, 2.0, 3.0]) for x in range(60)]  # one id with very many vectors
+    rows = [(i, v) for i, v in rows if any(v)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = {}
+    for q in {i for i, _ in rows if i % 20 == 0}:
+        best = {}
+        for i, v in rows:
+            for a in (w for j, w in rows if j == q and i != q):
+                best[i] = max(best.get(i, -np.inf), float(np.dot(a, v)))
+        want[q] = sorted(best.items(), key=lambda x: (-x[1], x[0]))
+    for shard in (8192, 90):
+        monkeypatch.setattr(hnsw, "SHARD", shard)
+        for k in (1, 5, 200):
+            _, full = result(df, k)
+            assert {q: [x[r] for r in sorted(x)] for q, x in full.items()} == {q: x[:k] for q, x in want.items()}
+
+
 def test_recall_over_shards(spark, monkeypatch):
     df = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").limit(4000)
     rows = [(r.vec_id, [float(x) for x in r.embedding]) for r in df.collect()]

@@ -2,7 +2,7 @@
 navigable small-world graph per shard, stored as flat neighbour arrays, and the
 shards' results merged.
 
-Equal vectors are one node that keeps the ids which can ever be among the
+Equal vectors are one node, known by a digest of the vector, that keeps the ids which can ever be among the
 nearest (the smallest ``k + 1``; a rank limit that Spark applies before the
 shuffle, so a vector that a third of all rows share moves few rows). Nodes are
 dealt to shards of about ``SHARD`` by a hash; a task builds one graph. The
@@ -18,7 +18,9 @@ are ranked per query.
 
 Defined results: vectors that are null, empty, zero or hold a null or non-finite
 component take no part, nor do rows without an id; repeated rows (same id and
-vector) count once; vectors are compared within their dimension; with fewer than
+vector) count once; an id with several vectors asks with each of them, is found by
+each of them, and meets another id once, at their largest score; vectors are
+compared within their dimension; with fewer than
 ``k`` candidates all are returned; ties go to the smaller id.
 """
 
@@ -204,12 +206,12 @@ def level_counts(n: int) -> list[int]:
 
 
 def nodes_of(rows: DataFrame, k: int) -> DataFrame:
-    """Distinct vectors: ``node`` (smallest id), ``dim``, ``vec``, ``ids`` (the k + 1 smallest)."""
+    """Distinct vectors: ``node`` (128-bit digest), ``dim``, ``vec``, ``ids`` (the k + 1 smallest)."""
     few = rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS))).select("vec", "salt", "id").distinct()
     for part in (["vec", "salt"], ["vec"]):  # a vector shared by very many rows is thinned in several tasks first
         few = few.withColumn("r", F.row_number().over(Window.partitionBy(*part).orderBy("id"))).where(F.col("r") <= k + 1)
     nodes = few.groupBy("vec").agg(F.sort_array(F.collect_list("id")).alias("ids"))
-    return nodes.select(F.col("ids")[0].alias("node"), F.size("vec").alias("dim"), "vec", "ids")
+    return nodes.select(F.md5(F.col("vec").cast("string")).alias("node"), F.size("vec").alias("dim"), "vec", "ids")
 
 
 def clean(rows: DataFrame, id_col: str, vec_col: str) -> DataFrame:
@@ -249,7 +251,7 @@ def build_index(nodes: DataFrame) -> DataFrame:
 
 
 def _search_table(index: pa.Table, asked: pa.Table, k: int) -> pa.Table:
-    empty = {"qnode": pa.int64(), "vec_id": pa.int64(), "score": pa.float64()}
+    empty = {"qnode": pa.string(), "vec_id": pa.int64(), "score": pa.float64()}
     if not len(index) or not len(asked):
         return pa.table({c: pa.array([], t) for c, t in empty.items()})
     r = index.slice(0, 1).to_pylist()[0]
@@ -258,7 +260,7 @@ def _search_table(index: pa.Table, asked: pa.Table, k: int) -> pa.Table:
     counts = level_counts(len(v))
     graph = Graph(lifted(v), [np.frombuffer(x, "<i4").reshape(c, -1).astype(np.int64)
                               for x, c in zip(r["i_lists"], counts)])
-    qnode = np.array(asked["qnode"])
+    qnode = np.array(asked["qnode"].to_pylist(), object)
     q = np.array(asked["qvec"].combine_chunks().flatten()).reshape(len(qnode), -1)
     out: list[list] = [[], [], []]
     for a in range(0, len(q), STEP):
@@ -272,8 +274,9 @@ def _search_table(index: pa.Table, asked: pa.Table, k: int) -> pa.Table:
             size = np.diff(np.concatenate([[0], ends]))[found]
             own = np.concatenate([ids[ends[f] - s:ends[f]] for f, s in zip(found, size)])
             score = np.repeat(score, size)
-            best = np.lexsort((own, -score))[:k + 1]
-            out[0].append(np.full(len(best), node))
+            best = np.lexsort((own, -score))
+            best = best[np.sort(np.unique(own[best], return_index=True)[1])[:k + 1]]  # an id once, at its largest
+            out[0].append(np.full(len(best), node, object))
             out[1].append(own[best])
             out[2].append(score[best])
     return pa.table({c: pa.array(np.concatenate(x), t) for (c, t), x in zip(empty.items(), out)})
@@ -288,7 +291,8 @@ def search(index: DataFrame, asked: DataFrame, k: int) -> DataFrame:
               .join(shards, F.col("dim") == F.col("_dim")).select("dim", "at", "block", "qnode", "qvec"))
     copies = index.toDF(*[f"i_{c}" for c in index.columns]).withColumn("i_block", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     found = (copies.groupBy("i_dim", "i_shard", "i_block").cogroup(spread.groupBy("dim", "at", "block"))
-             .applyInArrow(lambda i, q: _search_table(i, q, k), "qnode long, vec_id long, score double"))
+             .applyInArrow(lambda i, q: _search_table(i, q, k), "qnode string, vec_id long, score double"))
+    found = found.groupBy("qnode", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("qnode").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1).drop("r")
 
@@ -306,6 +310,7 @@ def nearest(rows: DataFrame, is_query, id_col: str = "vec_id", vec_col: str = "e
     found = search(index, asked, k)
     per = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (queries.join(found, F.col("node") == F.col("qnode")).where("query_id <> vec_id")
+            .groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
             .withColumn("rank", F.row_number().over(per)).where(F.col("rank") <= k)
             .select("query_id", "rank", "vec_id", "score"))
 
