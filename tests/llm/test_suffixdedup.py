@@ -67,8 +67,70 @@ def test_against_brute_force(spark, monkeypatch, small):
     assert got == brute(rows)
 
 
-def test_rounds_find_equal_windows():
-    """The column-wise rounds against a dictionary of all windows."""
+@pytest.mark.parametrize("wide", [1, 2, 8, 30])
+def test_wide_anchors_against_brute_force(spark, wide):
+    rows = fixture()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    out = sd.remove_repeats(df, wide=wide)
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, hashlib.sha256(r.kept).hexdigest())
+                  for r in out.collect()), key=repr)
+    assert got == brute(rows)
+
+
+def hot_rows():
+    """One string of 20 bytes in a third of all texts, in contexts of their own, and two passages around it."""
+    rng = random.Random(11)
+    noise = lambda n: "".join(rng.choices("abcdefghij", k=n))
+    hot, one, two = "<<a frequent string>", noise(30), noise(30)
+    rows = []
+    for i in range(1500):
+        a, z = (one, two) if i % 50 == 0 else (noise(60), noise(60))
+        rows.append((i, a + hot + z if i % 3 == 0 else noise(140)))
+    return hot, rows
+
+
+def test_hot_anchor_in_many_contexts(spark):
+    hot, rows = hot_rows()
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    shared = sd.shared_hashes(df, "doc_id", "text", 100)
+    assert len(sd.widest(shared))
+    out = sd.remove_repeats(df, wide=100).collect()
+    assert sorted((r.doc_id, len(r.kept), r.n_removed) for r in out) == sorted(
+        (d, n - gone, gone) for d, n, gone, _, _ in brute(rows))
+    assert any(r.n_removed for r in out)
+
+
+def test_windows_of_a_hot_anchor_spread():
+    hot, rows = hot_rows()
+    buckets = 16
+    found = [(r, lo, hi, first, np.full(len(lo), d), np.zeros(len(lo), np.int64)) for d, t in rows if hot in t
+             for r, lo, hi, first in sd.segments_of(t.encode(), np.unique(sd.piece_hashes(np.frombuffer(hot.encode(), np.uint8)) >> np.uint64(16)))]
+    parts = [np.concatenate(x) for x in zip(*found)]
+    sent = [len(np.frombuffer(sd.expand(body), np.uint64)) // 2
+            for _, kind, _, body in sd.dealt_windows(*parts, buckets) if kind == 2]
+    assert len(sent) == buckets and max(sent) < 2 * sum(sent) / buckets
+
+
+def test_settle_beyond_a_chunk(monkeypatch):
+    """An anchor with more segments than a chunk gives the spans that the rounds give."""
+    hot, rows = hot_rows()
+    shared = np.unique(sd.piece_hashes(np.frombuffer(hot.encode(), np.uint8)) >> np.uint64(16))
+    found = [(r, lo, hi, first, np.full(len(lo), d), np.zeros(len(lo), np.int64)) for d, t in rows
+             for r, lo, hi, first in sd.segments_of(t.encode(), shared)]
+    parts = [np.concatenate(x) for x in zip(*found)]
+    by_rounds = sorted(zip(*(x.tolist() for x in sd.settle(*parts))))
+    monkeypatch.setattr(sd, "CHUNK", 20)
+    assert by_rounds and sorted(zip(*(x.tolist() for x in sd.settle(*parts)))) == by_rounds
+
+
+def test_ids_that_are_no_integers(spark):
+    with pytest.raises(TypeError, match="integer"):
+        sd.remove_repeats(spark.createDataFrame([("a", "x")], "doc_id string, text string"))
+
+
+@pytest.mark.parametrize("owners", [sd.window_owners, sd.hashed_owners])
+def test_rounds_find_equal_windows(owners):
+    """The column-wise rounds, and the digests, against a dictionary of all windows."""
     rng = np.random.default_rng(0)
     n = 400
     rows = rng.integers(97, 99, (n, sd.COLUMNS)).astype(np.uint8)
@@ -82,7 +144,7 @@ def test_rounds_find_equal_windows():
     column = np.arange(sd.COLUMNS)
     rows = np.where((column >= lo[:, None]) & (column < hi[:, None]), rows, 0).astype(np.uint8)
     seen = []
-    for c, owner in sd.window_owners(rows, lo, hi, doc):
+    for c, owner in owners(rows, lo, hi, doc):
         want = {}
         for i in range(n):
             if lo[i] <= c and c + N <= hi[i]:

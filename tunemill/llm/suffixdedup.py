@@ -21,18 +21,24 @@ longest text has bytes, so the members are not whole texts but segments:
 2. Segments: documents with shared hashes send the segments under them. What a
    task sees in several of its documents is settled there for all but the
    smallest id, and only that one is sent, so a passage that a third of all
-   documents hold is no hot group.
+   documents hold is no hot group. An anchor of ``WIDE`` documents or more may
+   stand in as many contexts, each a segment of its own; its segments are dealt
+   out window by window, by 128 bits of the window's bytes, so that the contexts
+   of one anchor spread over all tasks. At most ``WIDE_MOST`` anchors, the widest,
+   are told to the tasks; any other has fewer documents than each of those.
 3. Columns: per task, distinct segments (with their smallest id) go through the
    rounds, at most about ``CHUNK`` at a time. Windows whose common prefix reaches
-   LENGTH are equal; the smallest id among them owns the string.
+   LENGTH are equal; the smallest id among them owns the string. One anchor with
+   more than ``CHUNK`` distinct segments in a task is settled column by column by
+   the windows' digests instead, in memory linear in its segments.
 4. The spans found meet their documents again; overlaps are merged and cut out.
 
 Texts travel compressed. Packed arrays are deterministic, and each step ends in
 a table in the shared folder; the column files are a task's own scratch space,
 gone when the chunk is done, and made anew if the task runs again.
 
-Defined results: null text is empty; texts under LENGTH bytes keep all; rows
-without an id keep all and remove nothing; rows with one id are one document,
+Defined results: ids that are no integers are refused with an error; null text is
+empty; texts under LENGTH bytes keep all; rows without an id keep all and remove nothing; rows with one id are one document,
 whose strings do not remove each other; repeated rows get equal results; other
 columns are passed through.
 """
@@ -60,7 +66,9 @@ BLOCK = 1 << 20  # bytes of a text that are hashed at once
 FLUSH_HASHES = 1 << 21
 FLUSH_SEGMENTS = 1 << 18
 CHUNK = 1 << 17
-MANY = -1
+WIDE = 1 << 16  # documents from which an anchor is dealt out by window
+WIDE_MOST = 1 << 18  # anchors told to the tasks
+WINDOWS = 1 << 21  # windows packed at a time
 U = np.uint64
 NO_OWNER = np.iinfo(np.int64).max
 
@@ -197,11 +205,19 @@ def _document_runs(doc: np.ndarray, th: np.ndarray) -> np.ndarray:
 
 
 def per_document(dealt: DataFrame, buckets: int, width: int, name: str) -> DataFrame:
-    """(``d``, ``th``, ``name``): all items of a document in one row, from ``_dealt`` rows."""
+    """(``d``, ``th``, ``name``): all items of a document in one row, from ``_dealt`` rows.
+    Rows of kind 1 hold items with a count and come out one by one, without ``d`` and with
+    the count as ``th``."""
+    names, types = ("d", "th", name), (pa.int64(), pa.int64(), pa.binary())
+
     def run(batches):
         docs, ths, items = [], [], []
         for batch in batches:
-            for head, body in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+            for kind, head, body in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+                if kind:
+                    n = np.frombuffer(expand(head), np.int64).tolist()
+                    yield _batch([(None, x, body[i * width:(i + 1) * width]) for i, x in enumerate(n)], names, types)
+                    continue
                 h = np.frombuffer(expand(head), np.int64).reshape(3, -1)
                 docs.append(np.repeat(h[0], h[2]))
                 ths.append(np.repeat(h[1], h[2]))
@@ -215,7 +231,7 @@ def per_document(dealt: DataFrame, buckets: int, width: int, name: str) -> DataF
         edge = np.append(begin, len(doc)).tolist()
         for part in np.array_split(np.arange(len(begin)), max(1, len(begin) // 1024)):
             yield _batch([(int(doc[edge[i]]), int(th[edge[i]]), item[edge[i]:edge[i + 1]].tobytes())
-                          for i in part.tolist()], ("d", "th", name), (pa.int64(), pa.int64(), pa.binary()))
+                          for i in part.tolist()], names, types)
 
     return dealt.repartition(buckets, "bucket").mapInArrow(run, f"d long, th long, {name} binary")
 
@@ -228,8 +244,9 @@ def _grouped(ids: np.ndarray, values: np.ndarray):
     return ids[begin], np.diff(np.append(begin, len(ids))), values[order]
 
 
-def shared_hashes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(``d``, ``vals``): anchor hashes of a document that another one also has."""
+def shared_hashes(docs: DataFrame, id_col: str, text_col: str, wide: int = WIDE) -> DataFrame:
+    """(``d``, ``th``, ``vals``): anchor hashes of a document that another one also has. Rows
+    without ``d`` hold one hash of ``wide`` documents or more, ``th`` of them to within a half."""
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("d"),
                                                        F.col(text_col).alias("text"))
@@ -252,8 +269,9 @@ def shared_hashes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 a, b = settled[1][:part[0]].sum(), settled[1][:part[-1] + 1].sum()
                 rows.append((int(settled[0][part[0]] % buckets), 1,
                              squeeze(settled[0][part], settled[1][part]), pack48(settled[2][a:b])))
-        v, doc = v[begin], np.where(count > 1, MANY, doc[begin])
-        tag = np.where(count > 1, -1, np.searchsorted(np.unique(doc), doc))  # keeps equal ids together
+        power = -np.floor(np.log2(count)).astype(np.int64)  # of several documents only the number's size is sent
+        v, doc = v[begin], np.where(count > 1, power, doc[begin])
+        tag = np.where(count > 1, power, np.searchsorted(np.unique(doc), doc))  # keeps equal ids together
         order = np.lexsort((tag, v % U(buckets)))
         v, doc, tag = v[order], doc[order], tag[order]
         edge = np.searchsorted((v % U(buckets)).astype(np.int64), np.arange(buckets + 1))
@@ -290,23 +308,34 @@ def shared_hashes(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     found.append((np.repeat(h[0], h[1]), unpack48(body)))
                 else:
                     docs_.append(np.repeat(h[0], h[2]))
-                    tags.append(np.repeat(h[1] < 0, h[2]))
+                    tags.append(np.repeat(h[1], h[2]))
                     vals.append(unpack48(body))
         if docs_:
-            doc, many, v = np.concatenate(docs_), np.concatenate(tags), np.concatenate(vals)
+            doc, tag, v = np.concatenate(docs_), np.concatenate(tags), np.concatenate(vals)
             order = np.argsort(v, kind="stable")
-            doc, many, v = doc[order], many[order], v[order]
+            doc, tag, v = doc[order], tag[order], v[order]
             begin = _runs(v)
             count = np.diff(np.append(begin, len(v)))
             # several entries of one document (its id repeats) do no harm: this is a filter
-            some = np.repeat(count > 1, count) & ~many
+            some = np.repeat(count > 1, count) & (tag >= 0)
             found.append((doc[some], v[some]))
+            have = np.add.reduceat(1 << -np.minimum(tag, 0), begin)
+            over = np.flatnonzero(have >= wide)
+            for part in np.array_split(over, max(1, len(over) // 1024)):
+                if len(part):
+                    yield _sent([(int(v[begin[part[0]]] % U(buckets)), 1, squeeze(have[part]), pack48(v[begin[part]]))])
         if found:
             doc, v = (np.concatenate(x) for x in zip(*found))
             yield _dealt(doc, np.zeros_like(doc), np.frombuffer(pack48(v), np.uint8).reshape(-1, 6), buckets)
 
     sent = own.mapInArrow(send, SENT).repartition(buckets, "bucket")
-    return per_document(sent.mapInArrow(answer, SENT), buckets, 6, "vals").select("d", "vals")
+    return per_document(sent.mapInArrow(answer, SENT), buckets, 6, "vals")
+
+
+def widest(shared: DataFrame) -> np.ndarray:
+    """Sorted hashes of the (at most ``WIDE_MOST``) anchors that most documents have."""
+    rows = shared.where(F.col("d").isNull()).orderBy(F.desc("th"), "vals").limit(WIDE_MOST).select("vals").collect()
+    return np.sort(unpack48(b"".join(bytes(r[0]) for r in rows)))
 
 
 def segments_of(text: bytes, shared: np.ndarray):
@@ -336,8 +365,18 @@ def digests(rows: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarra
     """128 bits per segment, in two halves."""
     wide = np.zeros((len(rows), -(-COLUMNS // 8) * 8 + 8), np.uint8)
     wide[:, :COLUMNS], wide[:, -2], wide[:, -1] = rows, lo, hi
-    q = wide.view(np.uint64)
-    one, two = np.zeros(len(rows), np.uint64), np.zeros(len(rows), np.uint64)
+    return _halves(wide.view(np.uint64))
+
+
+def window_digests(rows: np.ndarray, c: int) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits per window that begins at column ``c``, in two halves."""
+    wide = np.zeros((len(rows), -(-LENGTH // 8) * 8), np.uint8)
+    wide[:, :LENGTH] = rows[:, c:c + LENGTH]
+    return _halves(wide.view(np.uint64))
+
+
+def _halves(q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    one, two = np.zeros(len(q), np.uint64), np.zeros(len(q), np.uint64)
     for i in range(q.shape[1]):
         one = mix(one + q[:, i] * U(0x9E3779B97F4A7C15))
         two = mix((two ^ q[:, i]) * U(0xC2B2AE3D27D4EB4F) + U(i))
@@ -356,7 +395,10 @@ def piece_keys(pieces: np.ndarray) -> np.ndarray:
 
 def _distinct(rows, lo, hi, doc):
     """Order by segment and document, where distinct segments begin, and each row's number."""
-    one, two = digests(rows, lo, hi)
+    return _classes(*digests(rows, lo, hi), doc)
+
+
+def _classes(one, two, doc):
     order = np.lexsort((doc, two, one))
     one, two = one[order], two[order]
     new = np.ones(len(order), bool)
@@ -365,6 +407,14 @@ def _distinct(rows, lo, hi, doc):
     return order, begin, np.cumsum(new) - 1
 
 
+def _least_id(one, two, doc) -> np.ndarray:
+    """For every item the smallest id among those with its digest."""
+    order, begin, number = _classes(one, two, doc)
+    owner = np.empty(len(doc), np.int64)
+    owner[order] = doc[order][begin][number]
+    return owner
+
+
 def _span_blobs(doc, th, start, stop, buckets) -> list[tuple]:
     """Spans packed by document, for any bucket."""
     order = np.lexsort((start, th, doc))
@@ -420,6 +470,53 @@ def _owners(order, common, c, lo, hi, doc) -> np.ndarray:
     return owner
 
 
+def hashed_owners(rows: np.ndarray, lo: np.ndarray, hi: np.ndarray, doc: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+    """What ``window_owners`` gives, from digests of the windows of one column after the other."""
+    for c in range(OFFSETS - 1, -1, -1):
+        at = np.flatnonzero((lo <= c) & (c + LENGTH <= hi))
+        owner = np.full(len(rows), NO_OWNER)
+        if len(at):
+            owner[at] = _least_id(*window_digests(rows[at], c), doc[at])
+        yield c, owner
+
+
+def dealt_windows(rows, lo, hi, pos, doc, th, buckets: int) -> list[tuple]:
+    """Windows of wide anchors, packed by digest; those with a smaller id in this task as spans."""
+    first = np.full(len(doc), 255, np.int16)
+    last = np.full(len(doc), -1, np.int16)
+    out, held, n = [], [], 0
+
+    def pack():
+        one, two, d, t, at = (np.concatenate(x) for x in zip(*held))
+        bucket = (one % U(buckets)).astype(np.int64)
+        order = np.lexsort((at, t, d, two, one, bucket))
+        one, two, d, t, at, bucket = (x[order] for x in (one, two, d, t, at, bucket))
+        begin = _runs(bucket)
+        for a, z in zip(begin, np.append(begin[1:], len(bucket))):
+            o = slice(a, z)
+            out.append((int(bucket[a]), 2, squeeze(d[o], t[o], at[o]), squeeze(one[o], two[o])))
+
+    for c in range(OFFSETS - 1, -1, -1):
+        at = np.flatnonzero((lo <= c) & (c + LENGTH <= hi))
+        if not len(at):
+            continue
+        one, two = window_digests(rows[at], c)
+        later = _least_id(one, two, doc[at]) < doc[at]
+        gone, to = at[later], at[~later]
+        first[gone] = c  # columns come in falling order
+        last[gone] = np.maximum(last[gone], c)
+        held.append((one[~later], two[~later], doc[to], th[to], pos[to] + c - lo[to]))
+        n += len(to)
+        if n >= WINDOWS:
+            pack()
+            held, n = [], 0
+    if n:
+        pack()
+    hit = last >= 0
+    base = pos[hit] - lo[hit]
+    return out + _span_blobs(doc[hit], th[hit], base + first[hit], base + last[hit] + LENGTH, buckets)
+
+
 def settle(rows, lo, hi, pos, doc, th):
     """Spans (document, hash, start, stop) to remove among segments that meet here."""
     order, begin, number = _distinct(rows, lo, hi, doc)
@@ -451,7 +548,8 @@ def settle(rows, lo, hi, pos, doc, th):
         place[members] = np.arange(len(members))
         occ = np.flatnonzero(place[number] >= 0)
         of, occ_doc = place[number[occ]], doc[occ]
-        for c, owner in window_owners(s_rows[members], s_lo[members], s_hi[members], s_doc[members]):
+        owners = window_owners if len(members) <= CHUNK else hashed_owners
+        for c, owner in owners(s_rows[members], s_lo[members], s_hi[members], s_doc[members]):
             gone = occ[owner[of] < occ_doc]
             first[gone] = c  # columns come in falling order
             last[gone] = np.maximum(last[gone], c)
@@ -466,8 +564,9 @@ def _steps(sizes: np.ndarray) -> np.ndarray:
     return np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
-def repeated_spans(texts: DataFrame, buckets: int) -> DataFrame:
-    """(``d``, ``th``, ``spans``) from (``d``, ``th``, ``z``, ``vals``): spans to remove."""
+def repeated_spans(texts: DataFrame, buckets: int, wide: np.ndarray) -> DataFrame:
+    """(``d``, ``th``, ``spans``) from (``d``, ``th``, ``z``, ``vals``): spans to remove.
+    ``wide``: sorted hashes of anchors whose windows are dealt out one by one."""
     def flush(held):
         rows, lo, hi, pos, doc, th = (np.concatenate(x) for x in held)
         order, begin, number = _distinct(rows, lo, hi, doc)
@@ -476,7 +575,12 @@ def repeated_spans(texts: DataFrame, buckets: int) -> DataFrame:
         out = _span_blobs(doc[more], th[more], pos[more],
                           pos[more] + hi[more].astype(np.int64) - lo[more], buckets)
         rows, lo, hi, pos, doc, th = (x[~more] for x in (rows, lo, hi, pos, doc, th))
-        bucket = ((_anchor_key(rows) >> U(16)) % U(buckets)).astype(np.int64)
+        key = _anchor_key(rows) >> U(16)
+        if len(wide):
+            over = wide[np.minimum(np.searchsorted(wide, key), len(wide) - 1)] == key
+            out += dealt_windows(*(x[over] for x in (rows, lo, hi, pos, doc, th)), buckets)
+            rows, lo, hi, pos, doc, th, key = (x[~over] for x in (rows, lo, hi, pos, doc, th, key))
+        bucket = (key % U(buckets)).astype(np.int64)
         order = np.lexsort((pos, th, doc, bucket))
         rows, lo, hi, pos, doc, th, bucket = (x[order] for x in (rows, lo, hi, pos, doc, th, bucket))
         edge = np.searchsorted(bucket, np.arange(buckets + 1))
@@ -506,9 +610,13 @@ def repeated_spans(texts: DataFrame, buckets: int) -> DataFrame:
             yield flush(held)
 
     def work(batches):
-        parts, found = [[] for _ in range(6)], []
+        parts, windows, found = [[] for _ in range(6)], [], []
         for batch in batches:
             for kind, head, body in zip(*(batch.column(i).to_pylist() for i in (1, 2, 3))):
+                if kind == 2:
+                    windows.append((*np.frombuffer(expand(body), np.uint64).reshape(2, -1),
+                                    *np.frombuffer(expand(head), np.int64).reshape(3, -1)))
+                    continue
                 if kind:
                     h = np.frombuffer(expand(head), np.int64).reshape(3, -1)
                     found.append((np.repeat(h[0], h[2]), np.repeat(h[1], h[2]),
@@ -524,6 +632,11 @@ def repeated_spans(texts: DataFrame, buckets: int) -> DataFrame:
         if parts[0]:
             doc, th, start, stop = settle(*(np.concatenate(x) for x in parts))
             found.append((doc, th, np.stack([start, stop], 1).astype("<u4").view(np.uint8).reshape(-1, 8)))
+        if windows:
+            one, two, doc, th, at = (np.concatenate(x) for x in zip(*windows))
+            later = _least_id(one, two, doc) < doc
+            at = at[later]
+            found.append((doc[later], th[later], np.stack([at, at + LENGTH], 1).astype("<u4").view(np.uint8).reshape(-1, 8)))
         if found:
             yield _dealt(*(np.concatenate(x) for x in zip(*found)), buckets)
 
@@ -544,17 +657,20 @@ def cut_out(text: bytes, spans: bytes) -> tuple[int, int, bytes]:
     return int(gone.sum()), runs, np.frombuffer(text, np.uint8)[~gone].tobytes()
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wide: int = WIDE) -> DataFrame:
     """``docs`` without the text, with ``n_bytes``, ``n_removed``, ``n_spans`` and ``kept``
-    (the remaining bytes), named anew if taken."""
+    (the remaining bytes), named anew if taken. Anchors of ``wide`` documents or more are
+    dealt out by window; the result does not depend on it."""
+    if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        raise TypeError(f"{id_col} must be an integer column, not {docs.schema[id_col].dataType.simpleString()}")
     buckets = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     names = {c: fresh(docs, c) for c in ("z", "th")}
     small = compressed(docs.select(id_col, text_col), id_col, text_col, names)
-    shared = cut(shared_hashes(docs, id_col, text_col), "anchors")
-    lists = shared.withColumnRenamed("d", "_d")
+    shared = cut(shared_hashes(docs, id_col, text_col, wide), "anchors")
+    lists = shared.where(F.col("d").isNotNull()).select(F.col("d").alias("_d"), "vals")
     texts = small.join(lists, F.col(id_col).cast("long") == F.col("_d")).select(
         F.col("_d").alias("d"), F.col(names["th"]).alias("th"), F.col(names["z"]).alias("z"), "vals")
-    spans = cut(repeated_spans(texts, buckets), "spans")
+    spans = cut(repeated_spans(texts, buckets, widest(shared)), "spans")
     per = spans.toDF("_d", "_th", "_spans")
     whole = compressed(docs, id_col, text_col, names)
     rest = [c for c in docs.columns if c != text_col]
