@@ -22,6 +22,7 @@ from ..operators import history as hist
 from ..operators import profile as prof
 from ..operators import retrieval as rt
 from ..operators import sampling as smp
+from ..operators import sketches as sk
 from ..operators import templates as tpl
 from ..operators import tokens as tk
 from ..operators import udfs as udf
@@ -305,6 +306,30 @@ def field_profile(spark, d):
     return prof.field_profile(all_examples(spark, d))
 
 
+def _merged_profile(spark, df, fields):
+    """Sketches per part of the rows, merged from a written table; bounds checked against all rows."""
+    part = F.pmod(F.xxhash64("example_id"), F.lit(8))  # in use: the day or file a row comes from
+    parts = sk.write_parts(sk.part_profile(df, part, fields), shared_path(spark, "profile"))
+    out = sk.profile_errors(df, sk.read_profile(sk.merge_parts(parts)), fields)
+    return out.select("source", "field", "n_rows", "n_null", "n_blank", "min_len", "avg_len", "max_len",
+                      F.col("exact_distinct").alias("n_distinct"),
+                      (F.col("distinct_error") <= sk.DISTINCT_BOUND).alias("distinct_within"),
+                      (F.col("p50_error") <= sk.RANK_BOUND).alias("p50_within"),
+                      (F.col("p90_error") <= sk.RANK_BOUND).alias("p90_within"))
+
+
+@query
+def merged_field_profile(spark, d):
+    """A2: the field profile from merged sketches, with whether its estimates are within their bounds."""
+    return _merged_profile(spark, all_examples(spark, d), ("instruction", "input", "output"))
+
+
+@query
+def merged_token_profile(spark, d):
+    """A3: token counts of texts and prompts from merged sketches, estimates against their bounds."""
+    return _merged_profile(spark, token_counts(spark, d), ("n_tokens", "prompt_tokens"))
+
+
 @query
 def required_fields(spark, d):
     """every row checked, with the reason of a rejection."""

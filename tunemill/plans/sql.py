@@ -117,6 +117,9 @@ SELECT source, field, count(*) AS n_rows,
        max(length(value)) AS max_len, count(DISTINCT value) AS n_distinct
 FROM long GROUP BY source, field"""
 
+_WITHIN = "true AS distinct_within, true AS p50_within, true AS p90_within"
+ORACLE["merged_field_profile"] = f"SELECT *, {_WITHIN} FROM ({ORACLE['field_profile']})"
+
 
 def _reason(c: str) -> str:
     return (f"CASE WHEN {c} IS NULL THEN '{c}: missing' END, "
@@ -260,6 +263,17 @@ SELECT source, count(*) AS n_rows, quantile_cont(n_tokens, 0.5) AS p50_tokens,
        CAST(sum(greatest(least(n_tokens, {_N}) - least(prompt_tokens, {_N}), 0)) AS BIGINT) AS loss_tokens
 FROM c GROUP BY source"""
 
+ORACLE["merged_token_profile"] = with_(PAIRS, MCQ, PAIRS_X, CHAT) + f"""
+, r AS (SELECT source, {inst_prompt('instruction', 'input')} AS prompt, {inst_answer('output')} AS answer
+        FROM chat_ex),
+c AS (SELECT source, len({toks('prompt')}) AS prompt_tokens,
+             len({toks('prompt')}) + len({toks('answer')}) AS n_tokens FROM r),
+long AS (SELECT source, 'n_tokens' AS field, n_tokens AS n FROM c
+         UNION ALL SELECT source, 'prompt_tokens', prompt_tokens FROM c)
+SELECT source, field, count(*) AS n_rows, CAST(count_if(n IS NULL) AS BIGINT) AS n_null, 0::BIGINT AS n_blank,
+       min(n) AS min_len, round(avg(n), 4) AS avg_len, max(n) AS max_len, count(DISTINCT n) AS n_distinct, {_WITHIN}
+FROM long GROUP BY source, field"""
+
 _NSP = len(SPECIAL_TOKENS)
 ORACLE["token_view"] = with_(PAIRS, RENDERED, _V, _E) + f"""
 , padded AS (
