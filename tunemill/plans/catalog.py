@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from .. import functions as fn
 from ..config import SftConfig
 from ..operators import batches as bat
+from ..operators import cells
 from ..operators import evaluate as ev
 from ..operators import history as hist
 from ..operators import profile as prof
@@ -720,6 +721,14 @@ def retrieve_topk(spark, d):
     return r.select("query_id", "vec_id", "sim", "rank")
 
 
+@query
+def retrieve_cells(spark, d):
+    """As ``retrieve_topk``, from cells that the triangle inequality leaves over."""
+    e = load(spark, d, "embeddings")
+    r = cells.search_cells(rt.mean_vectors(e, "label"), cells.build_cells(e), k=5)
+    return r.select("query_id", "vec_id", "sim", "rank")
+
+
 def _training_rows(spark, sources, cfg, **kw):
     from .training_set import build_training_set
     ts = build_training_set(spark, sources, cfg, **kw)

@@ -506,6 +506,8 @@ SELECT query_id, vec_id, sim, rank FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY sim DESC, vec_id) AS rank FROM s)
 WHERE rank <= 5"""
 
+ORACLE["retrieve_cells"] = ORACLE["retrieve_topk"]
+
 from .catalog import TRAIN_PCT  # noqa: E402
 
 def _training(chat: str, pct: float, order: str | None = None) -> str:
