@@ -569,6 +569,38 @@ def map_rows(spark, d):
                         "example_id string, prompt string, n_chars long")
 
 
+def _copied_run(pdf):
+    """X1 user function: the longest run of words of the answer that stands in the input."""
+    import re
+
+    import pandas as pd
+
+    words = re.compile(r"[^\x20\x09-\x0D]+").findall
+
+    def longest(asked, answer):
+        places, before, best = {}, {}, (0, None)
+        for j, w in enumerate(asked):
+            places.setdefault(w, []).append(j)
+        for i, w in enumerate(answer):
+            before = {j: before.get(j - 1, 0) + 1 for j in places.get(w, ())}
+            n = max(before.values(), default=0)
+            if n > best[0]:
+                best = (n, i + 1 - n)
+        return best
+
+    rows = [(key, len(a), *longest(q, a)) for key, q, a in zip(
+        pdf["example_id"], pdf["input"].fillna("").map(words), pdf["output"].fillna("").map(words))]
+    out = pd.DataFrame(rows, columns=["example_id", "n_words", "copied_words", "copied_at"])
+    return out.astype({"n_words": "int64", "copied_words": "int64", "copied_at": "Int64"})
+
+
+@query
+def map_rows_copied(spark, d):
+    """A user function that no column function gives: the longest run of words copied from the input."""
+    return udf.map_rows(pairs(spark, d), _copied_run,
+                        "example_id string, n_words long, copied_words long, copied_at long")
+
+
 @query
 def tokenize_external(spark, d):
     """Ids from an external (``tokenizers``) word-level tokenizer over the

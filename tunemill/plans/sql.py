@@ -370,6 +370,19 @@ ORACLE["map_rows"] = with_(PAIRS) + f"""
 SELECT example_id, {inst_prompt('instruction', 'input')} AS prompt,
        length({inst_prompt('instruction', 'input')}) AS n_chars FROM pairs"""
 
+_WORDS = r"regexp_extract_all(coalesce({c}, ''), '[^\x20\x09-\x0D]+')"
+ORACLE["map_rows_copied"] = with_(PAIRS) + f"""
+, w AS (SELECT example_id, {_WORDS.format(c='input')} AS asked, {_WORDS.format(c='output')} AS answer FROM pairs),
+a AS (SELECT example_id, unnest(answer) AS word, generate_subscripts(answer, 1) AS i FROM w),
+q AS (SELECT example_id, unnest(asked) AS word, generate_subscripts(asked, 1) AS j FROM w),
+met AS (SELECT example_id, i, i - j AS shift, i - row_number() OVER (PARTITION BY example_id, i - j ORDER BY i) AS island
+        FROM a JOIN q USING (example_id, word)),
+runs AS (SELECT example_id, count(*) AS n, min(i) - 1 AS start FROM met GROUP BY example_id, shift, island),
+best AS (SELECT example_id, n, start FROM runs
+         QUALIFY row_number() OVER (PARTITION BY example_id ORDER BY n DESC, start) = 1)
+SELECT w.example_id, len(w.answer) AS n_words, coalesce(n, 0) AS copied_words, start AS copied_at
+FROM w LEFT JOIN best USING (example_id)"""
+
 ORACLE["tokenize_external"] = with_(PAIRS, RENDERED, _V, encoded_cte(10 ** 9)) + """
 SELECT example_id, array_to_string(ids, ' ') AS ids, prompt_tokens AS prompt_len,
        true AS prefix_ok FROM enc"""
