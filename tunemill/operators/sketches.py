@@ -8,8 +8,8 @@ task, so the shuffle moves sketches only: at most ``2**LG_K`` bytes and a few
 thousand quantile items per part, group and field, whatever the rows.
 
 Errors: ``n_distinct`` has a relative standard error of ``1.04 / sqrt(2**LG_K)``
-(0.8 %); a quantile's rank is within about ``1 / KLL_K`` (0.1 %) of the asked one with
-high probability, and exact for groups under ``KLL_K`` rows. The KLL sketch draws
+(0.8 %); a quantile's rank is within about 0.3 % of the asked one with 99 % confidence
+at ``KLL_K`` = 1000, and exact for small groups. The KLL sketch draws
 random bits, so two runs may give different values within that error.
 
 Defined results: null groups and null parts are groups and parts of their own;
