@@ -588,8 +588,10 @@ def _copied_run(pdf):
                 best = (n, i + 1 - n)
         return best
 
-    rows = [(key, len(a), *longest(q, a)) for key, q, a in zip(
-        pdf["example_id"], pdf["input"].fillna("").map(words), pdf["output"].fillna("").map(words))]
+    rows = []
+    for key, q, a in zip(pdf["example_id"], pdf["input"].fillna(""), pdf["output"].fillna("")):
+        a = words(a)  # of one row at a time
+        rows.append((key, len(a), *longest(words(q), a)))
     out = pd.DataFrame(rows, columns=["example_id", "n_words", "copied_words", "copied_at"])
     return out.astype({"n_words": "int64", "copied_words": "int64", "copied_at": "Int64"})
 
@@ -597,7 +599,7 @@ def _copied_run(pdf):
 @query
 def map_rows_copied(spark, d):
     """A user function that no column function gives: the longest run of words copied from the input."""
-    return udf.map_rows(pairs(spark, d), _copied_run,
+    return udf.map_rows(pairs(spark, d).select("example_id", "input", "output"), _copied_run,
                         "example_id string, n_words long, copied_words long, copied_at long")
 
 
