@@ -12,6 +12,7 @@ from ..config import (BOS, EOS, INST_CLOSE, INST_OPEN, MARKER_PATTERN, PREVIEW_C
 
 MARKERS = (BOS, EOS, INST_OPEN, INST_CLOSE)
 MARKER_ENDS = frozenset(m[-1] for m in MARKERS)
+MARKER_TAILS = ("s>", "INST]")  # every marker ends in one of them
 
 CONTROL_CHARS = r"[\x{0}-\x{8}\x{B}\x{C}\x{E}-\x{1F}\x{7F}]"
 # a run of blanks that is not a single plain space
@@ -43,16 +44,30 @@ def clean_text(col) -> Column:
     """Formatting clean-up: control characters out, runs of blanks folded,
     spaces around line breaks and runs of blank lines removed, then strip."""
     # Every pattern matches only where the text changes (a lone space or a
-    # bare line break is left alone), so clean text is scanned, not rebuilt.
+    # bare line break is left alone), so clean text is scanned, not rebuilt. Where a plain
+    # text that every match holds is not there, the pattern is not tried.
     x = _c(col)
-    x = F.regexp_replace(x, r"\r\n?", "\n")
+    x = _replace(x, r"\r\n?", "\n", "\r")
     x = F.regexp_replace(x, CONTROL_CHARS, "")
-    x = F.regexp_replace(x, BLANK_RUN, " ")
-    x = F.regexp_replace(x, SPACED_BREAK, "\n")
-    x = F.regexp_replace(x, r"\n{3,}", "\n\n")
+    x = _replace(x, BLANK_RUN, " ", "\t", "\u00a0", "\u3000", "  ")
+    x = _replace(x, SPACED_BREAK, "\n", " \n", "\n ")
+    x = _replace(x, r"\n{3,}", "\n\n", "\n\n\n")
     return py_strip(x)
 
 
+def _holds(x: Column, some) -> Column:
+    found = x.contains(some[0])
+    for s in some[1:]:
+        found = found | x.contains(s)
+    return found
+
+
+def _replace(x: Column, pattern: str, by: str, *some: str) -> Column:
+    """``regexp_replace`` where ``x`` holds one of ``some``, of which every match holds one. ``x`` is bound as the
+    element of an array, so that it is made once."""
+    return F.transform(F.array(x), lambda v: F.when(_holds(v, some), F.regexp_replace(v, pattern, by)).otherwise(v))[0]
+
+
 def has_marker(col) -> Column:
     """True when the text holds a sequence or role marker."""
     return _c(col).rlike(MARKER_PATTERN)
@@ -81,8 +96,9 @@ def remove_markers(col) -> Column:
     """No marker is left, however deep they are nested, and other brackets stay. One pass of a
     pattern removes the plain ones; only a text that then holds a marker anew goes through ``cancel_markers``, in
     one pass over its characters."""
-    once = F.regexp_replace(_c(col), MARKER_PATTERN, "")
-    again = F.when(once.rlike(MARKER_PATTERN), once)
+    x = _c(col)
+    once = F.when(_holds(x, MARKER_TAILS), F.regexp_replace(x, MARKER_PATTERN, "")).otherwise(x)
+    again = F.when(_holds(x, MARKER_TAILS) & once.rlike(MARKER_PATTERN), once)
     return F.coalesce(_cancel(again), once)
 
 
