@@ -108,3 +108,24 @@ def test_registered_stream_is_whole(spark, tmpdir_path):
     assert got.columns == want.columns
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
     assert got.count() == 600 + 5 + 1 + 5
+
+
+def test_registered_seeded_stream_is_whole(spark, tmpdir_path):
+    """From a backlog: more turns wait than the stream holds, gaps, no first half, repeated turns on either side,
+    a blank user row that does not count, an ended chat: all as in the batch form."""
+    from tunemill.operators.history import history_budget
+    from tunemill.plans import catalog
+    rows = [(1, t, ("user", "assistant")[t % 2], f"turn {t} " + "word " * 40) for t in range(1200)]
+    rows += [(2, t, "user", f"gap {t}") for t in (0, 1, 5, 6, 9)] + [(3, 4, "user", "x"), (3, 5, "user", "y")]
+    rows += [(4, t, "user", f"in order {t}") for t in range(5)]
+    rows += [(5, t, "user", x) for t, x in ((0, "a"), (1, "b"), (2, "d"), (2, "c"), (3, "e"))]
+    rows += [(6, 0, "user", "a"), (6, 1, "assistant", "counts"), (6, 1, "user", " "), (6, 2, "user", "b"), (6, 3, "user", "c")]
+    rows += [(7, t, "user", x) for t, x in ((0, "a"), (1, " "), (2, "never"), (3, "never"))]
+    rows += [(8, t, "user", f"{t}") for t in (0, 1, 2, 3, 3, 5)] + [(8, None, "user", "x"), (None, 1, "user", "y")]
+    turns = spark.createDataFrame(rows, SCHEMA)
+    turns.coalesce(1).write.parquet(os.path.join(tmpdir_path, "conversations.parquet"))
+    got = catalog.history_seeded(spark, tmpdir_path)
+    want = history_budget(turns, catalog.CFG.history_budget)
+    assert got.columns == want.columns
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    assert got.count() == 600 + 5 + 2 + 5 + 4 + 3 + 1 + 5

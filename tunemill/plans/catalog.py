@@ -664,16 +664,17 @@ def history_stream(spark, d):
 @query
 def history_seeded(spark, d):
     """X5 from a backlog: the first half of every conversation through the batch form, whose state the stream begins
-    with; the second half through the stream."""
-    from ..streaming.history_stream import history_state, run_history_stream
+    with; the second half through the stream; second halves that it could not take in order are rebuilt at its end."""
+    from ..streaming.history_stream import history_state, run_history_stream, whole_history
     turns = load(spark, d, "conversations")
     half = turns.groupBy("conv_id").agg(F.max("turn").alias("last"))
     parted = materialize(turns.join(half, "conv_id").withColumn("late", F.col("turn") * 2 > F.col("last")), "turns-parted")
     early = parted.where("not late").select(*turns.columns)
     path = shared_path(spark, "turns")
     parted.where("late").select(*turns.columns).repartition(4, F.xxhash64("conv_id", "turn")).write.parquet(path)
-    rest = run_history_stream(spark, path, CFG.history_budget, state=history_state(early, CFG.history_budget))
-    return hist.history_budget(early, CFG.history_budget).unionByName(rest)
+    sink = shared_path(spark, "history-stream")
+    run_history_stream(spark, path, CFG.history_budget, sink=sink, state=history_state(early, CFG.history_budget))
+    return whole_history(spark, path, sink, CFG.history_budget, backlog=early)
 
 
 # ------------------------------------------------------------- evaluation

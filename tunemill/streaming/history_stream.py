@@ -19,7 +19,8 @@ A backlog need not go through the stream: ``history_state`` makes the state that
 has after its turns in a batch table, and the stream starts from it.
 
 A finite input has an end: ``whole_history`` then gives what the batch form gives,
-with the conversations in which turns were skipped or still wait rebuilt by it.
+with the conversations in which turns were skipped or still wait rebuilt by it, from
+their turns in the backlog on if the stream began with one.
 """
 
 from __future__ import annotations
@@ -187,10 +188,10 @@ def _keyed(turns: DataFrame) -> DataFrame:
 
 def history_state(turns: DataFrame, budget: int) -> DataFrame:
     """The state of every conversation after ``turns`` (a batch table): ``conv_id``, ``ended``, ``last_turn`` and ``kept``, the
-    messages of the longest end of the chat that fits the budget (a budget's worth at most)."""
+    messages of the longest end of the chat that fits the budget (a budget's worth at most). A chat has ended if its last
+    message is not that of its last turn (of several rows with one turn number, only the one that counts ends a chat)."""
     known = turns.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
-    blank = F.coalesce((F.col("role") == "user") & is_blank(F.coalesce("text", F.lit(""))), F.lit(False))
-    ends = known.groupBy("conv_id").agg(F.max(blank).alias("ended"), F.max("turn").alias("last_turn"))
+    ends = known.groupBy("conv_id").agg(F.max("turn").alias("last_turn"))
     m = history_messages(turns)
     last = m.groupBy("conv_id").agg(F.max("turn").alias("at"), F.max(F.col("cb") + F.col("n")).alias("total")).select(
         F.col("conv_id").alias("c"), "at", "total", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
@@ -198,7 +199,8 @@ def history_state(turns: DataFrame, budget: int) -> DataFrame:
     kept = (j.where((F.col("cb") >= F.col("total") - budget) | (F.col("turn") == F.col("at"))).groupBy("conv_id")
             .agg(F.sort_array(F.collect_list(F.struct("turn", "role", "part", "n"))).alias("kept")))
     none = F.array().cast("array<struct<turn:bigint,role:string,part:string,n:bigint>>")
-    return ends.join(kept, "conv_id", "left").select("conv_id", "ended", "last_turn", F.coalesce("kept", none).alias("kept"))
+    ended = ~F.element_at("kept", -1)["turn"].eqNullSafe(F.col("last_turn"))
+    return ends.join(kept, "conv_id", "left").select("conv_id", ended.alias("ended"), "last_turn", F.coalesce("kept", none).alias("kept"))
 
 
 def history_stream(turns: DataFrame, budget: int, align_to_user: bool = False,
@@ -267,16 +269,24 @@ def read_late(spark: SparkSession, sink: str) -> DataFrame:
 
 
 def whole_history(spark: SparkSession, path: str, sink: str, budget: int,
-                  align_to_user: bool = False) -> DataFrame:
+                  align_to_user: bool = False, backlog: DataFrame | None = None) -> DataFrame:
     """After a run over all files under ``path`` into ``sink``: exactly ``history_budget``
     of all turns. A conversation whose turns are 0, 1, 2, ... and of which the side
-    table has none went through the stream in order; all others are computed anew."""
+    table has none went through the stream in order; all others are computed anew.
+    ``backlog``: the turns with whose ``history_state`` the stream began. The result has their histories too; the
+    turns of a conversation go on from its last one there, and those computed anew are computed with it."""
     turns = spark.read.schema(TURNS).parquet(path)
-    waiting = (turns.groupBy("conv_id").agg(F.min("turn").alias("a"), F.max("turn").alias("b"),
-                                            F.count(F.lit(1)).alias("n"))
-               .where((F.col("a") != 0) | (F.col("b") != F.col("n") - 1)).select("conv_id"))
+    per = turns.groupBy("conv_id").agg(F.min("turn").alias("a"), F.max("turn").alias("b"), F.count(F.lit(1)).alias("n"))
+    first = F.lit(0)
+    if backlog is not None:
+        done = backlog.groupBy("conv_id").agg(F.max("turn").alias("done"))
+        per, first = per.join(done, "conv_id", "left"), F.coalesce(F.col("done") + 1, F.lit(0))
+    waiting = per.where((F.col("a") != first) | (F.col("b") - F.col("a") != F.col("n") - 1)).select("conv_id")
     waiting = waiting.where("conv_id is not null")
     late = read_late(spark, sink).where("conv_id is not null and turn is not null").select("conv_id")
     anew = materialize(late.union(waiting).distinct(), "history-anew")
-    rebuilt = history_budget(turns.join(anew, "conv_id", "left_semi"), budget, align_to_user)
+    again = turns.join(anew, "conv_id", "left_semi")
+    if backlog is not None:
+        again = backlog.select(*again.columns).unionByName(again)
+    rebuilt = history_budget(again, budget, align_to_user)
     return read_history(spark, sink).join(anew, "conv_id", "left_anti").unionByName(rebuilt)
